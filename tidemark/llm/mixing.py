@@ -35,7 +35,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = 1.
     levels = (
         ranked.withColumn("_all", share * F.sum("source_size").over(everything))
         .withColumn("_level", (F.col("_all") - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / F.sum("_w").over(up.rowsBetween(0, Window.unboundedFollowing)))
-        .withColumn("_x", F.min(F.when(F.col("_level") <= F.col("_at"), F.col("_level"))).over(everything))
+        .withColumn("_x", F.min(F.when(F.col("_level") <= F.col("_at"), F.struct("_at", F.col("source").isNull().alias("n"), "source", "_level"))).over(everything)["_level"])
     )
     level = F.coalesce(F.col("_x"), F.lit(float("inf")))
     return levels.select("source", "source_size", F.when(F.col("source_size") == 0, F.lit(0.0)).otherwise(F.least(F.col("_cap"), level * F.col("_w"))).alias("target"))
@@ -81,97 +81,101 @@ def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, rounds: int = 4
     return state.select("source", "_mean", "tilt")
 
 
-def _crossing(need: DataFrame, docs: DataFrame, bin_of: Column) -> tuple[DataFrame, DataFrame]:
-    """Which of 4,096 bins of each source takes the running words over what it needs; what is left for that bin."""
+FINE = 1 << 24
+
+
+def _crossing(need: DataFrame, docs: DataFrame, bin_of: Column) -> DataFrame:
+    """Which bin of each source takes the running words over what it needs; what is left for that bin."""
     bins = docs.withColumn("_bin", bin_of).groupBy("source", "_bin").agg(F.sum("size").alias("_words"))
     run = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
+    return (
         bins.withColumn("_upto", F.sum("_words").over(run))
         .withColumnRenamed("source", "_s")
-        .join(need, F.col("_s").eqNullSafe(F.col("source")))
+        .join(F.broadcast(need), F.col("_s").eqNullSafe(F.col("source")))
         .filter((F.col("_upto") > F.col("_need")) & (F.col("_upto") - F.col("_words") <= F.col("_need")))
+        .select("source", F.col("_bin").alias("_cross"), (F.col("_need") - (F.col("_upto") - F.col("_words"))).alias("_need"))
     )
-    return found.select("source", F.col("_bin").alias("_cross"), (F.col("_need") - (F.col("_upto") - F.col("_words"))).alias("_left"))
 
 
-def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", weights: tuple = WEIGHTS, share: float = 1.5, cap: int = 2) -> DataFrame:
-    """Every input row with size, source_size, target, rate, copies and taken appended.
+def _per_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with the columns of their source's row of `plan`: one row per source, which the plan's maker counted."""
+    return rows.join(F.broadcast(plan.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
 
-    Rates from `tilts` are rounded down to whole copies; the words that a source then still lacks go to documents in
-    the order of (hash of id - fraction), each at most one more copy, up to the last that fits; then the one document
-    whose size is nearest to the rest takes one copy more if that brings the source nearer. The place in that order
-    at which a source is full is found by two histograms of 4,096 bins, so no task orders a whole source, and only the
-    documents of one bin of one bin are ordered.
 
-    Defined cases: null text or a text without words has size 0, takes 0; a null source is a source of its own, last;
-    ties in the order are broken by all of id, size; repeated rows are rounded one by one; an empty table gives an empty result. Columns of
-    the input that clash with appended names are replaced.
-    """
-    new = ("size", "source_size", "target", "rate", "copies", "taken")
-    kept = [c for c in docs.columns if c not in new]
-    base = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("_row", F.monotonically_increasing_id())
-    rows = base.select("_row", F.col(f"`{id_col}`").cast("string").alias("_id"), F.col(f"`{source}`").cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    decided = decide(cut(rows), weights, share, cap)
-    return base.join(decided.drop("source", "_id"), "_row").drop("_row")
-
-
-def decide(rows: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, cap: int = 2) -> DataFrame:
-    """The mix for rows (_row, _id, source, size), with no need of their texts."""
-    hist = cut(rows.filter("size > 0").groupBy("source", "size").agg(F.count("*").alias("n")))
-    targets = cut(source_targets(hist.select("source", (F.col("size") * F.col("n")).alias("size")).unionByName(rows.filter("size = 0").select("source", "size").distinct()), weights, share, cap))
-    tilt = tilts(hist, targets, cap)
-    info = cut(
-        targets.join(tilt.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")
-        .select("source", "source_size", "target", "_mean", "tilt")
-    )
-    same = lambda df: F.broadcast(df.withColumnRenamed("source", "_s"))  # noqa: E731  one row per source
-    rate = F.when(F.col("size") == 0, F.lit(0.0)).when(F.col("tilt").isNull(), F.when(F.col("target") > 0, F.lit(float(cap))).otherwise(F.lit(0.0))).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("tilt") * F.col("size") / F.col("_mean"), F.lit(700.0)))))
+def _rated(rows: DataFrame, cap: int) -> DataFrame:
+    """rate, its whole part, and the document's place in the order in which documents get one copy more."""
+    tilted = F.least(F.lit(float(cap)), F.exp(F.least(F.col("_tilt") * F.col("size") / F.col("_mean"), F.lit(700.0))))
+    capped = F.when(F.col("target") > 0, F.lit(float(cap))).otherwise(F.lit(0.0))
     unit = F.pmod(F.xxhash64(F.col("_id"), F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)
-    rated = (
-        rows.join(same(info), F.col("source").eqNullSafe(F.col("_s")))
-        .drop("_s")
-        .withColumn("rate", rate)
+    return (
+        rows.withColumn("rate", F.when(F.col("size") == 0, F.lit(0.0)).when(F.col("_tilt").isNull(), capped).otherwise(tilted))
         .withColumn("_floor", F.floor(F.col("rate") + 1e-9))
         .withColumn("_key", (unit - (F.col("rate") - F.col("_floor")) + 1) / 2)
+        .withColumn("_fine", F.least(F.floor(F.col("_key") * FINE), F.lit(FINE - 1)))
+        .withColumn("_open", (F.col("_floor") < cap) & (F.col("size") > 0))
     )
-    open_ = rated.filter((F.col("_floor") < cap) & (F.col("size") > 0)).select("_row", "_id", "source", "size", "_key")
+
+
+def _copies(rated: DataFrame) -> DataFrame:
+    more = F.col("_open") & ((F.col("_fine") < F.coalesce("_edge", F.lit(FINE))) | F.coalesce(F.col("_key") <= F.col("_last"), F.lit(False)))
+    return rated.withColumn("copies", (F.col("_floor") + more.cast("int")).cast("long"))
+
+
+def mix_plan(rows: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, cap: int = 2) -> DataFrame:
+    """What decides the copies of every document of a source, one row per source, for rows (_id, source, size).
+
+    Rates from `tilts` are rounded down to whole copies; the words that a source then still lacks go to documents in
+    the order of (hash of id - fraction), each at most one more copy, up to the last that fits; then the one document
+    whose size is nearest to the rest takes one copy more if that brings the source nearer. The place in that order
+    at which a source is full is found by two histograms of 4,096 bins, so no task orders a whole source: only the
+    documents of one bin of one bin are ordered.
+    """
+    hist = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
+    targets = cut(source_targets(hist.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, cap))
+    tilt = tilts(hist.filter("size > 0"), targets, cap).withColumnRenamed("tilt", "_tilt")
+    plan = cut(_per_source(targets, tilt))
+    rated = _rated(_per_source(rows, plan), cap)
     need = cut(rated.groupBy("source").agg((F.max("target") - F.sum(F.col("_floor") * F.col("size"))).alias("_need")))
-    bin1 = F.least(F.floor(F.col("_key") * 4096), F.lit(4095))
-    one = cut(_crossing(need, open_, bin1))
-    in_one = open_.join(same(one), F.col("source").eqNullSafe(F.col("_s"))).drop("_s").filter(bin1 == F.col("_cross"))
-    bin2 = F.least(F.floor(F.col("_key") * 4096 * 4096) - F.col("_cross") * 4096, F.lit(4095))
-    two = cut(_crossing(one.select("source", F.col("_left").alias("_need")), in_one, bin2).withColumnRenamed("_cross", "_cross2").withColumnRenamed("_left", "_left2"))
-    order = Window.partitionBy("source").orderBy("_key", "_id", "size", "_row").rowsBetween(Window.unboundedPreceding, 0)
-    last = (
-        in_one.join(same(two), F.col("source").eqNullSafe(F.col("_s"))).drop("_s").filter(bin2 == F.col("_cross2"))
-        .withColumn("_fits", F.sum("size").over(order) <= F.col("_left2"))
-        .filter("_fits").select("_row", F.lit(1).alias("_last"))
-    )
-    placed = (
-        rated.join(same(one.select("source", "_cross")), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-        .join(same(two.select("source", "_cross2")), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-        .join(last, "_row", "left")
-    )
-    below = F.col("_cross").isNull() | (bin1 < F.col("_cross")) | ((bin1 == F.col("_cross")) & (bin2 < F.col("_cross2"))) | F.col("_last").isNotNull()
-    more = (F.col("_floor") < cap) & (F.col("size") > 0) & F.coalesce(below, F.lit(False))
-    first = cut(placed.withColumn("copies", (F.col("_floor") + more.cast("int")).cast("long")).select("_row", "_id", "source", "size", "source_size", "target", "rate", "copies"))
-    rest = first.groupBy("source").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("_rest"))
-    pick = (
-        first.filter((F.col("copies") < cap) & (F.col("size") > 0)).join(same(rest), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-        .filter(F.abs(F.col("_rest") - F.col("size")) < F.abs(F.col("_rest")))
-        .groupBy("source").agg(F.min(F.struct(F.abs(F.col("_rest") - F.col("size")).alias("d"), "_id", "_row")).alias("_p"))
-        .select(F.col("_p._row").alias("_row"), F.lit(1).alias("_pick"))
-    )
-    return (
-        first.join(F.broadcast(pick), "_row", "left")
-        .withColumn("copies", F.col("copies") + F.coalesce("_pick", F.lit(0)))
-        .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_pick")
-    )
+    open_ = rated.filter("_open").select("_id", "source", "size", "_key", "_fine")
+    one = cut(_crossing(need, open_, F.floor(F.col("_fine") / 4096)))
+    in_one = _per_source(open_, one).filter(F.floor(F.col("_fine") / 4096) == F.col("_cross"))
+    two = cut(_crossing(one.select("source", "_need"), in_one, F.col("_fine")))
+    order = Window.partitionBy("source").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    in_two = _per_source(open_, two).filter(F.col("_fine") == F.col("_cross")).withColumn("_fits", F.sum("size").over(order) <= F.col("_need"))
+    last = in_two.filter("_fits").groupBy("source").agg(F.max("_key").alias("_last"))
+    plan = cut(_per_source(_per_source(plan, two.select("source", F.col("_cross").alias("_edge"))), last))
+    first = _copies(_rated(_per_source(rows, plan), cap))
+    rest = cut(first.groupBy("source").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("_rest")))
+    gap = F.abs(F.col("_rest") - F.col("size"))
+    pick = _per_source(first.filter((F.col("copies") < cap) & (F.col("size") > 0)), rest).filter(gap < F.abs(F.col("_rest"))).groupBy("source").agg(F.min(F.struct(gap.alias("d"), "_id", "size")).alias("_p"))
+    return cut(_per_source(plan, pick.select("source", F.col("_p._id").alias("_pick_id"), F.col("_p.size").alias("_pick_size"))))
+
+
+def apply_plan(rows: DataFrame, plan: DataFrame, cap: int = 2) -> DataFrame:
+    """source_size, target, rate, copies and taken for rows (_id, source, size, ...): the same at each run."""
+    picked = F.col("_id").eqNullSafe(F.col("_pick_id")) & F.col("_pick_size").isNotNull() & (F.col("size") == F.col("_pick_size")) & (F.col("copies") < cap)
+    mixed = _copies(_rated(_per_source(rows, plan), cap)).withColumn("copies", F.col("copies") + picked.cast("long"))
+    return mixed.withColumn("taken", F.col("copies") * F.col("size")).drop("_mean", "_tilt", "_edge", "_last", "_pick_id", "_pick_size", "_floor", "_key", "_fine", "_open")
+
+
+def sizes(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> list[Column]:
+    return [F.col(f"`{id_col}`").cast("string").alias("_id"), F.col(f"`{source}`").cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")]
+
+
+def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", weights: tuple = WEIGHTS, share: float = 1.5, cap: int = 2) -> DataFrame:
+    """Every input row with size, source_size, target, rate, copies and taken appended.
+
+    Defined cases: null text or a text without words has size 0 and takes 0; null sources are one source, the last;
+    copies depend on (id, source, size) alone, so repeated rows are treated alike; an empty table gives an empty
+    result. Columns of the input that clash with appended names are replaced.
+    """
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (source, "source", "size", "source_size", "target", "rate", "copies", "taken")]
+    wide = docs.select(*sizes(docs, text, source, id_col), *kept)
+    plan = mix_plan(cut(wide.select("_id", "source", "size")), weights, share, cap)
+    return apply_plan(wide, plan, cap).drop("_id")
 
 
 def op10_source_mix(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").alias("doc_id"), F.col("doc_id").cast("string").alias("_id"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    mixed = decide(cut(rows.select("_row", "_id", "source", "size")))
-    return mixed.select(F.col("_id").cast("long").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "rate")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = cut(docs.select(*sizes(docs), "doc_id"))
+    return apply_plan(rows, mix_plan(rows.drop("doc_id"))).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
