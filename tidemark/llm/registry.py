@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import decontaminate, licenses, mixing, secrets
 
 
 def queries() -> dict:
-    return {"op10_source_mix": mixing.op10_source_mix}
+    return {
+        "op2_license_scan": licenses.op2_license_scan,
+        "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op7_secret_scan": secrets.op7_secret_scan,
+        "op10_source_mix": mixing.op10_source_mix,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontaminate": decontaminate.OP3_SQL}
