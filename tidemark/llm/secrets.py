@@ -38,7 +38,7 @@ ALLOWED = re.compile(
     rb"|[_=-]*(?:0123456789|1234567890|abcdefghijklmnopqrstuvwxyz|ABCDEFGHIJKLMNOPQRSTUVWXYZ)+[_=-]*"
 )
 
-_TERM = [0.0, *[c * math.log2(c) for c in range(1, WINDOW + 1)]]
+_TERM = [0.0, *[c * math.log2(c) for c in range(1, WINDOW + 2)]]
 
 
 def _char_class(s: bytes) -> str | None:
