@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mixing, secrets
+from . import decontaminate, licenses, mixing, quality, secrets
 
 
 def queries() -> dict:
     return {
+        "op1_quality": quality.op1_quality,
         "op2_license_scan": licenses.op2_license_scan,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op7_secret_scan": secrets.op7_secret_scan,
