@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mixing, quality, secrets
+from . import decontaminate, licenses, mixing, quality, secrets, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_license_scan": licenses.op2_license_scan,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op7_secret_scan": secrets.op7_secret_scan,
+        "op9_toxicity": toxicity.op9_toxicity,
         "op10_source_mix": mixing.op10_source_mix,
     }
 
