@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mixing, quality, secrets, toxicity
+from . import decontaminate, licenses, mixing, quality, secrets, tokens, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,11 +10,13 @@ def queries() -> dict:
         "op1_quality": quality.op1_quality,
         "op2_license_scan": licenses.op2_license_scan,
         "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op6_warc": warc.op6_warc,
         "op7_secret_scan": secrets.op7_secret_scan,
+        "op8_token_counts": tokens.op8_token_counts,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_source_mix": mixing.op10_source_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.OP3_SQL}
+    return {"op3_decontaminate": decontaminate.OP3_SQL, "op6_warc": warc.OP6_SQL}
