@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mixing, quality, secrets, tokens, toxicity, warc
+from . import decontaminate, licenses, mixing, neighbors, quality, secrets, tokens, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_quality": quality.op1_quality,
         "op2_license_scan": licenses.op2_license_scan,
         "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op5_near_vectors": neighbors.op5_near_vectors,
         "op6_warc": warc.op6_warc,
         "op7_secret_scan": secrets.op7_secret_scan,
         "op8_token_counts": tokens.op8_token_counts,
