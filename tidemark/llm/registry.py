@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mixing, neighbors, quality, secrets, tokens, toxicity, warc
+from . import decontaminate, jaccard, licenses, mixing, neighbors, quality, secrets, tokens, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_quality": quality.op1_quality,
         "op2_license_scan": licenses.op2_license_scan,
         "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op4_near_documents": jaccard.op4_near_documents,
         "op5_near_vectors": neighbors.op5_near_vectors,
         "op6_warc": warc.op6_warc,
         "op7_secret_scan": secrets.op7_secret_scan,
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.OP3_SQL, "op6_warc": warc.OP6_SQL}
+    return {"op3_decontaminate": decontaminate.OP3_SQL, "op4_near_documents": jaccard.OP4_SQL, "op6_warc": warc.OP6_SQL}
