@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import decontaminate, jaccard, licenses, mixing, neighbors, quality, secrets, tokens, toxicity, warc
 
 
@@ -17,6 +19,7 @@ def queries() -> dict:
         "op8_token_counts": tokens.op8_token_counts,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_source_mix": mixing.op10_source_mix,
+        "pipeline": corpus_pipeline.run,
     }
 
 
