@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import history  # noqa: F401
+from . import decisions, history  # noqa: F401
 from .registry import QUERIES, SQL
 
 
