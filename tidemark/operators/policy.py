@@ -88,7 +88,7 @@ def expected(p: Column, amount: Column, c: Costs) -> dict[str, Column]:
 def priced(df: DataFrame, c: Costs = Costs()) -> DataFrame:
     """e_approve, e_decline, e_review, and what a review saves over the best action without one."""
     e = expected(F.col("p"), F.col("amount").cast("double"), c)
-    return df.withColumns({f"e_{k}": F.round(v, 6) for k, v in e.items()}).withColumn("priority", F.least("e_approve", "e_decline") - F.col("e_review"))
+    return df.withColumns({f"e_{k}": v for k, v in e.items()}).withColumn("priority", F.least("e_approve", "e_decline") - F.col("e_review"))
 
 
 def within_capacity(candidate: Column, capacity: Column | int, *groups: str) -> Column:

@@ -52,14 +52,14 @@ def rules_score(spark, sf_dir):
     return scored(spark, sf_dir).select("id", "points", F.round("rules_score", 6).alias("rules_score"))
 
 
-@query("prj_11_expected_cost", sql("SELECT id, p, e_approve, e_decline, e_review FROM priced", "priced"))
+@query("prj_11_expected_cost", sql("SELECT id, p, round(e_approve + 1e-9, 4) AS e_approve, round(e_decline + 1e-9, 4) AS e_decline, round(e_review + 1e-9, 4) AS e_review FROM priced", "priced"))
 def expected_cost(spark, sf_dir):
-    return priced(spark, sf_dir).select("id", "p", "e_approve", "e_decline", "e_review")
+    return priced(spark, sf_dir).select("id", "p", *[F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("e_approve", "e_decline", "e_review")])
 
 
-@query("prj_12_review_priority", sql("SELECT id, round(least(e_approve, e_decline) - e_review, 4) AS priority FROM priced", "priced"))
+@query("prj_12_review_priority", sql("SELECT id, round(least(e_approve, e_decline) - e_review + 1e-9, 4) AS priority FROM priced", "priced"))
 def review_priority(spark, sf_dir):
-    return priced(spark, sf_dir).select("id", F.round("priority", 4).alias("priority"))
+    return priced(spark, sf_dir).select("id", F.round(F.col("priority") + 1e-9, 4).alias("priority"))
 
 
 def _policy(name: str):
@@ -193,7 +193,7 @@ def sensitivity(spark, sf_dir):
 
 _CELLS = """
 cells AS (
-  SELECT model, s, pos, n, v, sum(pos) OVER w AS tp, sum(n - pos) OVER w AS fp, sum(v) OVER w AS tv, sum(pos) OVER (PARTITION BY model) AS P, sum(n - pos) OVER (PARTITION BY model) AS N, sum(v) OVER (PARTITION BY model) AS V
+  SELECT model, s, pos, n, v, sum(pos) OVER w AS tp, sum(n - pos) OVER w AS fp, sum(v) OVER w AS tv, sum(pos) OVER (PARTITION BY model) AS pp, sum(n - pos) OVER (PARTITION BY model) AS nn, sum(v) OVER (PARTITION BY model) AS vv
   FROM (SELECT model, s, sum(label) AS pos, count(*) AS n, sum(CASE WHEN label = 1 THEN amount ELSE 0 END) AS v
         FROM (SELECT 'linear' AS model, p AS s, label, amount FROM scored UNION ALL SELECT 'points', CAST(points AS DOUBLE), label, amount FROM scored) GROUP BY model, s)
   WINDOW w AS (PARTITION BY model ORDER BY s DESC))"""
@@ -205,12 +205,12 @@ def _cells(spark, sf_dir) -> DataFrame:
     return metrics.by_score(long, "x", "model")
 
 
-@query("met_1_average_precision", sql("SELECT model, round(sum(pos / P * tp / (tp + fp)), 6) AS pr_auc FROM cells GROUP BY model", "scored", more=_CELLS))
+@query("met_1_average_precision", sql("SELECT model, round(sum(pos / pp * tp / (tp + fp)), 6) AS pr_auc FROM cells GROUP BY model", "scored", more=_CELLS))
 def pr_auc(spark, sf_dir):
     return _cells(spark, sf_dir).groupBy("model").agg(F.round(metrics.average_precision(), 6).alias("pr_auc"))
 
 
-@query("met_2_roc_auc", sql("SELECT model, round(sum(pos * (N - fp + (n - pos) / 2)) / (max(P) * max(N)), 6) AS roc_auc FROM cells GROUP BY model", "scored", more=_CELLS))
+@query("met_2_roc_auc", sql("SELECT model, round(sum(pos * (nn - fp + (n - pos) / 2)) / (max(pp) * max(nn)), 6) AS roc_auc FROM cells GROUP BY model", "scored", more=_CELLS))
 def roc_auc(spark, sf_dir):
     return _cells(spark, sf_dir).groupBy("model").agg(F.round(metrics.roc_auc(), 6).alias("roc_auc"))
 
@@ -219,9 +219,9 @@ LEVELS = (0.001, 0.005, 0.01, 0.05)
 
 
 @query("met_3_recall_at_fpr", sql("""
-SELECT c.model, l.level, r.s AS threshold, coalesce(round(r.fp / r.N, 6), 0) AS fpr, coalesce(round(r.tp / r.P, 6), 0) AS recall, coalesce(round(CAST(r.tv AS DOUBLE) / CAST(r.V AS DOUBLE), 6), 0) AS value_recall, coalesce(round((r.tp + r.fp) / (r.P + r.N), 6), 0) AS alert_rate
+SELECT c.model, l.level, r.s AS threshold, coalesce(round(r.fp / r.nn, 6), 0) AS fpr, coalesce(round(r.tp / r.pp, 6), 0) AS recall, coalesce(round(CAST(r.tv AS DOUBLE) / CAST(r.vv AS DOUBLE), 6), 0) AS value_recall, coalesce(round((r.tp + r.fp) / (r.pp + r.nn), 6), 0) AS alert_rate
 FROM (SELECT DISTINCT model FROM cells) c CROSS JOIN (VALUES (0.001::DOUBLE), (0.005::DOUBLE), (0.01::DOUBLE), (0.05::DOUBLE)) l(level)
-LEFT JOIN LATERAL (SELECT * FROM cells d WHERE d.model = c.model AND d.fp / d.N <= l.level ORDER BY d.s LIMIT 1) r ON true""", "scored", more=_CELLS))
+LEFT JOIN LATERAL (SELECT * FROM cells d WHERE d.model = c.model AND d.fp / d.nn <= l.level ORDER BY d.s LIMIT 1) r ON true""", "scored", more=_CELLS))
 def recall_at_fpr(spark, sf_dir):
     return metrics.recall_at(_cells(spark, sf_dir), LEVELS, "model")
 

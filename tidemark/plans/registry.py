@@ -36,8 +36,8 @@ scored AS (
   FROM feat)""",
     "priced": """
 priced AS (
-  SELECT *, round(p * (CAST(amount AS DOUBLE) + 20), 6) AS e_approve, round((1 - p) * (0.25 * CAST(amount AS DOUBLE) + 10), 6) AS e_decline,
-         round(7 + p * 0.1 * (CAST(amount AS DOUBLE) + 20) + (1 - p) * 2, 6) AS e_review,
+  SELECT *, p * (CAST(amount AS DOUBLE) + 20) AS e_approve, (1 - p) * (0.25 * CAST(amount AS DOUBLE) + 10) AS e_decline,
+         7 + p * (1 - 0.9::DOUBLE) * (CAST(amount AS DOUBLE) + 20) + (1 - p) * 2 AS e_review,
          points + least(greatest(CAST(amount AS DOUBLE), 0), 100000) / 100000 * 0.99 AS rules_score
   FROM scored)""",
     "decided": """
@@ -75,10 +75,10 @@ def _closed(names: tuple[str, ...]) -> list[str]:
 
 #: Realised cost of actions on labelled amounts, as a list of aggregates.
 COSTS_SQL = """
-  round(sum(CASE WHEN label = 1 AND action = 'approve' THEN amount + 20 WHEN label = 1 AND action = 'review' THEN 0.1 * (CAST(amount AS DOUBLE) + 20) ELSE 0 END)
+  round(sum(CASE WHEN label = 1 AND action = 'approve' THEN amount + 20 WHEN label = 1 AND action = 'review' THEN (1 - 0.9::DOUBLE) * (CAST(amount AS DOUBLE) + 20) ELSE 0 END)
     + sum(CASE WHEN label = 0 AND action = 'decline' THEN 0.25 * CAST(amount AS DOUBLE) + 10 ELSE 0 END)
     + 7 * count(*) FILTER (action = 'review') + 2 * count(*) FILTER (action = 'review' AND label = 0), 4) AS total_cost,
-  round(sum(CASE WHEN label = 1 AND action = 'approve' THEN amount + 20 WHEN label = 1 AND action = 'review' THEN 0.1 * (CAST(amount AS DOUBLE) + 20) ELSE 0 END), 4) AS missed_fraud_cost,
+  round(sum(CASE WHEN label = 1 AND action = 'approve' THEN amount + 20 WHEN label = 1 AND action = 'review' THEN (1 - 0.9::DOUBLE) * (CAST(amount AS DOUBLE) + 20) ELSE 0 END), 4) AS missed_fraud_cost,
   round(sum(CASE WHEN label = 0 AND action = 'decline' THEN 0.25 * CAST(amount AS DOUBLE) + 10 ELSE 0 END), 4) AS declined_legit_cost,
   CAST(7 * count(*) FILTER (action = 'review') AS DOUBLE) AS review_cost,
   CAST(2 * count(*) FILTER (action = 'review' AND label = 0) AS DOUBLE) AS review_delay_cost,
