@@ -1,4 +1,9 @@
-"""N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix with itself."""
+"""N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix with itself.
+
+A document's row of the matrix is told by 64 bits of its set's digest, so equal sets are one row without any join. Entries carry 40 bits
+of an n-gram's hash: two that share them are one column, which only adds candidates. Links are decided by whole sets of 40-bit
+hashes; that an unequal n-gram counts as common has a chance of about (n-grams that differ)^2 / 2^40 in a pair.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import components, extended, spanning
 from .store import cut
 from .text import mix, shingle_sets, text_chunks
 
@@ -19,10 +24,12 @@ WORDS = 5
 PERCENT = 80
 #: A column of the matrix with at most so many documents gives all its pairs; a longer one goes by pivots.
 LIGHT = 24
-#: N-grams that more documents than this put first are put last by all.
+#: N-grams counted in more documents than this are put last by all.
 FREQUENT = 64
 #: Entries of the matrix that one block of columns should hold.
-BLOCK_ENTRIES = 1_000_000
+BLOCK_ENTRIES = 1_500_000
+#: Sets of a cell's left side in the comparison of large groups; the right side has twice as many.
+PART = 128
 #: Bits of the maps that are broadcast, whatever the input: 2 MB.
 MAP_BITS = 24
 SEGMENT_BITS = 15
@@ -56,43 +63,77 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _deal(grams: np.ndarray, blocks: int) -> Iterator[tuple[int, np.ndarray]]:
     """Which entries go to each block of columns."""
-    block = (grams % np.uint64(blocks)).astype(np.int64)
+    block = (mix(grams) % np.uint64(blocks)).astype(np.int64)
     order = np.argsort(block, kind="stable")
     at = np.flatnonzero(np.diff(block[order], prepend=-1))
     for a, b in zip(at.tolist(), [*at[1:].tolist(), len(order)], strict=True):
         yield int(block[order[a]]), order[a:b]
 
 
+def _pack(h: np.ndarray) -> bytes:
+    """The upper 40 bits of hashes, byte by byte, so that sorted ones compress."""
+    return np.ascontiguousarray((h >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 4::-1].T).tobytes()
+
+
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    out = []
+    for x in packed:
+        planes = np.frombuffer(x, np.uint8).reshape(5, -1)
+        wide = np.zeros((planes.shape[1], 8), np.uint8)
+        wide[:, 4::-1] = planes.T
+        out.append(wide.view("<u8").ravel())
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _column(table: pa.Table, name: str) -> list[bytes]:
+    return [x for part in table.column(name).chunks for x in part.to_pylist()]
+
+
+def _new_rows(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int, int, np.ndarray]]]]:
+    """(row, s1, s2, set) of each set with members that this task hasn't met: copies within a task are one."""
+    seen: set[int] = set()
+    for batch in batches:
+        out = []
+        for first, sets in _sets(batch, at):
+            for k, own in enumerate(sets, first):
+                if len(own):
+                    s1, s2 = _signature(own)
+                    if s1 not in seen:
+                        seen.add(s1)
+                        out.append((k, s1, s2, own))
+        yield batch, out
+
+
 def _first_grams(blocks: int) -> Callable:
-    """(text) to packed first n-grams by block, in the order of their hashes."""
+    """(text) to packed n-grams by block with counts: how many of a batch's sets have them, or 1 for one set that has it among its first in the order of hashes."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, sets in _sets(batch, 0):
-                got = [s[: _prefix(len(s))] for s in sets if len(s)]
-                if got:
-                    grams = np.concatenate(got)
-                    rows = [(b, grams[own].tobytes()) for b, own in _deal(grams, blocks)]
-                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "grams"])
+        for _, new in _new_rows(batches, 0):
+            if new:
+                grams, many = np.unique(np.concatenate([own >> np.uint64(24) for *_, own in new]), return_counts=True)
+                first = np.unique(np.concatenate([own[: _prefix(len(own))] >> np.uint64(24) for *_, own in new]))
+                keep = many > 1
+                keep[np.searchsorted(grams, first)] = True
+                grams, many = grams[keep], many[keep].astype(np.int32)
+                rows = [(b, _pack(grams[own] << np.uint64(24)), many[own].tobytes()) for b, own in _deal(grams, blocks)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)]], names=["block", "grams", "counts"])
 
     return emit
 
 
-def _unpack(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(x for part in column.chunks for x in part.to_pylist()), dtype=kind)
+def _place(h: np.ndarray) -> np.ndarray:
+    """Where in a map of 2^MAP_BITS bits a 40-bit hash or a mixed id has its bit."""
+    return (mix(h) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
 def _frequent(table: pa.Table) -> pa.Table:
-    """Places in the map of the n-grams of a block that more than FREQUENT documents put first."""
-    grams, many = np.unique(_unpack(table.column("grams"), np.uint64), return_counts=True)
+    """Places in the map of the n-grams of a block that were counted in more than FREQUENT sets."""
+    grams, at = np.unique(_unpacked(_column(table, "grams")), return_inverse=True)
+    many = np.bincount(at, weights=np.frombuffer(b"".join(_column(table, "counts")), np.int32), minlength=len(grams))
     place = np.unique(_place(grams[many > FREQUENT]))
     return pa.table({"segment": place >> SEGMENT_BITS, "bit": place & ((1 << SEGMENT_BITS) - 1)})
 
 
-def _place(h: np.ndarray) -> np.ndarray:
-    return (mix(h) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-
-
 def _bits(table: pa.Table) -> pa.Table:
     bits = np.zeros(1 << SEGMENT_BITS, bool)
     bits[np.asarray(table.column("bit").combine_chunks())] = True
@@ -112,42 +153,30 @@ def _is_set(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _rows_of_matrix(frequent) -> Callable:
-    """(id, text) to (id, n, s1, s2, grams): the document's first n-grams, those that are frequent behind all others."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, s1, s2 = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
-            grams: list[bytes] = []
-            for first, sets in _sets(batch, 1):
-                whole = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                common = _is_set(frequent.value, _place(whole))
-                free = 0
-                for k, own in enumerate(sets, first):
-                    late = common[free : free + len(own)]
-                    free += len(own)
-                    n[k] = len(own)
-                    s1[k], s2[k] = _signature(own)
-                    want = _prefix(len(own)) if len(own) else 0
-                    grams.append(np.concatenate([own[~late], own[late]])[:want].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(s1), pa.array(s2), pa.array(grams, pa.binary())], names=["id", "n", "s1", "s2", "grams"])
+def _entries(blocks: int, frequent) -> Callable:
+    """(text) to packed entries by block of columns: of each set its first n-grams, those that are frequent behind all others.
 
-    return emit
-
-
-def _blocks_of_matrix(blocks: int) -> Callable:
-    """(cid, n, grams) to packed entries by block of columns."""
+    Per block a row has the columns of the entries, and per set its row's name, its size, and how many of the entries are its.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
+        for _, new in _new_rows(batches, 0):
+            if not new:
                 continue
-            parts = batch.column(2).to_pylist()
-            length = np.array([len(x) // 8 for x in parts])
-            grams = np.frombuffer(b"".join(parts), np.uint64)
-            cid, n = np.repeat(np.asarray(batch.column(0)), length), np.repeat(np.asarray(batch.column(1)), length).astype(np.int32)
-            rows = [(b, grams[own].tobytes(), cid[own].tobytes(), n[own].tobytes()) for b, own in _deal(grams, blocks)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]], names=["block", "grams", "cids", "ns"])
+            sizes = np.array([len(own) for *_, own in new], np.int32)
+            names = np.array([s1 for _, s1, _, _ in new], np.int64)
+            late = _is_set(frequent.value, _place(np.concatenate([own for *_, own in new]) >> np.uint64(24)))
+            parts, free = [], 0
+            for *_, own in new:
+                behind = late[free : free + len(own)]
+                free += len(own)
+                parts.append((np.concatenate([own[~behind], own[behind]]) if behind.any() else own)[: _prefix(len(own))])
+            grams, doc = np.concatenate(parts), np.repeat(np.arange(len(new)), [len(x) for x in parts])
+            rows = []
+            for b, own in _deal(grams, blocks):
+                docs, runs = np.unique(doc[own], return_counts=True)
+                rows.append((b, _pack(grams[own]), names[docs].tobytes(), sizes[docs].tobytes(), runs.astype(np.int32).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3, 4)]], names=["block", "grams", "names", "sizes", "runs"])
 
     return emit
 
@@ -157,18 +186,24 @@ def _near_in_size(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _product(table: pa.Table) -> pa.Table:
-    """A block's part of the product: overlap counts (kind 0: a < b, count, sizes) of its light columns, entries (kind 1: document a, n-gram b) of the long ones."""
-    grams, cid, n = _unpack(table.column("grams"), np.uint64), _unpack(table.column("cids"), np.int64), _unpack(table.column("ns"), np.int32).astype(np.int64)
-    ids, doc = np.unique(cid, return_inverse=True)
+    """A block's part of the product: overlap counts (kind 0: a < b, count, sizes) of its light columns, entries (kind 1: document a, column b) of the long ones."""
+    grams = _unpacked(_column(table, "grams"))
+    join = lambda name, kind: np.frombuffer(b"".join(_column(table, name)), kind)
+    names, own_sizes, runs = join("names", np.int64), join("sizes", np.int32), join("runs", np.int32)
+    ids, at_name = np.unique(names, return_inverse=True)
+    sizes = np.zeros(len(ids), np.int64)
+    sizes[at_name] = own_sizes
+    doc = np.repeat(at_name, runs)
     order = np.lexsort((doc, grams))
-    grams, doc, n = grams[order], doc[order], n[order]
+    grams, doc = grams[order], doc[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (doc[1:] != doc[:-1])
-    grams, doc, n = grams[new], doc[new], n[new]
-    at = np.flatnonzero(np.diff(grams, prepend=grams[:1] + np.uint64(1)) != 0) if len(grams) else np.zeros(0, np.int64)
+    grams, doc = grams[new], doc[new]
+    first = np.ones(len(grams), bool)
+    first[1:] = grams[1:] != grams[:-1]
+    at = np.flatnonzero(first)
     many = np.diff(np.append(at, len(grams)))
-    keys, sizes = [np.zeros(0, np.int64)], np.zeros(len(ids), np.int64)
-    sizes[doc] = n
+    keys = [np.zeros(0, np.int64)]
     for length in np.unique(many[(many > 1) & (many <= LIGHT)]).tolist():
         rows = at[many == length][:, None] + np.arange(length)
         i, j = np.triu_indices(length, 1)
@@ -176,55 +211,76 @@ def _product(table: pa.Table) -> pa.Table:
         close = _near_in_size(sizes[a], sizes[b])
         keys.append(a[close] * len(ids) + b[close])
     pairs, count = np.unique(np.concatenate(keys), return_counts=True)
-    a, b = (pairs // len(ids), pairs % len(ids)) if len(ids) else (pairs, pairs)
+    a, b = pairs // max(1, len(ids)), pairs % max(1, len(ids))
     long = np.repeat(many > LIGHT, many)
     return pa.table({
         "kind": np.concatenate([np.zeros(len(a), np.int32), np.ones(int(long.sum()), np.int32)]),
         "a": np.concatenate([ids[a], ids[doc[long]]]),
         "b": np.concatenate([ids[b], grams[long].view(np.int64)]),
         "c": np.concatenate([count, np.ones(int(long.sum()), np.int64)]),
-        "na": np.concatenate([sizes[a], n[long]]),
+        "na": np.concatenate([sizes[a], sizes[doc[long]]]),
         "nb": np.concatenate([sizes[b], np.zeros(int(long.sum()), np.int64)]),
     })
 
 
+def _key(s1: np.ndarray, id_: np.ndarray) -> np.ndarray:
+    return _place(s1.view(np.uint64) ^ mix(id_.view(np.uint64)))
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(s1, id) to (segment, bit)."""
+    for batch in batches:
+        place = _key(np.asarray(batch.column(0)), np.asarray(batch.column(1).fill_null(-1)))
+        yield pa.RecordBatch.from_arrays([pa.array(place >> SEGMENT_BITS), pa.array(place & ((1 << SEGMENT_BITS) - 1))], names=["segment", "bit"])
+
+
 def _whole_sets(wanted) -> Callable:
-    """(id, text) to (id, s1, s2, grams) of documents whose signature may be wanted."""
+    """(id, text) to (s1, n, grams) of the wanted documents, and of few others that fall on their bits."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, out = batch.column(0).to_pylist(), []
-            for first, sets in _sets(batch, 1):
-                for k, own in enumerate(sets, first):
-                    s1, s2 = _signature(own)
-                    if _is_set(wanted.value, _place(np.array([s1], np.int64).view(np.uint64)))[0]:
-                        out.append((ids[k], s1, s2, own.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], batch.column(0).type), *[pa.array([r[k] for r in out], pa.int64()) for k in (1, 2)], pa.array([r[3] for r in out], pa.binary())], names=["id", "s1", "s2", "grams"])
+        for batch, new in _every_row(batches):
+            ids = np.asarray(batch.column(0).fill_null(-1))
+            if new:
+                rows = np.array([r[0] for r in new])
+                hit = _is_set(wanted.value, _key(np.array([r[1] for r in new], np.int64), ids[rows]))
+                new = [r for r, x in zip(new, hit.tolist(), strict=True) if x]
+            yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in new], pa.int64()), pa.array([len(r[3]) for r in new], pa.int64()), pa.array([_pack(r[3]) for r in new], pa.binary())], names=["s1", "n", "grams"])
 
     return emit
 
 
+def _every_row(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    for batch in batches:
+        yield batch, [(k, *_signature(own), own) for first, sets in _sets(batch, 1) for k, own in enumerate(sets, first) if len(own)]
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, x, y) to (a, b, common) by the whole sets x and y."""
+    """(a, b, na, nb, x, y) to (a, b, na, nb, common) by the whole sets x and y."""
     for batch in batches:
-        x, y = batch.column(2), batch.column(3)
+        x, y = batch.column(4), batch.column(5)
         common = np.zeros(batch.num_rows, np.int64)
         for k in range(batch.num_rows):
-            p, q = np.frombuffer(x[k].as_buffer(), np.uint64), np.frombuffer(y[k].as_buffer(), np.uint64)
+            p, q = _unpacked([x[k].as_buffer()]), _unpacked([y[k].as_buffer()])
             p, q = (p, q) if len(p) < len(q) else (q, p)
             common[k] = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(p) else 0
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common)], names=["a", "b", "common"])
+        yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(4)], pa.array(common)], names=["a", "b", "na", "nb", "common"])
+
 
+def _sets_of(ends: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(s1, n, grams) of the sets named in `ends`, made anew from the texts of their documents alone."""
+    wanted = _bitmap(classes.join(ends, "s1", "left_semi").select("s1", "rep").mapInArrow(_places, "segment long, bit long"))
+    return rows.mapInArrow(_whole_sets(wanted), "s1 long, n long, grams binary").groupBy("s1").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, na, nb, common) by the whole sets of both."""
+
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, na, nb, common) of pairs (a, b) by the whole sets of both."""
+    ends = pairs.select(F.col("a").alias("s1")).unionByName(pairs.select(F.col("b").alias("s1"))).distinct()
+    sets = _sets_of(ends, rows, classes)
     both = (
-        pairs.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("grams").alias("x")), "a")
-        .join(sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("y")), "b")
+        pairs.select("a", "b").join(sets.select(F.col("s1").alias("a"), F.col("n").alias("na"), F.col("grams").alias("x")), "a")
+        .join(sets.select(F.col("s1").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("y")), "b")
     )
-    counted = both.select("a", "b", "x", "y").mapInArrow(_overlaps, "a long, b long, common long")
-    size = sets.select("cid", "n")
-    return counted.join(size.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b")
+    return cut(both.select("a", "b", "na", "nb", "x", "y").mapInArrow(_overlaps, "a long, b long, na long, nb long, common long"))
 
 
 def _linked() -> Column:
@@ -235,28 +291,8 @@ def _near(x: str, y: str) -> Column:
     return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        place = _place(np.asarray(batch.column(0)).view(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(place >> SEGMENT_BITS), pa.array(place & ((1 << SEGMENT_BITS) - 1))], names=["segment", "bit"])
-
-
-def _entries(rows: DataFrame, classes: DataFrame, blocks: int) -> DataFrame:
-    """The product's parts, by blocks of columns."""
-    frequent = _bitmap(rows.select("text").mapInArrow(_first_grams(blocks), "block long, grams binary").groupBy("block").applyInArrow(_frequent, "segment long, bit long"))
-    own = rows.mapInArrow(_rows_of_matrix(frequent), "id long, n long, s1 long, s2 long, grams binary").filter("n > 0")
-    matrix = _of_class(own, classes).select("cid", "n", "grams").mapInArrow(_blocks_of_matrix(blocks), "block long, grams binary, cids binary, ns binary")
-    return cut(matrix.groupBy("block").applyInArrow(_product, "kind int, a long, b long, c long, na long, nb long"))
-
-
-def _of_class(own: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows that stand for their class, with its cid."""
-    key = classes.select("s1", "s2", "cid", F.col("rep").alias("_rep"))
-    return own.join(key, ["s1", "s2"]).filter(F.col("id").eqNullSafe(F.col("_rep"))).drop("_rep")
-
-
 def _counted_pairs(part: DataFrame, uncounted: DataFrame) -> DataFrame:
-    """Pairs whose overlap may still suffice.
+    """Pairs whose overlap may still suffice, with what was counted.
 
     Of two documents' first n-grams, the counted ones in common are c, and at most the smaller number of uncounted entries comes on
     top; behind the first n-grams of the document whose last one is earlier in the order lies all else that they can share.
@@ -265,79 +301,127 @@ def _counted_pairs(part: DataFrame, uncounted: DataFrame) -> DataFrame:
     bound = F.col("c") + F.least(F.coalesce("ua", F.lit(0)), F.coalesce("ub", F.lit(0))) + F.greatest(behind("na"), behind("nb"))
     return (
         part.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
-        .join(uncounted.select(F.col("cid").alias("a"), F.col("u").alias("ua")), "a", "left")
-        .join(uncounted.select(F.col("cid").alias("b"), F.col("u").alias("ub")), "b", "left")
+        .join(uncounted.select(F.col("s1").alias("a"), F.col("u").alias("ua")), "a", "left")
+        .join(uncounted.select(F.col("s1").alias("b"), F.col("u").alias("ub")), "b", "left")
         .filter((100 + PERCENT) * bound >= PERCENT * (F.col("na") + F.col("nb")))
-        .select("a", "b")
+        .select("a", "b", "c")
     )
 
 
-def _remaining_pairs(crowded: DataFrame, pivots: DataFrame, checked: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of a long column that the links so far leave in different components, and that may link.
+def _best_partners(pairs: DataFrame) -> DataFrame:
+    """Of each document's pairs that with the largest count: about as many pairs as documents, and mostly links."""
+    ends = pairs.select(F.col("a").alias("v"), F.col("b").alias("w"), "c").unionByName(pairs.select(F.col("b").alias("v"), F.col("a").alias("w"), "c"))
+    best = ends.groupBy("v").agg(F.max(F.struct("c", "w")).alias("m")).select("v", F.col("m.w").alias("w"))
+    return best.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"))
 
-    In each column all but the largest component are compared with what is in other components. Jaccard distance obeys the triangle
-    inequality, so documents whose distances to the column's pivot differ by more than a link's distance are not.
+
+def _with_components(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components."""
+    x, y = comp.select(F.col("id").alias("a"), F.col("component").alias("_x")), comp.select(F.col("id").alias("b"), F.col("component").alias("_y"))
+    return pairs.join(x, "a", "left").join(y, "b", "left").filter(F.coalesce("_x", "a") != F.coalesce("_y", "b")).select("a", "b")
+
+
+def _cell_links(table: pa.Table) -> pa.Table:
+    """Links between the sets of one cell's two sides that are in different components, thinned to a forest.
+
+    The left side's n-grams are one sorted index; each set of the right side adds up its overlaps with all left ones at once.
     """
-    placed = crowded.join(comp.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    each = placed.groupBy("gram", "component").agg(F.count("*").alias("many"))
-    top = each.groupBy("gram").agg(F.max(F.struct("many", "component")).alias("t"), F.count("*").alias("k")).filter("k > 1").select("gram", F.col("t.component").alias("top"))
-    far = checked.select("a", "b", (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d"))
-    open_ = (
-        placed.join(top, "gram").join(pivots, "gram")
-        .withColumns({"a": F.least("cid", "pivot"), "b": F.greatest("cid", "pivot")}).join(far, ["a", "b"], "left")
-        .select("gram", "cid", "n", "component", "top", F.when(F.col("cid") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("d")).alias("d"))
-    )
-    open_ = cut(open_)
-    x = open_.filter("component <> top").select("gram", F.col("cid").alias("xc"), F.col("n").alias("xn"), F.col("component").alias("xk"), F.col("d").alias("xd"))
-    may = F.coalesce(F.abs(F.col("xd") - F.col("d")) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True))
-    both = x.join(open_, "gram").filter((F.col("xk") != F.col("component")) & ((F.col("component") == F.col("top")) | (F.col("xc") < F.col("cid"))) & _near("xn", "n") & may)
-    pairs = both.select(F.least("xc", "cid").alias("a"), F.greatest("xc", "cid").alias("b")).distinct()
-    return pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    side = np.asarray(table.column("side").combine_chunks())
+    s1, comp = np.asarray(table.column("s1").combine_chunks()), np.asarray(table.column("component").combine_chunks())
+    packed = _column(table, "grams")
+    sets = [_unpacked([x]) for x in packed]
+    size = np.array([len(x) for x in sets], np.int64)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if len(left) and len(right):
+        grams = np.concatenate([sets[k] for k in left])
+        of = np.repeat(np.arange(len(left)), size[left])
+        order = np.argsort(grams, kind="stable")
+        grams, of = grams[order], of[order]
+        for k in right.tolist():
+            lo, hi = np.searchsorted(grams, sets[k], "left"), np.searchsorted(grams, sets[k], "right")
+            many = hi - lo
+            at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            common = np.bincount(of[at], minlength=len(left))
+            hit = left[((100 + PERCENT) * common >= PERCENT * (size[left] + size[k])) & (comp[left] != comp[k])]
+            out[0].append(s1[hit])
+            out[1].append(np.full(len(hit), s1[k]))
+    a, b = np.concatenate(out[0]), np.concatenate(out[1])
+    name = dict(zip(s1.tolist(), comp.tolist(), strict=True))
+    if len(a):
+        keep = spanning(np.array([name[x] for x in a.tolist()]), np.array([name[x] for x in b.tolist()]))
+        a, b = a[keep], b[keep]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def _links_in_long_columns(star: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between documents of long columns that the links so far leave in different components.
+
+    Documents of the columns with one pivot are a group. In a group all but its largest component are compared with what is in other
+    components and near in size: sizes are classed by powers of 5/4, so a link's ends are in the same class or in neighbouring ones. The comparisons are
+    dealt out as cells of PART by 2 * PART sets; a task holds one cell and returns a forest of its links, never its pairs.
+    """
+    group = star.select("s1", "n", F.col("pivot").alias("grp")).unionByName(star.select(F.col("pivot").alias("s1"), F.col("np").alias("n"), F.col("pivot").alias("grp")).distinct())
+    member = group.join(comp.withColumnRenamed("id", "s1"), "s1", "left").withColumn("component", F.coalesce("component", "s1"))
+    member = member.withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))))
+    each = member.groupBy("grp", "component").agg(F.count("*").alias("many"))
+    top = each.groupBy("grp").agg(F.max(F.struct("many", "component")).alias("t"), F.count("*").alias("k")).filter("k > 1").select("grp", F.col("t.component").alias("top"))
+    open_ = cut(member.join(top, "grp"))
+    key = ["grp", "class"]
+    lefts = open_.filter("component <> top")
+    rights = open_.withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1))).join(lefts.select(*key).distinct(), key, "left_semi")
+    parts = lefts.groupBy(*key).agg(F.ceil(F.count("*") / PART).alias("pl")).join(rights.groupBy(*key).agg(F.ceil(F.count("*") / (2 * PART)).alias("pr")), key)
+    all_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    cell = lambda df, side, own, other: df.join(parts, key).withColumn("x", F.pmod(F.xxhash64("s1"), F.col(own))).withColumn("y", all_to(other)).select(*key, F.col("x" if side == 0 else "y").alias("l"), F.col("y" if side == 0 else "x").alias("r"), "s1", "component", F.lit(side).alias("side"))
+    cells = cell(lefts, 0, "pl", "pr").unionByName(cell(rights, 1, "pr", "pl"))
+    sets = _sets_of(open_.select("s1").distinct(), rows, classes)
+    return cut(cells.join(sets.select("s1", "grams"), "s1").groupBy(*key, "l", "r").applyInArrow(_cell_links, "a long, b long"))
 
 
 def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, n_shingles, component_id) of every row of `docs`.
 
-    1. Documents with equal shingle sets (by a 128-bit digest) are one class, one row of the matrix.
-    2. Of every order of n-grams that all documents keep, linked documents share one among their first 20 %. Only those entries of the
+    1. Of every order of n-grams that all documents keep, linked documents share one among their first 20 %. Only those entries of the
        matrix are made, packed, and shuffled by blocks of columns. N-grams that many documents would put first are put last by all, by a map
        of fixed size, so columns are short unless documents consist of such n-grams.
-    3. A block multiplies its columns: light columns give overlap counts of pairs near in size, summed up over blocks, and pairs
-       below the bound of their sizes go.
-    4. A long column (large groups of near copies) gives one pair per document, with the column's most typical one. What the
-       links then leave in other components is compared in a second pass, so no pair of different texts is passed over, and no group gives all its pairs.
-    5. Every pair left is decided by whole sets; links are contracted to components.
+    2. A block multiplies its columns: light columns give overlap counts of pairs near in size, summed up over blocks, and pairs
+       below the bound of their sizes go. A long column (large groups of near copies) gives one pair per document, with the column's most typical one.
+    3. Whole sets decide first the best pair of each document; links are contracted to components. Then they decide every other pair
+       of light columns whose documents those leave apart, and last the documents of long columns are compared cell by cell where they still are apart. So
+       no pair of different texts is passed over, and no group gives all its pairs.
 
-    Defined cases: null, empty and white texts have an empty set, link with nothing and are their own component; repeated rows are one class; rows without id
+    Defined cases: null, empty and white texts have an empty set, link with nothing and are their own component; repeated rows are one row of the matrix; rows without id
     count as members, but never as a component's smallest id; an empty table gives an empty result.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     signed = cut(rows.mapInArrow(_signatures, "id long, n long, s1 long, s2 long"))
-    classes = cut(signed.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep")).withColumn("cid", F.monotonically_increasing_id()))
+    classes = cut(signed.filter("n > 0").groupBy("s1", "n").agg(F.min("id").alias("rep")))
     total = classes.agg(F.sum(F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)).first()[0] or 0
-    part = _entries(rows, classes, int(16 + total // BLOCK_ENTRIES))
-    long = part.filter("kind = 1").select(F.col("a").alias("cid"), F.col("b").alias("gram"), F.col("na").alias("n"))
-    uncounted = cut(long.groupBy("cid").agg(F.count("*").alias("u")))
-    crowded = cut(long.join(uncounted, "cid"))
-    pivots = cut(crowded.groupBy("gram").agg(F.max(F.struct("u", "cid", "n")).alias("p")).select("gram", F.col("p.cid").alias("pivot"), F.col("p.n").alias("np")))
-    star = crowded.join(pivots, "gram").filter((F.col("cid") != F.col("pivot")) & _near("n", "np")).select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
-    first = cut(_counted_pairs(part, uncounted).unionByName(star).distinct())
-    candidates = first.select(F.col("a").alias("cid")).unionByName(first.select(F.col("b").alias("cid"))).unionByName(uncounted.select("cid")).distinct()
-    wanted = cut(classes.join(candidates, "cid", "left_semi"))
-    maybe = _bitmap(wanted.select("s1").mapInArrow(_places, "segment long, bit long"))
-    sets = cut(_of_class(rows.mapInArrow(_whole_sets(maybe), "id long, s1 long, s2 long, grams binary"), wanted).join(wanted.select("cid", "n"), "cid").select("cid", "n", "grams").dropDuplicates(["cid"]))
-    checked = cut(_verified(first, sets))
-    links = checked.filter(_linked()).select("a", "b")
+    blocks = int(16 + total // BLOCK_ENTRIES)
+    frequent = _bitmap(rows.select("text").mapInArrow(_first_grams(blocks), "block long, grams binary, counts binary").groupBy("block").applyInArrow(_frequent, "segment long, bit long"))
+    entries = rows.select("text").mapInArrow(_entries(blocks, frequent), "block long, grams binary, names binary, sizes binary, runs binary")
+    part = cut(entries.groupBy("block").applyInArrow(_product, "kind int, a long, b long, c long, na long, nb long"))
+    long = part.filter("kind = 1").select(F.col("a").alias("s1"), F.col("b").alias("gram"), F.col("na").alias("n"))
+    uncounted = cut(long.groupBy("s1").agg(F.count("*").alias("u")))
+    crowded = cut(long.join(uncounted, "s1"))
+    share = F.col("u") / (F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)
+    pivots = cut(crowded.groupBy("gram").agg(F.max(F.struct(share.alias("share"), "s1", "n")).alias("p")).select("gram", F.col("p.s1").alias("pivot"), F.col("p.n").alias("np")))
+    star = cut(crowded.join(pivots, "gram").filter(F.col("s1") != F.col("pivot")).groupBy("s1", "n", "pivot", "np").agg(F.count("*").alias("c")))
+    light = cut(_counted_pairs(part, uncounted))
+    best_star = star.filter(_near("n", "np")).groupBy("s1").agg(F.max(F.struct("c", "pivot")).alias("m")).select(F.least("s1", "m.pivot").alias("a"), F.greatest("s1", "m.pivot").alias("b"))
+    first = cut(_best_partners(light).unionByName(best_star).distinct())
+    links = _verified(first, rows, classes).filter(_linked()).select("a", "b")
     comp = components(links)
-    more = _verified(_remaining_pairs(crowded, pivots, checked, comp), sets).filter(_linked()).select("a", "b")
-    more = cut(more)
+    rest = cut(_with_components(light.select("a", "b"), comp).distinct().join(first, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        comp = extended(comp, _verified(rest, rows, classes).filter(_linked()).select("a", "b"))
+    more = _links_in_long_columns(star, comp, rows, classes)
     if not more.isEmpty():
-        comp = components(links.unionByName(more))
-    placed = classes.select("s1", "s2", "rep", "cid").join(comp.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        comp = extended(comp, more)
+    placed = classes.select("s1", "rep").join(comp.withColumnRenamed("id", "s1"), "s1", "left").withColumn("component", F.coalesce("component", "s1"))
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_class = placed.join(least, "component").select("s1", "s2", "component_id")
-    # Rows without words share one digest, in no class; they keep to themselves.
-    return signed.join(by_class, ["s1", "s2"], "left").select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    by_class = placed.join(least, "component").select("s1", "component_id")
+    return signed.join(by_class, "s1", "left").select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def op4_near_documents(spark, sf_dir: str) -> DataFrame:
