@@ -513,3 +513,16 @@ def alert_runs(spark, sf_dir):
 def retrain(spark, sf_dir):
     """The first day with three warning days in a row."""
     return alert_runs(spark, sf_dir).filter("days >= 3").agg(F.min(F.col("first_day") + 2).alias("retrain_day"))
+
+
+@query("src_2_header_contract", sql("SELECT count(*) AS rows, true AS refused FROM orders"))
+def header_contract(spark, sf_dir):
+    """A file whose header lacks an expected name and has another is refused before any row is read."""
+    path = _folder(spark)
+    raw_orders(spark, sf_dir).withColumnRenamed("o_custkey", "customer").write.option("header", True).csv(path)
+    try:
+        lake.read_csv(spark, path, list(RAW_TYPES))
+        refused = False
+    except lake.HeaderError:
+        refused = True
+    return spark.read.option("header", True).csv(path).agg(F.count("*").alias("rows")).withColumn("refused", F.lit(refused))

@@ -96,3 +96,12 @@ def late(spark, sf_dir):
     """Every fiftieth row arrives with a second file, after all others: those older than the watermark go to a table of their own."""
     df = lake.txn(spark, sf_dir).withColumn("part", F.when(F.col("id") % 50 == 0, 2).otherwise(1))
     return features.late_rows(df, 3600).agg(F.count("*").alias("late"))
+
+
+query("str_10_stream_equals_batch", sql("SELECT feature, (SELECT count(*) FROM txn) AS rows, 0 AS different FROM (VALUES ('card_txn_1h'), ('card_txn_24h'), ('card_amt_24h'), ('card_new_device'), ('card_known')) f(feature)", "txn"))(parity)
+
+
+@query("str_7_labels_in_release_order", sql("SELECT id, coalesce(CAST(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 259201 PRECEDING) AS BIGINT), 0) AS card_known FROM txn", "txn"))
+def labels_in_order(spark, sf_dir):
+    """Labels that arrive in files of their own, read before or after the transactions, count from their release on and not before."""
+    return _streamed(spark, sf_dir).select("id", "card_known")
