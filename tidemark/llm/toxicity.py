@@ -7,10 +7,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -190,12 +186,16 @@ def with_dense(docs: DataFrame, text: str, lexicons: list[Lexicon], fold: str |
 
 class Scorer(NamedTuple):
     lexicons: list[Lexicon]
-    trees: Model | None
-    isotonic: Model | None
+    trees: object | None  # fitted models
+    isotonic: object | None
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", rows: int = FIT_ROWS) -> Scorer:
     """Trees on four fifths of the sample; calibration on all of it, the fifth unseen by the trees weighing as much as the rest. Without both labels in the sample every score is 0."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.regression import IsotonicRegression
+
     sample = cut(labelled_sample(docs, labels, "toxic", ~held_out("_id", 4, 2), rows, text, id_col).withColumn("_fold", F.pmod(F.xxhash64("_text", F.lit(1)), F.lit(2)).cast("int")))
     lexicons = learn_lexicon(sample)
     ready = cut(with_dense(sample, "_text", lexicons, "_fold").select(array_to_vector("_dense").alias("features"), F.col("_label").cast("double").alias("label"), (F.pmod(F.xxhash64("_text", F.lit(2)), F.lit(5)) == 0).alias("_last")).coalesce(6))
@@ -214,6 +214,8 @@ def score_toxicity(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataF
     an empty table gives an empty result. Ties of the trees' scores stay ties. The calibrated step score is
     nudged by a hundredth of the trees' own so that rows within one step keep the trees' order.
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
     rows = docs.drop("score", "_dense", "features", "raw", "rawPrediction", "probability", "prediction")
     kept = [f"`{c}`" for c in rows.columns]
     if scorer.trees is None:
