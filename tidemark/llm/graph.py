@@ -41,10 +41,11 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every end of links (a, b): component is the smallest id that links reach. Ids are longs without null.
 
-    Each round every vertex goes over to the first of itself and its neighbours in an order by hash that is new in each round, and the links
+    Each round every vertex goes over to the first of itself and its neighbours in an order by hash that is new in each round, and on to that one's first; the links
     of the vertices become links of those. Only vertices that come first somewhere remain, a constant share on average whatever the shape, paths included, so
     rounds grow with the logarithm of the links. A large star is a minimum per vertex, never a gathered list. Links within a batch are first thinned to
-    a forest. Rounds are cut by checkpoints.
+    a forest. Rounds are cut by checkpoints. Joins are
+    sorted ones, since neither links nor components have a size bound that a broadcast could rely on.
     """
     edges = cut(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).mapInArrow(_forest, "a long, b long").distinct())
     ids, turn = None, 0
@@ -52,11 +53,13 @@ def components(links: DataFrame) -> DataFrame:
         turn += 1
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
         both = edges.select(F.col("a").alias("v"), rank("b").alias("w")).unionByName(edges.select(F.col("b").alias("v"), rank("a").alias("w")))
-        to = cut(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least(rank("v"), F.col("w"))["v"].alias("to")))
+        one = both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least(rank("v"), F.col("w"))["v"].alias("to"))
+        two = one.select(F.col("v").alias("to"), F.col("to").alias("_next"))
+        to = cut(one.join(two.hint("merge"), "to").select("v", F.col("_next").alias("to")))
         steps = to.select(F.col("v").alias("_v"), F.col("to").alias("_to"))
-        ids = to.select(F.col("v").alias("id"), F.col("to").alias("component")) if ids is None else ids.join(steps, F.col("component") == F.col("_v"), "left").select("id", F.coalesce("_to", "component").alias("component"))
+        ids = to.select(F.col("v").alias("id"), F.col("to").alias("component")) if ids is None else ids.join(steps.hint("merge"), F.col("component") == F.col("_v"), "left").select("id", F.coalesce("_to", "component").alias("component"))
         moved = (
-            edges.join(to.select(F.col("v").alias("a"), F.col("to").alias("x")), "a").join(to.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
+            edges.join(to.select(F.col("v").alias("a"), F.col("to").alias("x")).hint("merge"), "a").join(to.select(F.col("v").alias("b"), F.col("to").alias("y")).hint("merge"), "b")
             .filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         )
         edges = cut(moved.distinct())
@@ -64,13 +67,13 @@ def components(links: DataFrame) -> DataFrame:
         return links.sparkSession.createDataFrame([], "id long, component long")
     ids = cut(ids)
     least = ids.groupBy("component").agg(F.least(F.min("id"), F.min("component")).alias("least"))
-    return cut(ids.join(least, "component").select("id", F.col("least").alias("component")))
+    return cut(ids.join(least.hint("merge"), "component").select("id", F.col("least").alias("component")))
 
 
 def extended(known: DataFrame, links: DataFrame) -> DataFrame:
     """Components (id, component) of `known` and more links, which are few by now: only the components that they touch are contracted."""
     x, y = known.select(F.col("id").alias("a"), F.col("component").alias("_x")), known.select(F.col("id").alias("b"), F.col("component").alias("_y"))
-    top = components(links.join(x, "a", "left").join(y, "b", "left").select(F.coalesce("_x", "a").alias("a"), F.coalesce("_y", "b").alias("b")))
-    moved = known.join(top.select(F.col("id").alias("component"), F.col("component").alias("_to")), "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
-    alone = top.join(known.select("id"), "id", "left_anti").select("id", "component")
+    top = components(links.join(x.hint("merge"), "a", "left").join(y.hint("merge"), "b", "left").select(F.coalesce("_x", "a").alias("a"), F.coalesce("_y", "b").alias("b")))
+    moved = known.join(top.select(F.col("id").alias("component"), F.col("component").alias("_to")).hint("merge"), "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+    alone = top.join(known.select("id").hint("merge"), "id", "left_anti").select("id", "component")
     return cut(moved.unionByName(alone))

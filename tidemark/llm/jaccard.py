@@ -268,7 +268,7 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets_of(ends: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     """(s1, n, grams) of the sets named in `ends`, made anew from the texts of their documents alone."""
-    wanted = _bitmap(classes.join(ends, "s1", "left_semi").select("s1", "rep").mapInArrow(_places, "segment long, bit long"))
+    wanted = _bitmap(classes.join(ends.hint("merge"), "s1", "left_semi").select("s1", "rep").mapInArrow(_places, "segment long, bit long"))
     return rows.mapInArrow(_whole_sets(wanted), "s1 long, n long, grams binary").groupBy("s1").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
 
 
@@ -301,8 +301,8 @@ def _counted_pairs(part: DataFrame, uncounted: DataFrame) -> DataFrame:
     bound = F.col("c") + F.least(F.coalesce("ua", F.lit(0)), F.coalesce("ub", F.lit(0))) + F.greatest(behind("na"), behind("nb"))
     return (
         part.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
-        .join(uncounted.select(F.col("s1").alias("a"), F.col("u").alias("ua")), "a", "left")
-        .join(uncounted.select(F.col("s1").alias("b"), F.col("u").alias("ub")), "b", "left")
+        .join(uncounted.select(F.col("s1").alias("a"), F.col("u").alias("ua")).hint("merge"), "a", "left")
+        .join(uncounted.select(F.col("s1").alias("b"), F.col("u").alias("ub")).hint("merge"), "b", "left")
         .filter((100 + PERCENT) * bound >= PERCENT * (F.col("na") + F.col("nb")))
         .select("a", "b", "c")
     )
@@ -318,7 +318,7 @@ def _best_partners(pairs: DataFrame) -> DataFrame:
 def _with_components(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """Pairs whose ends are in different components."""
     x, y = comp.select(F.col("id").alias("a"), F.col("component").alias("_x")), comp.select(F.col("id").alias("b"), F.col("component").alias("_y"))
-    return pairs.join(x, "a", "left").join(y, "b", "left").filter(F.coalesce("_x", "a") != F.coalesce("_y", "b")).select("a", "b")
+    return pairs.join(x.hint("merge"), "a", "left").join(y.hint("merge"), "b", "left").filter(F.coalesce("_x", "a") != F.coalesce("_y", "b")).select("a", "b")
 
 
 def _cell_links(table: pa.Table) -> pa.Table:
@@ -387,7 +387,7 @@ def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     2. A block multiplies its columns: light columns give overlap counts of pairs near in size, summed up over blocks, and pairs
        below the bound of their sizes go. A long column (large groups of near copies) gives one pair per document, with the column's most typical one.
     3. Whole sets decide first the best pair of each document; links are contracted to components. Then they decide every other pair
-       of light columns whose documents those leave apart, and last the documents of long columns are compared cell by cell where they still are apart. So
+       of light columns whose documents those leave apart, and the documents of long columns that are apart are compared cell by cell. So
        no pair of different texts is passed over, and no group gives all its pairs.
 
     Defined cases: null, empty and white texts have an empty set, link with nothing and are their own component; repeated rows are one row of the matrix; rows without id
@@ -403,9 +403,9 @@ def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     part = cut(entries.groupBy("block").applyInArrow(_product, "kind int, a long, b long, c long, na long, nb long"))
     long = part.filter("kind = 1").select(F.col("a").alias("s1"), F.col("b").alias("gram"), F.col("na").alias("n"))
     uncounted = cut(long.groupBy("s1").agg(F.count("*").alias("u")))
-    crowded = cut(long.join(uncounted, "s1"))
+    crowded = long.join(uncounted.hint("merge"), "s1")
     share = F.col("u") / (F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)
-    pivots = cut(crowded.groupBy("gram").agg(F.max(F.struct(share.alias("share"), "s1", "n")).alias("p")).select("gram", F.col("p.s1").alias("pivot"), F.col("p.n").alias("np")))
+    pivots = crowded.groupBy("gram").agg(F.max(F.struct(share.alias("share"), "s1", "n")).alias("p")).select("gram", F.col("p.s1").alias("pivot"), F.col("p.n").alias("np"))
     star = cut(crowded.join(pivots, "gram").filter(F.col("s1") != F.col("pivot")).groupBy("s1", "n", "pivot", "np").agg(F.count("*").alias("c")))
     light = cut(_counted_pairs(part, uncounted))
     best_star = star.filter(_near("n", "np")).groupBy("s1").agg(F.max(F.struct("c", "pivot")).alias("m")).select(F.least("s1", "m.pivot").alias("a"), F.greatest("s1", "m.pivot").alias("b"))
@@ -413,11 +413,8 @@ def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     links = _verified(first, rows, classes).filter(_linked()).select("a", "b")
     comp = components(links)
     rest = cut(_with_components(light.select("a", "b"), comp).distinct().join(first, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        comp = extended(comp, _verified(rest, rows, classes).filter(_linked()).select("a", "b"))
-    more = _links_in_long_columns(star, comp, rows, classes)
-    if not more.isEmpty():
-        comp = extended(comp, more)
+    more = _verified(rest, rows, classes).filter(_linked()).select("a", "b").unionByName(_links_in_long_columns(star, comp, rows, classes))
+    comp = extended(comp, more)
     placed = classes.select("s1", "rep").join(comp.withColumnRenamed("id", "s1"), "s1", "left").withColumn("component", F.coalesce("component", "s1"))
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_class = placed.join(least, "component").select("s1", "component_id")
