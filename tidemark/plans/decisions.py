@@ -47,9 +47,9 @@ def rules_fired(spark, sf_dir):
     return P.featured(lake.txn(spark, sf_dir)).select("id", *[c.alias(n) for n, c in P.fired(P.Rules()).items()])
 
 
-@query("prj_10_rules_score", sql("SELECT id, points, round(points + least(greatest(CAST(amount AS DOUBLE), 0), 100000) / 100000 * 0.99, 6) AS rules_score FROM scored", "scored"))
+@query("prj_10_rules_score", sql("SELECT id, points, round(points + least(greatest(CAST(amount AS DOUBLE), 0), 100000) / 100000 * 0.99 + 1e-9, 6) AS rules_score FROM scored", "scored"))
 def rules_score(spark, sf_dir):
-    return scored(spark, sf_dir).select("id", "points", F.round("rules_score", 6).alias("rules_score"))
+    return scored(spark, sf_dir).select("id", "points", F.round(F.col("rules_score") + 1e-9, 6).alias("rules_score"))
 
 
 @query("prj_11_expected_cost", sql("SELECT id, p, round(e_approve + 1e-9, 4) AS e_approve, round(e_decline + 1e-9, 4) AS e_decline, round(e_review + 1e-9, 4) AS e_review FROM priced", "priced"))
