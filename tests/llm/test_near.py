@@ -79,7 +79,9 @@ def test_documents_sql(spark, sf):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op4_near_documents(spark, sf).collect()) == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [graph.LOCAL, 25])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(graph, "LOCAL", local)
     rng = random.Random(1)
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(7, 7)]
     want = smallest(sorted({x for e in links for x in e}), links)

@@ -38,36 +38,51 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
 
+#: Links that one task contracts at once: some tens of MB.
+LOCAL = 300_000
+
+
+def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) of a whole partition to (v, root): every end with the smallest id that the partition's links reach."""
+    parts = [(np.asarray(x.column(0)), np.asarray(x.column(1))) for x in batches]
+    a, b = (np.concatenate([np.zeros(0, np.int64), *[p[k] for p in parts]]) for k in (0, 1))
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    parent = list(range(len(ids)))
+    for x, y in zip(at[: len(a)].tolist(), at[len(a) :].tolist(), strict=True):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        while parent[y] != y:
+            parent[y] = parent[parent[y]]
+            y = parent[y]
+        parent[max(x, y)] = min(x, y)
+    for k in range(len(parent)):  # parents come before their children
+        parent[k] = parent[parent[k]]
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[np.array(parent, dtype=np.int64)])], names=["v", "root"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every end of links (a, b): component is the smallest id that links reach. Ids are longs without null.
 
-    Each round every vertex goes over to the first of itself and its neighbours in an order by hash that is new in each round, and on to that one's first; the links
-    of the vertices become links of those. Only vertices that come first somewhere remain, a constant share on average whatever the shape, paths included, so
-    rounds grow with the logarithm of the links. A large star is a minimum per vertex, never a gathered list. Links within a batch are first thinned to
-    a forest. Rounds are cut by checkpoints. Joins are
-    sorted ones, since neither links nor components have a size bound that a broadcast could rely on.
+    Links are dealt over tasks of at most about LOCAL links, whatever their number. A task contracts its links and gives every end its root. A
+    vertex with roots from several tasks goes over to the smallest, and links its roots: those are the next round's links, far fewer each time, until
+    none are left. No vertex's links are gathered, so a large star is as good as any other shape. Rounds are cut by checkpoints. Joins are sorted
+    ones, since neither links nor components have a size bound that a broadcast could rely on.
     """
     edges = cut(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).mapInArrow(_forest, "a long, b long").distinct())
-    ids, turn = None, 0
-    while not edges.isEmpty():
-        turn += 1
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
-        both = edges.select(F.col("a").alias("v"), rank("b").alias("w")).unionByName(edges.select(F.col("b").alias("v"), rank("a").alias("w")))
-        one = both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least(rank("v"), F.col("w"))["v"].alias("to"))
-        two = one.select(F.col("v").alias("to"), F.col("to").alias("_next"))
-        to = cut(one.join(two.hint("merge"), "to").select("v", F.col("_next").alias("to")))
+    ids = None
+    while n := edges.count():
+        found = cut(edges.repartition(-(-n // LOCAL)).mapInArrow(_roots, "v long, root long"))
+        to = found.groupBy("v").agg(F.min("root").alias("to"))
         steps = to.select(F.col("v").alias("_v"), F.col("to").alias("_to"))
         ids = to.select(F.col("v").alias("id"), F.col("to").alias("component")) if ids is None else ids.join(steps.hint("merge"), F.col("component") == F.col("_v"), "left").select("id", F.coalesce("_to", "component").alias("component"))
-        moved = (
-            edges.join(to.select(F.col("v").alias("a"), F.col("to").alias("x")).hint("merge"), "a").join(to.select(F.col("v").alias("b"), F.col("to").alias("y")).hint("merge"), "b")
-            .filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        )
-        edges = cut(moved.distinct())
+        if n <= LOCAL:
+            break  # one task has seen all links
+        ids = cut(ids)
+        edges = cut(found.join(to.hint("merge"), "v").filter("root <> to").select(F.least("root", "to").alias("a"), F.greatest("root", "to").alias("b")).distinct())
     if ids is None:
         return links.sparkSession.createDataFrame([], "id long, component long")
-    ids = cut(ids)
-    least = ids.groupBy("component").agg(F.least(F.min("id"), F.min("component")).alias("least"))
-    return cut(ids.join(least.hint("merge"), "component").select("id", F.col("least").alias("component")))
+    return cut(ids)
 
 
 def extended(known: DataFrame, links: DataFrame) -> DataFrame:
