@@ -121,3 +121,26 @@ def test_vectors_against_all_pairs(spark, vectors):
 def test_vectors_empty(spark):
     found, _ = neighbors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>, label int"))
     assert found.count() == 0
+
+
+def bridged(dim=24, size=700):
+    """Per label two dense groups 13 degrees apart, joined by one pair of 11.4 degrees."""
+    rng, rows = np.random.default_rng(9), []
+    for label in range(5):
+        plane, _ = np.linalg.qr(rng.normal(size=(dim, 2)))
+        for degrees, n in ((0, size), (0.8, 1), (13, size), (12.2, 1)):
+            on = np.cos(np.radians(degrees)) * plane[:, 0] + np.sin(np.radians(degrees)) * plane[:, 1]
+            off = rng.normal(size=(n, dim)) * 0.003 * (n > 1)
+            rows += [(len(rows) + k, v.tolist(), label) for k, v in enumerate(on + off - off @ plane @ plane.T)]
+    return rows
+
+
+def test_saturated_groups_joined_by_one_pair(spark):
+    rows = bridged()
+    found, _ = neighbors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4))
+    got = {r.id: r for r in found.collect()}
+    x = np.stack([np.array(v) / np.linalg.norm(v) for _, v, _ in rows])
+    for label in range(5):
+        own = np.array([i for i, _, y in rows if y == label])
+        assert {got[i].component_id for i in own.tolist()} == {int(own.min())}
+        assert [got[i].n_links for i in own.tolist()] == ((x[own] @ x[own].T >= neighbors.COSINE).sum(axis=1) - 1).tolist()

@@ -1,4 +1,4 @@
-"""Near-duplicate embeddings by NN-descent."""
+"""Near-duplicate embeddings by comparing every pair of a label, block by block."""
 
 from __future__ import annotations
 
@@ -6,18 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components, spanning
+from .graph import components
 from .store import cut
 
 COSINE = 0.98
-K = 8  # neighbours that a list holds while the graph is refined
-TABLES = 6  # random cells from which the graph starts
-CELL = 128  # vectors that a cell should hold
-BLOCK = 256  # vectors that one task compares with each other at most
-ROUNDS = 3
+PARTS = 8  # parts of a label, as long as parts are not above MOST
+LEAST, MOST = 1024, 16384  # vectors that a part should hold
+BLOCK = 512  # vectors that are compared at once in a task
 AUDIT = 300  # vectors that the audit compares with all others
 RECALL = 0.97
 
@@ -47,103 +45,72 @@ def _unit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(labels, pa.string()), pa.array(units, pa.binary())], names=["id", "label", "unit"])
 
 
-def _cells(counts: dict[str, int]):
-    """Deals each vector to one cell per table: the signs of random directions, as many as make cells of about CELL."""
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
-        for batch in batches:
-            ids, labels = np.asarray(batch.column(0)), batch.column(1).to_pylist()
-            groups: dict[str, list[int]] = {}
-            for k, y in enumerate(labels):
-                groups.setdefault(y, []).append(k)
-            for y, own in groups.items():
-                part = batch.take(pa.array(own, pa.int64()))
-                x = _matrix(part.column(2))
-                dim = x.shape[1]
-                if dim not in planes:
-                    planes[dim] = np.random.default_rng(dim).normal(size=(TABLES, 40, dim))
-                bits = int(np.clip(np.ceil(np.log2(max(1, counts[y]) / CELL)), 0, 40))
-                for t in range(TABLES):
-                    signs = (x @ planes[dim][t, :bits].T > 0) if bits else np.zeros((len(x), 0), bool)
-                    cell = (signs * (np.int64(1) << np.arange(bits, dtype=np.int64))).sum(axis=1).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[own]), part.column(1), part.column(2), pa.array(np.full(len(x), t, np.int32)), pa.array(cell)], names=["id", "label", "unit", "table", "cell"])
-
-    return deal
-
-
-def _top(sims: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, sim) of the k most similar others of each row of a square matrix."""
-    n = len(sims)
-    k = min(k, n - 1)
-    if k <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    s = sims.copy()
-    np.fill_diagonal(s, -2)
-    best = np.argpartition(-s, k - 1, axis=1)[:, :k]
-    rows = np.repeat(np.arange(n), k)
-    return rows, best.ravel(), s[rows, best.ravel()]
-
-
-def _compare_block(table: pa.Table) -> pa.Table:
-    """Lists of K for the vectors of a block, and the links that join its parts."""
-    ids, x = np.asarray(table.column("id").combine_chunks()), _matrix(table.column("unit").combine_chunks())
-    sims = x @ x.T
-    r, c, s = _top(sims, ids, K)
-    a, b = np.nonzero(np.triu(sims >= COSINE, 1))
-    keep = spanning(a, b) if len(a) else np.zeros(0, bool)
-    return pa.table({"v": np.concatenate([ids[r], ids[a[keep]]]), "u": np.concatenate([ids[c], ids[b[keep]]]), "sim": np.concatenate([s, sims[a[keep], b[keep]]]), "link": np.concatenate([np.zeros(len(r), bool), np.ones(int(keep.sum()), bool)])})
-
-
-def _join_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compares the neighbours of each centre with each other."""
-    for batch in batches:
-        out: list[list[np.ndarray]] = [[], [], []]
-        for ids, units in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            m = np.array(ids, np.int64)
-            x = np.frombuffer(b"".join(units), np.float64).reshape(len(m), -1)
-            r, c, s = _top(x @ x.T, m, 3)
-            out[0].append(m[r])
-            out[1].append(m[c])
-            out[2].append(s)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["v", "u", "sim"])
+def _grouped(ids: np.ndarray, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Blocks of similar vectors of a part: their rows, centre and radius."""
+    pivots = x[np.argsort(ids, kind="stable")[: max(1, len(x) // (BLOCK // 4))]]
+    order = np.argsort((x @ pivots.T).argmax(axis=1), kind="stable")
+    out = []
+    for k in range(0, len(order), BLOCK):
+        own = order[k : k + BLOCK]
+        centre = x[own].mean(axis=0)
+        out.append((own, centre, float(np.sqrt(((x[own] - centre) ** 2).sum(axis=1).max()))))
+    return out
 
 
-def _best(edges: DataFrame) -> DataFrame:
-    """The K best of each list, each neighbour once. Duplicates go before anything is ordered, and a list holds what its vector was compared with, which K bounds."""
-    order = Window.partitionBy("v").orderBy(F.desc("sim"), "u")
-    return edges.groupBy("v", "u").agg(F.max("sim").alias("sim")).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= K).drop("_r")
+def _compare_parts(table: pa.Table) -> pa.Table:
+    """Of one pair of parts, all pairs: (v, null, n) counts the links of each vector of the one with the other, (a, b, 0) is a forest of the links.
 
-
-def _blocks(rows: DataFrame, keys: list[str], size: int = BLOCK) -> DataFrame:
-    """rows with `_part`, which splits groups of the same keys into parts of about `size`."""
-    many = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > size)
-    joined = rows.join(many, keys, "left")
-    return joined.withColumn("_parts", F.ceil(F.coalesce("_n", F.lit(1)) / size)).withColumn("_part", F.pmod(F.xxhash64("id", *keys), F.col("_parts"))).drop("_n")
-
-
-def _count_pairs(table: pa.Table) -> pa.Table:
-    """For the vectors of one pair of parts: links of each vector of the one with vectors of the other."""
+    Blocks whose centres are further apart than their radii and the longest link allow are skipped, which leaves out no link.
+    """
     side = np.asarray(table.column("_side").combine_chunks())
     ids, x = np.asarray(table.column("id").combine_chunks()), _matrix(table.column("unit").combine_chunks())
     many = np.asarray(table.column("copies").combine_chunks())
-    left, right = side != 1, side != 0
-    near = x[left] @ x[right].T >= COSINE
-    if (side == 2).all():  # a part with itself
-        np.fill_diagonal(near, False)
-        return pa.table({"id": ids, "n": near @ many})
-    return pa.table({"id": np.concatenate([ids[left], ids[right]]), "n": np.concatenate([near @ many[right], near.T @ many[left]])})
+    same = bool((side == 2).all())
+    rows = [np.flatnonzero(side == k) for k in ((2,) if same else (0, 1))]
+    parts = [[(r[own], c, far) for own, c, far in _grouped(ids[r], x[r])] for r in rows if len(r)]
+    count, parent, forest = np.zeros(len(ids), np.int64), list(range(len(ids))), []
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    reach = float(np.sqrt(2 - 2 * COSINE)) + 1e-6
+    for i, (p, centre, far) in enumerate(parts[0] if len(parts) == 2 or same else []):
+        for q, other, wide in parts[0][i:] if same else parts[1]:
+            if np.sqrt(((centre - other) ** 2).sum()) > far + wide + reach:
+                continue
+            near = x[p] @ x[q].T >= COSINE
+            if p is q:
+                np.fill_diagonal(near, False)
+            if not near.any():
+                continue
+            count[p] += near @ many[q]
+            if p is not q:
+                count[q] += near.T @ many[p]
+            while True:  # each round, every row that still has a link to another tree joins one
+                u, w = np.array([root(k) for k in p.tolist()]), np.array([root(k) for k in q.tolist()])
+                left = near & (u[:, None] != w[None, :])
+                at = np.flatnonzero(left.any(axis=1))
+                if not len(at):
+                    break
+                for a, b in zip(p[at].tolist(), q[left[at].argmax(axis=1)].tolist(), strict=True):
+                    ra, rb = root(a), root(b)
+                    if ra != rb:
+                        parent[max(ra, rb)] = min(ra, rb)
+                        forest.append((a, b))
+    got = np.flatnonzero(count)
+    a, b = np.array(forest, np.int64).reshape(-1, 2).T
+    return pa.table({"a": pa.array(np.concatenate([ids[got], ids[a]])), "b": pa.array([None] * len(got) + ids[b].tolist(), pa.int64()), "n": pa.array(np.concatenate([count[got], np.zeros(len(a), np.int64)]))})
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> tuple[DataFrame, list[tuple[int, float]]]:
-    """(id, n_links, component_id, kept) of every row, and the audited recall after each round.
+    """(id, n_links, component_id, kept) of every row, and the audited recall of the links.
 
-    Equal unit vectors of a label are one vertex. The graph starts from cells of random directions, in which each vector gets the K most similar ones
-    of a block of at most BLOCK; then lists, with the reverse ones, are joined with themselves at each centre, the most similar pairs enter the lists of both, and
-    the K best stay. After each round AUDIT vectors, chosen by hash, are compared with all others; rounds go on while
-    fewer than RECALL of their links are within a component of the links found. A list full of links is saturated: all lists of a component are then enlarged to the whole
-    component, compared part by part of at most BLOCK vectors in each task, which gives n_links without a row per pair.
+    Equal unit vectors of a label are one vertex. The vectors of a label are dealt by hash to parts, and each task compares one pair of parts, block by
+    block, so every pair of a label meets once and no list has a length that could cut links. A task gives counts and a forest of its
+    links, so dense groups make no row per pair. The work grows with the square of a label's vectors, less what `_compare_parts` can skip.
 
     Defined cases: vectors that are null, empty, zero, or hold null or non-finite components, rows without label, or of other length link
     with nothing. Repeated rows of the same id are one vector. An empty table gives an empty result.
@@ -155,31 +122,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     classes = digest.groupBy("_d").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     member = cut(digest.select("id", "_d", "label").join(classes, "_d").select("id", "rep", "copies", "label"))
     points = cut(units.join(member.filter("id = rep").select("id", "label", "copies"), ["id", "label"]))
-    counts = {r.label: r.n for r in points.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    cells = points.select("id", "label", "unit").mapInArrow(_cells(counts), "id long, label string, unit binary, table int, cell long")
-    keys = ["label", "table", "cell"]
-    found = cut(_blocks(cells, keys).groupBy(*keys, "_part").applyInArrow(_compare_block, "v long, u long, sim double, link boolean"))
-    lists = cut(_best(found.filter("not link").drop("link")))
-    links = cut(found.filter("link").select(F.col("v").alias("a"), F.col("u").alias("b")))
-    vec = points.select(F.col("id").alias("u"), "unit")
-    audit: list[tuple[int, float]] = []
-    truth = _audit_links(points)
-    for n in range(ROUNDS + 1):
-        known = links.unionByName(lists.filter(F.col("sim") >= COSINE).select(F.col("v").alias("a"), F.col("u").alias("b")))
-        comp = cut(components(known))
-        audit.append((n, _recall(truth, comp)))
-        if n == ROUNDS or (n and audit[-1][1] >= RECALL):
-            break
-        back = Window.partitionBy("v").orderBy(F.xxhash64("u", "v"))
-        reverse = lists.select(F.col("u").alias("v"), F.col("v").alias("u")).withColumn("_r", F.row_number().over(back)).filter(F.col("_r") <= K).drop("_r")
-        around = lists.select("v", "u").unionByName(reverse).unionByName(lists.select("v", F.col("v").alias("u"))).distinct()
-        local = around.join(vec, "u").groupBy("v").agg(F.collect_list("u").alias("ids"), F.collect_list("unit").alias("units"))  # at most 2K + 1 a centre
-        lists = cut(_best(lists.unionByName(local.select("ids", "units").mapInArrow(_join_lists, "v long, u long, sim double"))))
-    grouped = points.join(comp, "id").select("id", "unit", "copies", F.col("component"))
-    parts = cut(_blocks(grouped, ["component"]))
+    sizes = points.groupBy("label").agg(F.count("*").alias("_n")).withColumn("_parts", F.ceil(F.col("_n") / F.least(F.greatest(F.ceil(F.col("_n") / PARTS), F.lit(LEAST)), F.lit(MOST))))
+    parts = points.join(sizes.drop("_n"), "label").withColumn("_part", F.pmod(F.xxhash64("id"), F.col("_parts")))
     each = parts.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
-    each = each.select("component", "id", "unit", "copies", F.least("_part", "_other").alias("_x"), F.greatest("_part", "_other").alias("_y"), F.when(F.col("_part") == F.col("_other"), 2).when(F.col("_part") < F.col("_other"), 0).otherwise(1).alias("_side"))
-    linked = each.groupBy("component", "_x", "_y").applyInArrow(_count_pairs, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    each = each.select("label", "id", "unit", "copies", F.least("_part", "_other").alias("_x"), F.greatest("_part", "_other").alias("_y"), F.when(F.col("_part") == F.col("_other"), 2).when(F.col("_part") < F.col("_other"), 0).otherwise(1).alias("_side"))
+    found = cut(each.groupBy("label", "_x", "_y").applyInArrow(_compare_parts, "a long, b long, n long"))
+    comp = components(found.filter("b IS NOT NULL").select("a", "b"))
+    audit = [(0, _recall(_audit_links(points), comp))]
+    linked = found.filter("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     per_rep = linked.join(comp, "id").select(F.col("id").alias("rep"), "n", "component")
     per_id = (
         member.join(per_rep, "rep", "left")
