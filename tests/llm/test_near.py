@@ -144,3 +144,22 @@ def test_saturated_groups_joined_by_one_pair(spark):
         own = np.array([i for i, _, y in rows if y == label])
         assert {got[i].component_id for i in own.tolist()} == {int(own.min())}
         assert [got[i].n_links for i in own.tolist()] == ((x[own] @ x[own].T >= neighbors.COSINE).sum(axis=1) - 1).tolist()
+
+
+def test_sparse_links_are_all_found(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(12000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = rng.normal(size=(500, 24))
+    off -= (off * x[:500]).sum(axis=1, keepdims=True) * x[:500]
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    x = np.concatenate([x, x[:500] * 0.9805 + off * np.sqrt(1 - 0.9805**2)])
+    found, _ = neighbors.near_vectors(spark.createDataFrame([(k, v, 0) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int").repartition(4))
+    got = {r.id: (r.n_links, r.component_id) for r in found.filter("n_links > 0").collect()}
+    assert got == {i: (1, k) for k in range(500) for i in (k, 12000 + k)}
+
+
+def test_audit_below_recall_fails(spark, vectors, monkeypatch):
+    monkeypatch.setattr(neighbors, "components", lambda links: graph.components(links.filter("a % 2 = 0")))
+    with pytest.raises(RuntimeError):
+        neighbors.near_vectors(spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int"))

@@ -111,6 +111,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     Equal unit vectors of a label are one vertex. The vectors of a label are dealt by hash to parts, and each task compares one pair of parts, block by
     block, so every pair of a label meets once and no list has a length that could cut links. A task gives counts and a forest of its
     links, so dense groups make no row per pair. The work grows with the square of a label's vectors, less what `_compare_parts` can skip.
+    AUDIT vectors, chosen by hash, are compared with all others once more; if fewer than RECALL of their links are within a component, the query fails.
 
     Defined cases: vectors that are null, empty, zero, or hold null or non-finite components, rows without label, or of other length link
     with nothing. Repeated rows of the same id are one vector. An empty table gives an empty result.
@@ -129,6 +130,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     found = cut(each.groupBy("label", "_x", "_y").applyInArrow(_compare_parts, "a long, b long, n long"))
     comp = components(found.filter("b IS NOT NULL").select("a", "b"))
     audit = [(0, _recall(_audit_links(points), comp))]
+    if audit[-1][1] < RECALL:
+        raise RuntimeError(f"only {audit[-1][1]:.4f} of the audited links are within a component")
     linked = found.filter("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     per_rep = linked.join(comp, "id").select(F.col("id").alias("rep"), "n", "component")
     per_id = (
