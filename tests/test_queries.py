@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import numpy as np
 import pytest
 
 from tidemark.operators import history, policy, tables
@@ -85,3 +86,23 @@ def test_edges_of_a_window(spark):
     df = spark.createDataFrame(rows, "id long, t long, card string, amount double").selectExpr("id", "t", "card", "CAST(amount AS DECIMAL(18,2)) AS amount")
     got = {r.id: (r.n, r.s) for r in history.add_history(df, (history.Feature("n", "card", "count", 3600), history.Feature("s", "card", "sum", 3600))).collect()}
     assert got == {1: (0, 0.0), 2: (1, 10.0), 3: (1, 10.0), 4: (2, 20.0), 5: (1, 10.0), 6: (None, None)}
+
+
+def test_tuning_grids_are_whole(spark, sf):
+    df = policy.priced(policy.scored(lake.txn(spark, sf))).filter("split = 'valid'")
+    rows = df.select("p", "priority").toPandas()
+    quantiles = lambda v, n: sorted({round(float(x), 6) for x in np.quantile(v, np.linspace(0, 1, n))})
+    thresholds = sorted(r.threshold for r in QUERIES["pol_5_tune_expected_loss"](spark, sf).collect())
+    assert thresholds == pytest.approx([0.0, *quantiles(rows.priority[rows.priority > 0], 60)], abs=2e-6)
+    n = len(quantiles(rows.p[rows.p >= round(np.quantile(rows.p, 0.9), 6)], 40)) + 1
+    pairs = [(r.decline_at, r.review_at) for r in QUERIES["pol_6_tune_cutoffs"](spark, sf).collect()]
+    assert len(pairs) == len({*pairs}) == n * (n + 1) // 2 and all(r <= d for d, r in pairs)
+
+
+def test_sensitivity_takes_the_cheapest_of_sixty(spark, sf):
+    got = {(r.parameter, r.value): r.threshold for r in QUERIES["agg_12_sensitivity"](spark, sf).collect()}
+    scored = policy.scored(lake.txn(spark, sf)).filter("split = 'valid'").cache()
+    for name in ("fee", "capacity"):
+        for end in policy.RANGES[name]:
+            c = policy.Costs().with_(**{name: end})
+            assert got[name, float(end)] == policy.cheapest(policy.tune_expected_loss(policy.priced(scored, c), c, 60), "threshold").first().threshold

@@ -146,7 +146,7 @@ def quantile_grid(df: DataFrame, value: str, n: int) -> DataFrame:
     return df.agg(q.alias("q")).select(F.explode("q").alias("g")).select(F.round("g", 6).alias("g")).distinct()
 
 
-def tune_expected_loss(df: DataFrame, c: Costs = Costs(), n: int = 20) -> DataFrame:
+def tune_expected_loss(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFrame:
     """(threshold, total_cost, reviews) of each threshold of a grid: 0 and quantiles of the positive savings.
 
     Rows that no threshold could review cost the same in all trials, so they are summed once and only the others meet the grid.
@@ -159,7 +159,7 @@ def tune_expected_loss(df: DataFrame, c: Costs = Costs(), n: int = 20) -> DataFr
     return cost.crossJoin(F.broadcast(rest)).select(F.col("g").alias("threshold"), F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 3).alias("total_cost"), "reviews")
 
 
-def tune_cutoffs(df: DataFrame, score: str, c: Costs = Costs(), n: int = 6) -> DataFrame:
+def tune_cutoffs(df: DataFrame, score: str, c: Costs = Costs(), n: int = 40) -> DataFrame:
     """(decline_at, review_at, total_cost) for pairs of cut-offs over quantiles of the top tenth of scores, and never."""
     low = df.agg(F.round(F.percentile(score, F.lit(0.9)), 6).alias("low"))
     top = df.crossJoin(F.broadcast(low)).filter(F.col(score) >= F.col("low"))

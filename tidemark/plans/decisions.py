@@ -184,7 +184,7 @@ def sensitivity(spark, sf_dir):
         for end in ends:
             c = C.with_(**{name: end})
             df = P.priced(base, c)
-            best = P.cheapest(P.tune_expected_loss(df.filter("split = 'valid'"), c, 8), "threshold").select("threshold")
+            best = P.cheapest(P.tune_expected_loss(df.filter("split = 'valid'"), c), "threshold").select("threshold")
             act = df.filter("split = 'test'").crossJoin(F.broadcast(best)).withColumn("action", P.expected_loss(F.col("threshold"), c))
             row = act.agg(F.first("threshold").alias("threshold"), P.realised(c)[0].alias("total_cost")).select(F.lit(name).alias("parameter"), F.lit(float(end)).alias("value"), "threshold", "total_cost")
             out = row if out is None else out.unionByName(row)
