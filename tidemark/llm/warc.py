@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gzip
 import hashlib
 import re
 import uuid
@@ -52,11 +54,22 @@ def dedup(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> Data
     )
 
 
+def _deflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record as a gzip member of its own, without the zero byte that ends it: the writer's separator puts that back. A member of 16 MiB or more ends in
+    another byte, so an empty member follows it."""
+    for batch in batches:
+        out = []
+        for record in batch.column(0):
+            member = gzip.compress(record.as_buffer().to_pybytes() + b"\r\n\r\n", 6, mtime=0)
+            out.append((member if member[-1] == 0 else member + gzip.compress(b"", mtime=0))[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+
+
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", html: str = "html") -> None:
-    """Pages as WARC/1.1 records in gzip files under `path`.
+    """Pages as WARC/1.1 records, each a gzip member, in files under `path`.
 
-    Spark's own writer makes the files wherever the path is, and a task that is lost is simply written again: a record is a
-    line whose separator is the end of a WARC record. A revisit has no payload but says how long it was. Line ends in urls are escaped. Null urls are empty.
+    Spark's own text writer makes the files wherever the path is, and a task that is lost is simply written again: a member is a
+    line of raw bytes whose separator is the zero byte that ends the member. A revisit has no payload but says how long it was. Line ends in urls are escaped. Null urls are empty.
     """
     crlf = F.lit("\r\n")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, crlf)
@@ -70,7 +83,15 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: st
         F.when(revisit, F.concat(line("WARC-Refers-To", urn("refers_to")), F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"))).otherwise(F.lit("")),
         F.lit("Content-Type: application/http; msgtype=response\r\n"), line("Content-Length", F.octet_length(block).cast("string")), crlf, block,
     )
-    dedup(pages, id_col, html).select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
+    members = dedup(pages, id_col, html).select(record.cast("binary").alias("value")).mapInArrow(_deflate, "value binary").select(F.col("value").cast("string"))
+    members.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
+    sc = pages.sparkSession.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
+    for x in fs.listStatus(at):  # the writer names them as text
+        name = x.getPath().getName()
+        if name.endswith(".txt") and not fs.rename(x.getPath(), sc._jvm.org.apache.hadoop.fs.Path(at, name.removesuffix(".txt") + ".warc.gz")):
+            raise OSError(f"{name} can't be renamed")
 
 
 class Record(NamedTuple):
@@ -95,7 +116,7 @@ def _parse(data: bytes, at: int) -> tuple[Record, int] | str:
     """The record at `at` and where the next begins, or which check fails."""
     if not _VERSION.match(data, at):
         return "no version line"
-    head = data.find(b"\r\n\r\n", at, at + (1 << 20))
+    head = data.find(b"\r\n\r\n", at)
     if head < 0:
         return "header without end"
     fields = {}
@@ -157,13 +178,16 @@ def _members(data: bytes) -> Iterator[tuple[int, int, bytes, str | None]]:
             out, fault, used = [], None, at
             try:
                 while used < len(data) and not z.eof:
-                    piece = data[used : used + (1 << 16)]
+                    piece, before = data[used : used + (1 << 16)], z.copy()
                     out.append(z.decompress(piece))
                     used += len(piece)
                 used -= len(z.unused_data)
                 fault = None if z.eof else "member cut short"
             except zlib.error as e:
                 fault = str(e)
+                with contextlib.suppress(zlib.error):  # again byte by byte, to keep all that comes before the fault
+                    for k in range(len(piece)):
+                        out.append(before.decompress(piece[k : k + 1]))
             if fault is None:
                 yield at, used, b"".join(out), None
                 at = used
