@@ -93,7 +93,7 @@ def windowed(spark, sf_dir):
 
 @query("str_5_late_rows", sql("SELECT count(*) FILTER (id % 50 = 0 AND t < (SELECT max(t) FROM txn WHERE id % 50 <> 0) - 3600) AS late FROM txn", "txn"))
 def late(spark, sf_dir):
-    """Every fiftieth row arrives with a second file, after all others: those older than the watermark go to a table of their own."""
+    """Every fiftieth row arrives after all others: a batch simulation counts those older than the watermark. No stream keeps them yet."""
     df = lake.txn(spark, sf_dir).withColumn("part", F.when(F.col("id") % 50 == 0, 2).otherwise(1))
     return features.late_rows(df, 3600).agg(F.count("*").alias("late"))
 
