@@ -103,5 +103,5 @@ query("str_10_stream_equals_batch", sql("SELECT feature, (SELECT count(*) FROM t
 
 @query("str_7_labels_in_release_order", sql("SELECT id, coalesce(CAST(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 259201 PRECEDING) AS BIGINT), 0) AS card_known FROM txn", "txn"))
 def labels_in_order(spark, sf_dir):
-    """Labels that arrive in files of their own, read before or after the transactions, count from their release on and not before."""
+    """Labels, which arrive in the same files as the transactions, count from their release on and not before."""
     return _streamed(spark, sf_dir).select("id", "card_known")
