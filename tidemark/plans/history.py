@@ -77,7 +77,7 @@ SELECT id, count(*) {_over('card', H)} AS card_txn_1h, count(*) {_over('card', 3
   count(DISTINCT card) {_over('device', 7 * D)} AS device_cards_7d, count(*) {_over('email', 7 * D)} AS email_txn_7d, count(*) {_over('card', ALL, f'{3 * D + 1} PRECEDING')} AS card_known_labelled
 FROM txn""", "txn"))
 def all_features(spark, sf_dir):
-    """All twenty at once; nine of them are compared."""
+    """Nine of the twenty in one plan; columns of the others may be pruned."""
     out = history.add_history(lake.txn(spark, sf_dir))
     return out.select("id", "card_txn_1h", "card_txn_30d", F.round("card_amt_7d", 6).alias("card_amt_7d"), "card_secs_since_prev", "card_devices_30d", "device_txn_24h", "device_cards_7d", "email_txn_7d", "card_known_labelled")
 
