@@ -1,8 +1,7 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix with itself.
 
-A document's row of the matrix is told by 64 bits of its set's digest, so equal sets are one row without any join. Entries carry 40 bits
-of an n-gram's hash: two that share them are one column, which only adds candidates. Links are decided by whole sets of 40-bit
-hashes; that an unequal n-gram counts as common has a chance of about (n-grams that differ)^2 / 2^40 in a pair.
+A document's row of the matrix is told by 128 bits of its set's digest, so equal sets are one row without any join. Entries carry whole
+64-bit hashes of n-grams, and overlaps that decide links are counted on sets of the same hashes.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components, extended, spanning
+from .graph import components, extended
 from .store import cut
 from .text import mix, shingle_sets, text_chunks
 
@@ -28,8 +27,8 @@ LIGHT = 24
 FREQUENT = 64
 #: Entries of the matrix that one block of columns should hold.
 BLOCK_ENTRIES = 1_500_000
-#: Sets of a cell's left side in the comparison of large groups; the right side has twice as many.
-PART = 128
+#: N-grams of the sets on one side of a cell, about 4 MB of hashes; the longer side of a group has four times as many.
+CELL_GRAMS = 500_000
 #: Bits of the maps that are broadcast, whatever the input: 2 MB.
 MAP_BITS = 24
 SEGMENT_BITS = 15
@@ -45,42 +44,40 @@ def _sets(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, list[np.ndarray
         yield chunk.first, shingle_sets(chunk, WORDS)
 
 
-def _signature(own: np.ndarray) -> tuple[int, int]:
-    d = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+def _name(own: np.ndarray) -> bytes:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, n, s1, s2)."""
+def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, key, text) to (id, key, n, name): size and digest of the set."""
     for batch in batches:
-        n, s1, s2 = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
-        for first, sets in _sets(batch, 1):
+        n, name = np.zeros(batch.num_rows, np.int64), [b""] * batch.num_rows
+        for first, sets in _sets(batch, 2):
             for k, own in enumerate(sets, first):
-                n[k] = len(own)
-                s1[k], s2[k] = _signature(own)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(s1), pa.array(s2)], names=["id", "n", "s1", "s2"])
+                n[k], name[k] = len(own), _name(own)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(name, pa.binary())], names=["id", "key", "n", "name"])
 
 
 def _deal(grams: np.ndarray, blocks: int) -> Iterator[tuple[int, np.ndarray]]:
     """Which entries go to each block of columns."""
-    block = (mix(grams) % np.uint64(blocks)).astype(np.int64)
+    block = (mix(grams >> np.uint64(24)) % np.uint64(blocks)).astype(np.int64)
     order = np.argsort(block, kind="stable")
     at = np.flatnonzero(np.diff(block[order], prepend=-1))
     for a, b in zip(at.tolist(), [*at[1:].tolist(), len(order)], strict=True):
         yield int(block[order[a]]), order[a:b]
 
 
-def _pack(h: np.ndarray) -> bytes:
-    """The upper 40 bits of hashes, byte by byte, so that sorted ones compress."""
-    return np.ascontiguousarray((h >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 4::-1].T).tobytes()
+def _pack(h: np.ndarray, size: int = 8) -> bytes:
+    """The upper bytes of hashes, byte by byte, so that sorted ones compress."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : -size - 1 : -1].T).tobytes()
 
 
-def _unpacked(packed: list[bytes]) -> np.ndarray:
+def _unpacked(packed: list[bytes], size: int = 8) -> np.ndarray:
     out = []
     for x in packed:
-        planes = np.frombuffer(x, np.uint8).reshape(5, -1)
+        planes = np.frombuffer(x, np.uint8).reshape(size, -1)
         wide = np.zeros((planes.shape[1], 8), np.uint8)
-        wide[:, 4::-1] = planes.T
+        wide[:, : -size - 1 : -1] = planes.T
         out.append(wide.view("<u8").ravel())
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -89,48 +86,54 @@ def _column(table: pa.Table, name: str) -> list[bytes]:
     return [x for part in table.column(name).chunks for x in part.to_pylist()]
 
 
-def _new_rows(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int, int, np.ndarray]]]]:
-    """(row, s1, s2, set) of each set with members that this task hasn't met: copies within a task are one."""
-    seen: set[int] = set()
+def _new_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, np.ndarray]]]:
+    """(name, set) of each set with members that this task hasn't met: copies within a task are one."""
+    seen: set[bytes] = set()
     for batch in batches:
         out = []
-        for first, sets in _sets(batch, at):
-            for k, own in enumerate(sets, first):
-                if len(own):
-                    s1, s2 = _signature(own)
-                    if s1 not in seen:
-                        seen.add(s1)
-                        out.append((k, s1, s2, own))
-        yield batch, out
+        for _, sets in _sets(batch, 0):
+            for own in sets:
+                if len(own) and (name := _name(own)) not in seen:
+                    seen.add(name)
+                    out.append((name, own))
+        yield out
+
+
+#: Bytes of an n-gram's hash in the counts that put frequent n-grams last, which needs no exact ones.
+COUNTED = 5
 
 
 def _first_grams(blocks: int) -> Callable:
     """(text) to packed n-grams by block with counts: how many of a batch's sets have them, or 1 for one set that has it among its first in the order of hashes."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, new in _new_rows(batches, 0):
+        for new in _new_rows(batches):
             if new:
-                grams, many = np.unique(np.concatenate([own >> np.uint64(24) for *_, own in new]), return_counts=True)
-                first = np.unique(np.concatenate([own[: _prefix(len(own))] >> np.uint64(24) for *_, own in new]))
+                grams, many = np.unique(np.concatenate([own for _, own in new]), return_counts=True)
+                first = np.unique(np.concatenate([own[: _prefix(len(own))] for _, own in new]))
                 keep = many > 1
                 keep[np.searchsorted(grams, first)] = True
                 grams, many = grams[keep], many[keep].astype(np.int32)
-                rows = [(b, _pack(grams[own] << np.uint64(24)), many[own].tobytes()) for b, own in _deal(grams, blocks)]
+                rows = [(b, _pack(grams[own], COUNTED), many[own].tobytes()) for b, own in _deal(grams, blocks)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)]], names=["block", "grams", "counts"])
 
     return emit
 
 
 def _place(h: np.ndarray) -> np.ndarray:
-    """Where in a map of 2^MAP_BITS bits a 40-bit hash or a mixed id has its bit."""
+    """Where in a map of 2^MAP_BITS bits a hash has its bit."""
     return (mix(h) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
+def _gram_place(h: np.ndarray) -> np.ndarray:
+    return _place(h >> np.uint64(64 - 8 * COUNTED))
+
+
 def _frequent(table: pa.Table) -> pa.Table:
     """Places in the map of the n-grams of a block that were counted in more than FREQUENT sets."""
-    grams, at = np.unique(_unpacked(_column(table, "grams")), return_inverse=True)
+    grams, at = np.unique(_unpacked(_column(table, "grams"), COUNTED), return_inverse=True)
     many = np.bincount(at, weights=np.frombuffer(b"".join(_column(table, "counts")), np.int32), minlength=len(grams))
-    place = np.unique(_place(grams[many > FREQUENT]))
+    place = np.unique(_gram_place(grams[many > FREQUENT]))
     return pa.table({"segment": place >> SEGMENT_BITS, "bit": place & ((1 << SEGMENT_BITS) - 1)})
 
 
@@ -160,14 +163,14 @@ def _entries(blocks: int, frequent) -> Callable:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, new in _new_rows(batches, 0):
+        for new in _new_rows(batches):
             if not new:
                 continue
-            sizes = np.array([len(own) for *_, own in new], np.int32)
-            names = np.array([s1 for _, s1, _, _ in new], np.int64)
-            late = _is_set(frequent.value, _place(np.concatenate([own for *_, own in new]) >> np.uint64(24)))
+            sizes = np.array([len(own) for _, own in new], np.int32)
+            names = np.frombuffer(b"".join(name for name, _ in new), "<u8").reshape(-1, 2)
+            late = _is_set(frequent.value, _gram_place(np.concatenate([own for _, own in new])))
             parts, free = [], 0
-            for *_, own in new:
+            for _, own in new:
                 behind = late[free : free + len(own)]
                 free += len(own)
                 parts.append((np.concatenate([own[~behind], own[behind]]) if behind.any() else own)[: _prefix(len(own))])
@@ -186,11 +189,16 @@ def _near_in_size(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _product(table: pa.Table) -> pa.Table:
-    """A block's part of the product: overlap counts (kind 0: a < b, count, sizes) of its light columns, entries (kind 1: document a, column b) of the long ones."""
+    """A block's part of the product: overlap counts (kind 0: a < b, count, sizes) of its light columns, entries (kind 1: document a, column gram) of the long ones."""
     grams = _unpacked(_column(table, "grams"))
     join = lambda name, kind: np.frombuffer(b"".join(_column(table, name)), kind)
-    names, own_sizes, runs = join("names", np.int64), join("sizes", np.int32), join("runs", np.int32)
-    ids, at_name = np.unique(names, return_inverse=True)
+    names, own_sizes, runs = join("names", "<u8").reshape(-1, 2), join("sizes", np.int32), join("runs", np.int32)
+    by_name = np.lexsort((names[:, 1], names[:, 0]))
+    fresh = np.ones(len(names), bool)
+    fresh[1:] = (names[by_name[1:]] != names[by_name[:-1]]).any(axis=1)
+    at_name = np.empty(len(names), np.int64)
+    at_name[by_name] = np.cumsum(fresh) - 1
+    ids = [x.tobytes() for x in names[by_name[fresh]]]
     sizes = np.zeros(len(ids), np.int64)
     sizes[at_name] = own_sizes
     doc = np.repeat(at_name, runs)
@@ -213,169 +221,220 @@ def _product(table: pa.Table) -> pa.Table:
     pairs, count = np.unique(np.concatenate(keys), return_counts=True)
     a, b = pairs // max(1, len(ids)), pairs % max(1, len(ids))
     long = np.repeat(many > LIGHT, many)
+    name_of = pa.array(ids, pa.binary())
+    none = lambda n, kind: pa.array([None] * n, kind)
     return pa.table({
         "kind": np.concatenate([np.zeros(len(a), np.int32), np.ones(int(long.sum()), np.int32)]),
-        "a": np.concatenate([ids[a], ids[doc[long]]]),
-        "b": np.concatenate([ids[b], grams[long].view(np.int64)]),
+        "a": pa.concat_arrays([name_of.take(pa.array(a)), name_of.take(pa.array(doc[long]))]),
+        "b": pa.concat_arrays([name_of.take(pa.array(b)), none(int(long.sum()), pa.binary())]),
+        "gram": pa.concat_arrays([none(len(a), pa.int64()), pa.array(grams[long].view(np.int64))]),
         "c": np.concatenate([count, np.ones(int(long.sum()), np.int64)]),
         "na": np.concatenate([sizes[a], sizes[doc[long]]]),
         "nb": np.concatenate([sizes[b], np.zeros(int(long.sum()), np.int64)]),
     })
 
 
-def _key(s1: np.ndarray, id_: np.ndarray) -> np.ndarray:
-    return _place(s1.view(np.uint64) ^ mix(id_.view(np.uint64)))
-
-
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(s1, id) to (segment, bit)."""
+    """(key) to (segment, bit)."""
     for batch in batches:
-        place = _key(np.asarray(batch.column(0)), np.asarray(batch.column(1).fill_null(-1)))
+        place = _place(np.asarray(batch.column(0)).view(np.uint64))
         yield pa.RecordBatch.from_arrays([pa.array(place >> SEGMENT_BITS), pa.array(place & ((1 << SEGMENT_BITS) - 1))], names=["segment", "bit"])
 
 
-def _whole_sets(wanted) -> Callable:
-    """(id, text) to (s1, n, grams) of the wanted documents, and of few others that fall on their bits."""
+def _wanted_texts(wanted) -> Callable:
+    """(key, text) to (key, packed) of the wanted documents, and of few others that fall on their bits: compressed texts are a fraction of their sets."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, new in _every_row(batches):
-            ids = np.asarray(batch.column(0).fill_null(-1))
-            if new:
-                rows = np.array([r[0] for r in new])
-                hit = _is_set(wanted.value, _key(np.array([r[1] for r in new], np.int64), ids[rows]))
-                new = [r for r, x in zip(new, hit.tolist(), strict=True) if x]
-            yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in new], pa.int64()), pa.array([len(r[3]) for r in new], pa.int64()), pa.array([_pack(r[3]) for r in new], pa.binary())], names=["s1", "n", "grams"])
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            keys = np.asarray(batch.column(0))
+            hit = np.flatnonzero(_is_set(wanted.value, _place(keys.view(np.uint64))))
+            raw = [t.encode() for t in batch.column(1).take(pa.array(hit)).to_pylist()]
+            packed = [len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in raw]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), pa.array(packed, pa.binary())], names=["key", "packed"])
 
     return emit
 
 
-def _every_row(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
-    for batch in batches:
-        yield batch, [(k, *_signature(own), own) for first, sets in _sets(batch, 1) for k, own in enumerate(sets, first) if len(own)]
+def _with_texts(ends: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """`ends` (node, ...) with the name of each node's set and its packed text, fetched once for all the rows of a node."""
+    own = nodes.join(ends.select("node").distinct().hint("merge"), "node", "left_semi").select("node", "key", "name")
+    wanted = _bitmap(own.select("key").mapInArrow(_places, "segment long, bit long"))
+    texts = rows.filter("text IS NOT NULL").select("key", "text").mapInArrow(_wanted_texts(wanted), "key long, packed binary").groupBy("key").agg(F.first("packed").alias("packed"))
+    return ends.join(own.join(texts.hint("merge"), "key").select("node", "name", "packed").hint("merge"), "node")
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, na, nb, x, y) to (a, b, na, nb, common) by the whole sets x and y."""
-    for batch in batches:
-        x, y = batch.column(4), batch.column(5)
-        common = np.zeros(batch.num_rows, np.int64)
-        for k in range(batch.num_rows):
-            p, q = _unpacked([x[k].as_buffer()]), _unpacked([y[k].as_buffer()])
-            p, q = (p, q) if len(p) < len(q) else (q, p)
-            common[k] = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(p) else 0
-        yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(4)], pa.array(common)], names=["a", "b", "na", "nb", "common"])
-
-
-def _sets_of(ends: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(s1, n, grams) of the sets named in `ends`, made anew from the texts of their documents alone."""
-    wanted = _bitmap(classes.join(ends.hint("merge"), "s1", "left_semi").select("s1", "rep").mapInArrow(_places, "segment long, bit long"))
-    return rows.mapInArrow(_whole_sets(wanted), "s1 long, n long, grams binary").groupBy("s1").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, na, nb, common) of pairs (a, b) by the whole sets of both."""
-    ends = pairs.select(F.col("a").alias("s1")).unionByName(pairs.select(F.col("b").alias("s1"))).distinct()
-    sets = _sets_of(ends, rows, classes)
-    both = (
-        pairs.select("a", "b").join(sets.select(F.col("s1").alias("a"), F.col("n").alias("na"), F.col("grams").alias("x")), "a")
-        .join(sets.select(F.col("s1").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("y")), "b")
-    )
-    return cut(both.select("a", "b", "na", "nb", "x", "y").mapInArrow(_overlaps, "a long, b long, na long, nb long, common long"))
+def _set_of(name: bytes, packed: list[bytes]) -> np.ndarray:
+    """The set with that name, made anew from its text."""
+    for x in packed:
+        text = pa.Codec("zstd").decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True).decode()
+        (chunk,) = text_chunks(pa.array([text]))
+        (own,) = shingle_sets(chunk, WORDS)
+        if _name(own) == name:
+            return own
+    raise RuntimeError("a text doesn't have the set that was counted before: the table has changed meanwhile")
+
+
+def _common(p: np.ndarray, q: np.ndarray) -> int:
+    p, q = (p, q) if len(p) < len(q) else (q, p)
+    return int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
 
 
-def _linked() -> Column:
-    return (100 + PERCENT) * F.col("common") >= PERCENT * (F.col("na") + F.col("nb"))
+def _enough(common, na, nb):
+    return (100 + PERCENT) * common >= PERCENT * (na + nb)
+
+
+def _linked_pairs(table: pa.Table) -> pa.Table:
+    """A forest of the links among the pairs of some cells, those with the largest counts first: pairs that it joins already need no look at their sets."""
+    cell, x, y, z = (np.asarray(table.column(k).combine_chunks()) for k in ("cell", "node", "other", "c"))
+    is_pair = z >= 0
+    name, packed = _column(table, "name"), _column(table, "packed")
+    out = []
+    order = np.lexsort((y, x, -z, is_pair, cell))
+    for own in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1) if len(order) else []:
+        held: dict[int, list[int]] = {}
+        for k in own[~is_pair[own]].tolist():
+            held.setdefault(int(x[k]), []).append(k)
+        sets: dict[int, np.ndarray] = {}
+        parent = {v: v for v in held}
+
+        def root(v: int) -> int:
+            while parent[v] != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        def made(v: int) -> np.ndarray:
+            if v not in sets:
+                sets[v] = _set_of(name[held[v][0]], [packed[k] for k in held[v]])
+            return sets[v]
+
+        for k in own[is_pair[own]].tolist():
+            a, b = int(x[k]), int(y[k])
+            ra, rb = root(a), root(b)
+            if ra != rb and _enough(_common(made(a), made(b)), len(made(a)), len(made(b))):
+                parent[max(ra, rb)] = min(ra, rb)
+                out.append((a, b))
+    a, b = np.array(out, np.int64).reshape(-1, 2).T
+    return pa.table({"a": a, "b": b})
+
+
+def _linked_sides(table: pa.Table) -> pa.Table:
+    """A forest of the links between the two sides of some cells, among sets in different components.
+
+    The left side's n-grams are one sorted index; each set of the right side adds up its overlaps with all left ones at once.
+    """
+    cell, node, comp, side = (np.asarray(table.column(k).combine_chunks()) for k in ("cell", "node", "component", "side"))
+    name, packed = _column(table, "name"), _column(table, "packed")
+    out = []
+    order = np.lexsort((node, side, cell))
+    for own in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1) if len(order) else []:
+        left, right = own[side[own] == 0], own[side[own] == 1]
+        if not (len(left) and len(right)):
+            continue
+        parent = {c: c for c in comp[own].tolist()}
+
+        def root(v: int) -> int:
+            while parent[v] != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        sets = [_set_of(name[k], [packed[k]]) for k in left.tolist()]
+        size = np.array([len(s) for s in sets], np.int64)
+        grams, of = np.concatenate(sets), np.repeat(np.arange(len(left)), size)
+        by = np.argsort(grams, kind="stable")
+        grams, of = grams[by], of[by]
+        for k in right.tolist():
+            s = _set_of(name[k], [packed[k]])
+            lo, hi = np.searchsorted(grams, s, "left"), np.searchsorted(grams, s, "right")
+            many = hi - lo
+            at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            common = np.bincount(of[at], minlength=len(left))
+            for h in np.flatnonzero(_enough(common, size, len(s))).tolist():
+                ra, rb = root(int(comp[left[h]])), root(int(comp[k]))
+                if ra != rb:
+                    parent[max(ra, rb)] = min(ra, rb)
+                    out.append((int(node[left[h]]), int(node[k])))
+    a, b = np.array(out, np.int64).reshape(-1, 2).T
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def _near(x: str, y: str) -> Column:
     return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
 
 
-def _counted_pairs(part: DataFrame, uncounted: DataFrame) -> DataFrame:
+def _behind(n: str) -> Column:
+    return F.ceil(PERCENT * F.col(n) / 100) - 1
+
+
+def _counted_pairs(part: DataFrame, named: DataFrame) -> DataFrame:
     """Pairs whose overlap may still suffice, with what was counted.
 
-    Of two documents' first n-grams, the counted ones in common are c, and at most the smaller number of uncounted entries comes on
+    Of two documents' first n-grams, the counted ones in common are c, and at most the smaller number of entries in long columns comes on
     top; behind the first n-grams of the document whose last one is earlier in the order lies all else that they can share.
     """
-    behind = lambda n: F.ceil(PERCENT * F.col(n) / 100) - 1
-    bound = F.col("c") + F.least(F.coalesce("ua", F.lit(0)), F.coalesce("ub", F.lit(0))) + F.greatest(behind("na"), behind("nb"))
+    end = lambda k: named.select(F.col("name").alias(k), F.col("node").alias(f"{k}_node"), F.col("u").alias(f"u{k}")).hint("merge")
+    bound = F.col("c") + F.least("ua", "ub") + F.greatest(_behind("na"), _behind("nb"))
     return (
-        part.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
-        .join(uncounted.select(F.col("s1").alias("a"), F.col("u").alias("ua")).hint("merge"), "a", "left")
-        .join(uncounted.select(F.col("s1").alias("b"), F.col("u").alias("ub")).hint("merge"), "b", "left")
-        .filter((100 + PERCENT) * bound >= PERCENT * (F.col("na") + F.col("nb")))
-        .select("a", "b", "c")
+        part.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")).join(end("a"), "a").join(end("b"), "b")
+        .filter(_enough(bound, F.col("na"), F.col("nb"))).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "c")
     )
 
 
-def _best_partners(pairs: DataFrame) -> DataFrame:
-    """Of each document's pairs that with the largest count: about as many pairs as documents, and mostly links."""
-    ends = pairs.select(F.col("a").alias("v"), F.col("b").alias("w"), "c").unionByName(pairs.select(F.col("b").alias("v"), F.col("a").alias("w"), "c"))
-    best = ends.groupBy("v").agg(F.max(F.struct("c", "w")).alias("m")).select("v", F.col("m.w").alias("w"))
-    return best.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"))
+def _all_to(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
 
-def _with_components(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components."""
-    x, y = comp.select(F.col("id").alias("a"), F.col("component").alias("_x")), comp.select(F.col("id").alias("b"), F.col("component").alias("_y"))
-    return pairs.join(x.hint("merge"), "a", "left").join(y.hint("merge"), "b", "left").filter(F.coalesce("_x", "a") != F.coalesce("_y", "b")).select("a", "b")
+def _by_cells(ends: DataFrame, cell: list[str], rows: DataFrame, nodes: DataFrame, size: DataFrame, link: Callable, more: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) of the cells in `ends` (cell columns, node, ...), whose texts meet in tasks of about two cells' size, whatever the number of cells."""
+    tasks = int(1 + (size.first()[0] or 0) // (2 * CELL_GRAMS))
+    name = F.xxhash64(*cell).alias("cell")
+    keep = [c for c in ends.columns if c not in cell]
+    sent = _with_texts(ends, rows, nodes).select(name, *keep, "name", "packed")
+    if more is not None:
+        sent = sent.unionByName(more.select(name, *[c for c in more.columns if c not in cell]), allowMissingColumns=True)
+    return cut(sent.groupBy(F.pmod(F.col("cell"), F.lit(tasks)).alias("task")).applyInArrow(link, "a long, b long"))
 
 
-def _cell_links(table: pa.Table) -> pa.Table:
-    """Links between the sets of one cell's two sides that are in different components, thinned to a forest.
+def _links_of_pairs(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """A forest of links (a, b) among `pairs` (a, b, c), decided by whole sets.
 
-    The left side's n-grams are one sorted index; each set of the right side adds up its overlaps with all left ones at once.
+    Pairs that others connect meet in one cell, so a text goes to its pairs once. Where that is too much for a cell, its documents
+    are dealt to parts, and a cell holds the pairs of two parts.
     """
-    side = np.asarray(table.column("side").combine_chunks())
-    s1, comp = np.asarray(table.column("s1").combine_chunks()), np.asarray(table.column("component").combine_chunks())
-    packed = _column(table, "grams")
-    sets = [_unpacked([x]) for x in packed]
-    size = np.array([len(x) for x in sets], np.int64)
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    if len(left) and len(right):
-        grams = np.concatenate([sets[k] for k in left])
-        of = np.repeat(np.arange(len(left)), size[left])
-        order = np.argsort(grams, kind="stable")
-        grams, of = grams[order], of[order]
-        for k in right.tolist():
-            lo, hi = np.searchsorted(grams, sets[k], "left"), np.searchsorted(grams, sets[k], "right")
-            many = hi - lo
-            at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            common = np.bincount(of[at], minlength=len(left))
-            hit = left[((100 + PERCENT) * common >= PERCENT * (size[left] + size[k])) & (comp[left] != comp[k])]
-            out[0].append(s1[hit])
-            out[1].append(np.full(len(hit), s1[k]))
-    a, b = np.concatenate(out[0]), np.concatenate(out[1])
-    name = dict(zip(s1.tolist(), comp.tolist(), strict=True))
-    if len(a):
-        keep = spanning(np.array([name[x] for x in a.tolist()]), np.array([name[x] for x in b.tolist()]))
-        a, b = a[keep], b[keep]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-
-def _links_in_long_columns(star: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    group = components(pairs.select("a", "b"))
+    member = group.select(F.col("id").alias("node"), F.col("component").alias("grp")).join(nodes.select("node", "n").hint("merge"), "node")
+    parts = member.groupBy("grp").agg(F.ceil(F.sum("n") / CELL_GRAMS).alias("parts"))
+    dealt = cut(member.join(parts.hint("merge"), "grp").select("node", "n", "grp", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")))
+    end = lambda k: dealt.select(F.col("node").alias(k), F.col("grp"), F.col("part").alias(f"p{k}")).hint("merge")
+    placed = cut(pairs.join(end("a"), "a").join(end("b").drop("grp"), "b").select("grp", F.least("pa", "pb").alias("x"), F.greatest("pa", "pb").alias("y"), "a", "b", "c"))
+    cell = ["grp", "x", "y"]
+    ends = placed.select(*cell, F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("c", F.lit(-1).cast("long"))
+    size = ends.join(dealt.select("node", "n").hint("merge"), "node").agg(F.sum("n"))
+    return _by_cells(ends, cell, rows, nodes, size, _linked_pairs, placed.select(*cell, F.col("a").alias("node"), F.col("b").alias("other"), "c"))
+
+
+def _links_in_long_columns(star: DataFrame, comp: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links between documents of long columns that the links so far leave in different components.
 
     Documents of the columns with one pivot are a group. In a group all but its largest component are compared with what is in other
     components and near in size: sizes are classed by powers of 5/4, so a link's ends are in the same class or in neighbouring ones. The comparisons are
-    dealt out as cells of PART by 2 * PART sets; a task holds one cell and returns a forest of its links, never its pairs.
+    dealt out as cells of bounded size; a task returns a forest of its links, never its pairs.
     """
-    group = star.select("s1", "n", F.col("pivot").alias("grp")).unionByName(star.select(F.col("pivot").alias("s1"), F.col("np").alias("n"), F.col("pivot").alias("grp")).distinct())
-    member = group.join(comp.withColumnRenamed("id", "s1"), "s1", "left").withColumn("component", F.coalesce("component", "s1"))
+    group = star.select("node", "n", F.col("pivot").alias("grp")).unionByName(star.select(F.col("pivot").alias("node"), F.col("np").alias("n"), F.col("pivot").alias("grp")).distinct())
+    member = group.join(comp.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     member = member.withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))))
     each = member.groupBy("grp", "component").agg(F.count("*").alias("many"))
     top = each.groupBy("grp").agg(F.max(F.struct("many", "component")).alias("t"), F.count("*").alias("k")).filter("k > 1").select("grp", F.col("t.component").alias("top"))
-    open_ = cut(member.join(top, "grp"))
+    open_ = cut(member.join(top.hint("merge"), "grp"))
     key = ["grp", "class"]
-    lefts = open_.filter("component <> top")
-    rights = open_.withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1))).join(lefts.select(*key).distinct(), key, "left_semi")
-    parts = lefts.groupBy(*key).agg(F.ceil(F.count("*") / PART).alias("pl")).join(rights.groupBy(*key).agg(F.ceil(F.count("*") / (2 * PART)).alias("pr")), key)
-    all_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    cell = lambda df, side, own, other: df.join(parts, key).withColumn("x", F.pmod(F.xxhash64("s1"), F.col(own))).withColumn("y", all_to(other)).select(*key, F.col("x" if side == 0 else "y").alias("l"), F.col("y" if side == 0 else "x").alias("r"), "s1", "component", F.lit(side).alias("side"))
-    cells = cell(lefts, 0, "pl", "pr").unionByName(cell(rights, 1, "pr", "pl"))
-    sets = _sets_of(open_.select("s1").distinct(), rows, classes)
-    return cut(cells.join(sets.select("s1", "grams"), "s1").groupBy(*key, "l", "r").applyInArrow(_cell_links, "a long, b long"))
+    lefts = open_.filter("component <> top").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+    parts = cut(lefts.groupBy(*key).agg(F.ceil(F.sum("n") / CELL_GRAMS).alias("pl")).join(open_.groupBy(*key).agg(F.ceil(F.sum("n") / (4 * CELL_GRAMS)).alias("pr")).hint("merge"), key))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    put = lambda df, side, l, r: df.join(parts.hint("merge"), key).withColumn("l", l).withColumn("r", r).select(*key, "l", "r", "node", "n", "component", F.lit(side).alias("side"))  # noqa: E731, E741
+    sides = cut(put(lefts, 0, own("pl"), _all_to("pr")).unionByName(put(open_, 1, _all_to("pl"), own("pr"))))
+    return _by_cells(sides.drop("n"), [*key, "l", "r"], rows, nodes, sides.agg(F.sum("n")), _linked_sides)
 
 
 def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -386,39 +445,40 @@ def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
        of fixed size, so columns are short unless documents consist of such n-grams.
     2. A block multiplies its columns: light columns give overlap counts of pairs near in size, summed up over blocks, and pairs
        below the bound of their sizes go. A long column (large groups of near copies) gives one pair per document, with the column's most typical one.
-    3. Whole sets decide first the best pair of each document; links are contracted to components. Then they decide every other pair
-       of light columns whose documents those leave apart, and the documents of long columns that are apart are compared cell by cell. So
-       no pair of different texts is passed over, and no group gives all its pairs.
+    3. Whole sets decide the pairs that are left. Their texts, which are a fraction of the sets, meet in cells of bounded size and become sets again
+       there. Links are contracted to components.
+    4. Documents of long columns that are still apart are compared cell by cell. So no pair of different texts is passed over, and no group gives all
+       its pairs.
 
     Defined cases: null, empty and white texts have an empty set, link with nothing and are their own component; repeated rows are one row of the matrix; rows without id
     count as members, but never as a component's smallest id; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    signed = cut(rows.mapInArrow(_signatures, "id long, n long, s1 long, s2 long"))
-    classes = cut(signed.filter("n > 0").groupBy("s1", "n").agg(F.min("id").alias("rep")))
-    total = classes.agg(F.sum(F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)).first()[0] or 0
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("key", F.xxhash64("text", "id"))
+    signed = cut(rows.select("id", "key", "text").mapInArrow(_names, "id long, key long, n long, name binary"))
+    classes = signed.filter("n > 0").groupBy("name", "n").agg(F.min("id").alias("rep"), F.min("key").alias("key"))
+    nodes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
+    total = nodes.agg(F.sum(F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)).first()[0] or 0
     blocks = int(16 + total // BLOCK_ENTRIES)
     frequent = _bitmap(rows.select("text").mapInArrow(_first_grams(blocks), "block long, grams binary, counts binary").groupBy("block").applyInArrow(_frequent, "segment long, bit long"))
     entries = rows.select("text").mapInArrow(_entries(blocks, frequent), "block long, grams binary, names binary, sizes binary, runs binary")
-    part = cut(entries.groupBy("block").applyInArrow(_product, "kind int, a long, b long, c long, na long, nb long"))
-    long = part.filter("kind = 1").select(F.col("a").alias("s1"), F.col("b").alias("gram"), F.col("na").alias("n"))
-    uncounted = cut(long.groupBy("s1").agg(F.count("*").alias("u")))
-    crowded = long.join(uncounted.hint("merge"), "s1")
+    part = cut(entries.groupBy("block").applyInArrow(_product, "kind int, a binary, b binary, gram long, c long, na long, nb long"))
+    long = cut(part.filter("kind = 1").select(F.col("a").alias("name"), "gram", F.col("na").alias("n")).join(nodes.select("name", "node").hint("merge"), "name").select("node", "gram", "n"))
+    uncounted = long.groupBy("node").agg(F.count("*").alias("u"))
+    named = nodes.select("name", "node").join(uncounted.hint("merge"), "node", "left").select("name", "node", F.coalesce("u", F.lit(0)).alias("u"))
+    light = cut(_counted_pairs(part, named))
+    crowded = long.join(uncounted.hint("merge"), "node")
     share = F.col("u") / (F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)
-    pivots = crowded.groupBy("gram").agg(F.max(F.struct(share.alias("share"), "s1", "n")).alias("p")).select("gram", F.col("p.s1").alias("pivot"), F.col("p.n").alias("np"))
-    star = cut(crowded.join(pivots, "gram").filter(F.col("s1") != F.col("pivot")).groupBy("s1", "n", "pivot", "np").agg(F.count("*").alias("c")))
-    light = cut(_counted_pairs(part, uncounted))
-    best_star = star.filter(_near("n", "np")).groupBy("s1").agg(F.max(F.struct("c", "pivot")).alias("m")).select(F.least("s1", "m.pivot").alias("a"), F.greatest("s1", "m.pivot").alias("b"))
-    first = cut(_best_partners(light).unionByName(best_star).distinct())
-    links = _verified(first, rows, classes).filter(_linked()).select("a", "b")
-    comp = components(links)
-    rest = cut(_with_components(light.select("a", "b"), comp).distinct().join(first, ["a", "b"], "left_anti"))
-    more = _verified(rest, rows, classes).filter(_linked()).select("a", "b").unionByName(_links_in_long_columns(star, comp, rows, classes))
-    comp = extended(comp, more)
-    placed = classes.select("s1", "rep").join(comp.withColumnRenamed("id", "s1"), "s1", "left").withColumn("component", F.coalesce("component", "s1"))
+    pivots = crowded.groupBy("gram").agg(F.max(F.struct(share.alias("share"), "node", "n")).alias("p")).select("gram", F.col("p.node").alias("pivot"), F.col("p.n").alias("np"))
+    star = cut(crowded.join(pivots.hint("merge"), "gram").filter(F.col("node") != F.col("pivot")).groupBy("node", "n", "pivot", "np").agg(F.count("*").alias("c")))
+    best_star = star.filter(_near("n", "np")).groupBy("node").agg(F.max(F.struct("c", "pivot")).alias("m")).select(F.least("node", "m.pivot").alias("a"), F.greatest("node", "m.pivot").alias("b"), F.col("m.c").alias("c"))
+    ordered = light.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "c").unionByName(best_star)
+    pairs = cut(ordered.groupBy("a", "b").agg(F.max("c").alias("c")))
+    comp = components(_links_of_pairs(pairs, rows, nodes))
+    comp = extended(comp, _links_in_long_columns(star, comp, rows, nodes))
+    placed = nodes.select("name", "node", "rep").join(comp.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_class = placed.join(least, "component").select("s1", "component_id")
-    return signed.join(by_class, "s1", "left").select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    by_name = placed.join(least.hint("merge"), "component").select("name", "component_id")
+    return signed.join(by_name.hint("merge"), "name", "left").select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def op4_near_documents(spark, sf_dir: str) -> DataFrame:
