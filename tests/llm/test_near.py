@@ -89,6 +89,14 @@ def test_components(spark, monkeypatch, local):
     assert got == {k: v for k, v in want.items() if k in got} and {x for a, b in links if a != b for x in (a, b)} == {*got}
 
 
+def test_chain_takes_few_rounds(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LOCAL", 50)
+    rounds = []
+    got = graph.components(spark.range(40 * 50).selectExpr("id AS a", "id + 1 AS b"), rounds)
+    assert [(r.n, r.c) for r in got.groupBy().agg({"id": "count", "component": "max"}).toDF("n", "c").collect()] == [(40 * 50 + 1, 0)]
+    assert rounds[0] == 40 * 50 and len(rounds) <= 9, rounds
+
+
 @pytest.fixture(scope="module")
 def vectors():
     rng = np.random.default_rng(5)

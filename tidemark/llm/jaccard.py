@@ -26,7 +26,7 @@ LIGHT = 24
 #: N-grams counted in more documents than this are put last by all.
 FREQUENT = 64
 #: Entries of the matrix that one block of columns should hold.
-BLOCK_ENTRIES = 1_500_000
+BLOCK_ENTRIES = 1_000_000
 #: N-grams of the sets on one side of a cell, about 4 MB of hashes; the longer side of a group has four times as many.
 CELL_GRAMS = 500_000
 #: Bits of the maps that are broadcast, whatever the input: 2 MB.
@@ -415,26 +415,68 @@ def _links_of_pairs(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> Data
     return _by_cells(ends, cell, rows, nodes, size, _linked_pairs, placed.select(*cell, F.col("a").alias("node"), F.col("b").alias("other"), "c"))
 
 
-def _links_in_long_columns(star: DataFrame, comp: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def _possible(table: pa.Table) -> pa.Table:
+    """(grp, node, is_left) of the documents of some cells that another component's document may link with, as far as entries in long columns tell.
+
+    A pair with a light column in common has been decided before, so only entries in long columns can make up what is missing
+    to a link behind the first n-grams. Counts are added up as in `_linked_sides`, one right document at a time.
+    """
+    cell, grp, node, comp, side, n = (np.asarray(table.column(k).combine_chunks()) for k in ("cell", "grp", "node", "component", "side", "n"))
+    lists = table.column("grams").combine_chunks()
+    grams, border = np.asarray(lists.flatten()), np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])
+    hit = np.zeros(len(cell), bool)
+    behind = -(-PERCENT * n // 100) - 1
+    order = np.lexsort((node, side, cell))
+    for own in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1) if len(order) else []:
+        left, right = own[side[own] == 0], own[side[own] == 1]
+        if not (len(left) and len(right)):
+            continue
+        of = np.repeat(np.arange(len(left)), border[left + 1] - border[left])
+        index = np.concatenate([grams[border[k] : border[k + 1]] for k in left.tolist()])
+        by = np.argsort(index, kind="stable")
+        index, of = index[by], of[by]
+        for k in right.tolist():
+            mine = grams[border[k] : border[k + 1]]
+            lo, hi = np.searchsorted(index, mine, "left"), np.searchsorted(index, mine, "right")
+            many = hi - lo
+            at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            bound = np.bincount(of[at], minlength=len(left)) + np.maximum(behind[left], behind[k])
+            near = _enough(bound, n[left], n[k]) & _near_in_size(n[left], n[k]) & (comp[left] != comp[k])
+            hit[left[near]] = True
+            hit[k] |= bool(near.any())
+    return pa.table({"grp": grp[hit], "node": node[hit], "is_left": side[hit] == 0})
+
+
+def _links_in_long_columns(star: DataFrame, long: DataFrame, comp: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links between documents of long columns that the links so far leave in different components.
 
     Documents of the columns with one pivot are a group. In a group all but its largest component are compared with what is in other
-    components and near in size: sizes are classed by powers of 5/4, so a link's ends are in the same class or in neighbouring ones. The comparisons are
-    dealt out as cells of bounded size; a task returns a forest of its links, never its pairs.
+    components: first by their entries in long columns, which rule out nearly all, then by whole sets. For those, sizes are
+    classed by powers of 5/4, so a link's ends are in the same class or in neighbouring ones. Both comparisons are dealt out as cells of bounded
+    size; a task returns documents or a forest of its links, never its pairs.
     """
     group = star.select("node", "n", F.col("pivot").alias("grp")).unionByName(star.select(F.col("pivot").alias("node"), F.col("np").alias("n"), F.col("pivot").alias("grp")).distinct())
     member = group.join(comp.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    member = member.withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))))
     each = member.groupBy("grp", "component").agg(F.count("*").alias("many"))
     top = each.groupBy("grp").agg(F.max(F.struct("many", "component")).alias("t"), F.count("*").alias("k")).filter("k > 1").select("grp", F.col("t.component").alias("top"))
     open_ = cut(member.join(top.hint("merge"), "grp"))
-    key = ["grp", "class"]
-    lefts = open_.filter("component <> top").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
-    parts = cut(lefts.groupBy(*key).agg(F.ceil(F.sum("n") / CELL_GRAMS).alias("pl")).join(open_.groupBy(*key).agg(F.ceil(F.sum("n") / (4 * CELL_GRAMS)).alias("pr")).hint("merge"), key))
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-    put = lambda df, side, l, r: df.join(parts.hint("merge"), key).withColumn("l", l).withColumn("r", r).select(*key, "l", "r", "node", "n", "component", F.lit(side).alias("side"))  # noqa: E731, E741
-    sides = cut(put(lefts, 0, own("pl"), _all_to("pr")).unionByName(put(open_, 1, _all_to("pl"), own("pr"))))
-    return _by_cells(sides.drop("n"), [*key, "l", "r"], rows, nodes, sides.agg(F.sum("n")), _linked_sides)
+
+    def in_cells(lefts: DataFrame, rights: DataFrame, key: list[str], weight: str) -> DataFrame:
+        sized = lambda df, most, name: df.groupBy(*key).agg(F.ceil(F.sum(weight) / most).alias(name))
+        parts = cut(sized(lefts, CELL_GRAMS, "pl").join(sized(rights, 4 * CELL_GRAMS, "pr").hint("merge"), key))
+        put = lambda df, side, x, y: df.join(parts.hint("merge"), key).withColumn("l", x).withColumn("r", y).withColumn("side", F.lit(side)).drop("pl", "pr")
+        return put(lefts, 0, own("pl"), _all_to("pr")).unionByName(put(rights, 1, _all_to("pl"), own("pr")))
+
+    listed = open_.join(long.groupBy("node").agg(F.collect_list("gram").alias("grams")).hint("merge"), "node").withColumn("u", F.size("grams"))
+    sides = in_cells(listed.filter("component <> top"), listed, ["grp"], "u")
+    tasks = int(1 + (sides.agg(F.sum("u")).first()[0] or 0) // (2 * CELL_GRAMS))
+    dealt = sides.select(F.xxhash64("grp", "l", "r").alias("cell"), "grp", "node", "component", "side", F.col("n").cast("long"), "grams")
+    possible = dealt.groupBy(F.pmod(F.col("cell"), F.lit(tasks)).alias("task")).applyInArrow(_possible, "grp long, node long, is_left boolean").groupBy("grp", "node").agg(F.max("is_left").alias("is_left"))
+    left = cut(open_.join(possible.hint("merge"), ["grp", "node"]).withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / PERCENT)))).select("grp", "class", "node", "n", "component", "is_left"))
+    near = left.filter("is_left").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+    sides = cut(in_cells(near.drop("is_left"), left.drop("is_left"), ["grp", "class"], "n"))
+    return _by_cells(sides.drop("n"), ["grp", "class", "l", "r"], rows, nodes, sides.agg(F.sum("n")), _linked_sides)
 
 
 def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -447,8 +489,8 @@ def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
        below the bound of their sizes go. A long column (large groups of near copies) gives one pair per document, with the column's most typical one.
     3. Whole sets decide the pairs that are left. Their texts, which are a fraction of the sets, meet in cells of bounded size and become sets again
        there. Links are contracted to components.
-    4. Documents of long columns that are still apart are compared cell by cell. So no pair of different texts is passed over, and no group gives all
-       its pairs.
+    4. Documents of long columns that are still apart are compared cell by cell, by their entries and then by whole sets. So no pair of different
+       texts is passed over, and no group gives all its pairs.
 
     Defined cases: null, empty and white texts have an empty set, link with nothing and are their own component; repeated rows are one row of the matrix; rows without id
     count as members, but never as a component's smallest id; an empty table gives an empty result.
@@ -474,7 +516,7 @@ def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     ordered = light.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "c").unionByName(best_star)
     pairs = cut(ordered.groupBy("a", "b").agg(F.max("c").alias("c")))
     comp = components(_links_of_pairs(pairs, rows, nodes))
-    comp = extended(comp, _links_in_long_columns(star, comp, rows, nodes))
+    comp = extended(comp, _links_in_long_columns(star, long, comp, rows, nodes))
     placed = nodes.select("name", "node", "rep").join(comp.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_name = placed.join(least.hint("merge"), "component").select("name", "component_id")
