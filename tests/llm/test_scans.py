@@ -64,6 +64,54 @@ def test_licence_sentences(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def brute_sentences(w, idf):
+    """Labels and score by trying every place of every sentence."""
+    labels, best = set(), 0.0
+    line = f" {' '.join(w)} "
+    for label, sentence, keys in licenses.TEMPLATES:
+        parts = sentence.split()
+        total = sum(idf[x] for x in parts)
+        top = max((sum(idf[x] for k, x in enumerate(parts) if 0 <= s + k < len(w) and w[s + k] == x) / total for s in range(-len(parts), len(w))), default=0.0)
+        if top >= licenses.LEAST - 1e-9 and all(f" {key} " in line for key in keys):
+            labels.add(label)
+            best = max(best, top)
+    return labels, best
+
+
+def test_licence_scores_by_brute_force(spark, docs):
+    rng = __import__("random").Random(4)
+    texts = []
+    for _ in range(150):
+        w = rng.choice(licenses.TEMPLATES)[1].split()
+        for _ in range(rng.randint(0, len(w) // 5)):
+            k, kind = rng.randrange(len(w)), rng.random()
+            w = w[:k] + ["edited"] * (kind < 0.9) + w[k + 1 :] if len(w) > 2 else w
+        texts.append(" ".join(["some", "text"] * rng.randint(0, 3) + w[rng.randint(0, 4) :] + ["under", "license"] * rng.randint(0, 2)))
+    texts += ["apache " * 3000 + "license", "permission permission hereby", *[s for _, s, _ in licenses.TEMPLATES]]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(200_000 + k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    idf = licenses.rarity(both, "text")
+    got = {r.doc_id: r for r in licenses.scan_licenses(both, idf=idf).collect()}
+    counted = 0
+    for r in both.collect():
+        if len(r.text or "") > 20_000:
+            continue
+        labels, best = brute_sentences(tokens(r.text), idf)
+        g = got[r.doc_id]
+        base = {x for x in g.base_labels.split(",") if x}
+        assert {x for x in g.labels.split(",") if x} == labels | base, r.text
+        assert g.score == pytest.approx(1.0 if g.n_base else best, abs=1e-9)
+        counted += bool(labels)
+    assert counted > 80
+    n = both.count()
+    assert idf["apache"] == pytest.approx(__import__("math").log((1 + n) / (1 + sum("apache" in tokens(r.text) for r in both.collect()))) + 1)
+
+
+def test_licence_columns_keep_their_values(spark):
+    df = spark.createDataFrame([("keep", "x", 1, "MIT License", 3.5)], "tokens string, row string, found int, text string, Score double")
+    (got,) = licenses.scan_licenses(df).collect()
+    assert (got.tokens, got.row, got.found, got.score, got.labels) == ("keep", "x", 1, 1.0, "mit")
+
+
 def brute_hits(w, items):
     hit, found = [False] * len(w), set()
     for item, words in items:
