@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import ALNUM, Chunk, Words, text_chunks, words
+from .frames import others
+from .text import ALNUM, LOWER, Chunk, Words, text_chunks, words
 
 WINDOW = 10
 BLOCK = 3  # words of a block
@@ -31,8 +32,9 @@ class Patterns(NamedTuple):
     shift: np.ndarray  # by the low bits of a block's hash
     suffix: np.ndarray  # sorted hashes of last blocks
     first: np.ndarray  # where the strings with this suffix begin; one more than suffixes
-    hashes: np.ndarray  # words of the strings, in the order of suffixes
-    sizes: np.ndarray  # and their bytes
+    data: np.ndarray  # bytes of the strings' words, lower case
+    at: np.ndarray  # where the words of each string, in the order of suffixes, stand in them
+    sizes: np.ndarray  # and how many bytes they have
     item_first: np.ndarray  # where the items of a string begin; one more than strings
     items: np.ndarray
 
@@ -47,30 +49,34 @@ def _block_hash(h: np.ndarray, end: np.ndarray, block: int) -> np.ndarray:
 
 def compile_patterns(texts: list[str | None]) -> list[Patterns]:
     """Shift tables and suffix buckets for the windows of all items, by length."""
-    strings: dict[int, dict[bytes, list]] = {}
+    strings: dict[int, dict[bytes, tuple[bytes, list[int], list[int]]]] = {}
     for chunk in text_chunks(pa.array(texts, pa.large_string())):
-        found = words(chunk, ALNUM)
-        size = (found.end - found.start).astype(np.uint64)
+        found, low = words(chunk, ALNUM), LOWER[chunk.data].tobytes()
+        spans = [low[a:b] for a, b in zip(found.start.tolist(), found.end.tolist(), strict=True)]
         for k, (a, b) in enumerate(zip(found.offsets[:-1].tolist(), found.offsets[1:].tolist(), strict=True)):
             length = min(WINDOW, b - a)
             for i in range(a, b - length + 1) if length else ():
-                at = strings.setdefault(length, {}).setdefault(found.hash[i : i + length].tobytes() + size[i : i + length].tobytes(), [])
+                own = spans[i : i + length]
+                at = strings.setdefault(length, {}).setdefault(b" ".join(own), (found.hash[i : i + length].tobytes(), [len(w) for w in own], []))[2]
                 if not at or at[-1] != chunk.first + k:
                     at.append(chunk.first + k)
     out = []
     for length, own in sorted(strings.items()):
-        both = np.frombuffer(b"".join(own), dtype=np.uint64).reshape(len(own), 2, length)
+        hashes = np.frombuffer(b"".join(h for h, _, _ in own.values()), dtype=np.uint64).reshape(len(own), length)
         block = min(BLOCK, length)
-        last = _columns_hash(both[:, 0], length - 1, block)
+        last = _columns_hash(hashes, length - 1, block)
         order = np.argsort(last, kind="stable")
         suffix, first = np.unique(last[order], return_index=True)
         shift = np.full(1 << SHIFT_BITS, length - block + 1, dtype=np.int64)
         for j in range(block - 1, length):
-            key = (_columns_hash(both[:, 0], j, block) & np.uint64((1 << SHIFT_BITS) - 1)).astype(np.int64)
+            key = (_columns_hash(hashes, j, block) & np.uint64((1 << SHIFT_BITS) - 1)).astype(np.int64)
             np.minimum.at(shift, key, length - 1 - j)
-        items = list(own.values())
-        ordered = [items[k] for k in order.tolist()]
-        out.append(Patterns(length, block, shift, suffix, np.append(first, len(own)), both[order, 0], both[order, 1], np.cumsum([0, *map(len, ordered)]), np.array([x for xs in ordered for x in xs], dtype=np.int64)))
+        values, keys = list(own.values()), list(own)
+        ordered = [values[k] for k in order.tolist()]
+        sizes = np.array([n for _, n, _ in ordered], dtype=np.int64)
+        ends = np.cumsum(sizes + 1).reshape(sizes.shape)
+        data = np.frombuffer(b"".join(keys[k] + b" " for k in order.tolist()), np.uint8)
+        out.append(Patterns(length, block, shift, suffix, np.append(first, len(own)), data, ends - sizes - 1, sizes, np.cumsum([0, *(len(x) for *_, x in ordered)]), np.array([x for *_, xs in ordered for x in xs], dtype=np.int64)))
     return out
 
 
@@ -81,7 +87,16 @@ def _columns_hash(strings: np.ndarray, end: int, block: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def occurrences(found: Words, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
+def _same_bytes(x: np.ndarray, at: np.ndarray, y: np.ndarray, to: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether x from `at` and y from `to` have the same `sizes` bytes, which are 1 or more."""
+    if not len(sizes):
+        return np.zeros(0, bool)
+    begin = np.cumsum(sizes) - sizes
+    step = np.arange(int(sizes.sum())) - np.repeat(begin, sizes)
+    return np.logical_and.reduceat(LOWER[x[np.repeat(at, sizes) + step]] == y[np.repeat(to, sizes) + step], begin)
+
+
+def occurrences(chunk: Chunk, found: Words, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
     """First words and numbers of strings of all places where a string of `p` stands within one text.
 
     A cursor stands at the last word of a possible place. Where the shift of the block that ends there isn't 0, none of the
@@ -115,9 +130,11 @@ def occurrences(found: Words, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
     many = p.first[bucket + 1] - p.first[bucket]
     starts = np.repeat(ends - p.length + 1, many)
     string = np.repeat(p.first[bucket], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    for j in range(p.length):  # direct comparison, word by word
+    for j in range(p.length):  # direct comparison of words, byte by byte
         w = starts + j
-        same = (found.hash[w] == p.hashes[string, j]) & ((found.end[w] - found.start[w]).astype(np.uint64) == p.sizes[string, j])
+        same = found.end[w] - found.start[w] == p.sizes[string, j]
+        starts, string, w = starts[same], string[same], w[same]
+        same = _same_bytes(chunk.data, found.start[w], p.data, p.at[string, j], p.sizes[string, j])
         starts, string = starts[same], string[same]
     return starts, string
 
@@ -128,7 +145,7 @@ def search_chunk(chunk: Chunk, patterns: list[Patterns]) -> tuple[Words, np.ndar
     edge = np.zeros(len(found.hash) + 1, dtype=np.int64)
     texts, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for p in patterns:
-        starts, string = occurrences(found, p)
+        starts, string = occurrences(chunk, found, p)
         np.add.at(edge, starts, 1)
         np.add.at(edge, starts + p.length, -1)
         many = p.item_first[string + 1] - p.item_first[string]
@@ -165,7 +182,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     count once per id; repeated documents are rows of their own; empty tables give empty or clean results; columns that
     clash with appended names are replaced.
     """
-    kept = [c for c in docs.columns if c not in (*NEW, "items", "_mask")]
+    kept = others(docs, (*NEW, "items", "_mask"))
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(None).cast("binary").alias("_mask"), F.array().cast("array<string>").alias("items"))
     schema = T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType())])
     for n, (ids, texts) in enumerate(_benchmark_blocks(benchmark, item_text, item_id, block_bytes)):

@@ -16,8 +16,9 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+#: Bytes with A-Z in lower case.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 #: `[^\x20\x09-\x0D]+`
 SPACED = np.ones(256, dtype=bool)
@@ -89,7 +90,7 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
 
 def words(chunk: Chunk, kind: np.ndarray, fold: bool = True) -> Words:
     """Borders and hashes of the words of a chunk; no word reaches over the end of a text."""
-    low = _LOWER[chunk.data] if fold else chunk.data
+    low = LOWER[chunk.data] if fold else chunk.data
     n = len(low)
     inside = kind[low]
     border = chunk.offsets[(chunk.offsets > 0) & (chunk.offsets < n)]
