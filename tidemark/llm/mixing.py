@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import as_row, from_row
 from .store import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -162,17 +163,19 @@ def sizes(docs: DataFrame, text: str = "text", source: str = "source", id_col: s
     return [F.col(f"`{id_col}`").cast("string").alias("_id"), F.col(f"`{source}`").cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")]
 
 
+NEW = ("size", "source_size", "target", "rate", "copies", "taken")
+
+
 def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", weights: tuple = WEIGHTS, share: float = 1.5, cap: int = 2) -> DataFrame:
     """Every input row with size, source_size, target, rate, copies and taken appended.
 
     Defined cases: null text or a text without words has size 0 and takes 0; null sources are one source, the last;
     copies depend on (id, source, size) alone, so repeated rows are treated alike; an empty table gives an empty
-    result. Columns of the input that clash with appended names are replaced.
+    result. Columns of the input that clash with appended names are replaced; any other name may occur.
     """
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (source, "source", "size", "source_size", "target", "rate", "copies", "taken")]
-    wide = docs.select(*sizes(docs, text, source, id_col), *kept)
+    wide = docs.select(*sizes(docs, text, source, id_col), as_row(docs, NEW))
     plan = mix_plan(cut(wide.select("_id", "source", "size")), weights, share, cap)
-    return apply_plan(wide, plan, cap).drop("_id")
+    return apply_plan(wide, plan, cap).select(*from_row(docs, NEW), *NEW)
 
 
 def op10_source_mix(spark, sf_dir: str) -> DataFrame:

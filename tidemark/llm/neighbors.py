@@ -338,5 +338,16 @@ def _recall(points: DataFrame, n: DataFrame) -> float:
 
 
 def op5_near_vectors(spark, sf_dir: str) -> DataFrame:
-    found, audit = near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
-    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept", F.lit(audit[-1][1]).alias("audited_recall"))
+    found, _ = near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN (SELECT x AS vec_id, min(y) AS c FROM reach GROUP BY x) USING (vec_id) LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x) USING (vec_id)
+"""

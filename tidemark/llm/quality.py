@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .frames import others
 from .text import ALNUM, SPACED, Chunk, mix, text_chunks, words
 
 WORD_BITS = 16
@@ -181,6 +182,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", rows: int = FIT_ROWS) -> Machine:
+    """A machine fitted on at most `rows` labelled rows, in one order whatever the partitions.
+
+    Null texts are empty ones; repeated and tied rows each count; labels that are null or whose document is missing are left out; without
+    labelled rows, every score is the same.
+    """
     sample = labelled_sample(docs, labels, "quality", ~held_out("_id", 5, 0), rows, text, id_col)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +214,7 @@ def score_quality(docs: DataFrame, machine: Machine, text: str = "text") -> Data
     A row's score depends on its whole text alone. Null is scored as the empty text; repeated rows get the same score;
     an empty table gives an empty result.
     """
-    kept = [c for c in docs.columns if c != "score"]
+    kept = others(docs, ("score",))
     rows = docs.select(*[f"`{c}`" for c in kept])
     schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(machine)

@@ -24,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.OP3_SQL, "op4_near_documents": jaccard.OP4_SQL, "op6_warc": warc.OP6_SQL}
+    return {"op3_decontaminate": decontaminate.OP3_SQL, "op4_near_documents": jaccard.OP4_SQL, "op5_near_vectors": neighbors.OP5_SQL, "op6_warc": warc.OP6_SQL}

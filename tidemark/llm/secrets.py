@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .frames import others
 from .text import Chunk, text_chunks
 
 KINDS = ("assign", "access", "hex", "entropy")
@@ -153,7 +154,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", redact: str | None = None)
     digest of "" and ""; repeated rows are rows of their own; an empty table gives an empty result; columns that clash
     with appended names are replaced.
     """
-    kept = [c for c in docs.columns if c not in NEW.names]
+    kept = others(docs, NEW.names)
     rows = docs.select(*[f"`{c}`" for c in kept])
     schema = T.StructType([*rows.schema.fields, *NEW.fields])
 

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one is set only where the session names none (tests)."""
+    """The folder in spark.checkpoint.dir. Where the session names none, a local session gets a temporary one (tests); on a cluster that is an error."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not at:
         ready = sc._jsc.sc().getCheckpointDir()
+        if not ready.isDefined() and not (sc.master.startswith("local[") or sc.master == "local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         at = ready.get() if ready.isDefined() else tempfile.mkdtemp(prefix="spark-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(at)

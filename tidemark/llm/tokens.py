@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .frames import others
+
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the rank file's tokenizer splits text before its merges; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -33,6 +36,25 @@ def encoding(ranks: str = RANKS, pattern: str = PATTERN):
     return _loaded[ranks, pattern]
 
 
+#: Blanks in a row from which they are encoded apart from the text around them.
+LONG_BLANK = 10_000
+_BLANKS = re.compile(r"\s{%d,}" % LONG_BLANK)
+
+
+def encode(enc, value: str, pattern: str = PATTERN) -> list[int]:
+    """The tokens of a whole text.
+
+    The splitting pattern goes back through a run of blanks one by one, and its stack ends at about a million. It always takes a run as one piece, less
+    its last blank where more text follows. So long runs are cut out as that piece, whose merges are its own, and the tokens are those of the whole text.
+    """
+    ids, at = [], 0
+    for run in _BLANKS.finditer(value) if pattern == PATTERN and len(value) >= LONG_BLANK else ():
+        end = run.end() - (run.end() < len(value))
+        ids += enc.encode_ordinary(value[at : run.start()]) + enc._encode_single_piece(value[run.start() : end])
+        at = end
+    return ids + enc.encode_ordinary(value[at:])
+
+
 def attribute(token_ends: np.ndarray, section_ends: np.ndarray, rule: str = "first") -> tuple[np.ndarray, int]:
     """Tokens of each section, and how many tokens cross a border.
 
@@ -73,11 +95,11 @@ def count_tokens(docs: DataFrame, text: str = "text", rule: str = "most", ranks:
     which the tokens of a byte-level vocabulary partition even where one ends within a character. Tokens over a border go by `rule`.
 
     A row is a matter of its own: no shuffle. Defined cases: null is an empty text, with no tokens and no sections; repeated rows are rows of
-    their own; an empty table gives an empty result; columns that clash with appended names are replaced.
+    their own; an empty table gives an empty result; columns that clash with appended names are replaced. Long texts are encoded whole, long runs of blanks included.
     """
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
-    kept = [c for c in docs.columns if c not in NEW.names]
+    kept = others(docs, NEW.names)
     rows = docs.select(*[f"`{c}`" for c in kept])
     schema = T.StructType([*rows.schema.fields, *NEW.fields])
 
@@ -90,7 +112,7 @@ def count_tokens(docs: DataFrame, text: str = "text", rule: str = "most", ranks:
             for k in range(len(column)):
                 value = column[k].as_py()
                 data = np.frombuffer(value.encode(), np.uint8)
-                ids = enc.encode_ordinary(value)
+                ids = encode(enc, value, pattern)
                 borders = line_ends(data)
                 own, crossing = attribute(np.cumsum(sizes[ids]) if ids else np.zeros(0, np.int64), borders, rule)
                 sections.append(own)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .frames import as_row, from_row, others
 from .quality import held_out, labelled_sample
 from .store import cut
 from .text import ALNUM, Chunk, mix, text_chunks, words
@@ -191,24 +192,28 @@ class Scorer(NamedTuple):
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", rows: int = FIT_ROWS) -> Scorer:
-    """Trees on four fifths of the sample; calibration on all of it, the fifth unseen by the trees weighing as much as the rest. Without both labels in the sample every score is 0."""
+    """Trees on the whole sample, calibrated on scores that trees of the other half gave, so that no row is calibrated by trees that were fitted on it.
+
+    Null texts are empty ones; repeated and tied rows each count; labels that are null or whose document is missing are left out. Without both
+    labels in each half of the sample every score is 0.
+    """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.regression import IsotonicRegression
 
     sample = cut(labelled_sample(docs, labels, "toxic", ~held_out("_id", 4, 2), rows, text, id_col).withColumn("_fold", F.pmod(F.xxhash64("_text", F.lit(1)), F.lit(2)).cast("int")))
     lexicons = learn_lexicon(sample)
-    ready = cut(with_dense(sample, "_text", lexicons, "_fold").select(array_to_vector("_dense").alias("features"), F.col("_label").cast("double").alias("label"), (F.pmod(F.xxhash64("_text", F.lit(2)), F.lit(5)) == 0).alias("_last")).coalesce(6))
-    seen = {(r.label, r["_last"]) for r in ready.select("label", "_last").distinct().collect()}
-    if not {(0.0, False), (1.0, False)} <= seen:
+    ready = cut(with_dense(sample, "_text", lexicons, "_fold").select(array_to_vector("_dense").alias("features"), F.col("_label").cast("double").alias("label"), F.col("_fold").alias("fold")).repartition(6))
+    seen = {(r.label, r.fold) for r in ready.select("label", "fold").distinct().collect()}
+    if len(seen) < 4:
         return Scorer(lexicons, None, None)
-    trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.25, maxBins=64, minInstancesPerNode=2, seed=11).fit(ready.filter("not _last"))
-    raw = trees.transform(ready).select(vector_to_array("probability")[1].alias("raw"), "label", F.when(F.col("_last"), 4.0).otherwise(1.0).alias("weight"))
-    return Scorer(lexicons, trees, IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="score").fit(raw))
+    grown = lambda part: GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.25, maxBins=64, minInstancesPerNode=2, seed=11).fit(part)
+    raw = [grown(ready.filter(F.col("fold") != k)).transform(ready.filter(F.col("fold") == k)).select(vector_to_array("probability")[1].alias("raw"), "label") for k in (0, 1)]
+    return Scorer(lexicons, grown(ready), IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(cut(raw[0].unionByName(raw[1]))))
 
 
 def score_toxicity(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
-    """Every input row with score (0 to 1, higher: label 1 likelier) appended; a column of that name is replaced.
+    """Every input row with score (0 to 1, higher: label 1 likelier) appended; a column of that name is replaced, any other name may occur.
 
     A row's score depends on its whole text alone. Null is scored as the empty text; repeated rows get the same score;
     an empty table gives an empty result. Ties of the trees' scores stay ties. The calibrated step score is
@@ -216,13 +221,11 @@ def score_toxicity(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataF
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    rows = docs.drop("score", "_dense", "features", "raw", "rawPrediction", "probability", "prediction")
-    kept = [f"`{c}`" for c in rows.columns]
     if scorer.trees is None:
-        return rows.withColumn("score", F.lit(0.0))
-    ready = with_dense(rows, text, scorer.lexicons).withColumn("features", array_to_vector("_dense"))
+        return docs.select(*[F.col(f"`{c}`") for c in others(docs, ("score",))], F.lit(0.0).alias("score"))
+    ready = with_dense(docs.select(as_row(docs, ("score",)), F.col(f"`{text}`").alias("text")), "text", scorer.lexicons).withColumn("features", array_to_vector("_dense"))
     scored = scorer.isotonic.transform(scorer.trees.transform(ready).withColumn("raw", vector_to_array("probability")[1]))
-    return scored.select(*kept, (0.99 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))) + 0.01 * F.col("raw")).alias("score"))
+    return scored.select(*from_row(docs, ("score",)), (0.99 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))) + 0.01 * F.col("raw")).alias("score"))
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:

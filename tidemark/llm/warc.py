@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import shared_dir
+from .store import shared_dir, stash
 
 DATE = "2024-01-01T00:00:00Z"
 LEAST_REVISIT = 100  # bytes of a payload from which equal ones are revisits
@@ -232,7 +232,7 @@ SCHEMA = T.StructType([
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """A row per record (kind record) and per quarantined stretch of bytes (kind gap, with length and reason) of the archives under `path`.
 
-    A file is the unit of work; the writer bounds its records. Without `payloads` that column is null.
+    A file is the unit of work; the writer bounds its records. Without `payloads` that column is null. Empty files give no rows, repeated records rows of their own.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
@@ -251,11 +251,21 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     return files.mapInArrow(read, SCHEMA)
 
 
+def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """Records of the archives under `path` without payloads, and the table where what the reader quarantined is logged: file, offset, length and reason of each gap.
+
+    The archives are read once, into a table in the shared folder. No gap leaves an empty log; no archives give no records.
+    """
+    found, log = stash(read_archives(spark, path, payloads=False), "warc-records"), f"{shared_dir(spark)}/warc-gaps-{uuid.uuid4().hex}"
+    found.filter("kind = 'gap'").select("file", "offset", "length", "reason").write.parquet(log)
+    return found.filter("kind = 'record'"), log
+
+
 def op6_warc(spark, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
     number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1).try_cast("long")
-    records = read_archives(spark, path, payloads=False).filter("kind = 'record'")
+    records, _ = read_records(spark, path)
     return records.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 
