@@ -20,7 +20,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of 80 % equal shingles connect, the one with the smallest id; one row of those that repeat.
+    """Of documents that links of 80 % equal shingles connect, the one with the smallest id; of rows with the same id the smallest one.
 
     The documents to keep are told by id and number, so only ids are joined; rows without id have no group to stand for and stay.
     """
@@ -28,7 +28,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     gone = found.filter(F.col("id").isNotNull() & (F.col("id") != F.col("component_id"))).select(F.col("id").alias("doc_id")).distinct()
     again = found.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("id").alias("doc_id"))
     rest = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    once = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    least = F.min(F.struct(*[c for c in COLUMNS if c != "doc_id"])).alias("row")
+    once = rest.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(least).select("doc_id", "row.*")
     return rest.join(again, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
 
 
