@@ -1,6 +1,7 @@
 """Every query with SQL against DuckDB on the smallest tables; the others by what must hold."""
 
 import math
+from dataclasses import replace
 
 import duckdb
 import numpy as np
@@ -104,5 +105,5 @@ def test_sensitivity_takes_the_cheapest_of_sixty(spark, sf):
     scored = policy.scored(lake.txn(spark, sf)).filter("split = 'valid'").cache()
     for name in ("fee", "capacity"):
         for end in policy.RANGES[name]:
-            c = policy.Costs().with_(**{name: end})
+            c = replace(policy.Costs(), **{name: end})
             assert got[name, float(end)] == policy.cheapest(policy.tune_expected_loss(policy.priced(scored, c), c, 60), "threshold").first().threshold

@@ -169,8 +169,8 @@ def recompute(df: DataFrame, sample: DataFrame, features: tuple[Feature, ...]) -
     """
     out = []
     for f in features:
-        q = df.join(F.broadcast(sample.select("id")), "id", "left_semi").filter(F.col(f.entity).isNotNull()).select("id", F.col("t").alias("qt"), F.col("amount").alias("qa"), F.col(f.entity).alias("k"), F.col(f.column).alias("qv"))
-        h = df.select(F.col(f.entity).alias("k"), "t", F.col(f.column).alias("v")).join(F.broadcast(q.select("k").distinct()), "k", "left_semi")
+        q = df.join(sample.select("id"), "id", "left_semi").filter(F.col(f.entity).isNotNull()).select("id", F.col("t").alias("qt"), F.col("amount").alias("qa"), F.col(f.entity).alias("k"), F.col(f.column).alias("qv"))
+        h = df.select(F.col(f.entity).alias("k"), "t", F.col(f.column).alias("v")).join(q.select("k").distinct(), "k", "left_semi")
         upto = F.col("t") < F.col("qt") - f.delay
         on = upto if f.window is None else upto & (F.col("t") >= F.col("qt") - f.window)
         j = q.join(h.withColumnRenamed("k", "hk"), (F.col("k") == F.col("hk")) & on, "left").groupBy("id", "qt", "qa", "qv")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, replace
+from dataclasses import dataclass
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,41 +26,29 @@ class Costs:
     delay: float = 2.0
     capacity: int = 10  # reviews a day; the log has some 300 rows a day at the smallest scale
 
-    def with_(self, **changes: float) -> Costs:
-        return replace(self, **changes)
-
 
 RANGES = {"fee": (10.0, 40.0), "review": (4.0, 12.0), "catch": (0.8, 1.0), "margin": (0.1, 0.4), "fixed": (5.0, 20.0), "delay": (0.0, 5.0), "capacity": (5, 20)}
 
-#: Points of the rules, fixed.
-POINTS = {"large_amount": 2, "burst_last_hour": 2, "many_last_24h": 1, "high_spend_24h": 1, "new_device_and_large": 1}
-
+#: Limits of the rules; those of a grid may be columns instead.
+LIMITS = {"amount": 150.0, "txn_1h": 1, "txn_24h": 4, "spend_24h": 300.0, "new_device_amount": 100.0}
 
-@dataclass(frozen=True)
-class Rules:
-    amount: float = 150.0
-    txn_1h: int = 1
-    txn_24h: int = 4
-    spend_24h: float = 300.0
-    new_device_amount: float = 100.0
+#: The rules: name, points (fixed) and condition in SQL, with limits in braces. Missing history counts as none.
+RULES = (
+    ("large_amount", 2, "double(amount) >= {amount}"),
+    ("burst_last_hour", 2, "coalesce(card_txn_1h, 0) >= {txn_1h}"),
+    ("many_last_24h", 1, "coalesce(card_txn_24h, 0) >= {txn_24h}"),
+    ("high_spend_24h", 1, "coalesce(card_amt_24h, 0) + double(amount) >= {spend_24h}"),
+    ("new_device_and_large", 1, "coalesce(card_new_device, 0) = 1 AND double(amount) >= {new_device_amount}"),
+)
 
 
-def fired(r: Rules | dict[str, Column]) -> dict[str, Column]:
-    """One condition per rule; missing history counts as none. Limits may be numbers or columns of a grid."""
-    g = r if isinstance(r, dict) else {k: F.lit(v) for k, v in asdict(r).items()}
-    amount = F.col("amount").cast("double")
-    none = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return {
-        "large_amount": amount >= g["amount"],
-        "burst_last_hour": none("card_txn_1h") >= g["txn_1h"],
-        "many_last_24h": none("card_txn_24h") >= g["txn_24h"],
-        "high_spend_24h": none("card_amt_24h") + amount >= g["spend_24h"],
-        "new_device_and_large": (none("card_new_device") == 1) & (amount >= g["new_device_amount"]),
-    }
+def conditions(limits: dict = LIMITS) -> list[tuple[str, int, Column]]:
+    """(name, points, condition) of each rule; limits are numbers or names of columns."""
+    return [(name, worth, F.expr(text.format(**{k: f"{v!r}D" if isinstance(v, float) else v for k, v in limits.items()}))) for name, worth, text in RULES]
 
 
-def points(r: Rules | dict[str, Column]) -> Column:
-    return sum((F.when(c, POINTS[n]).otherwise(0) for n, c in fired(r).items()), F.lit(0))
+def points(limits: dict = LIMITS) -> Column:
+    return sum((F.when(c, worth).otherwise(0) for _, worth, c in conditions(limits)), F.lit(0))
 
 
 def rules_score(p: Column) -> Column:
@@ -73,10 +62,10 @@ def featured(txn: DataFrame) -> DataFrame:
     return history.add_history(txn, tuple(f for f in FEATURES if f.name in names))
 
 
-def scored(txn: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """featured with points, rules_score and a probability p of a fixed linear form."""
-    z = -4.5 + 0.5 * F.log(1 + F.col("card_txn_24h")) + 0.012 * F.col("amount").cast("double") + 0.8 * F.coalesce("card_new_device", F.lit(0)) + 2.5 * F.col("label")
-    return featured(txn).withColumn("points", points(rules)).withColumn("rules_score", rules_score(F.col("points"))).withColumn("p", F.round(1 / (1 + F.exp(-z)), 6))
+def scored(txn: DataFrame, limits: dict = LIMITS) -> DataFrame:
+    """featured with points, rules_score and a probability p of a fixed linear form, which takes nothing but features."""
+    z = -4.5 + 0.5 * F.log(1 + F.col("card_txn_24h")) + 0.012 * F.col("amount").cast("double") + 0.8 * F.coalesce("card_new_device", F.lit(0))
+    return featured(txn).withColumn("points", points(limits)).withColumn("rules_score", rules_score(F.col("points"))).withColumn("p", F.round(1 / (1 + F.exp(-z)), 6))
 
 
 def expected(p: Column, amount: Column, c: Costs) -> dict[str, Column]:
@@ -124,7 +113,7 @@ def realised(c: Costs = Costs()) -> list[Column]:
     count = lambda cond: F.count_if(cond)
     missed = add(fraud & is_("approve"), loss) + add(fraud & is_("review"), (1 - c.catch) * loss)
     friction = add(~fraud & is_("decline"), c.margin * amount + c.fixed)
-    review, delay = c.review * count(is_("review")), c.delay * count(is_("review") & ~fraud)
+    review, delay = add(is_("review"), c.review), add(is_("review") & ~fraud, c.delay)
     value = add(fraud, amount)
     caught = add(fraud & is_("decline"), amount) + add(fraud & is_("review"), c.catch * amount)
     return [
@@ -132,6 +121,7 @@ def realised(c: Costs = Costs()) -> list[Column]:
         F.round(review, 4).alias("review_cost"), F.round(delay, 4).alias("review_delay_cost"), F.round(value, 4).alias("fraud_value"), F.round(caught, 4).alias("fraud_value_caught"),
         count(is_("decline")).alias("declines"), count(is_("decline") & ~fraud).alias("declined_legit"), count(is_("review")).alias("reviews"),
         count(is_("review") & fraud).alias("reviewed_fraud"), count(is_("approve") & fraud).alias("approved_fraud"),
+        F.round(caught / F.nullif(value, F.lit(0.0)), 6).alias("fraud_value_caught_share"),
     ]
 
 
@@ -171,6 +161,44 @@ def tune_cutoffs(df: DataFrame, score: str, c: Costs = Costs(), n: int = 40) ->
     return cost.crossJoin(F.broadcast(rest)).select("decline_at", "review_at", F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 3).alias("total_cost"))
 
 
+def sensitivity(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFrame:
+    """(parameter, value, threshold, total_cost): each cost parameter at both ends, the threshold tuned anew on validation, its cost on test.
+
+    df is scored rows. All variants are one plan: rows times a fixed grid of variants, and those that a threshold could review times the variant's thresholds.
+    """
+    names = list(RANGES)
+    own = {k: getattr(c, k) for k in names}
+    rows = [(name, float(end), *[float((own | {name: end})[k]) for k in names]) for name, ends in RANGES.items() for end in ends]
+    variants = df.sparkSession.createDataFrame(rows, "parameter string, value double, " + ", ".join(f"c_{k} double" for k in names))
+    costs = SimpleNamespace(**{k: F.col(f"c_{k}") for k in names})
+    key = ["parameter", "value"]
+    all_ = priced(df.select("id", "t", "day", "split", "amount", "label", "p").crossJoin(F.broadcast(variants)), costs)
+    valid, wanted = all_.filter("split = 'valid'"), F.col("priority") > 0
+    q = F.percentile("priority", F.array(*[F.lit(k / (n - 1)) for k in range(n)]))
+    grid = valid.filter(wanted).groupBy(*key).agg(q.alias("q")).select(*key, F.explode("q").alias("g")).select(*key, F.round("g", 6).alias("g")).unionByName(variants.select(*key, F.lit(0.0).alias("g"))).distinct()
+    free = F.when(F.col("e_decline") < F.col("e_approve"), "decline").otherwise("approve")
+    rest = valid.filter(~wanted).withColumn("action", free).groupBy(*key).agg(realised(costs)[0].alias("base"))
+    trials = valid.filter(wanted).join(F.broadcast(grid), key).withColumn("action", expected_loss(F.col("g"), costs, *key, "g"))
+    cost = trials.groupBy(*key, "g").agg(realised(costs)[0].alias("own")).join(rest, key, "left").withColumn("cost", F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 3))
+    best = cost.groupBy(*key).agg(F.min(F.struct("cost", "g")).alias("m")).select(*key, F.col("m.g").alias("threshold"))
+    act = all_.filter("split = 'test'").join(F.broadcast(best), key).withColumn("action", expected_loss(F.col("threshold"), costs, *key))
+    return act.groupBy(*key, "threshold").agg(realised(costs)[0].alias("total_cost"))
+
+
+def top_share(df: DataFrame, score: str, share: float) -> DataFrame:
+    """The rows of highest score, `share` of all, earlier ones first among equals.
+
+    The score at the edge comes from a histogram of distinct scores (scores have six digits, so it is bounded), and only rows of that score are ordered.
+    """
+    k = int(df.count() * share)
+    upto = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
+    hist = df.groupBy(score).agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(upto)).filter((F.col("upto") >= k) & (F.col("upto") - F.col("n") < k))
+    edge = hist.first()
+    if edge is None:
+        return df.limit(0)
+    return df.filter(F.col(score) > edge[score]).unionByName(df.filter(F.col(score) == edge[score]).orderBy(*ARRIVAL).limit(k - edge.upto + edge.n))
+
+
 def cheapest(trials: DataFrame, *order: str) -> DataFrame:
     """The cheapest trial, the lowest limits among equals."""
     return trials.orderBy("total_cost", *order).limit(1)

@@ -44,7 +44,7 @@ query("agg_11_daily_results", DAILY_SQL)(daily_results)
 SELECT id, amount >= 150 AS large_amount, card_txn_1h >= 1 AS burst_last_hour, card_txn_24h >= 4 AS many_last_24h, card_amt_24h + amount >= 300 AS high_spend_24h,
        coalesce(card_new_device, 0) = 1 AND amount >= 100 AS new_device_and_large FROM feat""", "feat"))
 def rules_fired(spark, sf_dir):
-    return P.featured(lake.txn(spark, sf_dir)).select("id", *[c.alias(n) for n, c in P.fired(P.Rules()).items()])
+    return P.featured(lake.txn(spark, sf_dir)).select("id", *[c.alias(n) for n, _, c in P.conditions()])
 
 
 @query("prj_10_rules_score", sql("SELECT id, points, round(points + least(greatest(CAST(amount AS DOUBLE), 0), 100000) / 100000 * 0.99 + 1e-9, 6) AS rules_score FROM scored", "scored"))
@@ -120,12 +120,35 @@ def segment_table(spark, sf_dir):
     return long.groupBy("segment", "value").agg(F.count("*").alias("rows"), F.round(F.avg(alert.cast("int")), 6).alias("alert_rate"), share(alert & fraud, alert).alias("precision"), share(alert & fraud, fraud).alias("recall"), P.realised(C)[6].alias("value_caught"))
 
 
-@query("pol_5_tune_expected_loss")
+#: What (action, label, amount) cost in all, with cost parameters as columns or numbers.
+def _total_sql(fee="20", review="7", catch="0.9::DOUBLE", margin="0.25", fixed="10", delay="2") -> str:
+    loss = f"(CAST(amount AS DOUBLE) + {fee})"
+    return f"""round(coalesce(sum(CASE WHEN label = 1 AND action = 'approve' THEN {loss} WHEN label = 1 AND action = 'review' THEN (1 - {catch}) * {loss} ELSE 0 END)
+    + sum(CASE WHEN label = 0 AND action = 'decline' THEN {margin} * CAST(amount AS DOUBLE) + {fixed} ELSE 0 END)
+    + sum(CASE WHEN action = 'review' THEN {review} + CASE WHEN label = 0 THEN {delay} ELSE 0 END ELSE 0 END), 0), 4)"""
+
+
+@query("pol_5_tune_expected_loss", sql(f"""
+SELECT g AS threshold, round({_total_sql()} + coalesce(max(base), 0), 3) AS total_cost, count(*) FILTER (action = 'review') AS reviews
+FROM (SELECT *, CASE WHEN want AND sum(CAST(want AS INTEGER)) OVER (PARTITION BY g, day ORDER BY t, id ROWS UNBOUNDED PRECEDING) <= 10 THEN 'review' WHEN e_decline < e_approve THEN 'decline' ELSE 'approve' END AS action
+      FROM (SELECT *, priority > g AS want FROM v, grid WHERE priority > 0)),
+     (SELECT {_total_sql()} AS base FROM (SELECT *, CASE WHEN e_decline < e_approve THEN 'decline' ELSE 'approve' END AS action FROM v WHERE priority <= 0))
+GROUP BY g""", "priced", more="""
+v AS (SELECT *, least(e_approve, e_decline) - e_review AS priority FROM priced WHERE split = 'valid'),
+grid AS (SELECT DISTINCT round(g, 6) AS g FROM (SELECT unnest(quantile_cont(priority, [k / 59.0::DOUBLE for k in range(60)])) AS g FROM v WHERE priority > 0) UNION SELECT 0.0::DOUBLE)"""))
 def tune_expected_loss(spark, sf_dir):
     return P.tune_expected_loss(priced(spark, sf_dir).filter("split = 'valid'"), C)
 
 
-@query("pol_6_tune_cutoffs")
+@query("pol_6_tune_cutoffs", sql(f"""
+SELECT decline_at, review_at, round({_total_sql()} + coalesce(max(base), 0), 3) AS total_cost
+FROM (SELECT *, CASE WHEN p >= decline_at THEN 'decline' WHEN want AND sum(CAST(want AS INTEGER)) OVER (PARTITION BY decline_at, review_at, day ORDER BY t, id ROWS UNBOUNDED PRECEDING) <= 10 THEN 'review' ELSE 'approve' END AS action
+      FROM (SELECT *, p >= review_at AND p < decline_at AS want FROM top, (SELECT a.g AS decline_at, b.g AS review_at FROM grid a, grid b WHERE b.g <= a.g))),
+     (SELECT {_total_sql()} AS base FROM (SELECT *, 'approve' AS action FROM priced WHERE split = 'valid' AND p < (SELECT low FROM low)))
+GROUP BY decline_at, review_at""", "priced", more="""
+low AS (SELECT round(quantile_cont(p, 0.9), 6) AS low FROM priced WHERE split = 'valid'),
+top AS (SELECT * FROM priced WHERE split = 'valid' AND p >= (SELECT low FROM low)),
+grid AS (SELECT DISTINCT round(g, 6) AS g FROM (SELECT unnest(quantile_cont(p, [k / 39.0::DOUBLE for k in range(40)])) AS g FROM top) UNION SELECT 1e9::DOUBLE)"""))
 def tune_cutoffs(spark, sf_dir):
     return P.tune_cutoffs(priced(spark, sf_dir).filter("split = 'valid'"), "p", C)
 
@@ -161,7 +184,7 @@ def tune_rules(spark, sf_dir):
     """Average precision of all 432 combinations of limits, in one pass over rows times grid, and one ordered sum per combination."""
     df = P.featured(lake.txn(spark, sf_dir)).filter("split = 'valid'")
     grid = spark.createDataFrame(list(itertools.product(*GRID.values())), "g_amount double, g_txn_1h int, g_txn_24h int, g_spend_24h double, g_new_device_amount double")
-    trials = df.crossJoin(F.broadcast(grid)).withColumn("s", F.round(P.rules_score(P.points({k: F.col(f"g_{k}") for k in GRID})), 9))
+    trials = df.crossJoin(F.broadcast(grid)).withColumn("s", F.round(P.rules_score(P.points({k: f"g_{k}" for k in GRID})), 9))
     g = [f"g_{k}" for k in GRID]
     cells = metrics.by_score(trials, "s", *g)
     return cells.groupBy(*g).agg(F.round(metrics.average_precision(), 4).alias("pr_auc")).select(*[F.col(f"g_{k}").alias(k) for k in GRID], "pr_auc")
@@ -175,20 +198,33 @@ def parameter_grid(spark, sf_dir):
     return df.groupBy("fee", "review").agg(F.round(F.sum(F.least(loss, F.col("review") + 0.1 * loss)), 3).alias("cost")).select(F.col("fee").cast("decimal(3,1)").alias("fee"), F.col("review").cast("decimal(3,1)").alias("review"), "cost")
 
 
-@query("agg_12_sensitivity")
+_VARIANTS = "(VALUES " + ", ".join(
+    f"('{name}', {float(end)}::DOUBLE, " + ", ".join(f"{float(end if k == name else getattr(C, k))}::DOUBLE" for k in P.RANGES) + ")" for name, ends in P.RANGES.items() for end in ends
+) + ") w(parameter, value, " + ", ".join(f"c_{k}" for k in P.RANGES) + ")"
+_ANY = _total_sql("c_fee", "c_review", "c_catch", "c_margin", "c_fixed", "c_delay")
+
+
+@query("agg_12_sensitivity", sql(f"""
+SELECT parameter, value, threshold, {_ANY} AS total_cost
+FROM (SELECT *, CASE WHEN want AND sum(CAST(want AS INTEGER)) OVER (PARTITION BY parameter, value, day ORDER BY t, id ROWS UNBOUNDED PRECEDING) <= c_capacity THEN 'review' WHEN e_decline < e_approve THEN 'decline' ELSE 'approve' END AS action
+      FROM (SELECT *, priority > threshold AND priority > 0 AS want FROM varied JOIN best USING (parameter, value) WHERE split = 'test'))
+GROUP BY parameter, value, threshold""", "scored", more=f"""
+varied AS (SELECT *, least(e_approve, e_decline) - e_review AS priority FROM (
+  SELECT *, p * (CAST(amount AS DOUBLE) + c_fee) AS e_approve, (1 - p) * (c_margin * CAST(amount AS DOUBLE) + c_fixed) AS e_decline,
+    c_review + p * (1 - c_catch) * (CAST(amount AS DOUBLE) + c_fee) + (1 - p) * c_delay AS e_review FROM scored, {_VARIANTS})),
+v AS (SELECT * FROM varied WHERE split = 'valid'),
+grid AS (SELECT DISTINCT parameter, value, round(g, 6) AS g FROM (SELECT parameter, value, unnest(quantile_cont(priority, [k / 59.0::DOUBLE for k in range(60)])) AS g FROM v WHERE priority > 0 GROUP BY parameter, value)
+         UNION SELECT parameter, value, 0.0::DOUBLE FROM {_VARIANTS}),
+rest AS (SELECT parameter, value, {_ANY} AS base FROM (SELECT *, CASE WHEN e_decline < e_approve THEN 'decline' ELSE 'approve' END AS action FROM v WHERE priority <= 0) GROUP BY parameter, value),
+trials AS (
+  SELECT parameter, value, g, {_ANY} AS own
+  FROM (SELECT *, CASE WHEN want AND sum(CAST(want AS INTEGER)) OVER (PARTITION BY parameter, value, g, day ORDER BY t, id ROWS UNBOUNDED PRECEDING) <= c_capacity THEN 'review' WHEN e_decline < e_approve THEN 'decline' ELSE 'approve' END AS action
+        FROM (SELECT *, priority > g AS want FROM v JOIN grid USING (parameter, value) WHERE priority > 0))
+  GROUP BY parameter, value, g),
+best AS (SELECT parameter, value, g AS threshold FROM (SELECT *, row_number() OVER (PARTITION BY parameter, value ORDER BY round(own + coalesce(base, 0), 3), g) AS r FROM trials LEFT JOIN rest USING (parameter, value)) WHERE r = 1)"""))
 def sensitivity(spark, sf_dir):
     """Each cost parameter at both ends: tuned anew on validation, its cost on test."""
-    base = scored(spark, sf_dir).cache()
-    out = None
-    for name, ends in P.RANGES.items():
-        for end in ends:
-            c = C.with_(**{name: end})
-            df = P.priced(base, c)
-            best = P.cheapest(P.tune_expected_loss(df.filter("split = 'valid'"), c), "threshold").select("threshold")
-            act = df.filter("split = 'test'").crossJoin(F.broadcast(best)).withColumn("action", P.expected_loss(F.col("threshold"), c))
-            row = act.agg(F.first("threshold").alias("threshold"), P.realised(c)[0].alias("total_cost")).select(F.lit(name).alias("parameter"), F.lit(float(end)).alias("value"), "threshold", "total_cost")
-            out = row if out is None else out.unionByName(row)
-    return out
+    return P.sensitivity(scored(spark, sf_dir), C)
 
 
 _CELLS = """
@@ -272,7 +308,7 @@ SELECT id, list_transform(list_sort(list_filter([{'c': -2 * CAST(amount >= 150 A
   {'c': -CAST(card_amt_24h + amount >= 300 AS INTEGER), 'f': 'high_spend_24h'}, {'c': -CAST(coalesce(card_new_device, 0) = 1 AND amount >= 100 AS INTEGER), 'f': 'new_device_and_large'}], lambda x: x.c < 0))[1:3], lambda x: x.f).array_to_string(',') AS reasons FROM feat""", "feat"))
 def top_reasons(spark, sf_dir):
     """The three largest positive contributions to a rules score, in order."""
-    each = F.array(*[F.struct((-F.when(c, P.POINTS[n]).otherwise(0)).alias("c"), F.lit(n).alias("f")) for n, c in P.fired(P.Rules()).items()])
+    each = F.array(*[F.struct((-F.when(c, worth).otherwise(0)).alias("c"), F.lit(n).alias("f")) for n, worth, c in P.conditions()])
     top = F.slice(F.array_sort(F.filter(each, lambda x: x["c"] < 0)), 1, 3)
     return P.featured(lake.txn(spark, sf_dir)).select("id", F.array_join(F.transform(top, lambda x: x["f"]), ",").alias("reasons"))
 
@@ -295,13 +331,22 @@ def mean_abs(spark, sf_dir):
     return long.groupBy("feature").agg(F.round(F.avg(F.abs("c")), 6).alias("mean_abs"))
 
 
-@query("agg_26_top_reason_shares", sql("""
-SELECT reason, count(*) AS rows, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM (
-  SELECT CASE WHEN card_txn_1h >= 1 THEN 'burst_last_hour' WHEN amount >= 150 THEN 'large_amount' WHEN card_amt_24h + amount >= 300 THEN 'high_spend_24h' WHEN card_txn_24h >= 4 THEN 'many_last_24h' WHEN coalesce(card_new_device, 0) = 1 AND amount >= 100 THEN 'new_device_and_large' END AS reason FROM feat)
-WHERE reason IS NOT NULL GROUP BY reason""", "feat"))
+_FIRST_REASON = "CASE WHEN card_txn_1h >= 1 THEN 'burst_last_hour' WHEN amount >= 150 THEN 'large_amount' WHEN card_amt_24h + amount >= 300 THEN 'high_spend_24h' WHEN card_txn_24h >= 4 THEN 'many_last_24h' WHEN coalesce(card_new_device, 0) = 1 AND amount >= 100 THEN 'new_device_and_large' END"
+#: What each rule looks at, fixed.
+FAMILY = {"large_amount": "amount", "burst_last_hour": "velocity", "many_last_24h": "velocity", "high_spend_24h": "amount", "new_device_and_large": "novelty"}
+_FAMILY_SQL = "CASE reason " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FAMILY.items()) + " END"
+
+
+@query("agg_26_top_reason_shares", sql(f"""
+SELECT level, name, rows, round(rows / sum(rows) OVER (PARTITION BY level), 6) AS share FROM (
+  SELECT 'feature' AS level, reason AS name, count(*) AS rows FROM r GROUP BY reason UNION ALL SELECT 'family', {_FAMILY_SQL}, count(*) FROM r GROUP BY ALL)""", "scored", more=f"""
+r AS (SELECT {_FIRST_REASON} AS reason FROM scored WHERE points >= 3)"""))
 def reason_shares(spark, sf_dir):
-    first = top_reasons(spark, sf_dir).select(F.split("reasons", ",")[0].alias("reason")).filter("reason <> ''")
-    return first.groupBy("reason").agg(F.count("*").alias("rows")).withColumn("share", F.round(F.col("rows") / F.sum("rows").over(Window.partitionBy()), 6))
+    """Among alerts of the rules (3 points or more), the first reason's share, by feature and by family."""
+    alerts = scored(spark, sf_dir).filter("points >= 3")
+    reason = F.array_min(F.array(*[F.when(c, F.struct(F.lit(-worth).alias("c"), F.lit(n).alias("f"), F.lit(FAMILY[n]).alias("family"))) for n, worth, c in P.conditions()]))
+    both = alerts.select(reason.alias("r")).select(F.explode(F.array(F.struct(F.lit("feature").alias("level"), F.col("r.f").alias("name")), F.struct(F.lit("family").alias("level"), F.col("r.family").alias("name")))).alias("x")).select("x.*")
+    return both.groupBy("level", "name").agg(F.count("*").alias("rows")).withColumn("share", F.round(F.col("rows") / F.sum("rows").over(Window.partitionBy("level")), 6))
 
 
 @query("agg_27_busiest_key", sql("""
@@ -312,7 +357,7 @@ FROM (SELECT card, count(*) AS rows, avg(label) AS rate FROM scored GROUP BY car
 def busiest_key(spark, sf_dir):
     df = scored(spark, sf_dir)
     k = df.count() // 100
-    top = df.orderBy(F.desc("p"), "t", "id").limit(k)
+    top = P.top_share(df, "p", 0.01)
     busy = df.groupBy("card").agg(F.count("*").alias("rows"), F.round(F.avg("label"), 6).alias("rate")).orderBy(F.desc("rows"), "card").limit(1)
     share = top.join(F.broadcast(busy.select("card")), "card", "left_semi").agg(F.round(F.count("*") / k, 6).alias("share_of_top"))
     return busy.crossJoin(F.broadcast(share))
@@ -321,7 +366,7 @@ def busiest_key(spark, sf_dir):
 @query("srt_4_top_percent", sql("SELECT id FROM (SELECT id, row_number() OVER (ORDER BY p DESC, t, id) AS r FROM scored) WHERE r <= (SELECT count(*) // 100 FROM scored)", "scored"))
 def top_percent(spark, sf_dir):
     df = scored(spark, sf_dir)
-    return df.orderBy(F.desc("p"), "t", "id").limit(df.count() // 100).select("id")
+    return P.top_share(df, "p", 0.01).select("id")
 
 
 @query("win_17_cumulative_saving", sql(f"""

@@ -71,15 +71,24 @@ SELECT id, {_keyed('device', f'count(*) ' + _over('device', ALL, f'{D + 1} PRECE
     _features("counts", Feature("known_rows", "device", "known_all", None, "label", D), Feature("known_positives", "device", "known", None, "label", D), source=lake.gappy))
 
 
-@query("features_all_twenty", sql(f"""
-SELECT id, count(*) {_over('card', H)} AS card_txn_1h, count(*) {_over('card', 30 * D)} AS card_txn_30d, round(CAST(coalesce(sum(amount) {_over('card', 7 * D)}, 0) AS DOUBLE), 6) AS card_amt_7d,
-  t - max(t) {_over('card', ALL)} AS card_secs_since_prev, count(DISTINCT device) {_over('card', 30 * D)} AS card_devices_30d, count(*) {_over('device', D)} AS device_txn_24h,
-  count(DISTINCT card) {_over('device', 7 * D)} AS device_cards_7d, count(*) {_over('email', 7 * D)} AS email_txn_7d, count(*) {_over('card', ALL, f'{3 * D + 1} PRECEDING')} AS card_known_labelled
-FROM txn""", "txn"))
+_TWENTY = sql(f"""
+SELECT id, count(*) {_over('card', H)} AS card_txn_1h, count(*) {_over('card', D)} AS card_txn_24h, count(*) {_over('card', 7 * D)} AS card_txn_7d, count(*) {_over('card', 30 * D)} AS card_txn_30d, n AS card_txn_prior,
+  round(CAST(coalesce(sum(amount) {_over('card', D)}, 0) AS DOUBLE), 6) AS card_amt_24h, round(CAST(coalesce(sum(amount) {_over('card', 7 * D)}, 0) AS DOUBLE), 6) AS card_amt_7d,
+  t - max(t) {_over('card', ALL)} AS card_secs_since_prev, CASE WHEN n >= 2 AND sd > 1e-9 THEN round((CAST(amount AS DOUBLE) - m) / sd, 4) END AS card_amt_zscore, CASE WHEN s > 0 THEN round(CAST(amount AS DOUBLE) / (CAST(s AS DOUBLE) / n), 6) END AS card_amt_ratio,
+  count(DISTINCT device) {_over('card', 30 * D)} AS card_devices_30d, count(DISTINCT email) {_over('card', 30 * D)} AS card_emails_30d,
+  CAST(t = min(t) OVER (PARTITION BY card, device) AS INTEGER) AS card_new_device, CAST(t = min(t) OVER (PARTITION BY card, email) AS INTEGER) AS card_new_email,
+  count(*) {_over('device', D)} AS device_txn_24h, count(DISTINCT card) {_over('device', 7 * D)} AS device_cards_7d, count(*) {_over('email', 7 * D)} AS email_txn_7d,
+  coalesce(k, 0) AS card_known_chargebacks, kn AS card_known_labelled, round(CAST(k AS DOUBLE) / nullif(kn, 0), 6) AS card_known_fraud_rate
+FROM (SELECT *, count(*) {_over('card', ALL)} AS n, sum(amount) {_over('card', ALL)} AS s, avg(CAST(amount AS DOUBLE)) {_over('card', ALL)} AS m, stddev_samp(CAST(amount AS DOUBLE)) {_over('card', ALL)} AS sd,
+        CAST(sum(label) {_over('card', ALL, f'{3 * D + 1} PRECEDING')} AS BIGINT) AS k, count(*) {_over('card', ALL, f'{3 * D + 1} PRECEDING')} AS kn FROM txn)""", "txn")
+
+
+@query("features_all_twenty", _TWENTY)
 def all_features(spark, sf_dir):
-    """Nine of the twenty in one plan; columns of the others may be pruned."""
+    """All twenty in one plan."""
+    digits = {"sum": 6, "zscore": 4, "ratio": 6, "known_rate": 6}
     out = history.add_history(lake.txn(spark, sf_dir))
-    return out.select("id", "card_txn_1h", "card_txn_30d", F.round("card_amt_7d", 6).alias("card_amt_7d"), "card_secs_since_prev", "card_devices_30d", "device_txn_24h", "device_cards_7d", "email_txn_7d", "card_known_labelled")
+    return out.select("id", *[F.round(f.name, digits[f.kind]).alias(f.name) if f.kind in digits else F.col(f.name) for f in FEATURES])
 
 
 CARD = tuple(f for f in FEATURES if f.entity == "card")
@@ -89,7 +98,7 @@ _CHECKED = ",".join(f"('{f.name}')" for f in CARD)
 def _check(spark, sf_dir, leaky: bool) -> DataFrame:
     df = lake.gappy(spark, sf_dir)
     ids = history.sample_rows(df)
-    got = history.long_form(history.add_history(df, CARD, leaky=leaky).join(F.broadcast(ids), "id", "left_semi"), [f.name for f in CARD])
+    got = history.long_form(history.add_history(df, CARD, leaky=leaky).join(ids, "id", "left_semi"), [f.name for f in CARD])
     return history.differences(history.recompute(df, ids, CARD), got)
 
 
@@ -104,7 +113,19 @@ def point_in_time(spark, sf_dir):
     return _check(spark, sf_dir, leaky=False)
 
 
-@query("ver_2_leak_canary", sql("SELECT 'every count, gap and label feature' AS found, true AS caught"))
+def _leaks(value: str, low: str = ALL, empty: str = "0") -> str:
+    return f"coalesce({value} {_over('card', low)}, {empty}) <> coalesce({value} {_over('card', low, 'CURRENT ROW')}, {empty})"
+
+
+_LEAKS = ", ".join(f"count(*) FILTER (l{k}) > 0" for k in range(9))
+_LEAK_COLUMNS = ", ".join(f"{x} AS l{k}" for k, x in enumerate([
+    *[_leaks("count(*)", w) for w in (H, D, 7 * D, 30 * D, ALL)], _leaks("sum(amount)", D), _leaks("sum(amount)", 7 * D), _leaks("max(t)", empty="-1"),
+    "device IS NOT NULL AND t = min(t) OVER (PARTITION BY card, device)",
+]))
+
+
+@query("ver_2_leak_canary", sql(f"""
+SELECT 'every count, gap and label feature' AS found, list_bool_and([{_LEAKS}]) AS caught FROM (SELECT * FROM (SELECT id, {_LEAK_COLUMNS} FROM gappy) WHERE id IN (SELECT id FROM sampled))""", "gappy", more=_SAMPLE))
 def canary(spark, sf_dir):
     """Frames that see their own second must be found by the same check."""
     must = ["card_txn_1h", "card_txn_24h", "card_txn_7d", "card_txn_30d", "card_txn_prior", "card_amt_24h", "card_amt_7d", "card_secs_since_prev", "card_new_device"]
@@ -160,7 +181,7 @@ def verification_sample(spark, sf_dir):
 @query("jn_4_semi_join_on_sample", sql("SELECT t.id, t.card, t.amount::DOUBLE AS amount FROM txn t WHERE id IN (SELECT id FROM sampled)", "txn", more=_SAMPLE))
 def semi_join(spark, sf_dir):
     df = lake.txn(spark, sf_dir)
-    return df.join(F.broadcast(history.sample_rows(df)), "id", "left_semi").select("id", "card", F.col("amount").cast("double").alias("amount"))
+    return df.join(history.sample_rows(df), "id", "left_semi").select("id", "card", F.col("amount").cast("double").alias("amount"))
 
 
 @query("set_1_union_distinct", sql("SELECT id FROM txn WHERE id % 7 = 0 UNION SELECT id FROM txn WHERE label = 1", "txn"))

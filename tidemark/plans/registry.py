@@ -32,7 +32,7 @@ feat AS (
 scored AS (
   SELECT *, 2 * CAST(amount >= 150 AS INTEGER) + 2 * CAST(card_txn_1h >= 1 AS INTEGER) + CAST(card_txn_24h >= 4 AS INTEGER)
            + CAST(card_amt_24h + amount >= 300 AS INTEGER) + CAST(coalesce(card_new_device, 0) = 1 AND amount >= 100 AS INTEGER) AS points,
-    round(1 / (1 + exp(-(-4.5 + 0.5 * ln(1 + card_txn_24h) + 0.012 * CAST(amount AS DOUBLE) + 0.8 * coalesce(card_new_device, 0) + 2.5 * label))), 6) AS p
+    round(1 / (1 + exp(-(-4.5 + 0.5 * ln(1 + card_txn_24h) + 0.012 * CAST(amount AS DOUBLE) + 0.8 * coalesce(card_new_device, 0)))), 6) AS p
   FROM feat)""",
     "priced": """
 priced AS (
@@ -86,7 +86,9 @@ COSTS_SQL = """
   round(sum(CASE WHEN label = 1 AND action = 'decline' THEN CAST(amount AS DOUBLE) WHEN label = 1 AND action = 'review' THEN 0.9 * CAST(amount AS DOUBLE) ELSE 0 END), 4) AS fraud_value_caught,
   count(*) FILTER (action = 'decline') AS declines, count(*) FILTER (action = 'decline' AND label = 0) AS declined_legit,
   count(*) FILTER (action = 'review') AS reviews, count(*) FILTER (action = 'review' AND label = 1) AS reviewed_fraud,
-  count(*) FILTER (action = 'approve' AND label = 1) AS approved_fraud"""
+  count(*) FILTER (action = 'approve' AND label = 1) AS approved_fraud,
+  round(sum(CASE WHEN label = 1 AND action = 'decline' THEN CAST(amount AS DOUBLE) WHEN label = 1 AND action = 'review' THEN 0.9 * CAST(amount AS DOUBLE) ELSE 0 END)
+    / nullif(CAST(coalesce(sum(amount) FILTER (label = 1), 0) AS DOUBLE), 0), 6) AS fraud_value_caught_share"""
 
 
 def sql(body: str, *ctes: str, more: str = "") -> str:

@@ -72,7 +72,7 @@ def daily_budget(spark, sf_dir):
     src, out, ck = _folder(spark), _folder(spark), _folder(spark)
     _files(features.messages(lake.txn(spark, sf_dir), DELAY), src)
     f = features.card_features(landing.file_source(spark, src, features.EVENT, 2))
-    ready = f.withColumn("points", P.points(P.Rules()).cast("int")).withColumn("day", F.floor(F.col("t") / 86400))
+    ready = f.withColumn("points", P.points().cast("int")).withColumn("day", F.floor(F.col("t") / 86400))
     features.run_to_end(features.day_decisions(ready.select("id", "t", "day", "points", "ts"), P.Costs().capacity, 3, 6), out, ck)
     return spark.read.parquet(out).select("id", "points", "action")
 
