@@ -53,9 +53,11 @@ def lineage(spark, sf_dir):
     return df.agg(F.count("*").alias("rows"), F.count_if(F.col("source_file").endswith(".csv")).alias("with_file"), F.count("loaded_at").alias("with_time"))
 
 
-@query("src_4_layered_scan", sql("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"))
+@query("src_4_layered_scan", sql("SELECT l_orderkey, l_linenumber, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'"))
 def layered_scan(spark, sf_dir):
-    return lake.table(spark, sf_dir, "nation").join(F.broadcast(lake.table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    """Two tables of the lake by name; the filter and the four columns reach their scans."""
+    line, orders = lake.table(spark, sf_dir, "lineitem"), lake.table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_orderstatus")
 
 
 @query("src_5_split_frame", sql("SELECT id, t, CAST(amount AS DOUBLE) AS amount, label FROM txn WHERE split IN ('valid', 'test')", "txn"))
@@ -208,10 +210,11 @@ def uniqueness(spark, sf_dir):
     return tables.not_unique(lake.table(spark, sf_dir, "orders"), "o_custkey")
 
 
-@query("agg_3_exact_duplicates", sql("SELECT count(*) * 2 AS rows, count(*) AS duplicates FROM nation"))
+@query("agg_3_exact_duplicates", sql("SELECT count(*) + count(*) FILTER (event_id % 10 = 0) AS rows, count(*) FILTER (event_id % 10 = 0) AS duplicates FROM events"))
 def duplicates(spark, sf_dir):
-    n = lake.table(spark, sf_dir, "nation")
-    twice = n.unionByName(n)
+    """The log with every tenth event twice: how many rows an exact de-duplication drops."""
+    log = lake.table(spark, sf_dir, "events")
+    twice = log.unionByName(log.filter("event_id % 10 = 0"))
     return twice.agg(F.count("*").alias("rows")).crossJoin(twice.dropDuplicates().agg(F.count("*").alias("kept"))).select("rows", (F.col("rows") - F.col("kept")).alias("duplicates"))
 
 
@@ -322,9 +325,15 @@ def split_summary(spark, sf_dir):
     )
 
 
-@query("agg_6_daily_counts", sql("SELECT day, count(*) AS rows, CAST(sum(label) AS BIGINT) AS fraud FROM txn GROUP BY day", "txn"))
-def daily_counts(spark, sf_dir):
-    return lake.txn(spark, sf_dir).groupBy("day").agg(F.count("*").alias("rows"), F.sum("label").alias("fraud"))
+@query("agg_6_daily_counts", sql("""
+SELECT kind, n, count(*) AS rows, CAST(sum(label) AS BIGINT) AS fraud
+FROM (SELECT unnest(['day', 'weekday', 'month']) AS kind, unnest([day, (day % 7 + 7) % 7, CAST(12 * year(d) + month(d) - 1 AS BIGINT)]) AS n, label FROM (SELECT *, DATE '2024-01-01' + CAST(day AS INTEGER) AS d FROM txn)) GROUP BY kind, n""", "txn"))
+def calendar_counts(spark, sf_dir):
+    """Rows and positives by day, by weekday (0 is that of the first day) and by month, in one pass."""
+    date = F.date_add(F.lit("2024-01-01").cast("date"), F.col("day").cast("int"))
+    kinds = {"day": F.col("day"), "weekday": F.pmod(F.col("day"), F.lit(7)), "month": (12 * F.year(date) + F.month(date) - 1).cast("long")}
+    long = lake.txn(spark, sf_dir).select("label", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("long").alias("n")) for k, v in kinds.items()])).alias("x")).select("label", "x.*")
+    return long.groupBy("kind", "n").agg(F.count("*").alias("rows"), F.sum("label").alias("fraud"))
 
 
 @query("srt_2_busiest_days", sql("SELECT day, count(*) AS rows FROM txn GROUP BY day ORDER BY rows DESC, day LIMIT 5", "txn"))

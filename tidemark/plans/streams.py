@@ -27,19 +27,37 @@ def _files(df: DataFrame, path: str) -> None:
         part.coalesce(2).write.mode("append").json(path)
 
 
-@query("str_1_landing", sql("SELECT 'transactions' AS topic, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM txn UNION ALL SELECT 'labels', count(*), CAST(sum(id) AS BIGINT) FROM txn WHERE label = 1", "txn"))
+_TOPICS = """
+SELECT 'transactions' AS topic, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM txn UNION ALL SELECT 'labels', count(*), CAST(sum(id) AS BIGINT) FROM txn WHERE label = 1
+UNION ALL SELECT 'decisions', count(*), CAST(sum(id) AS BIGINT) FROM txn WHERE amount >= 80"""
+
+
+def _topics(df: DataFrame, path: str) -> None:
+    """Messages of three topics, one folder each."""
+    df.select(F.to_json(F.struct("id", "t", "card", "device")).alias("value")).repartition(3).write.mode("append").text(f"{path}/transactions")
+    df.filter("label = 1").select(F.to_json(F.struct("id", "label")).alias("value")).write.mode("append").text(f"{path}/labels")
+    df.filter("amount >= 80").select(F.to_json(F.struct("id", F.lit("review").alias("action"))).alias("value")).write.mode("append").text(f"{path}/decisions")
+
+
+@query("str_1_landing", sql(_TOPICS, "txn"))
 def land(spark, sf_dir):
-    """Two topics of messages landed as they are; a second run finds nothing new."""
+    """Three topics of messages landed as they are, in one run."""
     src, out, ck = _folder(spark), _folder(spark), _folder(spark)
-    df = lake.txn(spark, sf_dir)
-    df.select(F.to_json(F.struct("id", "t", "card", "device")).alias("value")).repartition(3).write.text(f"{src}/transactions")
-    df.filter("label = 1").select(F.to_json(F.struct("id", "label")).alias("value")).write.text(f"{src}/labels")
-    for _ in range(2):
-        landing.land(landing.text_source(spark, src), out, ck).awaitTermination()
+    _topics(lake.txn(spark, sf_dir), src)
+    landing.land(landing.text_source(spark, src), out, ck).awaitTermination()
     return spark.read.parquet(out).groupBy("topic").agg(F.count("*").alias("rows"), F.sum(F.col("key").cast("long")).alias("ids"))
 
 
-query("snk_2_exactly_once_sink", sql("SELECT 'transactions' AS topic, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM txn UNION ALL SELECT 'labels', count(*), CAST(sum(id) AS BIGINT) FROM txn WHERE label = 1", "txn"))(land)
+@query("snk_2_exactly_once_sink", sql("SELECT topic, rows, rows AS messages, ids FROM (" + _TOPICS + ")", "txn"))
+def exactly_once(spark, sf_dir):
+    """Three runs on one checkpoint, with half of the messages there at first, all at the second, and nothing new at the third: each message lands once."""
+    src, out, ck = _folder(spark), _folder(spark), _folder(spark)
+    df = lake.txn(spark, sf_dir)
+    for part in (df.filter("id % 2 = 0"), df.filter("id % 2 <> 0"), None):
+        if part is not None:
+            _topics(part, src)
+        landing.land(landing.text_source(spark, src), out, ck).awaitTermination()
+    return spark.read.parquet(out).groupBy("topic").agg(F.count("*").alias("rows"), F.count_distinct("key").alias("messages"), F.sum(F.col("key").cast("long")).alias("ids"))
 
 
 def _streamed(spark, sf_dir) -> DataFrame:
@@ -91,14 +109,30 @@ def windowed(spark, sf_dir):
     return spark.read.parquet(out).filter("email <> ''").select("email", day.alias("day"), "rows")
 
 
-@query("str_5_late_rows", sql("SELECT count(*) FILTER (id % 50 = 0 AND t < (SELECT max(t) FROM txn WHERE id % 50 <> 0) - 3600) AS late FROM txn", "txn"))
+@query("str_5_late_rows", sql("""
+SELECT CASE WHEN id % 50 = 0 AND t < (SELECT max(t) FROM txn WHERE id % 50 <> 0) - 3600 THEN 'late' ELSE 'on time' END AS went, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM txn GROUP BY went""", "txn"))
 def late(spark, sf_dir):
-    """Every fiftieth row arrives after all others: a batch simulation counts those older than the watermark. No stream keeps them yet."""
-    df = lake.txn(spark, sf_dir).withColumn("part", F.when(F.col("id") % 50 == 0, 2).otherwise(1))
-    return features.late_rows(df, 3600).agg(F.count("*").alias("late"))
-
-
-query("str_10_stream_equals_batch", sql("SELECT feature, (SELECT count(*) FROM txn) AS rows, 0 AS different FROM (VALUES ('card_txn_1h'), ('card_txn_24h'), ('card_amt_24h'), ('card_new_device'), ('card_known')) f(feature)", "txn"))(parity)
+    """Every fiftieth row arrives after all others: those behind the watermark go to the dead-letter table, all others on."""
+    src, on_time, dead, clock, ck = (_folder(spark) for _ in range(5))
+    df = lake.txn(spark, sf_dir).select("id", "t")
+    for part in (df.filter("id % 50 <> 0"), df.filter("id % 50 = 0")):
+        part.repartition(2).write.mode("append").json(src)
+    features.split_late(landing.file_source(spark, src, "id long, t long", 2), 3600, on_time, dead, clock, ck)
+    both = spark.read.parquet(on_time).withColumn("went", F.lit("on time")).unionByName(spark.read.parquet(dead).withColumn("went", F.lit("late")))
+    return both.groupBy("went").agg(F.count("*").alias("rows"), F.sum("id").alias("ids"))
+
+
+@query("str_10_stream_equals_batch", sql("""
+SELECT feature, (SELECT count(*) FROM txn) AS rows, 0 AS different
+FROM (VALUES ('card_txn_1h'), ('card_txn_24h'), ('card_amt_24h'), ('card_new_device'), ('card_known'), ('points'), ('declined'), ('reviewed')) f(feature)""", "txn"))
+def stream_equals_batch(spark, sf_dir):
+    """Features and actions of the stream against those of the batch plan, value for value."""
+    batch = P.priced(P.scored(lake.txn(spark, sf_dir)))
+    action = P.cutoffs("points", 6, 3, P.Costs())
+    flags = lambda df: df.withColumns({"declined": (F.col("action") == "decline").cast("int"), "reviewed": (F.col("action") == "review").cast("int")})
+    names = ["points", "declined", "reviewed"]
+    acts = history.differences(history.long_form(flags(batch.withColumn("action", action)), names), history.long_form(flags(daily_budget(spark, sf_dir)), names), 1e-9)
+    return parity(spark, sf_dir).unionByName(acts)
 
 
 @query("str_7_labels_in_release_order", sql("SELECT id, coalesce(CAST(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 259201 PRECEDING) AS BIGINT), 0) AS card_known FROM txn", "txn"))

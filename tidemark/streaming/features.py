@@ -154,9 +154,24 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
 
 
-def late_rows(stream: DataFrame, lateness: int) -> DataFrame:
-    """Batch view of what a watermark of `lateness` seconds turns away: rows older than the newest one of an earlier file by more than that."""
-    newest = stream.groupBy("part").agg(F.max("t").alias("m"))
-    later = newest.select(F.col("part").alias("p2"), F.col("m").alias("m2"))
-    upto = newest.join(later, F.col("p2") < F.col("part")).groupBy("part").agg(F.max("m2").alias("seen"))
-    return stream.join(upto, "part").filter(F.col("t") < F.col("seen") - lateness)
+def split_late(stream: DataFrame, lateness: int, on_time: str, late: str, clock: str, checkpoint: str) -> None:
+    """Takes all that is there, and writes rows older than the newest one of an earlier batch by more than `lateness` seconds to the dead-letter table `late`.
+
+    All others go to `on_time`, which is what a keyed stream with that watermark may read without losing a row. The newest second of each batch is a
+    row of the table `clock`. A batch writes its own folders, so one that is tried again replaces what it wrote.
+    """
+    spark = stream.sparkSession
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark.createDataFrame([], "newest long, batch long").write.mode("append").parquet(clock)
+        seen = spark.read.schema("newest long, batch long").parquet(clock).filter(F.col("batch") < number).agg(F.max("newest").alias("m")).first().m
+        is_late = F.lit(False) if seen is None else F.coalesce(F.col("t") < seen - lateness, F.lit(False))
+        kept = batch.persist()
+        try:
+            kept.filter(~is_late).write.mode("overwrite").parquet(f"{on_time}/batch={number}")
+            kept.filter(is_late).write.mode("overwrite").parquet(f"{late}/batch={number}")
+            kept.agg(F.max("t").alias("newest")).withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(clock)
+        finally:
+            kept.unpersist()
+
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
