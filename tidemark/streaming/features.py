@@ -2,7 +2,7 @@
 
 Rows wait in state until the watermark has passed them and are then taken in order of time, transactions before labels of the same second, so
 the order in which files or topics were read doesn't matter. Rows of one second are all computed before any is folded in. Later
-rows than the watermark allows don't come in; see `late_rows`.
+rows than the watermark allows don't come in; `split_late` goes before the keyed stage and keeps them in a table of their own.
 """
 
 from __future__ import annotations
@@ -22,44 +22,69 @@ DECISION = "id long, t long, day long, points int, action string, ts timestamp"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _due(state: Any, upto_ms: int) -> tuple[list[tuple], list[tuple]]:
-    rows = list(state.get()) if state.exists() else []
-    return [r for r in rows if r[-1] <= upto_ms], [r for r in rows if r[-1] > upto_ms]
+class Waiting:
+    """Rows of a key that wait for the watermark, with one timer a key, at the earliest of them.
+
+    When it fires, all rows that the watermark has passed are taken at once, and the timer moves to the earliest of the rest. So a key costs one reading of its
+    waiting rows for each batch in which some are due, however many seconds they are of.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle, schema: str) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("waiting", schema)
+        self.at = handle.getValueState("timer", "ms long")
+
+    def add(self, rows: list[tuple]) -> None:
+        if rows:
+            self.rows.appendList(rows)
+            self._wake(min(r[-1] for r in rows))
+
+    def _wake(self, ms: int) -> None:
+        if not self.at.exists() or ms < int(self.at.get()[0]):
+            self.at.update((ms,))
+            self.handle.registerTimer(ms + EPOCH_MS)
+
+    def due(self, upto_ms: int) -> list[tuple]:
+        rows = list(self.rows.get()) if self.rows.exists() else []
+        later = [r for r in rows if r[-1] > upto_ms]
+        self.at.clear()
+        if later:
+            if len(later) < len(rows):
+                self.rows.put(later)
+            self._wake(min(r[-1] for r in later))
+        else:
+            self.rows.clear()
+        return [r for r in rows if r[-1] <= upto_ms]
 
 
 class CardFeatures(StatefulProcessor):
     """Per card: waiting rows, the last day's (second, cents), positives known, devices seen. Older history is dropped as time goes on."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "id long, t long, kind int, amount double, device string, label int, ms long")
+        self.waiting = Waiting(handle, "id long, t long, kind int, amount double, device string, label int, ms long")
         self.recent = handle.getListState("recent", "t long, cents long")
         self.known = handle.getValueState("known", "n long")
         self.devices = handle.getMapState("devices", "device string", "first long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         new = [(int(r.id), int(r.t), int(r.kind), float(r.amount), r.device if isinstance(r.device, str) else None, int(r.label), int(r.t) * 1000) for pdf in rows for r in pdf.itertuples(index=False)]
-        self.waiting.appendList(new)
-        for ms in {r[-1] for r in new}:
-            self.handle.registerTimer(ms + EPOCH_MS)
+        self.waiting.add(new)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        due, later = _due(self.waiting, expiredTimerInfo.getExpiryTimeInMs() - EPOCH_MS)
+        due = self.waiting.due(timerValues.getCurrentWatermarkInMs() - EPOCH_MS)
         if not due:
             return
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
         known = int(self.known.get()[0]) if self.known.exists() else 0
         recent = [(int(a), int(b)) for a, b in self.recent.get()] if self.recent.exists() else []
         out, at = [], 0
         due.sort(key=lambda r: (r[1], r[2], r[0]))
         while at < len(due):
             t = due[at][1]
-            same = [r for r in due[at:] if r[1] == t]
-            at += len(same)
+            upto = at
+            while upto < len(due) and due[upto][1] == t:
+                upto += 1
+            same, at = due[at:upto], upto
             recent = [x for x in recent if x[0] >= t - DAY]
             day, hour = sum(1 for x in recent), sum(1 for x in recent if x[0] >= t - HOUR)
             spent = sum(x[1] for x in recent) / 100
@@ -88,25 +113,18 @@ class DayBudget(StatefulProcessor):
         self.capacity, self.review_at, self.decline_at = capacity, review_at, decline_at
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "id long, t long, points int, ms long")
+        self.waiting = Waiting(handle, "id long, t long, points int, ms long")
         self.given = handle.getValueState("given", "n long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         new = [(int(r.id), int(r.t), int(r.points), int(r.t) * 1000) for pdf in rows for r in pdf.itertuples(index=False)]
-        self.waiting.appendList(new)
-        for ms in {r[-1] for r in new}:
-            self.handle.registerTimer(ms + EPOCH_MS)
+        self.waiting.add(new)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        due, later = _due(self.waiting, expiredTimerInfo.getExpiryTimeInMs() - EPOCH_MS)
+        due = self.waiting.due(timerValues.getCurrentWatermarkInMs() - EPOCH_MS)
         if not due:
             return
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
         given, out = int(self.given.get()[0]) if self.given.exists() else 0, []
         for id_, t, points, ms in sorted(due, key=lambda r: (r[1], r[0])):
             action = "decline" if points >= self.decline_at else "approve"
