@@ -60,11 +60,16 @@ def exactly_once(spark, sf_dir):
     return spark.read.parquet(out).groupBy("topic").agg(F.count("*").alias("rows"), F.count_distinct("key").alias("messages"), F.sum(F.col("key").cast("long")).alias("ids"))
 
 
-def _streamed(spark, sf_dir) -> DataFrame:
+def _stream_of(spark, messages: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, str]:
+    """Card features of all messages, and the checkpoint that holds the state."""
     src, out, ck = _folder(spark), _folder(spark), _folder(spark)
-    _files(features.messages(lake.txn(spark, sf_dir), DELAY), src)
-    features.run_to_end(features.card_features(landing.file_source(spark, src, features.EVENT, 2)), out, ck)
-    return spark.read.parquet(out)
+    _files(messages, src)
+    features.run_to_end(features.card_features(landing.file_source(spark, src, features.EVENT, 2), state=state), out, ck)
+    return spark.read.parquet(out), ck
+
+
+def _streamed(spark, sf_dir) -> DataFrame:
+    return _stream_of(spark, features.messages(lake.txn(spark, sf_dir), DELAY))[0]
 
 
 @query("str_2_keyed_features", sql("""
@@ -137,5 +142,44 @@ def stream_equals_batch(spark, sf_dir):
 
 @query("str_7_labels_in_release_order", sql("SELECT id, coalesce(CAST(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 259201 PRECEDING) AS BIGINT), 0) AS card_known FROM txn", "txn"))
 def labels_in_order(spark, sf_dir):
-    """Labels, which arrive in the same files as the transactions, count from their release on and not before."""
+    """Labels, whichever files they are read from, count from their release on and not before."""
     return _streamed(spark, sf_dir).select("id", "card_known")
+
+
+@query("str_3_same_second", sql("""
+SELECT id, count(*) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING) AS card_txn_24h,
+  round(CAST(coalesce(sum(amount) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING), 0) AS DOUBLE), 4) AS card_amt_24h FROM gappy""", "gappy"))
+def same_second(spark, sf_dir):
+    """Times cut to the hour, so that many rows of a card are of one second: none of those sees another."""
+    out, _ = _stream_of(spark, features.messages(lake.gappy(spark, sf_dir), DELAY))
+    return out.select("id", "card_txn_24h", F.round("card_amt_24h", 4).alias("card_amt_24h"))
+
+
+@query("str_4_state_expiry", sql("SELECT card, count(*) AS kept, min(t) AS oldest FROM (SELECT card, t, max(t) OVER (PARTITION BY card) AS last FROM txn) WHERE t >= last - 86400 GROUP BY card", "txn"))
+def state_expiry(spark, sf_dir):
+    """What each card's history holds after a stream of transactions alone: the day before its last one, and nothing older."""
+    _, ck = _stream_of(spark, features.messages(lake.txn(spark, sf_dir), DELAY).filter("kind = 0 OR id = -1"))
+    held = features.held_state(spark, ck, "recent").select("key.card", "list_element.t")
+    return held.groupBy("card").agg(F.count("*").alias("kept"), F.min("t").alias("oldest"))
+
+
+@query("str_6_label_updates", sql("SELECT card, CAST(sum(label) AS BIGINT) AS known FROM txn GROUP BY card", "txn"))
+def label_updates(spark, sf_dir):
+    """The positives that each card's state knows when all labels have arrived; other labels leave the count as it is."""
+    _, ck = _stream_of(spark, features.messages(lake.txn(spark, sf_dir), DELAY))
+    return features.held_state(spark, ck, "known").select("key.card", F.col("value.n").alias("known")).filter("card <> ''")
+
+
+_CUT = 15 * 86400
+
+
+@query("str_8_state_warm_up", sql(f"""
+SELECT * FROM (
+  SELECT id, t, card_txn_1h, card_txn_24h, round(CAST(card_amt_24h AS DOUBLE), 4) AS card_amt_24h, card_new_device,
+         coalesce(CAST(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 259201 PRECEDING) AS BIGINT), 0) AS card_known FROM feat)
+WHERE t >= {_CUT}""", "feat"))
+def warm_up(spark, sf_dir):
+    """A stream that starts halfway with state from the table gives the features that one from the start would give."""
+    df = lake.txn(spark, sf_dir)
+    out, _ = _stream_of(spark, features.messages(df, DELAY).filter(F.col("t") >= _CUT), features.card_state(df, _CUT, DELAY))
+    return out.select("id", "t", "card_txn_1h", "card_txn_24h", F.round("card_amt_24h", 4).alias("card_amt_24h"), "card_new_device", "card_known")

@@ -66,6 +66,18 @@ class CardFeatures(StatefulProcessor):
         self.known = handle.getValueState("known", "n long")
         self.devices = handle.getMapState("devices", "device string", "first long")
 
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
+        """Rows of `card_state`: what the state would be had the table's rows come through the stream."""
+        rows = list(initialState.itertuples(index=False))
+        recent = sorted((int(r.t), int(r.n)) for r in rows if r.kind == "recent")
+        if recent:
+            self.recent.put(recent)
+        for r in rows:
+            if r.kind == "known":
+                self.known.update((int(r.n),))
+            elif r.kind == "device":
+                self.devices.updateValue((r.device,), (int(r.t),))
+
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         new = [(int(r.id), int(r.t), int(r.kind), float(r.amount), r.device if isinstance(r.device, str) else None, int(r.label), int(r.t) * 1000) for pdf in rows for r in pdf.itertuples(index=False)]
         self.waiting.add(new)
@@ -99,6 +111,8 @@ class CardFeatures(StatefulProcessor):
         self.known.update((known,))
         if recent:
             self.recent.put(recent)
+        else:
+            self.recent.clear()
         if out:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FEATURES.split(", ")]).astype({"card_new_device": "Int32"})
 
@@ -150,9 +164,28 @@ def messages(txn: DataFrame, delay: int) -> DataFrame:
     return pays.unionByName(labels).unionByName(end).withColumn("ts", F.timestamp_seconds(F.col("t") + EPOCH_MS // 1000))
 
 
-def card_features(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """A stream of EVENT rows to a stream of FEATURES rows."""
-    return stream.withWatermark("ts", delay).groupBy("card").transformWithStateInPandas(statefulProcessor=CardFeatures(), outputStructType=FEATURES, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
+def card_state(txn: DataFrame, upto: int, delay: int) -> DataFrame:
+    """State of each card as of second `upto` from the table: (card, kind, t, n, device), for a stream that takes over from there.
+
+    The last day's amounts in cents, the devices seen with their first second, and the positives whose labels are out: what later rows can depend on.
+    """
+    past, none = txn.filter(F.col("t") < upto), F.lit(None).cast("string").alias("device")
+    recent = past.filter(F.col("t") >= upto - DAY).select("card", F.lit("recent").alias("kind"), "t", F.round(F.col("amount").cast("double") * 100).cast("long").alias("n"), none)
+    devices = past.filter("device IS NOT NULL").groupBy("card", "device").agg(F.min("t").alias("t")).select("card", F.lit("device").alias("kind"), "t", F.lit(0).cast("long").alias("n"), "device")
+    known = past.filter(F.col("t") + delay < upto).groupBy("card").agg(F.sum("label").cast("long").alias("n")).select("card", F.lit("known").alias("kind"), F.lit(0).cast("long").alias("t"), "n", none)
+    return recent.unionByName(devices).unionByName(known)
+
+
+def card_features(stream: DataFrame, delay: str = "1 hour", state: DataFrame | None = None) -> DataFrame:
+    """A stream of EVENT rows to a stream of FEATURES rows; a new stream may start with the `card_state` of a table."""
+    return stream.withWatermark("ts", delay).groupBy("card").transformWithStateInPandas(
+        statefulProcessor=CardFeatures(), outputStructType=FEATURES, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts", initialState=None if state is None else state.groupBy("card"),
+    )
+
+
+def held_state(spark, checkpoint: str, name: str) -> DataFrame:
+    """The keyed state of the first stateful operator as its last batch left it, a row per entry."""
+    return spark.read.format("statestore").option("operatorId", 0).option("stateVarName", name).option("flattenCollectionTypes", True).load(checkpoint)
 
 
 def day_decisions(features: DataFrame, capacity: int, review_at: int, decline_at: int) -> DataFrame:
