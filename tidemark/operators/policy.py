@@ -146,7 +146,7 @@ def tune_expected_loss(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFr
     rest = df.filter("priority <= 0").withColumn("action", free).agg(*[x.alias(n) for n, x in (("base", realised(c)[0]),)])
     trials = df.filter("priority > 0").crossJoin(F.broadcast(grid)).withColumn("action", expected_loss(F.col("g"), c, "g"))
     cost = trials.groupBy("g").agg(realised(c)[0].alias("own"), F.count_if(F.col("action") == "review").alias("reviews"))
-    return cost.crossJoin(F.broadcast(rest)).select(F.col("g").alias("threshold"), F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 3).alias("total_cost"), "reviews")
+    return cost.crossJoin(F.broadcast(rest)).select(F.col("g").alias("threshold"), F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 4).alias("total_cost"), "reviews")
 
 
 def tune_cutoffs(df: DataFrame, score: str, c: Costs = Costs(), n: int = 40) -> DataFrame:
@@ -158,7 +158,7 @@ def tune_cutoffs(df: DataFrame, score: str, c: Costs = Costs(), n: int = 40) ->
     rest = df.crossJoin(F.broadcast(low)).filter(F.col(score) < F.col("low")).withColumn("action", F.lit("approve")).agg(realised(c)[0].alias("base"))
     trials = top.crossJoin(F.broadcast(pairs)).withColumn("action", cutoffs(score, F.col("decline_at"), F.col("review_at"), c, "decline_at", "review_at"))
     cost = trials.groupBy("decline_at", "review_at").agg(realised(c)[0].alias("own"))
-    return cost.crossJoin(F.broadcast(rest)).select("decline_at", "review_at", F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 3).alias("total_cost"))
+    return cost.crossJoin(F.broadcast(rest)).select("decline_at", "review_at", F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 4).alias("total_cost"))
 
 
 def sensitivity(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFrame:
@@ -179,7 +179,7 @@ def sensitivity(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFrame:
     free = F.when(F.col("e_decline") < F.col("e_approve"), "decline").otherwise("approve")
     rest = valid.filter(~wanted).withColumn("action", free).groupBy(*key).agg(realised(costs)[0].alias("base"))
     trials = valid.filter(wanted).join(F.broadcast(grid), key).withColumn("action", expected_loss(F.col("g"), costs, *key, "g"))
-    cost = trials.groupBy(*key, "g").agg(realised(costs)[0].alias("own")).join(rest, key, "left").withColumn("cost", F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 3))
+    cost = trials.groupBy(*key, "g").agg(realised(costs)[0].alias("own")).join(rest, key, "left").withColumn("cost", F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 4))
     best = cost.groupBy(*key).agg(F.min(F.struct("cost", "g")).alias("m")).select(*key, F.col("m.g").alias("threshold"))
     act = all_.filter("split = 'test'").join(F.broadcast(best), key).withColumn("action", expected_loss(F.col("threshold"), costs, *key))
     return act.groupBy(*key, "threshold").agg(realised(costs)[0].alias("total_cost"))

@@ -129,7 +129,7 @@ def _total_sql(fee="20", review="7", catch="0.9::DOUBLE", margin="0.25", fixed="
 
 
 @query("pol_5_tune_expected_loss", sql(f"""
-SELECT g AS threshold, round({_total_sql()} + coalesce(max(base), 0), 3) AS total_cost, count(*) FILTER (action = 'review') AS reviews
+SELECT g AS threshold, round({_total_sql()} + coalesce(max(base), 0), 4) AS total_cost, count(*) FILTER (action = 'review') AS reviews
 FROM (SELECT *, CASE WHEN want AND sum(CAST(want AS INTEGER)) OVER (PARTITION BY g, day ORDER BY t, id ROWS UNBOUNDED PRECEDING) <= 10 THEN 'review' WHEN e_decline < e_approve THEN 'decline' ELSE 'approve' END AS action
       FROM (SELECT *, priority > g AS want FROM v, grid WHERE priority > 0)),
      (SELECT {_total_sql()} AS base FROM (SELECT *, CASE WHEN e_decline < e_approve THEN 'decline' ELSE 'approve' END AS action FROM v WHERE priority <= 0))
@@ -141,7 +141,7 @@ def tune_expected_loss(spark, sf_dir):
 
 
 @query("pol_6_tune_cutoffs", sql(f"""
-SELECT decline_at, review_at, round({_total_sql()} + coalesce(max(base), 0), 3) AS total_cost
+SELECT decline_at, review_at, round({_total_sql()} + coalesce(max(base), 0), 4) AS total_cost
 FROM (SELECT *, CASE WHEN p >= decline_at THEN 'decline' WHEN want AND sum(CAST(want AS INTEGER)) OVER (PARTITION BY decline_at, review_at, day ORDER BY t, id ROWS UNBOUNDED PRECEDING) <= 10 THEN 'review' ELSE 'approve' END AS action
       FROM (SELECT *, p >= review_at AND p < decline_at AS want FROM top, (SELECT a.g AS decline_at, b.g AS review_at FROM grid a, grid b WHERE b.g <= a.g))),
      (SELECT {_total_sql()} AS base FROM (SELECT *, 'approve' AS action FROM priced WHERE split = 'valid' AND p < (SELECT low FROM low)))
@@ -221,7 +221,7 @@ trials AS (
   FROM (SELECT *, CASE WHEN want AND sum(CAST(want AS INTEGER)) OVER (PARTITION BY parameter, value, g, day ORDER BY t, id ROWS UNBOUNDED PRECEDING) <= c_capacity THEN 'review' WHEN e_decline < e_approve THEN 'decline' ELSE 'approve' END AS action
         FROM (SELECT *, priority > g AS want FROM v JOIN grid USING (parameter, value) WHERE priority > 0))
   GROUP BY parameter, value, g),
-best AS (SELECT parameter, value, g AS threshold FROM (SELECT *, row_number() OVER (PARTITION BY parameter, value ORDER BY round(own + coalesce(base, 0), 3), g) AS r FROM trials LEFT JOIN rest USING (parameter, value)) WHERE r = 1)"""))
+best AS (SELECT parameter, value, g AS threshold FROM (SELECT *, row_number() OVER (PARTITION BY parameter, value ORDER BY round(own + coalesce(base, 0), 4), g) AS r FROM trials LEFT JOIN rest USING (parameter, value)) WHERE r = 1)"""))
 def sensitivity(spark, sf_dir):
     """Each cost parameter at both ends: tuned anew on validation, its cost on test."""
     return P.sensitivity(scored(spark, sf_dir), C)
