@@ -172,3 +172,11 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     pq.write_table(pa.table({"item_id": ["x"], "text": ["a b c"]}), tmp_path / "benchmark.parquet")
     pq.write_table(pa.table({"doc_id": pa.array([1], pa.int64()), "quality": pa.array([1], pa.int32()), "toxic": pa.array([0], pa.int32())}), tmp_path / "labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_many_sources_mix_the_same_without_broadcast(spark, monkeypatch):
+    rows = [(k, "w " * (k % 17 + 1), f"s{k % 40}" if k % 11 else None) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = sorted((r.doc_id, r.target, r.copies, r.taken) for r in mixing.mix_sources(df).collect())
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
+    assert sorted((r.doc_id, r.target, r.copies, r.taken) for r in mixing.mix_sources(df).collect()) == want

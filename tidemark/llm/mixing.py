@@ -42,7 +42,20 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = 1.
     return levels.select("source", "source_size", F.when(F.col("source_size") == 0, F.lit(0.0)).otherwise(F.least(F.col("_cap"), level * F.col("_w"))).alias("target"))
 
 
-def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, rounds: int = 40, tolerance: float = 1e-7) -> DataFrame:
+#: Plans of at most so many sources are broadcast; beyond that Spark sorts both sides of their joins.
+MOST_SOURCES = 100_000
+
+
+def _few(plan: DataFrame) -> bool:
+    """Whether a plan, one row per source, is small enough to be broadcast: counted, not assumed."""
+    return plan.limit(MOST_SOURCES + 1).count() <= MOST_SOURCES
+
+
+def _side(plan: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(plan) if few else plan.hint("merge")
+
+
+def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, few: bool = True, rounds: int = 40, tolerance: float = 1e-7) -> DataFrame:
     """The multiplier of each source's token constraint.
 
     A document of x = size / mean size of its source is repeated at rate least(cap, exp(tilt * x)): of all rates
@@ -62,7 +75,7 @@ def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, rounds: int = 4
         rate = F.least(F.lit(cap), raw)
         moments = (
             hist.withColumnRenamed("source", "_s")
-            .join(F.broadcast(state), F.col("_s").eqNullSafe(F.col("source")))
+            .join(_side(state, few), F.col("_s").eqNullSafe(F.col("source")))
             .groupBy("source", "target", "_mean", "tilt", "_lo", "_hi")
             .agg(F.sum(F.col("n") * F.col("size") * rate).alias("_sum"), F.sum(F.when(raw < cap, F.col("n") * F.col("size") * x * raw).otherwise(0.0)).alias("_slope"))
         )
@@ -85,22 +98,22 @@ def tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, rounds: int = 4
 FINE = 1 << 24
 
 
-def _crossing(need: DataFrame, docs: DataFrame, bin_of: Column) -> DataFrame:
+def _crossing(need: DataFrame, docs: DataFrame, bin_of: Column, few: bool) -> DataFrame:
     """Which bin of each source takes the running words over what it needs; what is left for that bin."""
     bins = docs.withColumn("_bin", bin_of).groupBy("source", "_bin").agg(F.sum("size").alias("_words"))
     run = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     return (
         bins.withColumn("_upto", F.sum("_words").over(run))
         .withColumnRenamed("source", "_s")
-        .join(F.broadcast(need), F.col("_s").eqNullSafe(F.col("source")))
+        .join(_side(need, few), F.col("_s").eqNullSafe(F.col("source")))
         .filter((F.col("_upto") > F.col("_need")) & (F.col("_upto") - F.col("_words") <= F.col("_need")))
         .select("source", F.col("_bin").alias("_cross"), (F.col("_need") - (F.col("_upto") - F.col("_words"))).alias("_need"))
     )
 
 
-def _per_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows with the columns of their source's row of `plan`: one row per source, which the plan's maker counted."""
-    return rows.join(F.broadcast(plan.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+def _per_source(rows: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
+    """Rows with the columns of their source's row of `plan`, one row per source; `few` tells whether these were counted as few."""
+    return rows.join(_side(plan.withColumnRenamed("source", "_s"), few), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
 
 
 def _rated(rows: DataFrame, cap: int) -> DataFrame:
@@ -133,29 +146,31 @@ def mix_plan(rows: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, cap:
     """
     hist = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     targets = cut(source_targets(hist.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, cap))
-    tilt = tilts(hist.filter("size > 0"), targets, cap).withColumnRenamed("tilt", "_tilt")
-    plan = cut(_per_source(targets, tilt))
-    rated = _rated(_per_source(rows, plan), cap)
+    few = _few(targets)
+    tilt = tilts(hist.filter("size > 0"), targets, cap, few).withColumnRenamed("tilt", "_tilt")
+    plan = cut(_per_source(targets, tilt, few))
+    rated = _rated(_per_source(rows, plan, few), cap)
     need = cut(rated.groupBy("source").agg((F.max("target") - F.sum(F.col("_floor") * F.col("size"))).alias("_need")))
     open_ = rated.filter("_open").select("_id", "source", "size", "_key", "_fine")
-    one = cut(_crossing(need, open_, F.floor(F.col("_fine") / 4096)))
-    in_one = _per_source(open_, one).filter(F.floor(F.col("_fine") / 4096) == F.col("_cross"))
-    two = cut(_crossing(one.select("source", "_need"), in_one, F.col("_fine")))
+    one = cut(_crossing(need, open_, F.floor(F.col("_fine") / 4096), few))
+    in_one = _per_source(open_, one, few).filter(F.floor(F.col("_fine") / 4096) == F.col("_cross"))
+    two = cut(_crossing(one.select("source", "_need"), in_one, F.col("_fine"), few))
     order = Window.partitionBy("source").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    in_two = _per_source(open_, two).filter(F.col("_fine") == F.col("_cross")).withColumn("_fits", F.sum("size").over(order) <= F.col("_need"))
+    in_two = _per_source(open_, two, few).filter(F.col("_fine") == F.col("_cross")).withColumn("_fits", F.sum("size").over(order) <= F.col("_need"))
     last = in_two.filter("_fits").groupBy("source").agg(F.max("_key").alias("_last"))
-    plan = cut(_per_source(_per_source(plan, two.select("source", F.col("_cross").alias("_edge"))), last))
-    first = _copies(_rated(_per_source(rows, plan), cap))
+    plan = cut(_per_source(_per_source(plan, two.select("source", F.col("_cross").alias("_edge")), few), last, few))
+    first = _copies(_rated(_per_source(rows, plan, few), cap))
     rest = cut(first.groupBy("source").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("_rest")))
     gap = F.abs(F.col("_rest") - F.col("size"))
-    pick = _per_source(first.filter((F.col("copies") < cap) & (F.col("size") > 0)), rest).filter(gap < F.abs(F.col("_rest"))).groupBy("source").agg(F.min(F.struct(gap.alias("d"), "_id", "size")).alias("_p"))
-    return cut(_per_source(plan, pick.select("source", F.col("_p._id").alias("_pick_id"), F.col("_p.size").alias("_pick_size"))))
+    pick = _per_source(first.filter((F.col("copies") < cap) & (F.col("size") > 0)), rest, few).filter(gap < F.abs(F.col("_rest"))).groupBy("source").agg(F.min(F.struct(gap.alias("d"), "_id", "size")).alias("_p"))
+    return cut(_per_source(plan, pick.select("source", F.col("_p._id").alias("_pick_id"), F.col("_p.size").alias("_pick_size")), few))
 
 
 def apply_plan(rows: DataFrame, plan: DataFrame, cap: int = 2) -> DataFrame:
     """source_size, target, rate, copies and taken for rows (_id, source, size, ...): the same at each run."""
+    few = _few(plan)
     picked = F.col("_id").eqNullSafe(F.col("_pick_id")) & F.col("_pick_size").isNotNull() & (F.col("size") == F.col("_pick_size")) & (F.col("copies") < cap)
-    mixed = _copies(_rated(_per_source(rows, plan), cap)).withColumn("copies", F.col("copies") + picked.cast("long"))
+    mixed = _copies(_rated(_per_source(rows, plan, few), cap)).withColumn("copies", F.col("copies") + picked.cast("long"))
     return mixed.withColumn("taken", F.col("copies") * F.col("size")).drop("_mean", "_tilt", "_edge", "_last", "_pick_id", "_pick_size", "_floor", "_key", "_fine", "_open")
 
 
