@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tidemark.operators import history, policy, tables
+from tidemark.operators import history, metrics, policy, tables
 from tidemark.plans import catalog
 from tidemark.sources import lake
 
@@ -107,3 +107,26 @@ def test_sensitivity_takes_the_cheapest_of_sixty(spark, sf):
         for end in policy.RANGES[name]:
             c = replace(policy.Costs(), **{name: end})
             assert got[name, float(end)] == policy.cheapest(policy.tune_expected_loss(policy.priced(scored, c), c, 60), "threshold").first().threshold
+
+
+def test_experiments_have_a_verdict(spark, sf):
+    rows = {r.variant: r for r in QUERIES["ml_7_experiments"](spark, sf).collect()}
+    assert set(rows) == {"baseline", "no category", "recent days", "weighted", "block list"}
+    for r in rows.values():
+        assert r.low <= r.high and r.saving == pytest.approx(rows["baseline"].cost - r.cost, abs=0.05)
+        assert r.adopted == (r.saving > 0 and r.low > 0)
+    assert not rows["baseline"].adopted and rows["baseline"].low == rows["baseline"].high == 0
+
+
+def test_adversarial_names_inputs(spark, sf):
+    r = QUERIES["ml_9_adversarial_validation"](spark, sf).first()
+    assert 0 <= r.auc <= 1 and len(r.top.split(",")) <= 5
+
+
+def test_input_drift_of_empty_and_constant_fields(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "n double, c string")
+    got = {r.field: r for r in metrics.input_drift(frame([(1.0, None), (1.0, "a")]), frame([(1.0, None), (1.0, None)]), ("n",), ("c",)).collect()}
+    assert got["n"].distance is None and not got["n"].drifted  # a reference without spread has no distance
+    assert got["c"].drifted and got["c"].missing_shift == 0.5 and got["c"].drifted_share == 0.5
+    nothing = metrics.input_drift(frame([]), frame([]), ("n",), ("c",)).collect()
+    assert [r.drifted for r in nothing] == []

@@ -41,28 +41,98 @@ def recall_at(cells: DataFrame, levels: tuple[float, ...], *groups: str) -> Data
     )
 
 
-def calibration_bins(df: DataFrame, p: str, bins: int = 10) -> DataFrame:
-    """Equal-count bins by (p, t, id), larger ones first: bin, rows, mean prediction, observed rate.
+def calibration_bins(df: DataFrame, p: str, bins: int = 10, *groups: str) -> DataFrame:
+    """Equal-count bins of each group by (p, t, id), larger ones first: bin, rows, mean prediction, observed rate.
 
     A row's place is its rank within its range of p plus the rows of the ranges below, so no task orders all rows.
     """
-    cell = F.floor(F.col(p) * 4096)
-    within = Window.partitionBy("_c").orderBy(p, "t", "id")
-    counts = df.groupBy(cell.alias("_c")).agg(F.count("*").alias("n"))
-    below = counts.select("_c", F.coalesce(F.sum("n").over(Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_below"), F.sum("n").over(Window.partitionBy()).alias("_all"))
-    placed = df.withColumn("_c", cell).join(F.broadcast(below), "_c").withColumn("_at", F.row_number().over(within) + F.col("_below") - 1)
+    g, cell = list(groups), F.floor(F.col(p) * 4096)
+    within = Window.partitionBy(*g, "_c").orderBy(p, "t", "id")
+    counts = df.groupBy(*g, cell.alias("_c")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*g).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    below = counts.select(*g, "_c", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_below"), F.sum("n").over(Window.partitionBy(*g)).alias("_all"))
+    placed = df.withColumn("_c", cell).join(F.broadcast(below), [*g, "_c"]).withColumn("_at", F.row_number().over(within) + F.col("_below") - 1)
     size, more = F.floor(F.col("_all") / bins), F.col("_all") % bins
     big = (size + 1) * more
     bin_ = F.when(F.col("_at") < big, F.floor(F.col("_at") / (size + 1))).otherwise(more + F.floor((F.col("_at") - big) / F.greatest(size, F.lit(1))))
-    return placed.groupBy(bin_.cast("long").alias("bin")).agg(F.count("*").alias("rows"), F.avg(p).alias("predicted"), F.avg("label").alias("observed"))
+    return placed.groupBy(*g, bin_.cast("long").alias("bin")).agg(F.count("*").alias("rows"), F.avg(p).alias("predicted"), F.avg("label").alias("observed"))
 
 
-def psi(reference: DataFrame, current: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """(psi): population stability on the reference's deciles; equal edges are one, empty bins count 1e-4."""
-    edges = reference.agg(F.array_sort(F.array_distinct(F.percentile(column, F.array(*[F.lit(k / bins) for k in range(bins + 1)])))).alias("e"))
+def calibration_error() -> Column:
+    """Over calibration_bins: the mean gap of prediction and rate, by rows."""
+    return F.sum(F.col("rows") * F.abs(F.col("predicted") - F.col("observed"))) / F.sum("rows")
+
+
+def deciles(reference: DataFrame, column: str, bins: int = 10) -> DataFrame:
+    """(e): the distinct edges of the reference's equal-count bins, one row."""
+    return reference.agg(F.array_sort(F.array_distinct(F.percentile(column, F.array(*[F.lit(k / bins) for k in range(bins + 1)])))).alias("e"))
+
+
+def bin_counts(df: DataFrame, edges: DataFrame, column: str, name: str, *groups: str) -> DataFrame:
+    """Rows of each bin `b` between the inner edges, by group."""
     inner = F.expr("slice(e, 2, greatest(size(e) - 2, 0))")
-    cut = lambda df, n: df.crossJoin(F.broadcast(edges)).groupBy(F.size(F.filter(inner, lambda x: x <= F.col(column))).alias("b")).agg(F.count("*").alias(n))
-    both = edges.select(F.explode(F.sequence(F.lit(0), F.greatest(F.size("e") - 2, F.lit(0)))).alias("b")).join(cut(reference, "r"), "b", "left").join(cut(current, "c"), "b", "left")
-    all_ = Window.partitionBy()
+    return df.crossJoin(F.broadcast(edges)).groupBy(*groups, F.size(F.filter(inner, lambda x: x <= F.col(column))).alias("b")).agg(F.count("*").alias(name))
+
+
+def every_bin(edges: DataFrame) -> DataFrame:
+    return edges.select(F.explode(F.sequence(F.lit(0), F.greatest(F.size("e") - 2, F.lit(0)))).alias("b"))
+
+
+def stability(both: DataFrame, *groups: str) -> DataFrame:
+    """psi of each group, from a row a bin with counts r and c; empty bins count 1e-4."""
+    all_ = Window.partitionBy(*groups)
     share = lambda n: F.greatest(F.coalesce(F.col(n), F.lit(0)) / F.greatest(F.sum(n).over(all_), F.lit(1)), F.lit(1e-4))
-    return both.withColumns({"rs": share("r"), "cs": share("c")}).agg(F.sum((F.col("cs") - F.col("rs")) * F.log(F.col("cs") / F.col("rs"))).alias("psi"))
+    return both.withColumns({"rs": share("r"), "cs": share("c")}).groupBy(*groups).agg(F.sum((F.col("cs") - F.col("rs")) * F.log(F.col("cs") / F.col("rs"))).alias("psi"))
+
+
+def psi(reference: DataFrame, current: DataFrame, column: str, bins: int = 10) -> DataFrame:
+    """(psi): population stability on the reference's deciles; equal edges are one, empty bins count 1e-4."""
+    edges = deciles(reference, column, bins)
+    return stability(every_bin(edges).join(bin_counts(reference, edges, column, "r"), "b", "left").join(bin_counts(current, edges, column, "c"), "b", "left"))
+
+
+def _sides(value: str) -> list[Column]:
+    return [F.count(F.when(~F.col("current"), F.col(value))).alias("r"), F.count(F.when(F.col("current"), F.col(value))).alias("c")]
+
+
+def number_drift(long: DataFrame) -> DataFrame:
+    """(field, distance) of rows (field, v, current): the first Wasserstein distance of current from reference values, over the reference's deviation.
+
+    Running totals see one row for each of 4,096 ranges of a field, then one for each distinct value within its range, so no task orders a whole field. Nulls are left out.
+    """
+    some = long.filter("v IS NOT NULL")
+    per = some.groupBy("field").agg(*[x.alias(n) for x, n in zip(_sides("v"), ("r_all", "c_all"), strict=True)], F.stddev_pop(F.when(~F.col("current"), F.col("v"))).alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    cell = F.coalesce(F.floor((F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * 4096), F.lit(0))
+    values = some.groupBy("field", "v").agg(*_sides("v")).join(F.broadcast(per), "field").withColumn("cell", cell)
+    along = Window.partitionBy("field").orderBy("cell")
+    before, within = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("field", "cell").orderBy("v")
+    upto = within.rowsBetween(Window.unboundedPreceding, 0)
+    cells = values.groupBy("field", "cell").agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.min("v").alias("first"))
+    cells = cells.select("field", "cell", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_below") for x in ("r", "c")], F.lead("first").over(along).alias("next"))
+    share = lambda x, n: F.coalesce((F.col(f"{x}_below") + F.sum(x).over(upto)) / F.nullif(F.col(n), F.lit(0)), F.lit(0.0))
+    step = F.coalesce(F.lead("v").over(within), F.col("next")) - F.col("v")
+    area = values.join(cells, ["field", "cell"]).select("field", "sd", (F.abs(share("r", "r_all") - share("c", "c_all")) * step).alias("a"))
+    return area.groupBy("field").agg((F.coalesce(F.sum("a"), F.lit(0.0)) / F.nullif(F.max("sd"), F.lit(0.0))).alias("distance"))
+
+
+def level_drift(long: DataFrame) -> DataFrame:
+    """(field, distance) of rows (field, level, current): the Jensen-Shannon distance of the shares of levels. Nulls are left out."""
+    some = long.filter("level IS NOT NULL")
+    per = some.groupBy("field").agg(*[x.alias(n) for x, n in zip(_sides("level"), ("r_all", "c_all"), strict=True)])
+    share = lambda x, n: F.coalesce(F.col(x) / F.nullif(F.col(n), F.lit(0)), F.lit(0.0)).alias(x)
+    shares = some.groupBy("field", "level").agg(*_sides("level")).join(F.broadcast(per), "field").select("field", share("r", "r_all"), share("c", "c_all"))
+    part = lambda x: F.when(F.col(x) > 0, F.col(x) * F.log(2 * F.col(x) / (F.col("r") + F.col("c")))).otherwise(0.0)
+    return shares.groupBy("field").agg(F.sqrt(F.greatest(F.sum((part("r") + part("c")) / 2), F.lit(0.0)) / F.log(F.lit(2.0))).alias("distance"))
+
+
+def input_drift(reference: DataFrame, current: DataFrame, numbers: tuple[str, ...], levels: tuple[str, ...], limit: float = 0.1, missing_limit: float = 0.2) -> DataFrame:
+    """(field, distance, missing_shift, drifted, drifted_share): a field drifts at a distance of `limit` or a change of its missing share of `missing_limit`."""
+    both = reference.select(*numbers, *levels, F.lit(False).alias("current")).unionByName(current.select(*numbers, *levels, F.lit(True).alias("current")))
+    long = lambda names, n, kind: both.select("current", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast(kind).alias(n)) for c in names])).alias("x")).select("current", "x.*")
+    distance = number_drift(long(numbers, "v", "double")).unionByName(level_drift(long(levels, "level", "string")))
+    gone = lambda on: F.avg(F.when(F.col("current") == on, F.col("gone")))
+    missing = both.select("current", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).isNull().cast("int").alias("gone")) for c in (*numbers, *levels)])).alias("x")).select("current", "x.*")
+    missing = missing.groupBy("field").agg(F.round(F.abs(gone(True) - gone(False)), 6).alias("missing_shift"))
+    out = missing.join(F.broadcast(distance), "field", "left").select("field", F.round("distance", 6).alias("distance"), "missing_shift")
+    out = out.withColumn("drifted", (F.coalesce("distance", F.lit(0.0)) >= limit) | (F.coalesce("missing_shift", F.lit(0.0)) >= missing_limit))
+    return out.withColumn("drifted_share", F.round(F.avg(F.col("drifted").cast("int")).over(Window.partitionBy()), 6))

@@ -199,6 +199,28 @@ def top_share(df: DataFrame, score: str, share: float) -> DataFrame:
     return df.filter(F.col(score) > edge[score]).unionByName(df.filter(F.col(score) == edge[score]).orderBy(*ARRIVAL).limit(k - edge.upto + edge.n))
 
 
+def paired_saving(daily: DataFrame, *groups: str, draws: int = 1000) -> DataFrame:
+    """(pooled, low, high, adopted) of rows (period, day, saving): the saving with the middle 95 % of its sums over days drawn anew within each period.
+
+    The draws are a hash of (draw, period, place), so reruns agree. Adopted: cheaper in every period, and the lower end above none.
+    """
+    g = list(groups)
+    days = daily.groupBy(*g, "period").agg(F.array_sort(F.collect_list(F.struct("day", "saving"))).alias("d"))  # a month's days at most
+    each = days.crossJoin(daily.sparkSession.range(draws).withColumnRenamed("id", "draw")).select(*g, "draw", "period", F.explode(F.sequence(F.lit(1), F.size("d"))).alias("k"), "d")
+    number = F.conv(F.substring(F.md5(F.concat_ws(":", "draw", "period", "k")), 1, 8), 16, 10).cast("long")
+    totals = each.groupBy(*g, "draw").agg(F.sum(F.col("d")[(number % F.size("d")).cast("int")]["saving"]).alias("total"))
+    ends = totals.groupBy(*g).agg(*[F.round(F.percentile("total", F.lit(q)), 2).alias(n) for n, q in (("low", 0.025), ("high", 0.975))])
+    pooled = daily.groupBy(*g, "period").agg(F.sum("saving").alias("saving")).groupBy(*g).agg(F.round(F.sum("saving"), 2).alias("pooled"), F.bool_and(F.col("saving") > 0).alias("every"))
+    both = pooled.join(ends, g) if g else pooled.crossJoin(ends)
+    return both.select(*g, "pooled", "low", "high", (F.col("every") & (F.col("low") > 0)).alias("adopted"))
+
+
+def month(day: str = "day") -> Column:
+    """The calendar month of a day of the log, counted from year 0."""
+    date = F.date_add(F.lit("2024-01-01").cast("date"), F.col(day).cast("int"))
+    return (12 * F.year(date) + F.month(date) - 1).cast("long")
+
+
 def cheapest(trials: DataFrame, *order: str) -> DataFrame:
     """The cheapest trial, the lowest limits among equals."""
     return trials.orderBy("total_cost", *order).limit(1)

@@ -279,7 +279,7 @@ def calibration(spark, sf_dir):
 
 @query("met_5_expected_calibration_error", sql("SELECT round(sum(n * abs(pr - ob)) / sum(n), 6) AS ece FROM (SELECT count(*) AS n, avg(p) AS pr, avg(label) AS ob FROM (SELECT p, label, ntile(10) OVER (ORDER BY p, t, id) AS b FROM scored) GROUP BY b)", "scored"))
 def ece(spark, sf_dir):
-    return metrics.calibration_bins(scored(spark, sf_dir), "p").agg(F.round(F.sum(F.col("rows") * F.abs(F.col("predicted") - F.col("observed"))) / F.sum("rows"), 6).alias("ece"))
+    return metrics.calibration_bins(scored(spark, sf_dir), "p").agg(F.round(metrics.calibration_error(), 6).alias("ece"))
 
 
 @query("prj_17_signed_log", sql("SELECT id, round(sign(x) * ln(1 + abs(x)), 6) AS signed_log FROM (SELECT id, CAST(amount AS DOUBLE) - 50 AS x FROM txn)", "txn"))
@@ -322,13 +322,28 @@ def contributions(spark, sf_dir):
     return df.crossJoin(F.broadcast(means)).select("id", *[F.round(F.col(c) - F.col(f"m_{c}"), 6).alias(f"c_{c}") for c in ("txn", "amount", "device")])
 
 
+#: What each part of the linear score looks at, fixed.
+PART_FAMILY = {"txn": "velocity", "amount": "amount", "device": "novelty"}
+_MEAN_ABS = """
+parts AS (SELECT name, avg(abs(c)) AS m FROM (
+  SELECT unnest(['txn', 'amount', 'device']) AS name, unnest([0.5 * (ln(1 + card_txn_24h) - avg(ln(1 + card_txn_24h)) OVER ()), 0.012 * (CAST(amount AS DOUBLE) - avg(CAST(amount AS DOUBLE)) OVER ()), 0.8 * (coalesce(card_new_device, 0) - avg(coalesce(card_new_device, 0)) OVER ())]) AS c FROM feat) GROUP BY name)"""
+
+
 @query("agg_25_mean_abs_contribution", sql("""
-SELECT feature, round(avg(abs(c)), 6) AS mean_abs FROM (
-  SELECT unnest(['txn', 'amount', 'device']) AS feature, unnest([0.5 * (ln(1 + card_txn_24h) - avg(ln(1 + card_txn_24h)) OVER ()), 0.012 * (CAST(amount AS DOUBLE) - avg(CAST(amount AS DOUBLE)) OVER ()), 0.8 * (coalesce(card_new_device, 0) - avg(coalesce(card_new_device, 0)) OVER ())]) AS c FROM feat)
-GROUP BY feature""", "feat"))
+SELECT level, name, round(m, 6) AS mean_abs, round(m / sum(m) OVER (PARTITION BY level), 6) AS share FROM (
+  SELECT 'feature' AS level, name, m FROM parts UNION ALL SELECT 'family', CASE name WHEN 'txn' THEN 'velocity' WHEN 'device' THEN 'novelty' ELSE 'amount' END, sum(m) FROM parts GROUP BY ALL)""", "feat", more=_MEAN_ABS))
 def mean_abs(spark, sf_dir):
-    long = contributions(spark, sf_dir).select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"c_{c}").alias("c")) for c in ("txn", "amount", "device")])).alias("x")).select("x.*")
-    return long.groupBy("feature").agg(F.round(F.avg(F.abs("c")), 6).alias("mean_abs"))
+    """Mean absolute contribution and its share, by feature and by family."""
+    long = contributions(spark, sf_dir).select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(f).alias("family"), F.col(f"c_{c}").alias("c")) for c, f in PART_FAMILY.items()])).alias("x")).select("x.*")
+    parts = long.groupBy("feature", "family").agg(F.avg(F.abs("c")).alias("m"))
+    both = parts.select("m", F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.col(n).alias("name")) for n in ("feature", "family")])).alias("x")).groupBy("x.level", "x.name").agg(F.sum("m").alias("m"))
+    return both.select("level", "name", F.round("m", 6).alias("mean_abs"), F.round(F.col("m") / F.sum("m").over(Window.partitionBy("level")), 6).alias("share"))
+
+
+@query("srt_2_top_features", sql("SELECT name, round(m, 6) AS mean_abs FROM parts ORDER BY m DESC, name LIMIT 20", "feat", more=_MEAN_ABS))
+def top_features(spark, sf_dir):
+    """The twenty features of the largest mean absolute contribution."""
+    return mean_abs(spark, sf_dir).filter("level = 'feature'").select("name", "mean_abs").orderBy(F.desc("mean_abs"), "name").limit(20)
 
 
 _FIRST_REASON = "CASE WHEN card_txn_1h >= 1 THEN 'burst_last_hour' WHEN amount >= 150 THEN 'large_amount' WHEN card_amt_24h + amount >= 300 THEN 'high_spend_24h' WHEN card_txn_24h >= 4 THEN 'many_last_24h' WHEN coalesce(card_new_device, 0) = 1 AND amount >= 100 THEN 'new_device_and_large' END"
@@ -349,6 +364,12 @@ def reason_shares(spark, sf_dir):
     return both.groupBy("level", "name").agg(F.count("*").alias("rows")).withColumn("share", F.round(F.col("rows") / F.sum("rows").over(Window.partitionBy("level")), 6))
 
 
+@query("srt_2_top_reasons", sql(f"SELECT {_FIRST_REASON} AS name, count(*) AS rows FROM scored WHERE points >= 3 GROUP BY name ORDER BY rows DESC, name LIMIT 10", "scored"))
+def commonest_reasons(spark, sf_dir):
+    """The ten commonest first reasons among alerts."""
+    return reason_shares(spark, sf_dir).filter("level = 'feature'").select("name", "rows").orderBy(F.desc("rows"), "name").limit(10)
+
+
 @query("agg_27_busiest_key", sql("""
 SELECT card, rows, round(rate, 6) AS rate, round(top_rows / k, 6) AS share_of_top
 FROM (SELECT card, count(*) AS rows, avg(label) AS rate FROM scored GROUP BY card ORDER BY rows DESC, card LIMIT 1),
@@ -384,17 +405,18 @@ def daily_variants(spark, sf_dir):
     return wide.select("day", F.col("expected loss").alias("expected_loss"), F.col("cut-offs").alias("cutoffs"))
 
 
-@query("agg_31_paired_day_bootstrap")
+@query("agg_31_paired_day_bootstrap", sql("""
+SELECT round((SELECT sum(saving) FROM daily), 2) AS pooled, round(quantile_cont(total, 0.025), 2) AS low, round(quantile_cont(total, 0.975), 2) AS high,
+  (SELECT bool_and(s > 0) FROM (SELECT sum(saving) AS s FROM daily GROUP BY period)) AND round(quantile_cont(total, 0.025), 2) > 0 AS adopted FROM totals""", "acts", more=f"""
+daily AS (SELECT day, 12 * year(d) + month(d) - 1 AS period, b - a AS saving FROM (
+  SELECT day, DATE '2024-01-01' + CAST(day AS INTEGER) AS d, max(total_cost) FILTER (policy = 'expected loss') AS a, max(total_cost) FILTER (policy = 'rules') AS b FROM (SELECT day, policy, {COSTS_SQL} FROM acts GROUP BY day, policy) GROUP BY day)),
+months AS (SELECT period, list(saving ORDER BY day) AS d, len(list(saving)) AS n FROM daily GROUP BY period),
+places AS (SELECT period, d, n, unnest(range(1, n + 1)) AS k FROM months),
+totals AS (SELECT draw, sum(d[1 + CAST('0x' || substr(md5(draw || ':' || period || ':' || k), 1, 8) AS BIGINT) % n]) AS total FROM places, range(1000) r(draw) GROUP BY draw)"""))
 def bootstrap(spark, sf_dir):
-    """Saving of expected loss against rules per week with a 95 % interval of the pooled saving, from resampling whole days within each week by a seeded hash."""
-    wide = acts(spark, sf_dir).groupBy("day").pivot("policy", ["expected loss", "rules"]).agg(P.realised(C)[0]).select("day", F.floor(F.col("day") / 7).alias("week"), (F.col("rules") - F.col("expected loss")).alias("saving"))
-    days = wide.groupBy("week").agg(F.array_sort(F.collect_list(F.struct("day", "saving"))).alias("d"))  # seven at most
-    draws = days.crossJoin(spark.range(1000).withColumnRenamed("id", "draw")).select("draw", "week", F.explode(F.sequence(F.lit(1), F.size("d"))).alias("k"), "d")
-    pick = F.col("d")[F.pmod(F.xxhash64("draw", "week", "k"), F.size("d")).cast("int")]["saving"]
-    totals = draws.groupBy("draw").agg(F.sum(pick).alias("total"))
-    interval = totals.agg(F.percentile("total", F.lit(0.025)).alias("low"), F.percentile("total", F.lit(0.975)).alias("high"))
-    weeks = wide.groupBy("week").agg(F.sum("saving").alias("saving")).agg(F.sum("saving").alias("pooled"), F.bool_and(F.col("saving") > 0).alias("every_week"))
-    return weeks.crossJoin(interval).select(F.round("pooled", 2).alias("pooled"), F.round("low", 2).alias("low"), F.round("high", 2).alias("high"), (F.col("every_week") & (F.col("low") > 0)).alias("adopted"))
+    """Saving of expected loss against rules, pooled over calendar months, with a 95 % interval from whole days drawn anew within each month."""
+    wide = acts(spark, sf_dir).groupBy("day").pivot("policy", ["expected loss", "rules"]).agg(P.realised(C)[0])
+    return P.paired_saving(wide.select(P.month().alias("period"), "day", (F.col("rules") - F.col("expected loss")).alias("saving")))
 
 
 @query("ml_5_expanding_folds", sql("""
@@ -409,9 +431,28 @@ def folds(spark, sf_dir):
     return df.withColumn("role", role).filter("role IS NOT NULL").groupBy("f.fold", "role").agg(F.count("*").alias("rows"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
-@query("ml_4_evaluate_models", sql("""
-SELECT model, split, count(*) AS rows, CAST(sum(label) AS BIGINT) AS fraud, round(avg((s - label) * (s - label)), 6) AS brier FROM (SELECT 'linear' AS model, split, p AS s, label FROM scored UNION ALL SELECT 'points', split, points / 7, label FROM scored) WHERE split <> 'train' GROUP BY model, split""", "scored"))
+_EVALUATED = """
+rows_ AS (SELECT 'linear' AS model, split, p AS s, label, amount, t, id FROM scored WHERE split <> 'train' UNION ALL SELECT 'points', split, points / 7, label, amount, t, id FROM scored WHERE split <> 'train'),
+cells AS (SELECT model, split, s, pos, n - pos AS neg, sum(pos) OVER w AS tp, sum(n - pos) OVER w AS fp, sum(v) OVER w AS tv, sum(pos) OVER g AS pp, sum(n - pos) OVER g AS nn, sum(v) OVER g AS vv
+  FROM (SELECT model, split, s, sum(label) AS pos, count(*) AS n, sum(CASE WHEN label = 1 THEN CAST(amount AS DOUBLE) ELSE 0 END) AS v FROM rows_ GROUP BY model, split, s)
+  WINDOW w AS (PARTITION BY model, split ORDER BY s DESC), g AS (PARTITION BY model, split)),
+ranked AS (SELECT model, split, round(sum(pos / pp * tp / (tp + fp)), 6) AS pr_auc, round(sum(pos * (nn - fp + neg / 2)) / (max(pp) * max(nn)), 6) AS roc_auc, %s FROM cells GROUP BY model, split),
+plain AS (SELECT model, split, count(*) AS rows, CAST(sum(label) AS BIGINT) AS fraud, round(avg((s - label) * (s - label)), 6) AS brier FROM rows_ GROUP BY model, split),
+ece AS (SELECT model, split, round(sum(n * abs(pr - ob)) / sum(n), 6) AS ece FROM (SELECT model, split, count(*) AS n, avg(s) AS pr, avg(label) AS ob FROM (SELECT *, ntile(10) OVER (PARTITION BY model, split ORDER BY s, t, id) AS b FROM rows_) GROUP BY model, split, b) GROUP BY model, split)""" % ", ".join(
+    f"coalesce(round(max(tp) FILTER (fp / nn <= {x}) / max(pp), 6), 0) AS recall_at_{k}, coalesce(round(max(tv) FILTER (fp / nn <= {x}) / max(vv), 6), 0) AS value_recall_at_{k}" for k, x in enumerate(LEVELS)
+)
+
+
+@query("ml_4_evaluate_models", sql("SELECT * FROM plain JOIN ranked USING (model, split) JOIN ece USING (model, split)", "scored", more=_EVALUATED))
 def evaluate(spark, sf_dir):
-    df = scored(spark, sf_dir).filter("split <> 'train'")
-    long = df.select("split", "label", F.explode(F.array(F.struct(F.lit("linear").alias("model"), F.col("p").alias("s")), F.struct(F.lit("points").alias("model"), (F.col("points") / 7).alias("s")))).alias("m")).select("m.*", "split", "label")
-    return long.groupBy("model", "split").agg(F.count("*").alias("rows"), F.sum("label").alias("fraud"), F.round(F.avg((F.col("s") - F.col("label")) ** 2), 6).alias("brier"))
+    """Each model on validation and test: average precision, area under the curve, recall of rows and of value at each level of false positives, Brier score, calibration error."""
+    df, key = scored(spark, sf_dir).filter("split <> 'train'"), ["model", "split"]
+    both = F.explode(F.array(F.struct(F.lit("linear").alias("model"), F.col("p").alias("s")), F.struct(F.lit("points").alias("model"), (F.col("points") / 7).alias("s"))))
+    long = df.select("id", "t", "split", "label", "amount", both.alias("m")).select("m.*", "id", "t", "split", "label", "amount")
+    plain = long.groupBy(*key).agg(F.count("*").alias("rows"), F.sum("label").alias("fraud"), F.round(F.avg((F.col("s") - F.col("label")) ** 2), 6).alias("brier"))
+    cells = metrics.by_score(long, "s", *key)
+    ranked = cells.groupBy(*key).agg(F.round(metrics.average_precision(), 6).alias("pr_auc"), F.round(metrics.roc_auc(), 6).alias("roc_auc"))
+    at = lambda c, x: F.max(F.when(F.col("level") == x, F.col(c)))
+    recall = metrics.recall_at(cells, LEVELS, *key).groupBy(*key).agg(*[at(c, x).alias(f"{c}_at_{k}") for k, x in enumerate(LEVELS) for c in ("recall", "value_recall")])
+    error = metrics.calibration_bins(long, "s", 10, *key).groupBy(*key).agg(F.round(metrics.calibration_error(), 6).alias("ece"))
+    return plain.join(ranked, key).join(recall, key).join(error, key)

@@ -341,22 +341,36 @@ def busiest_days(spark, sf_dir):
     return lake.txn(spark, sf_dir).groupBy("day").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "day").limit(5)
 
 
+@query("srt_2_top_levels", sql("SELECT email, count(*) AS rows FROM txn GROUP BY email ORDER BY rows DESC, email LIMIT 8", "txn"))
+def top_levels(spark, sf_dir):
+    return lake.txn(spark, sf_dir).groupBy("email").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "email").limit(8)
+
+
 @query("srt_1_arrival_order", sql("SELECT id, t FROM gappy", "gappy"))
 def arrival_order(spark, sf_dir):
     return lake.gappy(spark, sf_dir).select("id", "t").orderBy("t", "id")
 
 
-@query("agg_7_key_stability", sql("""
-SELECT count(*) AS keys, max(n) AS most_rows, quantile_cont(n, 0.5) AS median_rows, quantile_cont(n, 0.9) AS p90_rows, CAST(sum(CASE WHEN n >= 2 THEN n ELSE 0 END) AS BIGINT) AS rows_in_repeat_keys,
-  round(avg(CAST(emails <= 1 AS INTEGER)) FILTER (n >= 2), 6) AS email_constant, round(avg(CAST(hi = 1 AND lo = 0 AS INTEGER)) FILTER (n >= 2), 6) AS mixed_labels
-FROM (SELECT card || '_' || coalesce(device, 'NA') AS k, count(*) AS n, count(DISTINCT email) AS emails, max(label) AS hi, min(label) AS lo FROM gappy GROUP BY k)""", "gappy"))
+_KEY_FIELDS = {"email": "email", "hour": "t % 86400 // 3600", "cents": "CAST(amount * 100 AS BIGINT) % 100", "large": "amount >= 150"}
+
+
+@query("agg_7_key_stability", sql(f"""
+SELECT count(*) AS keys, max(n) AS most_rows, quantile_cont(n, 0.5) AS median_rows, quantile_cont(n, 0.9) AS p90_rows, quantile_cont(n, 0.99) AS p99_rows, CAST(sum(CASE WHEN n >= 2 THEN n ELSE 0 END) AS BIGINT) AS rows_in_repeat_keys,
+  round(1 - count(*) / sum(n), 6) AS share_with_history, CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS rows_with_missing_part,
+  {", ".join(f"round(avg(CAST({f} <= 1 AS INTEGER)) FILTER (n >= 2), 6) AS {f}_constant" for f in _KEY_FIELDS)}, round(avg(CAST({" AND ".join(f"{f} <= 1" for f in _KEY_FIELDS)} AS INTEGER)) FILTER (n >= 2), 6) AS all_constant,
+  round(avg(CAST(hi = 1 AND lo = 0 AS INTEGER)) FILTER (n >= 2), 6) AS mixed_labels
+FROM (SELECT card || '_' || coalesce(device, 'NA') AS k, bool_or(device IS NULL) AS gone, count(*) AS n, {", ".join(f"count(DISTINCT {x}) AS {f}" for f, x in _KEY_FIELDS.items())}, max(label) AS hi, min(label) AS lo FROM gappy GROUP BY k)""", "gappy"))
 def key_stability(spark, sf_dir):
-    per = lake.gappy(spark, sf_dir).groupBy("card", F.coalesce("device", F.lit("NA")).alias("d")).agg(F.count("*").alias("n"), F.count_distinct("email").alias("emails"), F.max("label").alias("hi"), F.min("label").alias("lo"))
-    multi = F.col("n") >= 2
+    """How far (card, device) acts as one client: rows a key, rows with an earlier one, keys with a part missing, constancy of four fields, mixed labels."""
+    df = lake.gappy(spark, sf_dir).withColumns({"hour": F.floor(F.col("t") % DAY / 3600), "cents": (F.col("amount") * 100).cast("long") % 100, "large": F.col("amount") >= 150})
+    per = df.groupBy("card", F.coalesce("device", F.lit("NA")).alias("d")).agg(F.bool_or(F.col("device").isNull()).alias("gone"), F.count("*").alias("n"), *[F.count_distinct(f).alias(f) for f in _KEY_FIELDS], F.max("label").alias("hi"), F.min("label").alias("lo"))
+    multi = lambda cond: F.round(F.avg(F.when(F.col("n") >= 2, cond.cast("int"))), 6)
+    q = F.percentile("n", F.array(*[F.lit(x) for x in (0.5, 0.9, 0.99)]))
     return per.agg(
-        F.count("*").alias("keys"), F.max("n").alias("most_rows"), F.percentile("n", F.lit(0.5)).alias("median_rows"), F.percentile("n", F.lit(0.9)).alias("p90_rows"), F.sum(F.when(multi, F.col("n")).otherwise(0)).alias("rows_in_repeat_keys"),
-        F.round(F.avg(F.when(multi, (F.col("emails") <= 1).cast("int"))), 6).alias("email_constant"), F.round(F.avg(F.when(multi, ((F.col("hi") == 1) & (F.col("lo") == 0)).cast("int"))), 6).alias("mixed_labels"),
-    )
+        F.count("*").alias("keys"), F.max("n").alias("most_rows"), q.alias("q"), F.sum(F.when(F.col("n") >= 2, F.col("n")).otherwise(0)).alias("rows_in_repeat_keys"),
+        F.round(1 - F.count("*") / F.sum("n"), 6).alias("share_with_history"), F.sum(F.when(F.col("gone"), F.col("n")).otherwise(0)).alias("rows_with_missing_part"),
+        *[multi(F.col(f) <= 1).alias(f"{f}_constant") for f in _KEY_FIELDS], multi(F.greatest(*_KEY_FIELDS) <= 1).alias("all_constant"), multi((F.col("hi") == 1) & (F.col("lo") == 0)).alias("mixed_labels"),
+    ).select("*", *[F.col("q")[k].alias(n) for k, n in enumerate(("median_rows", "p90_rows", "p99_rows"))]).drop("q")
 
 
 @query("agg_18_family_missingness", sql("SELECT 'entity' AS family, round((avg(CAST(device IS NULL AS INTEGER)) + avg(CAST(card IS NULL AS INTEGER))) / 2, 6) AS mean_share, CAST((avg(CAST(device IS NULL AS INTEGER)) > 0.5)::INTEGER + (avg(CAST(card IS NULL AS INTEGER)) > 0.5)::INTEGER AS BIGINT) AS over_half FROM gappy UNION ALL SELECT 'other', round(avg(CAST(email IS NULL AS INTEGER)), 6), 0 FROM gappy", "gappy"))
@@ -458,28 +472,26 @@ def psi(spark, sf_dir):
     return metrics.psi(df.filter("split = 'train'"), df.filter("split = 'test'"), "p").select(F.round("psi", 6).alias("psi"))
 
 
-_DRIFT = """
-num AS (SELECT v, sum(r) OVER (ORDER BY v) / (SELECT count(*) FROM txn WHERE split = 'train') AS fr, sum(c) OVER (ORDER BY v) / (SELECT count(*) FROM txn WHERE split = 'test') AS fc, lead(v) OVER (ORDER BY v) - v AS step
-  FROM (SELECT CAST(amount AS DOUBLE) AS v, count(*) FILTER (split = 'train') AS r, count(*) FILTER (split = 'test') AS c FROM txn WHERE split IN ('train', 'test') GROUP BY v)),
-cat AS (SELECT email, count(*) FILTER (split = 'train') / (SELECT count(*) FROM txn WHERE split = 'train') AS r, count(*) FILTER (split = 'test') / (SELECT count(*) FROM txn WHERE split = 'test') AS c FROM txn GROUP BY email)"""
+_DRIFT = f"""
+src AS (SELECT CAST(amount AS DOUBLE) AS amount, CAST(t % 86400 // 3600 AS DOUBLE) AS hour, email, CASE WHEN t < {24 * DAY} THEN device END AS device, split = 'test' AS cur FROM gappy WHERE split IN ('train', 'test')),
+nl AS (SELECT 'amount' AS field, amount AS v, cur FROM src UNION ALL SELECT 'hour', hour, cur FROM src),
+cl AS (SELECT 'email' AS field, email AS v, cur FROM src UNION ALL SELECT 'device', device, cur FROM src),
+num AS (SELECT field, sum(r) OVER w / sum(r) OVER (PARTITION BY field) AS fr, sum(c) OVER w / sum(c) OVER (PARTITION BY field) AS fc, lead(v) OVER w - v AS step
+  FROM (SELECT field, v, count(*) FILTER (NOT cur) AS r, count(*) FILTER (cur) AS c FROM nl GROUP BY field, v) WINDOW w AS (PARTITION BY field ORDER BY v)),
+cat AS (SELECT field, r / sum(r) OVER (PARTITION BY field) AS r, coalesce(c / nullif(sum(c) OVER (PARTITION BY field), 0), 0) AS c
+  FROM (SELECT field, v, count(*) FILTER (NOT cur) AS r, count(*) FILTER (cur) AS c FROM cl WHERE v IS NOT NULL GROUP BY field, v)),
+dist AS (SELECT field, round(sum(abs(fr - fc) * step) / (SELECT stddev_pop(v) FROM nl WHERE NOT cur AND nl.field = num.field), 6) AS distance FROM num GROUP BY field
+  UNION ALL SELECT field, round(sqrt(greatest(sum((CASE WHEN r > 0 THEN r * ln(2 * r / (r + c)) ELSE 0 END + CASE WHEN c > 0 THEN c * ln(2 * c / (r + c)) ELSE 0 END) / 2), 0) / ln(2)), 6) FROM cat GROUP BY field),
+gone AS (SELECT field, round(abs(avg(CAST(v IS NULL AS INTEGER)) FILTER (cur) - avg(CAST(v IS NULL AS INTEGER)) FILTER (NOT cur)), 6) AS missing_shift
+  FROM (SELECT field, CAST(v AS VARCHAR) AS v, cur FROM nl UNION ALL SELECT field, v, cur FROM cl) GROUP BY field),
+flags AS (SELECT field, distance, missing_shift, distance >= 0.1 OR missing_shift >= 0.2 AS drifted FROM dist JOIN gone USING (field))"""
 
 
-@query("agg_17_input_drift", sql("""
-SELECT 'amount' AS field, round((SELECT sum(abs(fr - fc) * step) FROM num) / (SELECT stddev_pop(CAST(amount AS DOUBLE)) FROM txn WHERE split = 'train'), 6) AS distance
-UNION ALL SELECT 'email', round(sqrt(sum((CASE WHEN r > 0 THEN r * ln(2 * r / (r + c)) ELSE 0 END + CASE WHEN c > 0 THEN c * ln(2 * c / (r + c)) ELSE 0 END) / 2) / ln(2)), 6) FROM cat""", "txn", more=_DRIFT))
+@query("agg_17_input_drift", sql("SELECT *, round(avg(CAST(drifted AS INTEGER)) OVER (), 6) AS drifted_share FROM flags", "gappy", more=_DRIFT))
 def input_drift(spark, sf_dir):
-    """Numbers: the first Wasserstein distance over the reference's deviation, from cumulative shares at distinct values. Categories: Jensen-Shannon distance of shares."""
-    df = lake.txn(spark, sf_dir).filter("split IN ('train', 'test')")
-    totals = df.agg(F.count_if(F.col("split") == "train").alias("all_r"), F.count_if(F.col("split") == "test").alias("all_c"), F.stddev_pop(F.when(F.col("split") == "train", F.col("amount").cast("double"))).alias("sd"))
-    count = [F.count_if(F.col("split") == "train").alias("r"), F.count_if(F.col("split") == "test").alias("c")]
-    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    num = df.groupBy(F.col("amount").cast("double").alias("v")).agg(*count).crossJoin(F.broadcast(totals))
-    num = num.select((F.abs(F.sum("r").over(upto) / F.col("all_r") - F.sum("c").over(upto) / F.col("all_c")) * (F.lead("v").over(Window.orderBy("v")) - F.col("v"))).alias("a"), "sd")
-    w1 = num.agg(F.round(F.sum("a") / F.max("sd"), 6).alias("distance")).select(F.lit("amount").alias("field"), "distance")
-    cat = df.groupBy("email").agg(*count).crossJoin(F.broadcast(totals)).select((F.col("r") / F.col("all_r")).alias("r"), (F.col("c") / F.col("all_c")).alias("c"))
-    part = lambda x: F.when(F.col(x) > 0, F.col(x) * F.log(2 * F.col(x) / (F.col("r") + F.col("c")))).otherwise(0.0)
-    js = cat.agg(F.round(F.sqrt(F.sum((part("r") + part("c")) / 2) / F.log(F.lit(2.0))), 6).alias("distance")).select(F.lit("email").alias("field"), "distance")
-    return w1.unionByName(js)
+    """Test against train, with a feed that falls silent in the test period."""
+    df = lake.gappy(spark, sf_dir).withColumns({"device": F.when(F.col("t") < 24 * DAY, F.col("device")), "hour": F.floor(F.col("t") % DAY / 3600)})
+    return metrics.input_drift(df.filter("split = 'train'"), df.filter("split = 'test'"), ("amount", "hour"), ("email", "device"))
 
 
 @query("win_19_trailing_week", sql("SELECT d.day, count(x.id) AS transactions, round(avg(CAST(x.action <> 'approve' AS INTEGER)), 6) AS alert_rate FROM (SELECT DISTINCT day FROM txn WHERE day >= 7) d JOIN acts x ON x.policy = 'rules' AND x.day >= d.day - 7 AND x.day < d.day GROUP BY d.day", "acts"))
@@ -503,12 +515,33 @@ def _monitor(spark, sf_dir) -> DataFrame:
     per = acts(spark, sf_dir).filter("policy = 'rules'").groupBy("day").agg(F.count("*").alias("n"), F.count_if(F.col("action") != "approve").alias("k"))
     served = per.select(F.explode(F.sequence(F.col("day") + 1, F.col("day") + 7)).alias("day"), "n", "k").join(per.select("day").filter("day >= 7"), "day", "left_semi")
     week = served.groupBy("day").agg(F.sum("n").alias("n"), (F.sum("k") / F.sum("n")).alias("rate"))
-    return week.crossJoin(F.broadcast(ref)).select("day", "n", "rate", (F.abs(F.col("rate") / F.col("r") - 1) >= 0.02).alias("warn"))
+    return week.crossJoin(F.broadcast(ref)).withColumn("change", F.col("rate") / F.col("r") - 1).select("day", "n", "rate", "change", (F.abs("change") >= 0.02).alias("warn"))
+
+
+_SCORE_PSI = _MON + """,
+edges AS (SELECT list_sort(list_distinct(quantile_cont(p, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e FROM scored WHERE split = 'train'),
+inner_edges AS (SELECT unnest(e[2:len(e) - 1]) AS x FROM edges),
+binned AS (SELECT s.day, s.split, (SELECT count(*) FROM inner_edges WHERE x <= s.p) AS b FROM scored s),
+spine AS (SELECT unnest(range(0, greatest(len(e) - 1, 1))) AS b FROM edges),
+refs AS (SELECT b, greatest(count(*) FILTER (split = 'train') / (SELECT count(*) FROM binned WHERE split = 'train'), 1e-4) AS r FROM binned GROUP BY b),
+weeks AS (SELECT d.day, x.b, count(*) AS c FROM stat d JOIN binned x ON x.day >= d.day - 7 AND x.day < d.day GROUP BY d.day, x.b),
+shift AS (SELECT day, sum((c - r) * ln(c / r)) AS psi FROM (
+  SELECT stat.day, coalesce(refs.r, 1e-4) AS r, greatest(coalesce(weeks.c, 0) / stat.n, 1e-4) AS c FROM stat CROSS JOIN spine LEFT JOIN weeks ON weeks.day = stat.day AND weeks.b = spine.b LEFT JOIN refs ON refs.b = spine.b) GROUP BY day)"""
 
 
-@query("agg_33_daily_monitor", sql("SELECT day, CAST(n AS BIGINT) AS transactions, round(rate, 6) AS alert_rate, warn FROM stat", "acts", more=_MON))
+@query("agg_33_daily_monitor", sql("""
+SELECT day, CAST(n AS BIGINT) AS transactions, round(rate, 6) AS alert_rate, round(rate / r - 1, 6) AS alert_rate_change, warn, round(psi, 6) AS score_psi,
+  CASE WHEN round(psi, 6) >= 0.2 THEN 'alert' WHEN round(psi, 6) >= 0.1 THEN 'warn' ELSE 'ok' END AS score_status FROM stat JOIN shift USING (day), ref""", "acts", more=_SCORE_PSI))
 def daily_monitor(spark, sf_dir):
-    return _monitor(spark, sf_dir).select("day", F.col("n").alias("transactions"), F.round("rate", 6).alias("alert_rate"), "warn")
+    """Each day's week before it: rows, alert rate and its change against the reference, and how far scores have moved. Bins are counted by day, and a day's counts are served to the seven days after it."""
+    week, df = _monitor(spark, sf_dir), scored(spark, sf_dir)
+    train = df.filter("split = 'train'")
+    edges = metrics.deciles(train, "p")
+    served = metrics.bin_counts(df, edges, "p", "c", "day").select(F.explode(F.sequence(F.col("day") + 1, F.col("day") + 7)).alias("day"), "b", "c").groupBy("day", "b").agg(F.sum("c").alias("c"))
+    both = week.select("day").crossJoin(F.broadcast(metrics.every_bin(edges))).join(served, ["day", "b"], "left").join(F.broadcast(metrics.bin_counts(train, edges, "p", "r")), "b", "left")
+    shift = metrics.stability(both, "day").select("day", F.round("psi", 6).alias("score_psi"))
+    status = F.when(F.col("score_psi") >= 0.2, "alert").when(F.col("score_psi") >= 0.1, "warn").otherwise("ok")
+    return week.join(shift, "day").select("day", F.col("n").alias("transactions"), F.round("rate", 6).alias("alert_rate"), F.round("change", 6).alias("alert_rate_change"), "warn", "score_psi", status.alias("score_status"))
 
 
 @query("win_18_alert_runs", sql("SELECT min(day) AS first_day, count(*) AS days FROM (SELECT day, day - row_number() OVER (ORDER BY day) AS island FROM stat WHERE warn) GROUP BY island", "acts", more=_MON))
