@@ -71,7 +71,7 @@ SELECT id, {_keyed('device', f'count(*) ' + _over('device', ALL, f'{D + 1} PRECE
     _features("counts", Feature("known_rows", "device", "known_all", None, "label", D), Feature("known_positives", "device", "known", None, "label", D), source=lake.gappy))
 
 
-_TWENTY = sql(f"""
+TWENTY = sql(f"""
 SELECT id, count(*) {_over('card', H)} AS card_txn_1h, count(*) {_over('card', D)} AS card_txn_24h, count(*) {_over('card', 7 * D)} AS card_txn_7d, count(*) {_over('card', 30 * D)} AS card_txn_30d, n AS card_txn_prior,
   round(CAST(coalesce(sum(amount) {_over('card', D)}, 0) AS DOUBLE), 6) AS card_amt_24h, round(CAST(coalesce(sum(amount) {_over('card', 7 * D)}, 0) AS DOUBLE), 6) AS card_amt_7d,
   t - max(t) {_over('card', ALL)} AS card_secs_since_prev, CASE WHEN n >= 2 AND sd > 1e-9 THEN round((CAST(amount AS DOUBLE) - m) / sd, 4) END AS card_amt_zscore, CASE WHEN s > 0 THEN round(CAST(amount AS DOUBLE) / (CAST(s AS DOUBLE) / n), 6) END AS card_amt_ratio,
@@ -83,12 +83,16 @@ FROM (SELECT *, count(*) {_over('card', ALL)} AS n, sum(amount) {_over('card', A
         CAST(sum(label) {_over('card', ALL, f'{3 * D + 1} PRECEDING')} AS BIGINT) AS k, count(*) {_over('card', ALL, f'{3 * D + 1} PRECEDING')} AS kn FROM txn)""", "txn")
 
 
-@query("features_all_twenty", _TWENTY)
+def rounded(df: DataFrame) -> DataFrame:
+    """The features to the digits that SQL and Spark share."""
+    digits = {"sum": 6, "zscore": 4, "ratio": 6, "known_rate": 6}
+    return df.select("id", *[F.round(f.name, digits[f.kind]).alias(f.name) if f.kind in digits else F.col(f.name) for f in FEATURES])
+
+
+@query("features_all_twenty", TWENTY)
 def all_features(spark, sf_dir):
     """All twenty in one plan."""
-    digits = {"sum": 6, "zscore": 4, "ratio": 6, "known_rate": 6}
-    out = history.add_history(lake.txn(spark, sf_dir))
-    return out.select("id", *[F.round(f.name, digits[f.kind]).alias(f.name) if f.kind in digits else F.col(f.name) for f in FEATURES])
+    return rounded(history.add_history(lake.txn(spark, sf_dir)))
 
 
 CARD = tuple(f for f in FEATURES if f.entity == "card")

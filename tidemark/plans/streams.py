@@ -11,6 +11,7 @@ from ..operators import history
 from ..operators import policy as P
 from ..sources import lake
 from ..streaming import features, landing
+from .history import TWENTY, rounded
 from .registry import query, sql
 
 DELAY = 3 * 86400
@@ -60,33 +61,43 @@ def exactly_once(spark, sf_dir):
     return spark.read.parquet(out).groupBy("topic").agg(F.count("*").alias("rows"), F.count_distinct("key").alias("messages"), F.sum(F.col("key").cast("long")).alias("ids"))
 
 
-def _stream_of(spark, messages: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, str]:
-    """Card features of all messages, and the checkpoint that holds the state."""
+def _stream_of(spark, messages: DataFrame, wanted=features.CARD, state: DataFrame | None = None) -> tuple[DataFrame, str]:
+    """Features of one entity from all messages, and the checkpoint that holds the state."""
     src, out, ck = _folder(spark), _folder(spark), _folder(spark)
     _files(messages, src)
-    features.run_to_end(features.card_features(landing.file_source(spark, src, features.EVENT, 2), state=state), out, ck)
+    features.run_to_end((features.entity_features(landing.file_source(spark, src, features.EVENT, 2), wanted, state=state), out, ck))
     return spark.read.parquet(out), ck
 
 
 def _streamed(spark, sf_dir) -> DataFrame:
-    return _stream_of(spark, features.messages(lake.txn(spark, sf_dir), DELAY))[0]
+    """All twenty features, by a keyed stream for each of card, device and email over the same files."""
+    src, txn = _folder(spark), lake.txn(spark, sf_dir)
+    _files(features.messages(txn, DELAY), src)
+    runs = []
+    for entity in dict.fromkeys(f.entity for f in history.FEATURES):
+        wanted = tuple(f for f in history.FEATURES if f.entity == entity)
+        runs.append((wanted, features.entity_features(landing.file_source(spark, src, features.EVENT, 2), wanted), _folder(spark), _folder(spark)))
+    features.run_to_end(*[r[1:] for r in runs])
+    out = txn.select("id")
+    for wanted, _, path, _ in runs:
+        out = out.join(spark.read.parquet(path).select("id", *[f.name for f in wanted]), "id", "left")
+    return out
+
+
+@query("str_2_keyed_features", TWENTY)
+def keyed_features(spark, sf_dir):
+    """All twenty features from keyed state of cards, devices and emails, with labels in the same stream."""
+    return rounded(_streamed(spark, sf_dir))
 
 
-@query("str_2_keyed_features", sql("""
-SELECT id, card_txn_1h, card_txn_24h, round(CAST(card_amt_24h AS DOUBLE), 4) AS card_amt_24h, card_new_device,
-       coalesce(CAST(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 259201 PRECEDING) AS BIGINT), 0) AS card_known FROM feat""", "feat"))
-def keyed_features(spark, sf_dir):
-    """Counts, spend, new devices and known positives from keyed state, with labels in the same stream."""
-    return _streamed(spark, sf_dir).select("id", "card_txn_1h", "card_txn_24h", F.round("card_amt_24h", 4).alias("card_amt_24h"), "card_new_device", "card_known")
+_NAMES = ", ".join(f"('{f.name}')" for f in history.FEATURES)
 
 
-@query("ver_3_stream_batch_parity", sql("SELECT feature, (SELECT count(*) FROM txn) AS rows, 0 AS different FROM (VALUES ('card_txn_1h'), ('card_txn_24h'), ('card_amt_24h'), ('card_new_device'), ('card_known')) f(feature)", "txn"))
+@query("ver_3_stream_batch_parity", sql(f"SELECT feature, (SELECT count(*) FROM txn) AS rows, 0 AS different FROM (VALUES {_NAMES}) f(feature)", "txn"))
 def parity(spark, sf_dir):
-    """Stream against windows, value for value."""
-    wanted = tuple(f for f in history.FEATURES if f.name in ("card_txn_1h", "card_txn_24h", "card_amt_24h", "card_new_device"))
-    batch = history.add_history(lake.txn(spark, sf_dir), (*wanted, history.Feature("card_known", "card", "known", None, "label", DELAY)))
-    names = [f.name for f in wanted] + ["card_known"]
-    return history.differences(history.long_form(batch, names), history.long_form(_streamed(spark, sf_dir), names), 1e-9)
+    """Stream against windows, value for value, on all twenty features."""
+    names = [f.name for f in history.FEATURES]
+    return history.differences(history.long_form(history.add_history(lake.txn(spark, sf_dir)), names), history.long_form(_streamed(spark, sf_dir), names), 1e-9)
 
 
 @query("str_9_daily_budget", sql("SELECT id, points, a_rules AS action FROM decided", "decided"))
@@ -94,9 +105,9 @@ def daily_budget(spark, sf_dir):
     """Rules decisions with the day's review budget, as two keyed stages of one stream."""
     src, out, ck = _folder(spark), _folder(spark), _folder(spark)
     _files(features.messages(lake.txn(spark, sf_dir), DELAY), src)
-    f = features.card_features(landing.file_source(spark, src, features.EVENT, 2))
+    f = features.entity_features(landing.file_source(spark, src, features.EVENT, 2))
     ready = f.withColumn("points", P.points().cast("int")).withColumn("day", F.floor(F.col("t") / 86400))
-    features.run_to_end(features.day_decisions(ready.select("id", "t", "day", "points", "ts"), P.Costs().capacity, 3, 6), out, ck)
+    features.run_to_end((features.day_decisions(ready.select("id", "t", "day", "points", "ts"), P.Costs().capacity, 3, 6), out, ck))
     return spark.read.parquet(out).select("id", "points", "action")
 
 
@@ -127,9 +138,9 @@ def late(spark, sf_dir):
     return both.groupBy("went").agg(F.count("*").alias("rows"), F.sum("id").alias("ids"))
 
 
-@query("str_10_stream_equals_batch", sql("""
+@query("str_10_stream_equals_batch", sql(f"""
 SELECT feature, (SELECT count(*) FROM txn) AS rows, 0 AS different
-FROM (VALUES ('card_txn_1h'), ('card_txn_24h'), ('card_amt_24h'), ('card_new_device'), ('card_known'), ('points'), ('declined'), ('reviewed')) f(feature)""", "txn"))
+FROM (VALUES {_NAMES}, ('points'), ('declined'), ('reviewed')) f(feature)""", "txn"))
 def stream_equals_batch(spark, sf_dir):
     """Features and actions of the stream against those of the batch plan, value for value."""
     batch = P.priced(P.scored(lake.txn(spark, sf_dir)))
@@ -142,8 +153,15 @@ def stream_equals_batch(spark, sf_dir):
 
 @query("str_7_labels_in_release_order", sql("SELECT id, coalesce(CAST(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 259201 PRECEDING) AS BIGINT), 0) AS card_known FROM txn", "txn"))
 def labels_in_order(spark, sf_dir):
-    """Labels, whichever files they are read from, count from their release on and not before."""
-    return _streamed(spark, sf_dir).select("id", "card_known")
+    """Transactions and labels from folders of their own: the stream's clock is that of the slower one, so labels count from their release on and not before."""
+    sent, topics = features.messages(lake.txn(spark, sf_dir), DELAY), []
+    for mine in (F.col("kind") == 0, F.col("kind") == 1):
+        src = _folder(spark)
+        _files(sent.filter(mine | (F.col("id") == -1)), src)
+        topics.append(landing.file_source(spark, src, features.EVENT, 2).withWatermark("ts", "1 hour"))
+    out, ck = _folder(spark), _folder(spark)
+    features.run_to_end((features.entity_features(topics[0].unionByName(topics[1]), delay=None), out, ck))
+    return spark.read.parquet(out).select("id", F.col("card_known_chargebacks").alias("card_known"))
 
 
 @query("str_3_same_second", sql("""
@@ -173,13 +191,13 @@ def label_updates(spark, sf_dir):
 _CUT = 15 * 86400
 
 
-@query("str_8_state_warm_up", sql(f"""
-SELECT * FROM (
-  SELECT id, t, card_txn_1h, card_txn_24h, round(CAST(card_amt_24h AS DOUBLE), 4) AS card_amt_24h, card_new_device,
-         coalesce(CAST(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 259201 PRECEDING) AS BIGINT), 0) AS card_known FROM feat)
-WHERE t >= {_CUT}""", "feat"))
+@query("str_8_state_warm_up", f"SELECT * FROM ({TWENTY}) WHERE id IN (SELECT event_id FROM events WHERE CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 >= {_CUT})")
 def warm_up(spark, sf_dir):
-    """A stream that starts halfway with state from the table gives the features that one from the start would give."""
+    """Streams that start halfway with state from the table give the features that ones from the start would give."""
     df = lake.txn(spark, sf_dir)
-    out, _ = _stream_of(spark, features.messages(df, DELAY).filter(F.col("t") >= _CUT), features.card_state(df, _CUT, DELAY))
-    return out.select("id", "t", "card_txn_1h", "card_txn_24h", F.round("card_amt_24h", 4).alias("card_amt_24h"), "card_new_device", "card_known")
+    out = df.filter(F.col("t") >= _CUT).select("id")
+    for entity in dict.fromkeys(f.entity for f in history.FEATURES):
+        wanted = tuple(f for f in history.FEATURES if f.entity == entity)
+        later, _ = _stream_of(spark, features.messages(df, DELAY).filter(F.col("t") >= _CUT), wanted, features.entity_state(df, wanted, _CUT, DELAY))
+        out = out.join(later.select("id", *[f.name for f in wanted]), "id", "left")
+    return rounded(out)

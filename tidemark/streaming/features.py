@@ -1,4 +1,4 @@
-"""The streaming twin of the card's features, and decisions with a daily review budget, as keyed state.
+"""The streaming twin of the history features, and decisions with a daily review budget, as keyed state.
 
 Rows wait in state until the watermark has passed them and are then taken in order of time, transactions before labels of the same second, so
 the order in which files or topics were read doesn't matter. Rows of one second are all computed before any is folded in. Later
@@ -7,7 +7,10 @@ rows than the watermark allows don't come in; `split_late` goes before the keyed
 
 from __future__ import annotations
 
+import math
+from collections import OrderedDict
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -15,11 +18,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-HOUR, DAY = 3600, 86400
-EVENT = "id long, card string, t long, kind int, amount double, device string, label int, ts timestamp"
-FEATURES = "id long, card string, t long, amount double, label int, card_txn_1h long, card_txn_24h long, card_amt_24h double, card_new_device int, card_known long, ts timestamp"
+from ..operators.history import DAY, Feature
+from ..operators.history import FEATURES as ALL
+
+EVENT = "id long, card string, t long, kind int, amount double, device string, email string, label int, ts timestamp"
+#: What rules and the linear score take, with the positives known.
+CARD = tuple(f for f in ALL if f.name in ("card_txn_1h", "card_txn_24h", "card_amt_24h", "card_new_device", "card_known_chargebacks"))
+STATE = "kind string, name string, value string, t long, n long, m long, cents long, mean double, spread double"
 DECISION = "id long, t long, day long, points int, action string, ts timestamp"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+EPOCH_MS = 1704067200000
+SPREAD = 64  # keys a day for rows that don't ask for a review
+
+_TYPES = {"count": "long", "sum": "double", "distinct": "long", "since_prev": "long", "zscore": "double", "ratio": "double", "is_new": "int", "known": "long", "known_all": "long", "known_rate": "double"}
+_PANDAS = {"long": "Int64", "double": "Float64", "int": "Int32"}
+
+
+def _text(x: Any) -> str | None:
+    return x if isinstance(x, str) else None
 
 
 class Waiting:
@@ -57,83 +73,194 @@ class Waiting:
         return [r for r in rows if r[-1] <= upto_ms]
 
 
-class CardFeatures(StatefulProcessor):
-    """Per card: waiting rows, the last day's (second, cents), positives known, devices seen. Older history is dropped as time goes on."""
+class History:
+    """What an entity did so far, read from state when its rows are due, advanced second by second and written back.
+
+    recent: (second, cents) within the longest window, with a moving start for each window; totals: all rows, and moments of amounts by Welford's update;
+    first: when a value was first seen; seen: when a value was last seen, oldest first, within a window. So a second costs what enters and leaves in it.
+    """
+
+    def __init__(self, p: EntityFeatures) -> None:
+        self.p = p
+        self.known, self.labelled = map(int, p.known.get()) if p.known.exists() else (0, 0)
+        self.rows, self.n, self.cents, self.mean, self.spread, self.last = p.totals.get() if p.totals.exists() else (0, 0, 0, 0.0, 0.0, None)
+        self.recent = [(int(a), int(b)) for a, b in p.recent.get()] if p.recent.exists() else []
+        self.start = dict.fromkeys(p.windows, 0)
+        self.sums = dict.fromkeys(p.windows, sum(x[1] for x in self.recent))
+        self.seen = {name: OrderedDict(sorted(((k[0], int(v[0])) for k, v in s.iterator()), key=lambda x: x[1])) for name, s in p.seen.items()}
+        self.before = {name: dict(s) for name, s in self.seen.items()}
+        self.firsts: dict[tuple[str, str], int | None] = {}
+        self.added: dict[tuple[str, str], int] = {}
+
+    def move_to(self, t: int) -> None:
+        for w in self.start:
+            while self.start[w] < len(self.recent) and self.recent[self.start[w]][0] < t - w:
+                self.sums[w] -= self.recent[self.start[w]][1]
+                self.start[w] += 1
+        for f in self.p.distinct:
+            s = self.seen[f.name]
+            while s and next(iter(s.values())) < t - f.window:
+                s.popitem(last=False)
+
+    def first(self, column: str, value: str) -> int | None:
+        key = (column, value)
+        if key not in self.firsts:
+            at = self.p.first[column].getValue((value,)) if self.p.first[column].containsKey((value,)) else None
+            self.firsts[key] = None if at is None else int(at[0])
+        return self.firsts[key]
+
+    def value(self, f: Feature, t: int, amount: float | None, values: dict[str, str | None]) -> Any:
+        if f.kind == "count":
+            return self.rows if f.window is None else len(self.recent) - self.start[f.window]
+        if f.kind == "sum":
+            return (self.cents if f.window is None else self.sums[f.window]) / 100
+        if f.kind == "distinct":
+            return len(self.seen[f.name])
+        if f.kind == "since_prev":
+            return None if self.last is None else t - self.last
+        if f.kind == "zscore":
+            deviation = math.sqrt(self.spread / (self.n - 1)) if self.n >= 2 and self.spread > 0 else 0.0
+            return (amount - self.mean) / deviation if amount is not None and deviation > 1e-9 else None
+        if f.kind == "ratio":
+            return amount / (self.cents / 100 / self.n) if amount is not None and self.n and self.cents > 0 else None
+        if f.kind == "is_new":
+            v = values[f.column]
+            return None if v is None else int(self.first(f.column, v) is None)
+        return {"known": self.known, "known_all": self.labelled, "known_rate": self.known / self.labelled if self.labelled else None}[f.kind]
+
+    def take(self, t: int, amount: float | None, values: dict[str, str | None]) -> None:
+        cents = 0 if amount is None else round(amount * 100)
+        self.rows, self.cents, self.last = self.rows + 1, self.cents + cents, t
+        if amount is not None:
+            self.n += 1
+            off = amount - self.mean
+            self.mean += off / self.n
+            self.spread += off * (amount - self.mean)
+        if self.p.windows:
+            self.recent.append((t, cents))
+            for w in self.sums:
+                self.sums[w] += cents
+        for f in self.p.distinct:
+            if values[f.column] is not None:
+                self.seen[f.name][values[f.column]] = t
+                self.seen[f.name].move_to_end(values[f.column])
+        for column in self.p.first:
+            v = values[column]
+            if v is not None and self.first(column, v) is None:
+                self.firsts[column, v] = self.added[column, v] = t
+
+    def write(self) -> None:
+        p = self.p
+        p.known.update((self.known, self.labelled))
+        if self.rows:
+            p.totals.update((self.rows, self.n, self.cents, self.mean, self.spread, self.last))
+        kept = self.recent[min(self.start.values(), default=0) :]
+        if kept:
+            p.recent.put(kept)
+        else:
+            p.recent.clear()
+        for (column, v), t in self.added.items():
+            p.first[column].updateValue((v,), (t,))
+        for name, s in self.seen.items():
+            for v in self.before[name].keys() - s.keys():
+                p.seen[name].removeKey((v,))
+            for v, t in s.items():
+                if self.before[name].get(v) != t:
+                    p.seen[name].updateValue((v,), (t,))
+
+
+class EntityFeatures(StatefulProcessor):
+    """Per entity: waiting rows and its `History`. What no window reaches any more is dropped as time goes on."""
+
+    def __init__(self, features: tuple[Feature, ...]) -> None:
+        self.features = features
+        self.windows = sorted({f.window for f in features if f.kind in ("count", "sum") and f.window is not None})
+        self.distinct = [f for f in features if f.kind == "distinct"]
+        self.columns = list(dict.fromkeys(f.column for f in features if f.kind == "is_new"))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = Waiting(handle, "id long, t long, kind int, amount double, device string, label int, ms long")
+        self.waiting = Waiting(handle, "id long, t long, kind int, amount double, label int, card string, device string, email string, ms long")
         self.recent = handle.getListState("recent", "t long, cents long")
-        self.known = handle.getValueState("known", "n long")
-        self.devices = handle.getMapState("devices", "device string", "first long")
+        self.known = handle.getValueState("known", "n long, labelled long")
+        self.totals = handle.getValueState("totals", "rows long, n long, cents long, mean double, spread double, last long")
+        self.first = {c: handle.getMapState(f"first_{c}", "value string", "t long") for c in self.columns}
+        self.seen = {f.name: handle.getMapState(f"seen_{f.name}", "value string", "t long") for f in self.distinct}
 
     def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
-        """Rows of `card_state`: what the state would be had the table's rows come through the stream."""
+        """Rows of `entity_state`: what the state would be had the table's rows come through the stream."""
         rows = list(initialState.itertuples(index=False))
-        recent = sorted((int(r.t), int(r.n)) for r in rows if r.kind == "recent")
+        recent = sorted((int(r.t), int(r.cents)) for r in rows if r.kind == "recent")
         if recent:
             self.recent.put(recent)
         for r in rows:
             if r.kind == "known":
-                self.known.update((int(r.n),))
-            elif r.kind == "device":
-                self.devices.updateValue((r.device,), (int(r.t),))
+                self.known.update((int(r.n), int(r.m)))
+            elif r.kind == "totals":
+                self.totals.update((int(r.n), int(r.m), int(r.cents), float(r.mean), float(r.spread), int(r.t)))
+            elif r.kind in ("first", "seen"):
+                getattr(self, r.kind)[r.name].updateValue((r.value,), (int(r.t),))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        new = [(int(r.id), int(r.t), int(r.kind), float(r.amount), r.device if isinstance(r.device, str) else None, int(r.label), int(r.t) * 1000) for pdf in rows for r in pdf.itertuples(index=False)]
-        self.waiting.add(new)
+        for pdf in rows:
+            self.waiting.add([
+                (int(r.id), int(r.t), int(r.kind), None if pd.isna(r.amount) else float(r.amount), 0 if pd.isna(r.label) else int(r.label), _text(r.card), _text(r.device), _text(r.email), int(r.t) * 1000)
+                for r in pdf.itertuples(index=False)
+            ])
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         due = self.waiting.due(timerValues.getCurrentWatermarkInMs() - EPOCH_MS)
         if not due:
             return
-        known = int(self.known.get()[0]) if self.known.exists() else 0
-        recent = [(int(a), int(b)) for a, b in self.recent.get()] if self.recent.exists() else []
-        out, at = [], 0
         due.sort(key=lambda r: (r[1], r[2], r[0]))
+        h, out, at = History(self), [], 0
         while at < len(due):
-            t = due[at][1]
-            upto = at
+            t, upto = due[at][1], at
             while upto < len(due) and due[upto][1] == t:
                 upto += 1
             same, at = due[at:upto], upto
-            recent = [x for x in recent if x[0] >= t - DAY]
-            day, hour = sum(1 for x in recent), sum(1 for x in recent if x[0] >= t - HOUR)
-            spent = sum(x[1] for x in recent) / 100
-            pays = [r for r in same if r[2] == 0]
-            for r in pays:
-                new = None if r[4] is None else int(not self.devices.containsKey((r[4],)) or int(self.devices.getValue((r[4],))[0]) == t)
-                if r[4] is not None and not self.devices.containsKey((r[4],)):
-                    self.devices.updateValue((r[4],), (t,))
-                out.append((r[0], key[0], t, r[3], r[5], hour, day, spent, new, known, pd.Timestamp(r[-1] + EPOCH_MS, unit="ms")))
-            recent += [(t, round(r[3] * 100)) for r in pays]
-            known += sum(r[5] for r in same if r[2] == 1)
-        self.known.update((known,))
-        if recent:
-            self.recent.put(recent)
-        else:
-            self.recent.clear()
+            pays = [(r, {"card": r[5], "device": r[6], "email": r[7]}) for r in same if r[2] == 0]
+            if pays:
+                h.move_to(t)
+            for r, values in pays:
+                out.append((r[0], key[0], t, r[3], r[4], *[h.value(f, t, r[3], values) for f in self.features], pd.Timestamp(r[-1] + EPOCH_MS, unit="ms")))
+            for r, values in pays:
+                h.take(t, r[3], values)
+            labels = [r[4] for r in same if r[2] == 1]
+            h.known, h.labelled = h.known + sum(labels), h.labelled + len(labels)
+        h.write()
         if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in FEATURES.split(", ")]).astype({"card_new_device": "Int32"})
+            names = ["id", "entity", "t", "amount", "label", *[f.name for f in self.features], "ts"]
+            yield pd.DataFrame(out, columns=names).astype({"amount": "Float64", **{f.name: _PANDAS[_TYPES[f.kind]] for f in self.features}})
 
     def close(self) -> None:
         pass
 
 
 class DayBudget(StatefulProcessor):
-    """Per day: waiting rows and how many reviews were given; the next day has its own."""
+    """Per day: rows that ask for a review wait, and get one in order of time while the day's budget lasts; the next day has its own.
 
-    def __init__(self, capacity: int, review_at: int, decline_at: int) -> None:
-        self.capacity, self.review_at, self.decline_at = capacity, review_at, decline_at
+    Other rows are keyed by (day, slot) with a slot of 1 or more, wait for nothing and pass, so they share neither a key nor state with those that ask.
+    """
+
+    def __init__(self, capacity: int, decline_at: int) -> None:
+        self.capacity, self.decline_at = capacity, decline_at
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.waiting = Waiting(handle, "id long, t long, points int, ms long")
         self.given = handle.getValueState("given", "n long")
 
+    def _rows(self, key: Any, rows: list[tuple]) -> pd.DataFrame:
+        out = [(id_, t, int(key[0]), points, action, pd.Timestamp(ms + EPOCH_MS, unit="ms")) for id_, t, points, action, ms in rows]
+        return pd.DataFrame(out, columns=[c.split()[0] for c in DECISION.split(", ")]).astype({"points": "int32"})
+
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        new = [(int(r.id), int(r.t), int(r.points), int(r.t) * 1000) for pdf in rows for r in pdf.itertuples(index=False)]
-        self.waiting.add(new)
-        return iter(())
+        for pdf in rows:
+            new = [(int(r.id), int(r.t), int(r.points), int(r.t) * 1000) for r in pdf.itertuples(index=False)]
+            if int(key[1]) == 0:
+                self.waiting.add(new)
+            else:
+                yield self._rows(key, [(id_, t, points, "decline" if points >= self.decline_at else "approve", ms) for id_, t, points, ms in new])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         due = self.waiting.due(timerValues.getCurrentWatermarkInMs() - EPOCH_MS)
@@ -141,45 +268,61 @@ class DayBudget(StatefulProcessor):
             return
         given, out = int(self.given.get()[0]) if self.given.exists() else 0, []
         for id_, t, points, ms in sorted(due, key=lambda r: (r[1], r[0])):
-            action = "decline" if points >= self.decline_at else "approve"
-            if action == "approve" and points >= self.review_at:
-                given += 1
-                action = "review" if given <= self.capacity else "approve"
-            out.append((id_, t, int(key[0]), points, action, pd.Timestamp(ms + EPOCH_MS, unit="ms")))
+            given += 1
+            out.append((id_, t, points, "review" if given <= self.capacity else "approve", ms))
         self.given.update((given,))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in DECISION.split(", ")]).astype({"points": "int32"})
+        yield self._rows(key, out)
 
     def close(self) -> None:
         pass
 
 
-EPOCH_MS = 1704067200000
-
-
 def messages(txn: DataFrame, delay: int) -> DataFrame:
-    """Transactions (kind 0) and their labels, released `delay` later (kind 1), and one row behind the end of time that lets all others out."""
-    pays = txn.select("id", "card", "t", F.lit(0).alias("kind"), F.col("amount").cast("double").alias("amount"), "device", "label")
-    labels = txn.select("id", "card", (F.col("t") + delay).alias("t"), F.lit(1).alias("kind"), F.lit(0.0).alias("amount"), F.lit(None).cast("string").alias("device"), "label")
-    end = txn.agg((F.max("t") + delay + 10 * DAY).alias("t")).select(F.lit(-1).cast("long").alias("id"), F.lit("").alias("card"), "t", F.lit(1).alias("kind"), F.lit(0.0).alias("amount"), F.lit(None).cast("string").alias("device"), F.lit(0).alias("label"))
+    """Transactions (kind 0) and their labels, released `delay` later (kind 1), and a row of each kind behind the end of time that lets all others out."""
+    nothing = F.lit(None).cast("string")
+    pays = txn.select("id", "card", "t", F.lit(0).alias("kind"), F.col("amount").cast("double").alias("amount"), "device", "email", "label")
+    labels = txn.select("id", "card", (F.col("t") + delay).alias("t"), F.lit(1).alias("kind"), F.lit(0.0).alias("amount"), nothing.alias("device"), nothing.alias("email"), "label")
+    last = txn.agg((F.max("t") + delay + 10 * DAY).alias("t"))
+    end = last.select(F.lit(-1).cast("long").alias("id"), F.lit("").alias("card"), "t", F.lit(1).alias("kind"), F.lit(0.0).alias("amount"), F.lit("").alias("device"), F.lit("").alias("email"), F.lit(0).alias("label"))
     return pays.unionByName(labels).unionByName(end).withColumn("ts", F.timestamp_seconds(F.col("t") + EPOCH_MS // 1000))
 
 
-def card_state(txn: DataFrame, upto: int, delay: int) -> DataFrame:
-    """State of each card as of second `upto` from the table: (card, kind, t, n, device), for a stream that takes over from there.
+def entity_state(txn: DataFrame, features: tuple[Feature, ...], upto: int, delay: int) -> DataFrame:
+    """State of each entity as of second `upto` from the table: (entity column, STATE), for a stream of the same features that takes over from there.
 
-    The last day's amounts in cents, the devices seen with their first second, and the positives whose labels are out: what later rows can depend on.
+    Amounts within the longest window, totals and moments, when each value was first and last seen, and the labels that are out.
     """
-    past, none = txn.filter(F.col("t") < upto), F.lit(None).cast("string").alias("device")
-    recent = past.filter(F.col("t") >= upto - DAY).select("card", F.lit("recent").alias("kind"), "t", F.round(F.col("amount").cast("double") * 100).cast("long").alias("n"), none)
-    devices = past.filter("device IS NOT NULL").groupBy("card", "device").agg(F.min("t").alias("t")).select("card", F.lit("device").alias("kind"), "t", F.lit(0).cast("long").alias("n"), "device")
-    known = past.filter(F.col("t") + delay < upto).groupBy("card").agg(F.sum("label").cast("long").alias("n")).select("card", F.lit("known").alias("kind"), F.lit(0).cast("long").alias("t"), "n", none)
-    return recent.unionByName(devices).unionByName(known)
-
-
-def card_features(stream: DataFrame, delay: str = "1 hour", state: DataFrame | None = None) -> DataFrame:
-    """A stream of EVENT rows to a stream of FEATURES rows; a new stream may start with the `card_state` of a table."""
-    return stream.withWatermark("ts", delay).groupBy("card").transformWithStateInPandas(
-        statefulProcessor=CardFeatures(), outputStructType=FEATURES, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts", initialState=None if state is None else state.groupBy("card"),
+    entity = features[0].entity
+    p = EntityFeatures(features)
+    past = txn.filter((F.col("t") < upto) & F.col(entity).isNotNull())
+    columns = dict(c.split() for c in STATE.split(", "))
+    rows = lambda df, kind, **have: df.select(entity, *[(F.lit(kind) if c == "kind" else have.get(c, F.lit(None))).cast(t).alias(c) for c, t in columns.items()])
+    cents = F.round(F.coalesce(F.col("amount").cast("double"), F.lit(0.0)) * 100).cast("long")
+    x = F.col("amount").cast("double")
+    totals = past.groupBy(entity).agg(F.max("t").alias("_t"), F.count("*").alias("_n"), F.count("amount").alias("_m"), F.sum(cents).alias("_c"), F.coalesce(F.avg(x), F.lit(0.0)).alias("_mean"), F.coalesce(F.var_pop(x) * F.count("amount"), F.lit(0.0)).alias("_s"))
+    known = past.filter(F.col("t") + delay < upto).groupBy(entity).agg(F.coalesce(F.sum("label"), F.lit(0)).alias("_n"), F.count("*").alias("_m"))
+    out = [
+        rows(totals, "totals", t=F.col("_t"), n=F.col("_n"), m=F.col("_m"), cents=F.col("_c"), mean=F.col("_mean"), spread=F.col("_s")),
+        rows(known, "known", n=F.col("_n"), m=F.col("_m")),
+    ]
+    if p.windows:
+        out.append(rows(past.filter(F.col("t") >= upto - p.windows[-1]), "recent", t=F.col("t"), cents=cents))
+    for kind, name, column, at in [("first", c, c, F.min("t")) for c in p.columns] + [("seen", f.name, f.column, F.max("t")) for f in p.distinct]:
+        values = past.filter(F.col(column).isNotNull()).select(entity, F.col(column).alias("_v"), "t").groupBy(entity, "_v").agg(at.alias("_t"))
+        out.append(rows(values, kind, name=F.lit(name), value=F.col("_v"), t=F.col("_t")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def entity_features(stream: DataFrame, features: tuple[Feature, ...] = CARD, delay: str | None = "1 hour", state: DataFrame | None = None) -> DataFrame:
+    """A stream of EVENT rows to a stream of (id, entity, t, amount, label, the features, ts); a new stream may start with the `entity_state` of a table.
+
+    All features are of one entity; rows without it don't come out. Without a delay the stream has its watermark already.
+    """
+    entity = features[0].entity
+    schema = "id long, entity string, t long, amount double, label int, " + "".join(f"{f.name} {_TYPES[f.kind]}, " for f in features) + "ts timestamp"
+    marked = stream if delay is None else stream.withWatermark("ts", delay)
+    return marked.filter(F.col(entity).isNotNull()).groupBy(entity).transformWithStateInPandas(
+        statefulProcessor=EntityFeatures(features), outputStructType=schema, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts", initialState=None if state is None else state.groupBy(entity),
     )
 
 
@@ -188,19 +331,22 @@ def held_state(spark, checkpoint: str, name: str) -> DataFrame:
     return spark.read.format("statestore").option("operatorId", 0).option("stateVarName", name).option("flattenCollectionTypes", True).load(checkpoint)
 
 
-def day_decisions(features: DataFrame, capacity: int, review_at: int, decline_at: int) -> DataFrame:
-    """A stream of FEATURES rows with points to a stream of DECISION rows."""
-    return features.groupBy("day").transformWithStateInPandas(statefulProcessor=DayBudget(capacity, review_at, decline_at), outputStructType=DECISION, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
+def day_decisions(rows: DataFrame, capacity: int, review_at: int, decline_at: int) -> DataFrame:
+    """A stream of (id, t, day, points, ts) to a stream of DECISION rows."""
+    asks = (F.col("points") >= review_at) & (F.col("points") < decline_at)
+    keyed = rows.withColumn("slot", F.when(asks, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(SPREAD)).cast("int") + 1))
+    return keyed.groupBy("day", "slot").transformWithStateInPandas(statefulProcessor=DayBudget(capacity, decline_at), outputStructType=DECISION, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
 
 
-def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Takes all that is there, with state in RocksDB on the executors, and ends."""
-    spark = stream.sparkSession
+def run_to_end(*runs: tuple[DataFrame, str, str]) -> None:
+    """Takes all that is there for each (stream, path, checkpoint), side by side, with state in RocksDB on the executors, and ends."""
+    spark = runs[0][0].sparkSession
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     try:
-        q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
-        q.awaitTermination()
+        started = [s.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start() for s, path, ck in runs]
+        for q in started:
+            q.awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
 
