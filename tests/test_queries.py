@@ -54,7 +54,7 @@ def test_tuning_returns_the_cheapest(spark, sf):
     df = policy.priced(policy.scored(lake.txn(spark, sf))).filter("split = 'valid'")
     trials = policy.tune_expected_loss(df, n=6).collect()
     for t in trials[:3]:
-        alone = df.withColumn("action", policy.expected_loss(t.threshold, policy.Costs())).agg(policy.realised()[0].alias("c")).first().c
+        alone = policy.expected_loss(df, t.threshold, policy.Costs()).agg(policy.realised()[0].alias("c")).first().c
         assert abs(alone - t.total_cost) < 0.01
 
 

@@ -80,29 +80,54 @@ def priced(df: DataFrame, c: Costs = Costs()) -> DataFrame:
     return df.withColumns({f"e_{k}": v for k, v in e.items()}).withColumn("priority", F.least("e_approve", "e_decline") - F.col("e_review"))
 
 
-def within_capacity(candidate: Column, capacity: Column | int, *groups: str) -> Column:
-    """The first candidates of each day in order of arrival."""
-    w = Window.partitionBy(*groups, "day").orderBy(*ARRIVAL).rowsBetween(Window.unboundedPreceding, 0)
-    return candidate & (F.sum(candidate.cast("int")).over(w) <= capacity)
+def within_capacity(df: DataFrame, asks: dict[str, Column], capacity: Column | int, *groups: str, most: int | None = None) -> DataFrame:
+    """df with a Boolean column for each of `asks`: true for the first `capacity` rows of each day, in order of arrival, that ask for it. Ids are unique.
+
+    Only rows that ask are ranked, and no task sends on more than `most` of a day (the capacity; its upper bound where it is a column), so a day of any size ends in few
+    rows. What comes back is one row a day: the last one that is taken.
+    """
+    by, arrival = [*groups, "day"], F.struct(*ARRIVAL)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("ask"), F.coalesce(c, F.lit(False)).alias("on")) for k, c in asks.items()]))
+    limit = F.lit(capacity) if isinstance(capacity, int) else capacity
+    asking = df.select(*by, *ARRIVAL, limit.alias("_limit"), each.alias("_x")).filter("_x.on").select(*by, *ARRIVAL, "_limit", F.col("_x.ask").alias("_ask"))
+    first = asking.withColumn("_rank", F.row_number().over(Window.partitionBy(*by, "_ask").orderBy(*ARRIVAL))).filter(F.col("_rank") <= (most or capacity)).filter("_rank <= _limit")
+    last = first.groupBy(*by).agg(*[F.max(F.when(F.col("_ask") == k, arrival)).alias(f"_last_{i}") for i, k in enumerate(asks)])
+    taken = {k: F.coalesce(c & (arrival <= F.col(f"_last_{i}")), F.lit(False)) for i, (k, c) in enumerate(asks.items())}
+    return df.join(last, by, "left").withColumns(taken).drop(*[f"_last_{i}" for i in range(len(asks))])
+
+
+def wants_review(threshold: float | Column) -> Column:
+    return (F.col("priority") > threshold) & (F.col("priority") > 0)
+
+
+def expected_loss(df: DataFrame, threshold: float | Column, c: Costs, *groups: str, most: int | None = None) -> DataFrame:
+    """df with the action: decline only where strictly cheaper; review where that saves more than the threshold and the day has room."""
+    seated = within_capacity(df, {"_review": wants_review(threshold)}, c.capacity, *groups, most=most)
+    return seated.withColumn("action", F.when(F.col("_review"), "review").otherwise(without_review())).drop("_review")
+
+
+def without_review() -> Column:
+    return F.when(F.col("e_decline") < F.col("e_approve"), "decline").otherwise("approve")
 
 
-def expected_loss(threshold: float | Column, c: Costs, *groups: str) -> Column:
-    """Decline only where strictly cheaper; review where that saves more than the threshold and the day has room."""
-    want = (F.col("priority") > threshold) & (F.col("priority") > 0)
-    return F.when(within_capacity(want, c.capacity, *groups), "review").when(F.col("e_decline") < F.col("e_approve"), "decline").otherwise("approve")
+def between(score: str, decline_at: float | Column, review_at: float | Column) -> Column:
+    return (F.col(score) >= review_at) & (F.col(score) < decline_at)
 
 
-def cutoffs(score: str, decline_at: float | Column, review_at: float | Column, c: Costs, *groups: str) -> Column:
-    decline = F.col(score) >= decline_at
-    return F.when(decline, "decline").when(within_capacity((F.col(score) >= review_at) & ~decline, c.capacity, *groups), "review").otherwise("approve")
+def cutoffs(df: DataFrame, score: str, decline_at: float | Column, review_at: float | Column, c: Costs, *groups: str) -> DataFrame:
+    """df with the action: decline from one score on, review from a lower one on while the day has room."""
+    seated = within_capacity(df, {"_review": between(score, decline_at, review_at)}, c.capacity, *groups)
+    return seated.withColumn("action", F.when(F.col(score) >= decline_at, "decline").when(F.col("_review"), "review").otherwise("approve")).drop("_review")
 
 
 def decided(df: DataFrame, c: Costs = Costs()) -> DataFrame:
     """(policy, action) for four policies over priced rows."""
-    acts = df.withColumns({"expected loss": expected_loss(0.5, c), "rules": cutoffs("points", 6, 3, c), "cut-offs": cutoffs("p", 0.5, 0.1, c), "approve all": F.lit("approve")})
-    names = ("expected loss", "rules", "cut-offs", "approve all")
+    asks = {"expected loss": wants_review(0.5), "rules": between("points", 6, 3), "cut-offs": between("p", 0.5, 0.1)}
+    otherwise = {"expected loss": without_review(), "rules": F.when(F.col("points") >= 6, "decline").otherwise("approve"), "cut-offs": F.when(F.col("p") >= 0.5, "decline").otherwise("approve")}
+    acts = [F.struct(F.lit(k).alias("policy"), F.when(F.col(k), "review").otherwise(o).alias("action")) for k, o in otherwise.items()]
+    acts.append(F.struct(F.lit("approve all").alias("policy"), F.lit("approve").alias("action")))
     kept = ("id", "t", "day", "split", "amount", "label", "card", "device", "email", "p", "points")
-    return acts.select(*kept, F.explode(F.array(*[F.struct(F.lit(n).alias("policy"), F.col(n).alias("action")) for n in names])).alias("a")).select(*kept, "a.policy", "a.action")
+    return within_capacity(df, asks, c.capacity).select(*kept, F.explode(F.array(*acts)).alias("a")).select(*kept, "a.policy", "a.action")
 
 
 def realised(c: Costs = Costs()) -> list[Column]:
@@ -125,9 +150,9 @@ def realised(c: Costs = Costs()) -> list[Column]:
     ]
 
 
-def top_of_day(priority: Column, k: int) -> Column:
-    """With hindsight over each day: its k rows of highest priority, earlier ones first among equals."""
-    return F.row_number().over(Window.partitionBy("day").orderBy(F.desc(priority), *ARRIVAL)) <= k
+def top_of_day(df: DataFrame, priority: Column, k: int) -> DataFrame:
+    """With hindsight over each day: its k rows of highest priority, earlier ones first among equals. No task sends on more than k rows of a day."""
+    return df.withColumn("_rank", F.row_number().over(Window.partitionBy("day").orderBy(F.desc(priority), *ARRIVAL))).filter(F.col("_rank") <= k).drop("_rank")
 
 
 def quantile_grid(df: DataFrame, value: str, n: int) -> DataFrame:
@@ -142,9 +167,8 @@ def tune_expected_loss(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFr
     Rows that no threshold could review cost the same in all trials, so they are summed once and only the others meet the grid.
     """
     grid = quantile_grid(df.filter("priority > 0"), "priority", n).unionByName(df.sparkSession.createDataFrame([(0.0,)], "g double")).distinct()
-    free = F.when(F.col("e_decline") < F.col("e_approve"), "decline").otherwise("approve")
-    rest = df.filter("priority <= 0").withColumn("action", free).agg(*[x.alias(n) for n, x in (("base", realised(c)[0]),)])
-    trials = df.filter("priority > 0").crossJoin(F.broadcast(grid)).withColumn("action", expected_loss(F.col("g"), c, "g"))
+    rest = df.filter("priority <= 0").withColumn("action", without_review()).agg(*[x.alias(n) for n, x in (("base", realised(c)[0]),)])
+    trials = expected_loss(df.filter("priority > 0").crossJoin(F.broadcast(grid)), F.col("g"), c, "g")
     cost = trials.groupBy("g").agg(realised(c)[0].alias("own"), F.count_if(F.col("action") == "review").alias("reviews"))
     return cost.crossJoin(F.broadcast(rest)).select(F.col("g").alias("threshold"), F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 4).alias("total_cost"), "reviews")
 
@@ -156,7 +180,7 @@ def tune_cutoffs(df: DataFrame, score: str, c: Costs = Costs(), n: int = 40) ->
     grid = quantile_grid(top, score, n).unionByName(df.sparkSession.createDataFrame([(1e9,)], "g double"))
     pairs = grid.select(F.col("g").alias("decline_at")).crossJoin(grid.select(F.col("g").alias("review_at"))).filter("review_at <= decline_at")
     rest = df.crossJoin(F.broadcast(low)).filter(F.col(score) < F.col("low")).withColumn("action", F.lit("approve")).agg(realised(c)[0].alias("base"))
-    trials = top.crossJoin(F.broadcast(pairs)).withColumn("action", cutoffs(score, F.col("decline_at"), F.col("review_at"), c, "decline_at", "review_at"))
+    trials = cutoffs(top.crossJoin(F.broadcast(pairs)), score, F.col("decline_at"), F.col("review_at"), c, "decline_at", "review_at")
     cost = trials.groupBy("decline_at", "review_at").agg(realised(c)[0].alias("own"))
     return cost.crossJoin(F.broadcast(rest)).select("decline_at", "review_at", F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 4).alias("total_cost"))
 
@@ -176,12 +200,12 @@ def sensitivity(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFrame:
     valid, wanted = all_.filter("split = 'valid'"), F.col("priority") > 0
     q = F.percentile("priority", F.array(*[F.lit(k / (n - 1)) for k in range(n)]))
     grid = valid.filter(wanted).groupBy(*key).agg(q.alias("q")).select(*key, F.explode("q").alias("g")).select(*key, F.round("g", 6).alias("g")).unionByName(variants.select(*key, F.lit(0.0).alias("g"))).distinct()
-    free = F.when(F.col("e_decline") < F.col("e_approve"), "decline").otherwise("approve")
-    rest = valid.filter(~wanted).withColumn("action", free).groupBy(*key).agg(realised(costs)[0].alias("base"))
-    trials = valid.filter(wanted).join(F.broadcast(grid), key).withColumn("action", expected_loss(F.col("g"), costs, *key, "g"))
+    rest = valid.filter(~wanted).withColumn("action", without_review()).groupBy(*key).agg(realised(costs)[0].alias("base"))
+    most = max(c.capacity, *RANGES["capacity"])
+    trials = expected_loss(valid.filter(wanted).join(F.broadcast(grid), key), F.col("g"), costs, *key, "g", most=most)
     cost = trials.groupBy(*key, "g").agg(realised(costs)[0].alias("own")).join(rest, key, "left").withColumn("cost", F.round(F.col("own") + F.coalesce("base", F.lit(0.0)), 4))
     best = cost.groupBy(*key).agg(F.min(F.struct("cost", "g")).alias("m")).select(*key, F.col("m.g").alias("threshold"))
-    act = all_.filter("split = 'test'").join(F.broadcast(best), key).withColumn("action", expected_loss(F.col("threshold"), costs, *key))
+    act = expected_loss(all_.filter("split = 'test'").join(F.broadcast(best), key), F.col("threshold"), costs, *key, most=most)
     return act.groupBy(*key, "threshold").agg(realised(costs)[0].alias("total_cost"))
 
 

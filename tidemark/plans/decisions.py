@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 
 from pyspark.sql import DataFrame, Window
@@ -77,12 +78,12 @@ for key, name in (("pol_1_expected_loss", "expected loss"), ("pol_2_cutoffs", "c
 SELECT id, want AND sum(CAST(want AS INTEGER)) OVER (PARTITION BY day ORDER BY t, id ROWS UNBOUNDED PRECEDING) <= 10 AS taken
 FROM (SELECT *, amount >= 80 AS want FROM txn)""", "txn"))
 def within_capacity(spark, sf_dir):
-    return lake.txn(spark, sf_dir).select("id", P.within_capacity(F.col("amount") >= 80, 10).alias("taken"))
+    return P.within_capacity(lake.txn(spark, sf_dir), {"taken": F.col("amount") >= 80}, 10).select("id", "taken")
 
 
 @query("win_14_daily_top_k", sql("SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY day ORDER BY p DESC, t, id) AS r FROM scored) WHERE r <= 10", "scored"))
 def daily_top_k(spark, sf_dir):
-    return scored(spark, sf_dir).withColumn("_k", P.top_of_day(F.col("p"), 10)).filter("_k").select("id")
+    return P.top_of_day(scored(spark, sf_dir), F.col("p"), 10).select("id")
 
 
 @query("agg_8_realised_cost", sql(f"SELECT {COSTS_SQL} FROM acts WHERE policy = 'expected loss' AND split = 'test'", "acts"))
@@ -160,10 +161,10 @@ SELECT ranking, {COSTS_SQL} FROM (
 GROUP BY ranking""", "priced"))
 def compare_rankings(spark, sf_dir):
     df = priced(spark, sf_dir)
-    take = lambda x: F.when(P.top_of_day(x, 10), "review").otherwise("approve")
-    both = df.withColumns({"s": take(F.round(F.col("e_approve") - F.col("e_review"), 6)), "q": take(F.col("p"))})
-    long = both.select("label", "amount", F.explode(F.array(F.struct(F.lit("expected saving").alias("ranking"), F.col("s").alias("action")), F.struct(F.lit("probability").alias("ranking"), F.col("q").alias("action")))).alias("x"))
-    return long.select("label", "amount", "x.*").groupBy("ranking").agg(*P.realised(C))
+    keys = {"expected saving": F.round(F.col("e_approve") - F.col("e_review"), 6), "probability": F.col("p")}
+    reviewed = reduce(DataFrame.unionByName, [P.top_of_day(df, by, 10).select("id", F.lit(k).alias("ranking"), F.lit("review").alias("action")) for k, by in keys.items()])
+    both = df.select("id", "label", "amount", F.explode(F.array(*[F.lit(k) for k in keys])).alias("ranking")).join(reviewed, ["id", "ranking"], "left")
+    return both.withColumn("action", F.coalesce("action", F.lit("approve"))).groupBy("ranking").agg(*P.realised(C))
 
 
 #: Limits that the rules are tuned over; here 432 combinations scaled to this log's amounts.

@@ -144,10 +144,9 @@ FROM (VALUES {_NAMES}, ('points'), ('declined'), ('reviewed')) f(feature)""", "t
 def stream_equals_batch(spark, sf_dir):
     """Features and actions of the stream against those of the batch plan, value for value."""
     batch = P.priced(P.scored(lake.txn(spark, sf_dir)))
-    action = P.cutoffs("points", 6, 3, P.Costs())
     flags = lambda df: df.withColumns({"declined": (F.col("action") == "decline").cast("int"), "reviewed": (F.col("action") == "review").cast("int")})
     names = ["points", "declined", "reviewed"]
-    acts = history.differences(history.long_form(flags(batch.withColumn("action", action)), names), history.long_form(flags(daily_budget(spark, sf_dir)), names), 1e-9)
+    acts = history.differences(history.long_form(flags(P.cutoffs(batch, "points", 6, 3, P.Costs())), names), history.long_form(flags(daily_budget(spark, sf_dir)), names), 1e-9)
     return parity(spark, sf_dir).unionByName(acts)
 
 
