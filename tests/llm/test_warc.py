@@ -40,3 +40,11 @@ def test_long_urls_and_pages_are_records(spark, tmp_path):
     warc.write_archives(pages, str(tmp_path / "w"))
     got = {r.record_id: (r.kind, r.uri, r.payload_bytes) for r in warc.read_archives(spark, str(tmp_path / "w")).collect()}
     assert got == {f"<urn:page:{k}>": ("record", u or "", 700 * (30000 if k == 1 else 1)) for k, u in enumerate(urls)}
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    warc.write_archives(_pages(spark, [f"http://a/{k}" for k in range(60)]), str(tmp_path / "w"), file_bytes=10_000)
+    sizes = [x.stat().st_size for x in Path(tmp_path / "w").glob("*.warc.gz")]
+    assert len(sizes) > 3 and max(sizes) < 12_000 and not list(Path(tmp_path / "w").glob("file=*"))
+    got = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    assert sorted(r.record_id for r in got) == sorted(f"<urn:page:{k}>" for k in range(60)) and {r.kind for r in got} == {"record"}

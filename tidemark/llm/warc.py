@@ -21,6 +21,7 @@ from .store import shared_dir, stash
 DATE = "2024-01-01T00:00:00Z"
 LEAST_REVISIT = 100  # bytes of a payload from which equal ones are revisits
 RECORDS_A_FILE = 8000
+FILE_BYTES = 64 << 20  # a file is closed by the first record that brings it there
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _GZIP = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -54,21 +55,26 @@ def dedup(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> Data
     )
 
 
-def _deflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _deflate(batches: Iterator[pa.RecordBatch], file_bytes: int) -> Iterator[pa.RecordBatch]:
     """Each record as a gzip member of its own, without the zero byte that ends it: the writer's separator puts that back. A member of 16 MiB or more ends in
-    another byte, so an empty member follows it."""
+    another byte, so an empty member follows it. `file` counts the task's files, by bytes."""
+    file, size = 0, 0
     for batch in batches:
-        out = []
+        out, files = [], []
         for record in batch.column(0):
             member = gzip.compress(record.as_buffer().to_pybytes() + b"\r\n\r\n", 6, mtime=0)
             out.append((member if member[-1] == 0 else member + gzip.compress(b"", mtime=0))[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+            files.append(file)
+            size += len(member)
+            if size >= file_bytes:
+                file, size = file + 1, 0
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(files, pa.int32())], names=["value", "file"])
 
 
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", html: str = "html") -> None:
+def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", html: str = "html", file_bytes: int = FILE_BYTES) -> None:
     """Pages as WARC/1.1 records, each a gzip member, in files under `path`.
 
-    Spark's own text writer makes the files wherever the path is, and a task that is lost is simply written again: a member is a
+    A file has at most RECORDS_A_FILE records and, but for its last one, fewer than `file_bytes` bytes. Spark's own text writer makes the files wherever the path is, and a task that is lost is simply written again: a member is a
     line of raw bytes whose separator is the zero byte that ends the member. A revisit has no payload but says how long it was. Line ends in urls are escaped. Null urls are empty.
     """
     crlf = F.lit("\r\n")
@@ -83,15 +89,20 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: st
         F.when(revisit, F.concat(line("WARC-Refers-To", urn("refers_to")), F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"))).otherwise(F.lit("")),
         F.lit("Content-Type: application/http; msgtype=response\r\n"), line("Content-Length", F.octet_length(block).cast("string")), crlf, block,
     )
-    members = dedup(pages, id_col, html).select(record.cast("binary").alias("value")).mapInArrow(_deflate, "value binary").select(F.col("value").cast("string"))
-    members.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
+    members = dedup(pages, id_col, html).select(record.cast("binary").alias("value")).mapInArrow(lambda batches: _deflate(batches, file_bytes), "value binary, file int").select(F.col("value").cast("string"), "file")
+    members.write.partitionBy("file").option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
     sc = pages.sparkSession.sparkContext
     at = sc._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
-    for x in fs.listStatus(at):  # the writer names them as text
-        name = x.getPath().getName()
-        if name.endswith(".txt") and not fs.rename(x.getPath(), sc._jvm.org.apache.hadoop.fs.Path(at, name.removesuffix(".txt") + ".warc.gz")):
-            raise OSError(f"{name} can't be renamed")
+    for folder in fs.listStatus(at):  # the writer names them as text, in a folder for each count
+        count = folder.getPath().getName()
+        if not count.startswith("file="):
+            continue
+        for x in fs.listStatus(folder.getPath()):
+            name = x.getPath().getName()
+            if name.endswith(".txt") and not fs.rename(x.getPath(), sc._jvm.org.apache.hadoop.fs.Path(at, f"{name.removesuffix('.txt')}-{count.removeprefix('file=')}.warc.gz")):
+                raise OSError(f"{name} can't be renamed")
+        fs.delete(folder.getPath(), True)
 
 
 class Record(NamedTuple):
@@ -232,7 +243,7 @@ SCHEMA = T.StructType([
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """A row per record (kind record) and per quarantined stretch of bytes (kind gap, with length and reason) of the archives under `path`.
 
-    A file is the unit of work; the writer bounds its records. Without `payloads` that column is null. Empty files give no rows, repeated records rows of their own.
+    A file is the unit of work; the writer bounds its records and bytes. Without `payloads` that column is null. Empty files give no rows, repeated records rows of their own.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
