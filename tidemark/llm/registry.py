@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, jaccard, licenses, mixing, neighbors, quality, secrets, tokens, toxicity, warc
+from . import centroids, decontaminate, jaccard, licenses, mixing, neighbors, quality, repeats, search, secrets, tokens, toxicity, warc
 
 
 def queries() -> dict:
@@ -19,9 +19,15 @@ def queries() -> dict:
         "op8_token_counts": tokens.op8_token_counts,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_source_mix": mixing.op10_source_mix,
+        "op11_centroids": centroids.op11_centroids,
+        "op12_repeats": repeats.op12_repeats,
+        "op13_search": search.op13_search,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.OP3_SQL, "op4_near_documents": jaccard.OP4_SQL, "op5_near_vectors": neighbors.OP5_SQL, "op6_warc": warc.OP6_SQL}
+    return {
+        "op3_decontaminate": decontaminate.OP3_SQL, "op4_near_documents": jaccard.OP4_SQL, "op5_near_vectors": neighbors.OP5_SQL, "op6_warc": warc.OP6_SQL,
+        "op11_centroids": centroids.OP11_SQL, "op12_repeats": repeats.OP12_SQL, "op13_search": search.OP13_SQL,
+    }
