@@ -179,7 +179,7 @@ def _runs(by: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[int, slice]]]:
     order = np.argsort(by, kind="stable")
     line = by[order]
     at = np.flatnonzero(np.append(True, line[1:] != line[:-1])[: len(line)]).tolist()
-    return order, ((int(line[a]), slice(a, b)) for a, b in zip(at, [*at[1:], len(line)], strict=True))
+    return order, ((int(line[a]), slice(a, b)) for a, b in zip(at, [*at[1:], len(line)], strict=False))
 
 
 def _to_pages(limit: int):
