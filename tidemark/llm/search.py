@@ -16,7 +16,7 @@ from .store import stash
 from .text import ALNUM, text_chunks, words
 
 #: Bytes of text of one block of the index.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of item texts whose terms are searched for at once.
 ITEM_BYTES = 2 << 20
 TOP = 10
@@ -27,16 +27,17 @@ LISTS = "ids array<long>, n long, term_first binary, term_docs binary, term_scor
 
 def _block(ids: list, lengths: list[np.ndarray], hashes: list[np.ndarray]) -> list:
     n, h = np.concatenate(lengths), np.concatenate(hashes)
-    doc = np.repeat(np.arange(len(n), dtype=np.int64), n)
-    order = np.argsort(h, kind="stable")
+    doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    order = np.argsort(h, kind="stable").astype(np.int32)
     h, doc = h[order], doc[order]
+    del order
     new_term = np.append(True, h[1:] != h[:-1])[: len(h)]
     new = new_term.copy()
     new[1:] |= doc[1:] != doc[:-1]
     at = np.flatnonzero(new)
     tf = np.diff(np.append(at, len(h)))
     first = np.append(np.flatnonzero(new_term[at]), len(at))
-    return [ids, int((n > 0).sum()), int(n.sum()), *(x.tobytes() for x in (n.astype(np.int64), h[at][first[:-1]], first.astype(np.int64), doc[at].astype(np.int32), tf.astype(np.int64)))]
+    return [ids, int((n > 0).sum()), int(n.sum()), *(x.tobytes() for x in (n.astype(np.int64), h[at][first[:-1]], first.astype(np.int64), doc[at], tf.astype(np.int64)))]
 
 
 def _record(rows: list[list], schema: str) -> pa.RecordBatch:
@@ -62,7 +63,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def build_index(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The inverted index of all terms of all documents, in blocks of about 8 MB of text: sorted terms (64-bit hashes), and for each its documents and frequencies."""
+    """The inverted index of all terms of all documents, in blocks of about 4 MB of text: sorted terms (64-bit hashes), and for each its documents and frequencies."""
     return stash(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(_index, INDEX), "index")
 
 
