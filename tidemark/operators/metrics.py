@@ -1,6 +1,6 @@
 """Ranking and calibration metrics over a score order, per group.
 
-Scores are first summed up by distinct value; ordered running sums see one row per distinct score of a group.
+Scores are first summed up by distinct value; ordered running sums see one row per range of scores of a group, then one per distinct score of a range.
 """
 
 from __future__ import annotations
@@ -11,11 +11,29 @@ from pyspark.sql import functions as F
 
 def by_score(df: DataFrame, score: str, *groups: str) -> DataFrame:
     """Positives, negatives and positive value at each distinct score, with running totals from the top and each group's totals."""
-    g = list(groups)
-    cells = df.groupBy(*g, F.col(score).alias("s")).agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"), F.sum(F.when(F.col("label") == 1, F.col("amount")).otherwise(0)).alias("val"))
-    down = Window.partitionBy(*g).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    all_ = Window.partitionBy(*g)
-    return cells.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down), "tv": F.sum("val").over(down), "P": F.sum("pos").over(all_), "N": F.sum("neg").over(all_), "V": F.sum("val").over(all_)})
+    cells = df.groupBy(*groups, F.col(score).alias("s")).agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"), F.sum(F.when(F.col("label") == 1, F.col("amount")).otherwise(0)).alias("val"))
+    return running(cells, *groups)
+
+
+#: Ranges of a group's scores.
+RANGES = 4096
+
+
+def running(cells: DataFrame, *groups: str) -> DataFrame:
+    """Rows (groups, s, pos, neg, val, ...), one a distinct score, with running totals tp, fp, tv from the top and the group's totals P, N, V.
+
+    In two levels: totals of RANGES ranges of a group's scores are added up from the top, then scores within their range. So no task sees all scores of a group.
+    """
+    g, sums = list(groups), {"pos": ("tp", "P"), "neg": ("fp", "N"), "val": ("tv", "V")}
+    per = cells.groupBy(*g).agg(F.min("s").alias("_lo"), F.max("s").alias("_hi"), *[F.sum(c).alias(n) for c, (_, n) in sums.items()])
+    with_per = (lambda df: df.join(per, g)) if g else (lambda df: df.crossJoin(F.broadcast(per)))
+    place = F.coalesce(F.floor((F.col("s") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * RANGES), F.lit(0)).cast("long")
+    placed = with_per(cells).withColumn("_range", place)
+    down = Window.partitionBy(*g).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*g, "_range").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    totals = placed.groupBy(*g, "_range").agg(*[F.sum(c).alias(c) for c in sums]).select(*g, "_range", *[F.coalesce(F.sum(c).over(down), F.lit(0)).alias(f"_{c}") for c in sums])
+    inner = placed.withColumns({n: F.sum(c).over(within) for c, (n, _) in sums.items()})
+    return inner.join(totals, [*g, "_range"]).withColumns({n: F.col(n) + F.col(f"_{c}") for c, (n, _) in sums.items()}).drop("_range", "_lo", "_hi", *[f"_{c}" for c in sums])
 
 
 def average_precision() -> Column:
@@ -95,34 +113,46 @@ def _sides(value: str) -> list[Column]:
     return [F.count(F.when(~F.col("current"), F.col(value))).alias("r"), F.count(F.when(F.col("current"), F.col(value))).alias("c")]
 
 
-def number_drift(long: DataFrame) -> DataFrame:
-    """(field, distance) of rows (field, v, current): the first Wasserstein distance of current from reference values, over the reference's deviation.
+def number_distance(values: DataFrame, spread: DataFrame, *groups: str) -> DataFrame:
+    """(groups, field, distance) of rows (groups, field, v, r, c), one a distinct value with its number of reference and current rows: the first Wasserstein distance over the field's `sd`.
 
-    Running totals see one row for each of 4,096 ranges of a field, then one for each distinct value within its range, so no task orders a whole field. Nulls are left out.
+    Running totals see one row for each of 4,096 ranges of a field, then one for each distinct value within its range, so no task orders a whole field.
     """
-    some = long.filter("v IS NOT NULL")
-    per = some.groupBy("field").agg(*[x.alias(n) for x, n in zip(_sides("v"), ("r_all", "c_all"), strict=True)], F.stddev_pop(F.when(~F.col("current"), F.col("v"))).alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    g = [*groups, "field"]
+    per = values.groupBy(*g).agg(F.sum("r").alias("r_all"), F.sum("c").alias("c_all"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     cell = F.coalesce(F.floor((F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * 4096), F.lit(0))
-    values = some.groupBy("field", "v").agg(*_sides("v")).join(F.broadcast(per), "field").withColumn("cell", cell)
-    along = Window.partitionBy("field").orderBy("cell")
-    before, within = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("field", "cell").orderBy("v")
+    placed = values.join(per, g).withColumn("cell", cell)
+    along = Window.partitionBy(*g).orderBy("cell")
+    before, within = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*g, "cell").orderBy("v")
     upto = within.rowsBetween(Window.unboundedPreceding, 0)
-    cells = values.groupBy("field", "cell").agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.min("v").alias("first"))
-    cells = cells.select("field", "cell", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_below") for x in ("r", "c")], F.lead("first").over(along).alias("next"))
+    cells = placed.groupBy(*g, "cell").agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.min("v").alias("first"))
+    cells = cells.select(*g, "cell", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_below") for x in ("r", "c")], F.lead("first").over(along).alias("next"))
     share = lambda x, n: F.coalesce((F.col(f"{x}_below") + F.sum(x).over(upto)) / F.nullif(F.col(n), F.lit(0)), F.lit(0.0))
     step = F.coalesce(F.lead("v").over(within), F.col("next")) - F.col("v")
-    area = values.join(cells, ["field", "cell"]).select("field", "sd", (F.abs(share("r", "r_all") - share("c", "c_all")) * step).alias("a"))
-    return area.groupBy("field").agg((F.coalesce(F.sum("a"), F.lit(0.0)) / F.nullif(F.max("sd"), F.lit(0.0))).alias("distance"))
+    area = placed.join(cells, [*g, "cell"]).select(*g, (F.abs(share("r", "r_all") - share("c", "c_all")) * step).alias("a"))
+    whole = area.groupBy(*g).agg(F.coalesce(F.sum("a"), F.lit(0.0)).alias("a"))
+    return whole.join(F.broadcast(spread), "field").select(*g, (F.col("a") / F.nullif(F.col("sd"), F.lit(0.0))).alias("distance"))
 
 
-def level_drift(long: DataFrame) -> DataFrame:
-    """(field, distance) of rows (field, level, current): the Jensen-Shannon distance of the shares of levels. Nulls are left out."""
-    some = long.filter("level IS NOT NULL")
-    per = some.groupBy("field").agg(*[x.alias(n) for x, n in zip(_sides("level"), ("r_all", "c_all"), strict=True)])
+def level_distance(levels: DataFrame, *groups: str) -> DataFrame:
+    """(groups, field, distance) of rows (groups, field, level, r, c), one a level: the Jensen-Shannon distance of the shares of levels."""
+    g = [*groups, "field"]
+    per = levels.groupBy(*g).agg(F.sum("r").alias("r_all"), F.sum("c").alias("c_all"))
     share = lambda x, n: F.coalesce(F.col(x) / F.nullif(F.col(n), F.lit(0)), F.lit(0.0)).alias(x)
-    shares = some.groupBy("field", "level").agg(*_sides("level")).join(F.broadcast(per), "field").select("field", share("r", "r_all"), share("c", "c_all"))
+    shares = levels.join(per, g).select(*g, share("r", "r_all"), share("c", "c_all"))
     part = lambda x: F.when(F.col(x) > 0, F.col(x) * F.log(2 * F.col(x) / (F.col("r") + F.col("c")))).otherwise(0.0)
-    return shares.groupBy("field").agg(F.sqrt(F.greatest(F.sum((part("r") + part("c")) / 2), F.lit(0.0)) / F.log(F.lit(2.0))).alias("distance"))
+    return shares.groupBy(*g).agg(F.sqrt(F.greatest(F.sum((part("r") + part("c")) / 2), F.lit(0.0)) / F.log(F.lit(2.0))).alias("distance"))
+
+
+def number_drift(long: DataFrame) -> DataFrame:
+    """(field, distance) of rows (field, v, current): current from reference values. Nulls are left out."""
+    some = long.filter("v IS NOT NULL")
+    return number_distance(some.groupBy("field", "v").agg(*_sides("v")), some.groupBy("field").agg(F.stddev_pop(F.when(~F.col("current"), F.col("v"))).alias("sd")))
+
+
+def level_drift(long: DataFrame) -> DataFrame:
+    """(field, distance) of rows (field, level, current): current from reference levels. Nulls are left out."""
+    return level_distance(long.filter("level IS NOT NULL").groupBy("field", "level").agg(*_sides("level")))
 
 
 def input_drift(reference: DataFrame, current: DataFrame, numbers: tuple[str, ...], levels: tuple[str, ...], limit: float = 0.1, missing_limit: float = 0.2) -> DataFrame:

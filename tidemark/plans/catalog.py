@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decisions, history, lakehouse, learning, streams  # noqa: F401
+from . import decisions, history, lakehouse, learning, monitor, streams  # noqa: F401
 from .registry import QUERIES, SQL
 
 

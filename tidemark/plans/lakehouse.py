@@ -435,17 +435,6 @@ def latency(spark, sf_dir):
     return q.select(*[F.round(F.col("q")[k], 4).alias(n) for k, n in enumerate(("p50", "p95", "p99"))], "max", "mean")
 
 
-_COHORT = f"""
-late AS (SELECT *, CASE WHEN t + {3 * DAY} < {20 * DAY} THEN label END AS seen FROM acts WHERE policy = 'rules' AND t < {20 * DAY})"""
-
-
-@query("agg_14_cohorts", sql("SELECT day // 7 AS cohort, count(*) AS transactions, count(seen) AS labelled, count(*) = count(seen) AS complete, round(avg(seen), 6) AS fraud_rate FROM late GROUP BY cohort", "acts", more=_COHORT))
-def cohorts(spark, sf_dir):
-    """Weekly cohorts as seen at the start of day 20: labels count once released; a cohort is complete with all of them."""
-    a = acts(spark, sf_dir).filter((F.col("policy") == "rules") & (F.col("t") < 20 * DAY)).withColumn("seen", F.when(F.col("t") + 3 * DAY < 20 * DAY, F.col("label")))
-    return a.groupBy(F.floor(F.col("day") / 7).alias("cohort")).agg(F.count("*").alias("transactions"), F.count("seen").alias("labelled"), (F.count("*") == F.count("seen")).alias("complete"), F.round(F.avg("seen"), 6).alias("fraud_rate"))
-
-
 @query("agg_15_feed_health", sql(f"""
 SELECT day, field, round(share, 6) AS present, ref >= 0.05 AND share < 0.5 * ref AS silent
 FROM (SELECT day, 'device' AS field, count(device) / count(*) AS share FROM (SELECT day, CASE WHEN t < {24 * DAY} THEN device END AS device FROM gappy) GROUP BY day UNION ALL SELECT day, 'email', count(email) / count(*) FROM gappy GROUP BY day)
@@ -504,59 +493,6 @@ def trailing_week(spark, sf_dir):
     return served.join(days, "day", "left_semi").groupBy("day").agg(F.sum("n").alias("transactions"), F.round(F.sum("k") / F.sum("n"), 6).alias("alert_rate"))
 
 
-_MON = """
-week AS (SELECT d.day, count(x.id) AS n, avg(CAST(x.action <> 'approve' AS INTEGER)) AS rate FROM (SELECT DISTINCT day FROM txn WHERE day >= 7) d JOIN acts x ON x.policy = 'rules' AND x.day >= d.day - 7 AND x.day < d.day GROUP BY d.day),
-ref AS (SELECT avg(CAST(action <> 'approve' AS INTEGER)) AS r FROM acts WHERE policy = 'rules' AND split = 'train'),
-stat AS (SELECT day, n, rate, abs(rate / r - 1) >= 0.02 AS warn FROM week, ref)"""
-
-
-def _monitor(spark, sf_dir) -> DataFrame:
-    ref = acts(spark, sf_dir).filter("policy = 'rules' AND split = 'train'").agg(F.avg((F.col("action") != "approve").cast("int")).alias("r"))
-    per = acts(spark, sf_dir).filter("policy = 'rules'").groupBy("day").agg(F.count("*").alias("n"), F.count_if(F.col("action") != "approve").alias("k"))
-    served = per.select(F.explode(F.sequence(F.col("day") + 1, F.col("day") + 7)).alias("day"), "n", "k").join(per.select("day").filter("day >= 7"), "day", "left_semi")
-    week = served.groupBy("day").agg(F.sum("n").alias("n"), (F.sum("k") / F.sum("n")).alias("rate"))
-    return week.crossJoin(F.broadcast(ref)).withColumn("change", F.col("rate") / F.col("r") - 1).select("day", "n", "rate", "change", (F.abs("change") >= 0.02).alias("warn"))
-
-
-_SCORE_PSI = _MON + """,
-edges AS (SELECT list_sort(list_distinct(quantile_cont(p, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e FROM scored WHERE split = 'train'),
-inner_edges AS (SELECT unnest(e[2:len(e) - 1]) AS x FROM edges),
-binned AS (SELECT s.day, s.split, (SELECT count(*) FROM inner_edges WHERE x <= s.p) AS b FROM scored s),
-spine AS (SELECT unnest(range(0, greatest(len(e) - 1, 1))) AS b FROM edges),
-refs AS (SELECT b, greatest(count(*) FILTER (split = 'train') / (SELECT count(*) FROM binned WHERE split = 'train'), 1e-4) AS r FROM binned GROUP BY b),
-weeks AS (SELECT d.day, x.b, count(*) AS c FROM stat d JOIN binned x ON x.day >= d.day - 7 AND x.day < d.day GROUP BY d.day, x.b),
-shift AS (SELECT day, sum((c - r) * ln(c / r)) AS psi FROM (
-  SELECT stat.day, coalesce(refs.r, 1e-4) AS r, greatest(coalesce(weeks.c, 0) / stat.n, 1e-4) AS c FROM stat CROSS JOIN spine LEFT JOIN weeks ON weeks.day = stat.day AND weeks.b = spine.b LEFT JOIN refs ON refs.b = spine.b) GROUP BY day)"""
-
-
-@query("agg_33_daily_monitor", sql("""
-SELECT day, CAST(n AS BIGINT) AS transactions, round(rate, 6) AS alert_rate, round(rate / r - 1, 6) AS alert_rate_change, warn, round(psi, 6) AS score_psi,
-  CASE WHEN round(psi, 6) >= 0.2 THEN 'alert' WHEN round(psi, 6) >= 0.1 THEN 'warn' ELSE 'ok' END AS score_status FROM stat JOIN shift USING (day), ref""", "acts", more=_SCORE_PSI))
-def daily_monitor(spark, sf_dir):
-    """Each day's week before it: rows, alert rate and its change against the reference, and how far scores have moved. Bins are counted by day, and a day's counts are served to the seven days after it."""
-    week, df = _monitor(spark, sf_dir), scored(spark, sf_dir)
-    train = df.filter("split = 'train'")
-    edges = metrics.deciles(train, "p")
-    served = metrics.bin_counts(df, edges, "p", "c", "day").select(F.explode(F.sequence(F.col("day") + 1, F.col("day") + 7)).alias("day"), "b", "c").groupBy("day", "b").agg(F.sum("c").alias("c"))
-    both = week.select("day").crossJoin(F.broadcast(metrics.every_bin(edges))).join(served, ["day", "b"], "left").join(F.broadcast(metrics.bin_counts(train, edges, "p", "r")), "b", "left")
-    shift = metrics.stability(both, "day").select("day", F.round("psi", 6).alias("score_psi"))
-    status = F.when(F.col("score_psi") >= 0.2, "alert").when(F.col("score_psi") >= 0.1, "warn").otherwise("ok")
-    return week.join(shift, "day").select("day", F.col("n").alias("transactions"), F.round("rate", 6).alias("alert_rate"), F.round("change", 6).alias("alert_rate_change"), "warn", "score_psi", status.alias("score_status"))
-
-
-@query("win_18_alert_runs", sql("SELECT min(day) AS first_day, count(*) AS days FROM (SELECT day, day - row_number() OVER (ORDER BY day) AS island FROM stat WHERE warn) GROUP BY island", "acts", more=_MON))
-def alert_runs(spark, sf_dir):
-    """Runs of consecutive warning days. One row per day is all that is ordered."""
-    w = _monitor(spark, sf_dir).filter("warn").withColumn("island", F.col("day") - F.row_number().over(Window.orderBy("day")))
-    return w.groupBy("island").agg(F.min("day").alias("first_day"), F.count("*").alias("days")).drop("island")
-
-
-@query("ml_12_retrain_decision", sql("SELECT min(first_day + 2) AS retrain_day FROM (SELECT min(day) AS first_day, count(*) AS days FROM (SELECT day, day - row_number() OVER (ORDER BY day) AS island FROM stat WHERE warn) GROUP BY island) WHERE days >= 3", "acts", more=_MON))
-def retrain(spark, sf_dir):
-    """The first day with three warning days in a row."""
-    return alert_runs(spark, sf_dir).filter("days >= 3").agg(F.min(F.col("first_day") + 2).alias("retrain_day"))
-
-
 @query("src_2_header_contract", sql("SELECT count(*) AS rows, true AS refused FROM orders"))
 def header_contract(spark, sf_dir):
     """A file whose header lacks an expected name and has another is refused before any row is read."""

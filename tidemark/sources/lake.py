@@ -42,6 +42,15 @@ def gappy(spark: SparkSession, root: str) -> DataFrame:
     return txn(spark, root).withColumns({"t": F.floor(F.col("t") / 3600) * 3600, "device": F.when(F.col("device").cast("int") % 4 == 0, F.col("device"))})
 
 
+#: From this day on the feed of devices is silent in `silent`.
+SILENT_DAY = 24
+
+
+def silent(spark: SparkSession, root: str) -> DataFrame:
+    """txn as it is when the feed of devices fails: none from SILENT_DAY on."""
+    return txn(spark, root).withColumn("device", F.when(F.col("t") < SILENT_DAY * DAY, F.col("device")))
+
+
 def order_txn(spark: SparkSession, root: str) -> DataFrame:
     """Orders as a log by the day with long histories and many ties."""
     return table(spark, root, "orders").select(
