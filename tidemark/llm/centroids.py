@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import as_row, from_row, others
-from .store import stash
+from .store import one_row_batches, stash
 
 #: Rows of a page at most, so that codes are two bytes.
 PAGE_ROWS = 1 << 14
@@ -171,11 +171,12 @@ def cluster_vectors(df: DataFrame, vector: str = "embedding", id_col: str = "vec
     centroids = np.floor(np.array([r.vector for r in firsts]) * scale).astype(np.int64)
     paged = T.StructType([T.StructField("rows", T.ArrayType(row_type)), T.StructField("n", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("shape", "vals", "codes")]])
     pages = stash(rows.mapInArrow(_encode(dims, scale), paged), "pages")
-    for _ in range(rounds):
-        parts = pages.select("n", "shape", "vals", "codes").mapInArrow(_totals(centroids), "cluster long, dim long, n long, total long")
-        for r in parts.groupBy("cluster", "dim").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
-            centroids[r.cluster, r.dim] = r.total // r.n
-    found = stash(pages.mapInArrow(_assigned(centroids), out), "assigned")
+    with one_row_batches(df.sparkSession):
+        for _ in range(rounds):
+            parts = pages.select("n", "shape", "vals", "codes").mapInArrow(_totals(centroids), "cluster long, dim long, n long, total long")
+            for r in parts.groupBy("cluster", "dim").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
+                centroids[r.cluster, r.dim] = r.total // r.n
+        found = stash(pages.mapInArrow(_assigned(centroids), out), "assigned")
     each = {r.cluster: r.s for r in found.groupBy("cluster").agg(F.sum("distance").alias("s")).collect()}
     about = [(c, s, sum(each.values()), hashlib.sha256(",".join(map(str, centroids[c].tolist())).encode()).hexdigest()) for c, s in each.items()]
     about = df.sparkSession.createDataFrame(about, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import stash
+from .store import one_row_batches, stash
 from .text import ALNUM, text_chunks, words
 
 #: Bytes of text of one block of the index.
@@ -318,29 +318,8 @@ def search(index: DataFrame, items: DataFrame, text: str = "text", id_col: str =
     all_of = index.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("l")).first()
     results = []
     for rows in _item_blocks(items, text, id_col, item_bytes):
-        queries = _queries([t for _, t in rows])
-        if not all_of.n or not len(queries.terms):
-            continue
-        df = np.zeros(len(queries.terms), np.int64)
-        for r in index.select("terms", "first").mapInArrow(_frequencies(queries.terms), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
-            df[r.term] = r.df
-        plan = _plan(queries, df, all_of.n, all_of.l)
-        shared = spark.sparkContext.broadcast(plan)
-        lists = stash(index.select("ids", "lengths", "terms", "first", "docs", "tf").mapInArrow(_lists(shared), LISTS), "lists")
-        steps = lists.mapInArrow(_best_of_units(shared), "item long, unit long, step long, n long").groupBy("item", "unit", "step").agg(F.sum("n").alias("n"))
-        down = Window.partitionBy("item", "unit").orderBy(F.desc("step"))
-        reached = steps.withColumn("upto", F.sum("n").over(down)).filter(F.col("upto") >= TOP).groupBy("item").agg(F.max("step").alias("step"))
-        least = [0] * len(rows)
-        for r in reached.collect():
-            least[r.item] = math.floor(2 ** (r.step / STEPS) * (1 - 1e-9))
-        more = spark.sparkContext.broadcast((plan, least))
-        found = lists.mapInArrow(_search(more), "item long, doc_id long, score long")
-        rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
-        names = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(rows)], T.StructType([T.StructField("item", T.LongType()), T.StructField("name", kind)]))
-        ranked = found.withColumn("rank", rank).filter(F.col("rank") <= TOP).join(F.broadcast(names), "item")
-        results.append(stash(ranked.select(F.col("name").alias(id_col), "rank", "doc_id", "score"), "found"))
-        shared.destroy()
-        more.destroy()
+        with one_row_batches(spark):
+            results += _pass(index, rows, kind, id_col, all_of.n, all_of.l)
     if not results:
         return spark.createDataFrame([], out)
     whole = results[0]
@@ -349,6 +328,35 @@ def search(index: DataFrame, items: DataFrame, text: str = "text", id_col: str =
     return whole
 
 
+def _pass(index: DataFrame, rows: list[tuple], kind: T.DataType, id_col: str, total: int | None, length: int | None) -> list[DataFrame]:
+    """One block of items: a written table of their best documents, or nothing where no term can be found."""
+    spark = index.sparkSession
+    queries = _queries([t for _, t in rows])
+    if not total or not len(queries.terms):
+        return []
+    df = np.zeros(len(queries.terms), np.int64)
+    for r in index.select("terms", "first").mapInArrow(_frequencies(queries.terms), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
+        df[r.term] = r.df
+    plan = _plan(queries, df, total, length)
+    shared = spark.sparkContext.broadcast(plan)
+    lists = stash(index.select("ids", "lengths", "terms", "first", "docs", "tf").mapInArrow(_lists(shared), LISTS), "lists")
+    steps = lists.mapInArrow(_best_of_units(shared), "item long, unit long, step long, n long").groupBy("item", "unit", "step").agg(F.sum("n").alias("n"))
+    down = Window.partitionBy("item", "unit").orderBy(F.desc("step"))
+    reached = steps.withColumn("upto", F.sum("n").over(down)).filter(F.col("upto") >= TOP).groupBy("item").agg(F.max("step").alias("step"))
+    least = [0] * len(rows)
+    for r in reached.collect():
+        least[r.item] = math.floor(2 ** (r.step / STEPS) * (1 - 1e-9))
+    more = spark.sparkContext.broadcast((plan, least))
+    found = lists.mapInArrow(_search(more), "item long, doc_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
+    names = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(rows)], T.StructType([T.StructField("item", T.LongType()), T.StructField("name", kind)]))
+    ranked = found.withColumn("rank", rank).filter(F.col("rank") <= TOP).join(F.broadcast(names), "item")
+    found = stash(ranked.select(F.col("name").alias(id_col), "rank", "doc_id", "score"), "found")
+    shared.destroy()
+    more.destroy()
+    return [found]
+
+
 def op13_search(spark, sf_dir: str) -> DataFrame:
     index = build_index(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +35,15 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def one_row_batches(spark: SparkSession) -> Iterator[None]:
+    """While rows are blocks of some MB, a task gets them one at a time, so that what it holds doesn't grow with its partition. What runs inside has to be written there."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
