@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 
 #: Bytes of waiting tuples that a queue holds in memory.
-QUEUE_BYTES = 64 << 20
+QUEUE_BYTES = 16 << 20
 #: Tuples of a run of names that one turn takes.
 TURN = 1 << 16
 

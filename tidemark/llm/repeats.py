@@ -23,7 +23,7 @@ LENGTH = 50
 #: Bytes of text of a page of documents.
 PAGE_BYTES = 8 << 20
 #: Hashes of a bucket, bytes of segments of a shard.
-BUCKET_HASHES, SHARD_BYTES = 1 << 20, 16 << 20
+BUCKET_HASHES, SHARD_BYTES = 1 << 19, 5 << 20
 #: An anchor with more segments than this is dealt out by whole windows.
 HOT = 100_000
 #: Windows of a segment at most: the bits of a mask.
@@ -304,8 +304,9 @@ def _sorted_shard(length: int, limit: int):
     def run(table: pa.Table) -> pa.Table:
         heads = [np.frombuffer(h, HEAD) for h in table["heads"].to_pylist()]
         place = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
-        head = np.concatenate(heads)
-        data = np.frombuffer(b"".join(table["data"].to_pylist()), np.uint8)
+        head, pages = np.concatenate(heads), table["page"].to_pylist()
+        data = np.frombuffer(b"".join(x.as_buffer() for x in table["data"]), np.uint8)
+        del table, heads
         size = head["size"].astype(np.int64)
         start = np.cumsum(size) - size
         number, first = _numbered(data, start, size)
@@ -336,7 +337,7 @@ def _sorted_shard(length: int, limit: int):
         mask, owner = mask[number], owner[number]
         tell = np.flatnonzero((mask > 0) | (head["most"] > owner))
         order, runs = _runs(place[tell])
-        tell, pages = tell[order], table["page"].to_pylist()
+        tell = tell[order]
         rows = [(pages[p], head["number"][tell[at]].tobytes(), owner[tell[at]].tobytes(), mask[tell[at]].tobytes()) for p, at in runs]
         return pa.table([pa.array([r[j] for r in rows], pa.int64() if j == 0 else pa.binary()) for j in range(4)], names=["page", "numbers", "owners", "masks"])
 
