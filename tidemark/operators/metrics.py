@@ -81,9 +81,56 @@ def calibration_error() -> Column:
     return F.sum(F.col("rows") * F.abs(F.col("predicted") - F.col("observed"))) / F.sum("rows")
 
 
+#: Bits of a double that are its range, in the first round; each further one takes as many more.
+STEP_BITS = 12
+#: Distinct values of a range that one task may order.
+FITS = 1_000_000
+
+
+def _ordered(v: Column) -> Column:
+    """A double as a long in the same order, by its own bits: sign, then size. So ranges of any distribution are cut where its values are."""
+    zero = F.lit(0.0)
+    size = F.when(v == 0, F.lit(0)).otherwise(F.floor(F.log2(F.abs(v)) * (1 << 40)).cast("long") + F.lit(1 << 51))
+    return F.when(v < zero, -size).otherwise(size)
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: tuple[float, ...], *groups: str) -> DataFrame:
+    """(groups, q): exact quantiles of each group, in the order of `probs`, between neighbouring ranks as numpy's; nulls are left out, and groups without any value too.
+
+    Values are counted by distinct value, distinct values by range of their place on a scale of logarithms. Running totals of ranges tell which of them hold a wanted rank; those ranges alone are cut again,
+    until each fits a task (FITS distinct values), and only their values are ordered. So no task sees all values of a group, however many there are.
+    """
+    g = list(groups)
+    cells = df.filter(F.col(value).isNotNull()).groupBy(*g, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n")).withColumn("_o", _ordered(F.col("v")))
+    per = cells.groupBy(*g).agg(F.sum("n").alias("_n"))
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("at")) for k, p in enumerate(probs)]))
+    wanted = per.select(*g, at.alias("x")).select(*g, "x.k", "x.at")
+    ranks = wanted.select(*g, "k", F.explode(F.array(F.struct(F.floor("at").alias("rank"), (1 - (F.col("at") - F.floor("at"))).alias("w")), F.struct((F.floor("at") + 1).alias("rank"), (F.col("at") - F.floor("at")).alias("w")))).alias("x")).select(*g, "k", "x.rank", "x.w").filter("w > 0")
+    join = (lambda a, b, *more: a.join(b, [*g, *more])) if g else (lambda a, b, *more: a.join(b, list(more)) if more else a.crossJoin(b))
+    held, key, shift = cells.withColumn("_below", F.lit(0).cast("long")), [], 0
+    while True:
+        shift += STEP_BITS
+        name = f"_r{shift}"
+        held = held.withColumn(name, F.shiftright("_o", max(0, 52 - shift)))
+        key = [*key, name]
+        totals = held.groupBy(*g, *key, "_below").agg(F.sum("n").alias("_t"), F.count("*").alias("_d"))
+        upto = Window.partitionBy(*g, *key[:-1]).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+        ranges = totals.withColumn("_first", F.col("_below") + F.coalesce(F.sum("_t").over(upto), F.lit(0)))
+        in_range = (F.col("rank") >= F.col("_first")) & (F.col("rank") < F.col("_first") + F.col("_t"))
+        chosen = join(ranges, ranks.select(*g, "rank").distinct()).filter(in_range).select(*g, *key, "_first", "_d").distinct()
+        if 52 - shift <= 0 or not chosen.filter(F.col("_d") > FITS).limit(1).count():
+            break
+        held = join(held.drop("_below"), chosen.select(*g, *key, F.col("_first").alias("_below")), *key)
+    line = Window.partitionBy(*g, *key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    values = join(held.drop("_below"), chosen.drop("_d"), *key).withColumn("_upto", F.col("_first") + F.sum("n").over(line))
+    found = join(values.select(*g, "v", "n", "_upto"), ranks).filter((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("n")))
+    each = found.groupBy(*g, "k").agg(F.sum(F.col("v") * F.col("w")).alias("v"))
+    return each.groupBy(*g).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("q"))  # as many as `probs`
+
+
 def deciles(reference: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """(e): the distinct edges of the reference's equal-count bins, one row."""
-    return reference.agg(F.array_sort(F.array_distinct(F.percentile(column, F.array(*[F.lit(k / bins) for k in range(bins + 1)])))).alias("e"))
+    return exact_quantiles(reference, column, tuple(k / bins for k in range(bins + 1))).select(F.array_sort(F.array_distinct("q")).alias("e"))
 
 
 def bin_counts(df: DataFrame, edges: DataFrame, column: str, name: str, *groups: str) -> DataFrame:

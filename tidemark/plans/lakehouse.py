@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import metrics, tables
+from ..operators import history, metrics, tables
 from ..sources import lake
 from .decisions import acts, scored
 from .registry import query, sql
@@ -268,12 +268,15 @@ def orphans(spark, sf_dir):
     return lake.table(spark, sf_dir, "orders").select("o_orderkey").join(lake.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")
 
 
-@query("jn_3_shifted_self_join", sql("SELECT gap, count(*) AS pairs FROM (SELECT DISTINCT card, day FROM txn) a JOIN (SELECT DISTINCT card, day FROM txn) b USING (card), (VALUES (1), (2), (3), (4), (5)) g(gap) WHERE b.day = a.day + gap GROUP BY gap", "txn"))
+@query("jn_3_shifted_self_join", sql("""
+SELECT gap, pairs, round(pairs - avg(pairs) FILTER (gap > 1) OVER (), 6) AS excess FROM (
+  SELECT gap, count(*) AS pairs FROM (SELECT DISTINCT card, day FROM txn) a JOIN (SELECT DISTINCT card, day FROM txn) b USING (card), (VALUES (1), (2), (3), (4), (5)) g(gap) WHERE b.day = a.day + gap GROUP BY gap)""", "txn"))
 def shifted(spark, sf_dir):
-    """Pairs of days of a card that lie 1 to 5 days apart, in one join."""
+    """Pairs of days of a card that lie 1 to 5 days apart, in one join, and how many more they are than the mean of gaps 2 to 5. Five rows meet in the window."""
     keys = lake.txn(spark, sf_dir).select("card", "day").distinct()
     moved = keys.select("card", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("gap"), "day").withColumn("day", F.col("day") + F.col("gap"))
-    return moved.join(keys, ["card", "day"]).groupBy("gap").agg(F.count("*").alias("pairs"))
+    pairs = moved.join(keys, ["card", "day"]).groupBy("gap").agg(F.count("*").alias("pairs"))
+    return pairs.withColumn("excess", F.round(F.col("pairs") - F.avg(F.when(F.col("gap") > 1, F.col("pairs"))).over(Window.partitionBy()), 6))
 
 
 @query("jn_6_labels_by_a_time", sql(f"SELECT d.day, count(*) AS labelled FROM (SELECT DISTINCT day FROM txn) d JOIN txn x ON x.t + {3 * DAY} < d.day * 86400 GROUP BY d.day", "txn"))
@@ -390,49 +393,120 @@ def missing_together(spark, sf_dir):
     return long.groupBy("h", "n").agg(F.array_join(F.array_sort(F.collect_set("c")), ",").alias("columns")).select("columns", F.col("n").alias("missing"))
 
 
-@query("agg_20_cardinality", sql("SELECT (SELECT count(DISTINCT device) FROM gappy) AS levels, (SELECT round(count(device) / count(*), 6) FROM gappy) AS present, (SELECT round(sum(n) / (SELECT count(device) FROM gappy), 6) FROM (SELECT count(*) AS n FROM gappy WHERE device IS NOT NULL GROUP BY device ORDER BY n DESC, device LIMIT 10)) AS top_coverage", "gappy"))
+_FIELDS = ("card", "device", "email")
+_LEVELS = ", ".join(f"('{c}', {c})" for c in _FIELDS)
+
+
+@query("agg_20_cardinality", sql(f"""
+SELECT field, count(*) AS levels, round(sum(n) / (SELECT count(*) FROM gappy), 6) AS present, round(sum(n) FILTER (place <= 50) / sum(n), 6) AS top_coverage FROM (
+  SELECT field, n, row_number() OVER (PARTITION BY field ORDER BY n DESC, v) AS place FROM (SELECT field, v, count(*) AS n FROM gappy, LATERAL (VALUES {_LEVELS}) f(field, v) WHERE v IS NOT NULL GROUP BY ALL))
+GROUP BY field""", "gappy"))
 def cardinality(spark, sf_dir):
+    """Levels of each field, the share of rows with one, and what its 50 commonest levels cover. Only 50 levels a task and field go on to the ranking."""
     df = lake.gappy(spark, sf_dir)
-    levels = df.filter("device IS NOT NULL").groupBy("device").agg(F.count("*").alias("n"))
-    top = levels.orderBy(F.desc("n"), "device").limit(10).agg(F.sum("n").alias("top"))
-    return levels.agg(F.count("*").alias("levels"), F.sum("n").alias("with")).crossJoin(top).crossJoin(df.agg(F.count("*").alias("rows"))).select("levels", F.round(F.col("with") / F.col("rows"), 6).alias("present"), F.round(F.col("top") / F.col("with"), 6).alias("top_coverage"))
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("v")) for c in _FIELDS])).alias("x")).select("x.*").filter("v IS NOT NULL")
+    levels = long.groupBy("field", "v").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "v"))
+    top = levels.withColumn("place", place).filter("place <= 50").groupBy("field").agg(F.sum("n").alias("top"))
+    each = levels.groupBy("field").agg(F.count("*").alias("levels"), F.sum("n").alias("with")).join(top, "field").crossJoin(df.agg(F.count("*").alias("rows")))
+    return each.select("field", "levels", F.round(F.col("with") / F.col("rows"), 6).alias("present"), F.round(F.col("top") / F.col("with"), 6).alias("top_coverage"))
 
 
-@query("agg_21_amount_quantiles", sql("SELECT label, round(quantile_cont(CAST(amount AS DOUBLE), 0.25), 4) AS q25, round(quantile_cont(CAST(amount AS DOUBLE), 0.5), 4) AS q50, round(quantile_cont(CAST(amount AS DOUBLE), 0.75), 4) AS q75, round(avg(CAST(CAST(amount * 100 AS BIGINT) % 100 <> 0 AS INTEGER)), 6) AS cents_share FROM txn GROUP BY label", "txn"))
+@query("agg_21_amount_quantiles", sql("SELECT label, round(quantile_cont(CAST(amount AS DOUBLE), 0.5), 4) AS q50, round(quantile_cont(CAST(amount AS DOUBLE), 0.9), 4) AS q90, round(quantile_cont(CAST(amount AS DOUBLE), 0.99), 4) AS q99, round(avg(CAST(CAST(amount * 100 AS BIGINT) % 100 <> 0 AS INTEGER)), 6) AS cents_share FROM txn GROUP BY label", "txn"))
 def amount_quantiles(spark, sf_dir):
-    q = F.percentile(F.col("amount").cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return lake.txn(spark, sf_dir).groupBy("label").agg(q.alias("q"), F.round(F.avg(((F.col("amount") * 100).cast("long") % 100 != 0).cast("int")), 6).alias("cents_share")).select("label", *[F.round(F.col("q")[k], 4).alias(n) for k, n in enumerate(("q25", "q50", "q75"))], "cents_share")
+    df = lake.txn(spark, sf_dir).withColumn("v", F.col("amount").cast("double"))
+    q = metrics.exact_quantiles(df, "v", (0.5, 0.9, 0.99), "label")
+    cents = df.groupBy("label").agg(F.round(F.avg(_cents().cast("int")), 6).alias("cents_share"))
+    return q.join(cents, "label").select("label", *[F.round(F.col("q")[k], 4).alias(n) for k, n in enumerate(("q50", "q90", "q99"))], "cents_share")
+
+
+def _cents():
+    return (F.col("amount") * 100).cast("long") % 100 != 0
+
+
+@query("agg_21_cents_rates", sql("SELECT CAST(amount * 100 AS BIGINT) % 100 <> 0 AS cents, count(*) AS rows, round(avg(label), 6) AS rate FROM txn GROUP BY cents", "txn"))
+def cents_rates(spark, sf_dir):
+    """The rate of amounts with and without cents."""
+    return lake.txn(spark, sf_dir).groupBy(_cents().alias("cents")).agg(F.count("*").alias("rows"), F.round(F.avg("label"), 6).alias("rate"))
 
 
-@query("agg_22_rates", sql("SELECT t % 86400 // 3600 AS hour, count(*) AS rows, round(avg(label), 6) AS rate, round(CAST(sum(amount) AS DOUBLE) / sum(CAST(sum(amount) AS DOUBLE)) OVER (), 6) AS value_share FROM txn GROUP BY hour", "txn"))
+@query("agg_22_rates", sql("""
+SELECT "by", level, rows, round(rows / sum(rows) OVER w, 6) AS share, round(rate, 6) AS rate, round(v / sum(v) OVER w, 6) AS value_share, round(fv / v, 6) AS fraud_value_share FROM (
+  SELECT "by", level, count(*) AS rows, avg(label) AS rate, CAST(sum(amount) AS DOUBLE) AS v, CAST(sum(CASE WHEN label = 1 THEN amount ELSE 0 END) AS DOUBLE) AS fv
+  FROM gappy, LATERAL (VALUES ('hour', lpad(CAST(t % 86400 // 3600 AS VARCHAR), 2, '0')), ('product', email), ('presence', CASE WHEN device IS NULL THEN 'without' ELSE 'with' END), ('month', strftime(to_timestamp(t + 1704067200) AT TIME ZONE 'UTC', '%Y-%m'))) b("by", level)
+  GROUP BY ALL) WINDOW w AS (PARTITION BY "by")""", "gappy"))
 def rates(spark, sf_dir):
-    by = lake.txn(spark, sf_dir).groupBy(F.floor(F.col("t") % DAY / 3600).alias("hour")).agg(F.count("*").alias("rows"), F.round(F.avg("label"), 6).alias("rate"), F.sum("amount").cast("double").alias("v"))
-    return by.withColumn("value_share", F.round(F.col("v") / F.sum("v").over(Window.partitionBy()), 6)).drop("v")
+    """Rows, rate and value by hour, product (the e-mail's kind), presence of a device, and month, in one pass."""
+    month = F.date_format(F.timestamp_seconds(F.col("t") + lake.ANCHOR), "yyyy-MM")
+    levels = {"hour": F.lpad(F.floor(F.col("t") % DAY / 3600).cast("string"), 2, "0"), "product": F.col("email"), "presence": F.when(F.col("device").isNull(), "without").otherwise("with"), "month": month}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("by"), c.alias("level")) for k, c in levels.items()]))
+    df = lake.gappy(spark, sf_dir).select("label", "amount", each.alias("x")).select("label", "amount", "x.*")
+    per = df.groupBy("by", "level").agg(F.count("*").alias("rows"), F.avg("label").alias("rate"), F.sum("amount").cast("double").alias("v"), F.sum(F.when(F.col("label") == 1, F.col("amount")).otherwise(0)).cast("double").alias("fv"))
+    all_ = Window.partitionBy("by")
+    return per.select("by", "level", "rows", F.round(F.col("rows") / F.sum("rows").over(all_), 6).alias("share"), F.round("rate", 6).alias("rate"), F.round(F.col("v") / F.sum("v").over(all_), 6).alias("value_share"), F.round(F.col("fv") / F.col("v"), 6).alias("fraud_value_share"))
 
 
 @query("agg_22_extreme_hours", sql("SELECT max_by(hour, rate * 1000 - hour) AS highest, min_by(hour, rate * 1000 + hour) AS lowest FROM (SELECT t % 86400 // 3600 AS hour, round(avg(label), 6) AS rate FROM txn GROUP BY hour)", "txn"))
 def extreme_hours(spark, sf_dir):
-    return rates(spark, sf_dir).agg(F.max_by("hour", F.col("rate") * 1000 - F.col("hour")).alias("highest"), F.min_by("hour", F.col("rate") * 1000 + F.col("hour")).alias("lowest"))
+    by = lake.txn(spark, sf_dir).groupBy(F.floor(F.col("t") % DAY / 3600).alias("hour")).agg(F.round(F.avg("label"), 6).alias("rate"))
+    return by.agg(F.max_by("hour", F.col("rate") * 1000 - F.col("hour")).alias("highest"), F.min_by("hour", F.col("rate") * 1000 + F.col("hour")).alias("lowest"))
 
 
-@query("agg_23_client_clustering", sql("SELECT count(*) AS repeat_keys, count(*) FILTER (f > 0) AS with_positive, round(CAST(sum(f) AS DOUBLE) / nullif(sum(CASE WHEN f > 0 THEN n ELSE 0 END), 0), 6) AS share_within, round(avg(CAST(f = n AS INTEGER)), 6) AS all_positive FROM (SELECT card, count(*) AS n, sum(label) AS f FROM txn GROUP BY card HAVING count(*) >= 2)", "txn"))
+@query("agg_23_client_clustering", sql("""
+SELECT keys, repeat_keys, round(repeat_rows / rows, 6) AS rows_in_repeat_keys, with_positive, share_within, all_positive FROM (
+  SELECT count(*) AS keys, count(*) FILTER (n >= 2) AS repeat_keys, sum(n) AS rows, sum(n) FILTER (n >= 2) AS repeat_rows, count(*) FILTER (n >= 2 AND f > 0) AS with_positive,
+    round(CAST(sum(f) FILTER (n >= 2 AND f > 0) AS DOUBLE) / nullif(sum(n) FILTER (n >= 2 AND f > 0), 0), 6) AS share_within, round(avg(CAST(f = n AS INTEGER)) FILTER (n >= 2 AND f > 0), 6) AS all_positive
+  FROM (SELECT card, count(*) AS n, sum(label) AS f FROM txn GROUP BY card))""", "txn"))
 def clustering(spark, sf_dir):
-    per = lake.txn(spark, sf_dir).groupBy("card").agg(F.count("*").alias("n"), F.sum("label").alias("f")).filter("n >= 2")
-    return per.agg(F.count("*").alias("repeat_keys"), F.count_if(F.col("f") > 0).alias("with_positive"), F.round(F.sum("f").cast("double") / F.nullif(F.sum(F.when(F.col("f") > 0, F.col("n")).otherwise(0)), F.lit(0)), 6).alias("share_within"), F.round(F.avg((F.col("f") == F.col("n")).cast("int")), 6).alias("all_positive"))
+    """How far positives come from the same cards: repeat keys, those with a positive, the share of positives within them, and those with nothing else."""
+    per = lake.txn(spark, sf_dir).groupBy("card").agg(F.count("*").alias("n"), F.sum("label").alias("f"))
+    again, hit = F.col("n") >= 2, (F.col("n") >= 2) & (F.col("f") > 0)
+    some = lambda on, x: F.sum(F.when(on, F.col(x)))
+    return per.agg(
+        F.count("*").alias("keys"), F.count_if(again).alias("repeat_keys"), F.round(some(again, "n") / F.sum("n"), 6).alias("rows_in_repeat_keys"), F.count_if(hit).alias("with_positive"),
+        F.round(some(hit, "f").cast("double") / F.nullif(some(hit, "n"), F.lit(0)), 6).alias("share_within"), F.round(F.avg(F.when(hit, (F.col("f") == F.col("n")).cast("int"))), 6).alias("all_positive"),
+    )
+
 
+@query("agg_23_known_history", sql(f"""
+SELECT delay, round(avg(CAST(k > 0 AS INTEGER)), 6) AS rows_with_known, round(avg(label) FILTER (k > 0), 6) AS rate_known, round(avg(label) FILTER (k = 0), 6) AS rate_not_known, round(avg(CAST(k > 0 AS INTEGER)) FILTER (label = 1), 6) AS positives_with_known
+FROM (SELECT 'delayed' AS delay, label, coalesce(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND {3 * DAY + 1} PRECEDING), 0) AS k FROM txn
+      UNION ALL SELECT 'instant', label, coalesce(sum(label) OVER (PARTITION BY card ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) FROM txn) GROUP BY delay""", "txn"))
+def known_history(spark, sf_dir):
+    """The rate of rows whose card has a known positive against the others, with labels that come late and with labels that come at once."""
+    kinds = {"delayed": 3 * DAY, "instant": 0}
+    known = history.add_history(lake.txn(spark, sf_dir), tuple(history.Feature(k, "card", "known", None, "label", d) for k, d in kinds.items()))
+    long = known.select("label", F.explode(F.array(*[F.struct(F.lit(k).alias("delay"), (F.coalesce(k, F.lit(0)) > 0).alias("known")) for k in kinds])).alias("x")).select("label", "x.*")
+    known_int, rate = F.col("known").cast("int"), lambda on: F.round(F.avg(F.when(on, F.col("label"))), 6)
+    return long.groupBy("delay").agg(F.round(F.avg(known_int), 6).alias("rows_with_known"), rate(F.col("known")).alias("rate_known"), rate(~F.col("known")).alias("rate_not_known"), F.round(F.avg(F.when(F.col("label") == 1, known_int)), 6).alias("positives_with_known"))
 
-@query("agg_24_constancy", sql("SELECT round(avg(CAST(raw = 1 AS INTEGER)), 6) AS raw_constant, round(avg(CAST(norm = 1 AS INTEGER)), 6) AS normalised_constant FROM (SELECT device, count(DISTINCT CAST(device AS INTEGER)) AS raw, count(DISTINCT day - CAST(device AS INTEGER)) AS norm FROM txn GROUP BY device HAVING count(*) >= 3)", "txn"))
+
+@query("agg_24_constancy", sql("""
+SELECT (SELECT round(count(device) / count(*), 6) FROM gappy) AS present, round(avg(CAST(raw = 1 AS INTEGER)), 6) AS raw_constant, round(avg(CAST(norm = 1 AS INTEGER)), 6) AS normalised_constant
+FROM (SELECT card, count(DISTINCT CAST(device AS INTEGER)) AS raw, count(DISTINCT day - CAST(device AS INTEGER)) AS norm FROM gappy WHERE device IS NOT NULL GROUP BY card HAVING count(*) >= 3)""", "gappy"))
 def constancy(spark, sf_dir):
-    d = F.col("device").cast("int")
-    per = lake.txn(spark, sf_dir).groupBy("device").agg(F.count("*").alias("n"), F.count_distinct(d).alias("raw"), F.count_distinct(F.col("day") - d).alias("norm")).filter("n >= 3")
-    return per.agg(F.round(F.avg((F.col("raw") == 1).cast("int")), 6).alias("raw_constant"), F.round(F.avg((F.col("norm") == 1).cast("int")), 6).alias("normalised_constant"))
+    """Of cards with three or more rows that have the day count: for how many it is constant, as it is and counted from the start. Rows without it are left out."""
+    d, df = F.col("device").cast("int"), lake.gappy(spark, sf_dir)
+    per = df.filter(d.isNotNull()).groupBy("card").agg(F.count("*").alias("n"), F.count_distinct(d).alias("raw"), F.count_distinct(F.col("day") - d).alias("norm")).filter("n >= 3")
+    const = per.agg(F.round(F.avg((F.col("raw") == 1).cast("int")), 6).alias("raw_constant"), F.round(F.avg((F.col("norm") == 1).cast("int")), 6).alias("normalised_constant"))
+    return df.agg(F.round(F.count("device") / F.count("*"), 6).alias("present")).crossJoin(const)
+
+
+@query("agg_24_mean_by_month", sql("SELECT strftime(to_timestamp(t + 1704067200) AT TIME ZONE 'UTC', '%Y-%m') AS month, count(device) AS rows, round(avg(CAST(device AS INTEGER)), 6) AS mean FROM gappy GROUP BY month", "gappy"))
+def mean_by_month(spark, sf_dir):
+    month = F.date_format(F.timestamp_seconds(F.col("t") + lake.ANCHOR), "yyyy-MM")
+    return lake.gappy(spark, sf_dir).groupBy(month.alias("month")).agg(F.count("device").alias("rows"), F.round(F.avg(F.col("device").cast("int")), 6).alias("mean"))
 
 
-@query("agg_28_latency_percentiles", sql("SELECT round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.95), 4) AS p95, round(quantile_cont(v, 0.99), 4) AS p99, max(v) AS max, round(avg(v), 4) AS mean FROM (SELECT CAST(amount AS DOUBLE) AS v FROM txn)", "txn"))
+@query("agg_28_latency_percentiles", sql("""
+SELECT round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.95), 4) AS p95, round(quantile_cont(v, 0.99), 4) AS p99, max(v) AS max, round(avg(v), 4) AS mean
+FROM (SELECT t - lag(t) OVER (PARTITION BY card ORDER BY t, id) AS v FROM txn) WHERE v IS NOT NULL""", "txn"))
 def latency(spark, sf_dir):
-    v = lake.txn(spark, sf_dir).select(F.col("amount").cast("double").alias("v"))
-    q = v.agg(F.percentile("v", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias("q"), F.max("v").alias("max"), F.round(F.avg("v"), 4).alias("mean"))
-    return q.select(*[F.round(F.col("q")[k], 4).alias(n) for k, n in enumerate(("p50", "p95", "p99"))], "max", "mean")
+    """Percentiles of waiting times: the log has no decision timings, so those between a card's events, which it has."""
+    wait = (F.col("t") - F.lag("t").over(Window.partitionBy("card").orderBy("t", "id"))).cast("double")
+    v = lake.txn(spark, sf_dir).select(wait.alias("v")).filter("v IS NOT NULL")
+    q = metrics.exact_quantiles(v, "v", (0.5, 0.95, 0.99)).crossJoin(v.agg(F.max("v").alias("max"), F.round(F.avg("v"), 4).alias("mean")))
+    return q.select(*[F.round(F.col("q")[k], 4).alias(n) for k, n in enumerate(("p50", "p95", "p99"))], F.col("max").cast("long").alias("max"), "mean")
 
 
 @query("agg_15_feed_health", sql(f"""
