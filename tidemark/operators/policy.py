@@ -8,7 +8,7 @@ from types import SimpleNamespace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import history
+from . import history, metrics
 from .history import FEATURES
 
 ARRIVAL = ("t", "id")
@@ -157,8 +157,8 @@ def top_of_day(df: DataFrame, priority: Column, k: int) -> DataFrame:
 
 def quantile_grid(df: DataFrame, value: str, n: int) -> DataFrame:
     """(g): the distinct ones of n evenly spaced exact quantiles. n rows, whatever the input."""
-    q = F.percentile(value, F.array(*[F.lit(k / (n - 1)) for k in range(n)]))
-    return df.agg(q.alias("q")).select(F.explode("q").alias("g")).select(F.round("g", 6).alias("g")).distinct()
+    q = metrics.exact_quantiles(df.select(value), value, tuple(k / (n - 1) for k in range(n)))
+    return q.select(F.explode("q").alias("g")).select(F.round("g", 6).alias("g")).distinct()
 
 
 def tune_expected_loss(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFrame:
@@ -175,7 +175,7 @@ def tune_expected_loss(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFr
 
 def tune_cutoffs(df: DataFrame, score: str, c: Costs = Costs(), n: int = 40) -> DataFrame:
     """(decline_at, review_at, total_cost) for pairs of cut-offs over quantiles of the top tenth of scores, and never."""
-    low = df.agg(F.round(F.percentile(score, F.lit(0.9)), 6).alias("low"))
+    low = metrics.exact_quantiles(df.select(score), score, (0.9,)).select(F.round(F.col("q")[0], 6).alias("low"))
     top = df.crossJoin(F.broadcast(low)).filter(F.col(score) >= F.col("low"))
     grid = quantile_grid(top, score, n).unionByName(df.sparkSession.createDataFrame([(1e9,)], "g double"))
     pairs = grid.select(F.col("g").alias("decline_at")).crossJoin(grid.select(F.col("g").alias("review_at"))).filter("review_at <= decline_at")
@@ -198,8 +198,8 @@ def sensitivity(df: DataFrame, c: Costs = Costs(), n: int = 60) -> DataFrame:
     key = ["parameter", "value"]
     all_ = priced(df.select("id", "t", "day", "split", "amount", "label", "p").crossJoin(F.broadcast(variants)), costs)
     valid, wanted = all_.filter("split = 'valid'"), F.col("priority") > 0
-    q = F.percentile("priority", F.array(*[F.lit(k / (n - 1)) for k in range(n)]))
-    grid = valid.filter(wanted).groupBy(*key).agg(q.alias("q")).select(*key, F.explode("q").alias("g")).select(*key, F.round("g", 6).alias("g")).unionByName(variants.select(*key, F.lit(0.0).alias("g"))).distinct()
+    q = metrics.exact_quantiles(valid.filter(wanted).select(*key, "priority"), "priority", tuple(k / (n - 1) for k in range(n)), *key)
+    grid = q.select(*key, F.explode("q").alias("g")).select(*key, F.round("g", 6).alias("g")).unionByName(variants.select(*key, F.lit(0.0).alias("g"))).distinct()
     rest = valid.filter(~wanted).withColumn("action", without_review()).groupBy(*key).agg(realised(costs)[0].alias("base"))
     most = max(c.capacity, *RANGES["capacity"])
     trials = expected_loss(valid.filter(wanted).join(F.broadcast(grid), key), F.col("g"), costs, *key, "g", most=most)

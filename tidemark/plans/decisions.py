@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from ..operators import metrics
 from ..operators import policy as P
 from ..sources import lake
+from ..sources.store import settled
 from .registry import COSTS_SQL, query, sql
 
 C = P.Costs()
 
 
 def scored(spark, sf_dir) -> DataFrame:
-    return P.scored(lake.txn(spark, sf_dir))
+    """Scored rows, settled: policies and tuning read them more than once, and the sweeps of history behind them should run once."""
+    return settled(P.scored(lake.txn(spark, sf_dir)))
 
 
 def priced(spark, sf_dir) -> DataFrame:

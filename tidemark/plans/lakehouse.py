@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import history, metrics, tables
 from ..sources import lake
+from ..sources.store import settled
 from .decisions import acts, scored
 from .registry import query, sql
 
@@ -368,12 +369,13 @@ def key_stability(spark, sf_dir):
     df = lake.gappy(spark, sf_dir).withColumns({"hour": F.floor(F.col("t") % DAY / 3600), "cents": (F.col("amount") * 100).cast("long") % 100, "large": F.col("amount") >= 150})
     per = df.groupBy("card", F.coalesce("device", F.lit("NA")).alias("d")).agg(F.bool_or(F.col("device").isNull()).alias("gone"), F.count("*").alias("n"), *[F.count_distinct(f).alias(f) for f in _KEY_FIELDS], F.max("label").alias("hi"), F.min("label").alias("lo"))
     multi = lambda cond: F.round(F.avg(F.when(F.col("n") >= 2, cond.cast("int"))), 6)
-    q = F.percentile("n", F.array(*[F.lit(x) for x in (0.5, 0.9, 0.99)]))
+    per = settled(per)
+    q = metrics.exact_quantiles(per, "n", (0.5, 0.9, 0.99))
     return per.agg(
-        F.count("*").alias("keys"), F.max("n").alias("most_rows"), q.alias("q"), F.sum(F.when(F.col("n") >= 2, F.col("n")).otherwise(0)).alias("rows_in_repeat_keys"),
+        F.count("*").alias("keys"), F.max("n").alias("most_rows"), F.sum(F.when(F.col("n") >= 2, F.col("n")).otherwise(0)).alias("rows_in_repeat_keys"),
         F.round(1 - F.count("*") / F.sum("n"), 6).alias("share_with_history"), F.sum(F.when(F.col("gone"), F.col("n")).otherwise(0)).alias("rows_with_missing_part"),
         *[multi(F.col(f) <= 1).alias(f"{f}_constant") for f in _KEY_FIELDS], multi(F.greatest(*_KEY_FIELDS) <= 1).alias("all_constant"), multi((F.col("hi") == 1) & (F.col("lo") == 0)).alias("mixed_labels"),
-    ).select("*", *[F.col("q")[k].alias(n) for k, n in enumerate(("median_rows", "p90_rows", "p99_rows"))]).drop("q")
+    ).crossJoin(q).select("*", *[F.col("q")[k].alias(n) for k, n in enumerate(("median_rows", "p90_rows", "p99_rows"))]).drop("q")
 
 
 @query("agg_18_family_missingness", sql("SELECT 'entity' AS family, round((avg(CAST(device IS NULL AS INTEGER)) + avg(CAST(card IS NULL AS INTEGER))) / 2, 6) AS mean_share, CAST((avg(CAST(device IS NULL AS INTEGER)) > 0.5)::INTEGER + (avg(CAST(card IS NULL AS INTEGER)) > 0.5)::INTEGER AS BIGINT) AS over_half FROM gappy UNION ALL SELECT 'other', round(avg(CAST(email IS NULL AS INTEGER)), 6), 0 FROM gappy", "gappy"))
