@@ -21,7 +21,7 @@ from .text import Chunk, mix, text_chunks
 
 LENGTH = 50
 #: Bytes of text of a page of documents.
-PAGE_BYTES = 8 << 20
+PAGE_BYTES = 4 << 20
 #: Hashes of a bucket, bytes of segments of a shard.
 BUCKET_HASHES, SHARD_BYTES = 1 << 19, 5 << 20
 #: An anchor with more segments than this is dealt out by whole windows.
@@ -358,7 +358,7 @@ def _removed(page: Page, s: Segments, numbers: np.ndarray, owners: np.ndarray, m
         at = s.start[own[(mask[s.number[own]] >> np.uint64(j)) & np.uint64(1) > 0]] + j
         np.add.at(edge, at, 1)
         np.add.at(edge, at + length, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], out=edge[:-1]) > 0
 
 
 def _cut(length: int, texts: bool):
@@ -371,15 +371,17 @@ def _cut(length: int, texts: bool):
                 gone = np.zeros(len(page.data), bool)
                 if len(numbers):
                     gone = _removed(page, _segments(page, *_told(batch, k), length), numbers, owners, masks, length)
-                upto = np.append(0, np.cumsum(gone))
+                upto = np.zeros(len(gone) + 1, np.int32)
+                np.cumsum(gone, out=upto[1:])
                 rise = gone.copy()
                 rise[1:] &= ~gone[:-1]
                 inside = page.offsets[:-1][page.offsets[:-1] < len(gone)]
                 rise[inside] = gone[inside]
-                rises = np.append(0, np.cumsum(rise))
+                rises = np.zeros(len(gone) + 1, np.int32)
+                np.cumsum(rise, out=rises[1:])
                 kept = [page.data[a:b][~gone[a:b]].tobytes() if upto[b] > upto[a] else page.data[a:b].tobytes() for a, b in zip(page.offsets[:-1].tolist(), page.offsets[1:].tolist(), strict=True)]
                 n = np.diff(page.offsets)
-                columns = [pa.array(n), pa.array(np.diff(upto[page.offsets])), pa.array(np.diff(rises[page.offsets])), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
+                columns = [pa.array(n), pa.array(np.diff(upto[page.offsets]).astype(np.int64)), pa.array(np.diff(rises[page.offsets]).astype(np.int64)), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
                 rows = batch.column(names.index("rows")).slice(k, 1).flatten()
                 yield pa.RecordBatch.from_arrays([rows, *columns, *([pa.array(kept, pa.binary())] if texts else [])], names=["row", *NEW, *(["kept"] if texts else [])])
 
