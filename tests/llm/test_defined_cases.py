@@ -180,3 +180,61 @@ def test_many_sources_mix_the_same_without_broadcast(spark, monkeypatch):
     want = sorted((r.doc_id, r.target, r.copies, r.taken) for r in mixing.mix_sources(df).collect())
     monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
     assert sorted((r.doc_id, r.target, r.copies, r.taken) for r in mixing.mix_sources(df).collect()) == want
+
+
+def test_blanks_are_those_of_the_tokenizer():
+    enc, _ = tokens.encoding()
+    rng = random.Random(6)
+    texts = ["\n" * 9000 + "\x1d" * 3000 + "x", "\x1c" * 12_000, " " * 12_000 + "\x1f" + "\x85" * 12_000]
+    texts += ["".join(rng.choice(["\x1c", "\x1d", "\x1f", "\x85", "\xa0", "\u2003", " ", "\n", "a", "\u200b"]) * rng.randint(1, 4000) for _ in range(12)) for _ in range(6)]
+    assert all(tokens.encode(enc, t) == enc.encode_ordinary(t) for t in texts)
+
+
+def test_inner_names_may_occur(spark):
+    """Columns named like those that are used inside come out as they went in."""
+    item = spark.createDataFrame([("i", "same words here")], "item_id string, text string")
+    names = ("_mask", "_MASK_", "_first", "_digest", "_id", "_last", "row")
+    df = spark.createDataFrame([(k, "same words here", "u", f"page {k // 2} " * 30, *[f"{n}{k}" for n in names]) for k in range(6)], "page_id long, text string, url string, html string, " + ", ".join(f"{n} string" for n in names))
+    for out in (decontaminate.find_benchmark(df, item), warc.dedup(df)):
+        got = out.collect()
+        assert len(got) == 6 and all(r[n] == f"{n}{r.page_id}" for r in got for n in names)
+    assert sorted((r.page_id, r.refers_to) for r in warc.dedup(df).collect()) == [(k, k - 1 if k % 2 else None) for k in range(6)]
+
+
+def test_long_texts_take_linear_time():
+    import hashlib
+    import time
+
+    from tidemark.llm.text import text_chunks
+
+    text = "é ".join(hashlib.sha256(str(k).encode()).hexdigest() for k in range(40_000))
+    (chunk,) = text_chunks(pa.array([text]), 1 << 62)
+    began = time.time()
+    assert sum(kind == "hex" for _, kind, _, _ in secrets.find_spans(chunk)) == 40_000
+    assert len(secrets._spans_of_batch(pa.array([text]))[0]) >= 40_000
+    found = list(warc.salvage_plain(b"WARC/1.1\r\n" * 400_000))
+    assert time.time() - began < 60 and [r.kind for r in found] == ["gap"]
+
+
+@pytest.mark.parametrize("repeats", [1000, 3])
+def test_a_repeated_document_comes_near_its_target(spark, repeats):
+    rows = [(7, "one two three four five six seven eight nine ten", "a")] * repeats + [(8, "w " * 9_000, "b"), (None, "x y", None), (None, "x y", None)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    own = [r for r in got if r.source == "a"]
+    assert abs(sum(r.taken for r in own) - own[0].target) <= 10 and all(r.copies <= 2 for r in got)
+
+
+def test_recall_is_measured_or_exact(spark, monkeypatch):
+    """A pair among many vectors that no list has is seen, however few are audited at once."""
+    from tidemark.llm import neighbors
+
+    monkeypatch.setattr(neighbors, "AUDIT", 20)
+    rng = np.random.default_rng(5)
+    units = rng.normal(size=(200, 16))
+    units[-1] = units[0] + 1e-3
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    points = spark.createDataFrame([(k, 0, bytearray(u.tobytes()), 1) for k, u in enumerate(units)], "p long, y long, unit binary, copies long")
+    none = spark.createDataFrame([], "p long, n long")
+    assert neighbors._recall(points, none) == 0.0
+    assert neighbors._recall(points, spark.createDataFrame([(0, 1), (199, 1)], none.schema)) == 1.0
+    assert neighbors._recall(points.filter("p < 199"), none) == 1.0

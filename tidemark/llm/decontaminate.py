@@ -162,7 +162,7 @@ def _benchmark_blocks(benchmark: DataFrame, text: str, id_col: str, limit: int)
     for row in benchmark.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).filter("i is not null and t is not null").toLocalIterator(prefetchPartitions=False):
         ids.append(row.i)
         texts.append(row.t)
-        size += len(row.t)
+        size += len(row.t.encode())
         if size >= limit:
             yield ids, texts
             ids, texts, size = [], [], 0
@@ -182,8 +182,11 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     count once per id; repeated documents are rows of their own; empty tables give empty or clean results; columns that
     clash with appended names are replaced.
     """
-    kept = others(docs, (*NEW, "items", "_mask"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(None).cast("binary").alias("_mask"), F.array().cast("array<string>").alias("items"))
+    kept = others(docs, (*NEW, "items"))
+    mask = "_mask"
+    while mask in {c.lower() for c in kept}:
+        mask += "_"
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(None).cast("binary").alias(mask), F.array().cast("array<string>").alias("items"))
     schema = T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType())])
     for n, (ids, texts) in enumerate(_benchmark_blocks(benchmark, item_text, item_id, block_bytes)):
         if n and not ids:
@@ -211,7 +214,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
                     n_hit[row] = int(np.unpackbits(np.frombuffer(m, np.uint8)).sum()) if m else 0
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(masks, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(n_words), pa.array(n_hit)], names=schema.names)
 
-        rows = rows.select(*[f"`{c}`" for c in [*kept, "_mask", "items"]]).mapInArrow(scan, schema)
+        rows = rows.select(*[f"`{c}`" for c in [*kept, mask, "items"]]).mapInArrow(scan, schema)
     items = F.array_sort(F.array_distinct("items"))
     return rows.withColumn("items", items).select(
         *[f"`{c}`" for c in kept], "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

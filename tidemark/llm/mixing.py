@@ -178,6 +178,18 @@ def sizes(docs: DataFrame, text: str = "text", source: str = "source", id_col: s
     return [F.col(f"`{id_col}`").cast("string").alias("_id"), F.col(f"`{source}`").cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")]
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """Rows (_id, source, size, ...) in which those that share all three are told apart by a number, so that a mix may take some of them more often than others. Without any, the rows as they are."""
+    key = ["_id", "source", "size"]
+    again = rows.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").select(*[F.col(c).alias(f"_{c}_again") for c in key])
+    if again.isEmpty():
+        return rows
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}_again")) for c in key]
+    numbered = F.concat_ws("#", "_id", F.monotonically_increasing_id().cast("string"))
+    joined = rows.join(again.withColumn("_again", F.lit(True)), on, "left").withColumn("_id", F.when(F.col("_again"), numbered).otherwise(F.col("_id")))
+    return cut(joined.drop("_again", *[f"_{c}_again" for c in key]))
+
+
 NEW = ("size", "source_size", "target", "rate", "copies", "taken")
 
 
@@ -185,15 +197,16 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", id_
     """Every input row with size, source_size, target, rate, copies and taken appended.
 
     Defined cases: null text or a text without words has size 0 and takes 0; null sources are one source, the last;
-    copies depend on (id, source, size) alone, so repeated rows are treated alike; an empty table gives an empty
+    copies depend on (id, source, size), and rows that share all three on their number too, so that a source of one repeated document comes near its target as well; an empty table gives an empty
     result. Columns of the input that clash with appended names are replaced; any other name may occur.
     """
     wide = docs.select(*sizes(docs, text, source, id_col), as_row(docs, NEW))
+    wide = told_apart(wide)
     plan = mix_plan(cut(wide.select("_id", "source", "size")), weights, share, cap)
     return apply_plan(wide, plan, cap).select(*from_row(docs, NEW), *NEW)
 
 
 def op10_source_mix(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = cut(docs.select(*sizes(docs), "doc_id"))
+    rows = told_apart(cut(docs.select(*sizes(docs), "doc_id")))
     return apply_plan(rows, mix_plan(rows.drop("doc_id"))).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")

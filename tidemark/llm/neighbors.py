@@ -24,7 +24,7 @@ TASK_ROWS = 20_000  # vectors that one task of a join gets
 PARTS = 8  # parts of a label's dense vectors, as long as parts are not above MOST
 LEAST, MOST = 1024, 16384  # vectors that a part should hold
 BLOCK = 512  # vectors that are compared at once in a task
-AUDIT, AUDIT_MORE = 300, 4096  # vectors that the audit compares with all others; the larger number if the first see few links
+AUDIT = 1000  # vectors that the audit compares with all others at once
 AUDIT_LINKS = 200
 RECALL = 0.97
 
@@ -274,7 +274,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
        links are doubled.
     3. Links are the entries of at least COSINE. Vectors whose list is full of links at its longest (dense groups) are compared exactly with each
        other, block by block, without a row per pair. The work of this part grows with the square of a label's dense vectors, less what blocks too far apart save.
-    4. AUDIT vectors, chosen by hash, are compared with all others. If fewer than RECALL of their links were found, new start tables and
+    4. AUDIT vectors, chosen by hash, are compared with all others, and more of them until AUDIT_LINKS true links are seen or no vector is left. If fewer than RECALL of their links were found, new start tables and
        more rounds follow, and after ATTEMPTS all vectors are compared exactly.
 
     Defined cases: vectors that are null, empty, zero, or hold null or non-finite components, rows without label, or of other length link
@@ -307,9 +307,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     return out.withColumn("kept", F.col("id") == F.col("component_id")), audit
 
 
-def _true_counts(points: DataFrame, many: int) -> DataFrame:
-    """(p, links): links of `many` vectors, chosen by hash, compared with all vectors of their label: queries of a bounded number against all rows."""
-    queries = points.select("p", "y", "unit").orderBy(F.xxhash64("p", "unit"), "p").limit(many).collect()
+def _true_counts(points: DataFrame, part: int, parts: int) -> DataFrame:
+    """(p, links): links of the vectors of one of `parts` parts by hash, some AUDIT of them, compared with all vectors of their label: queries of a bounded number against all rows."""
+    queries = points.select("p", "y", "unit").filter(F.pmod(F.xxhash64("p", "unit"), F.lit(parts)) == part).collect()
     by_label: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for y in {q.y for q in queries}:
         own = [q for q in queries if q.y == y]
@@ -329,12 +329,19 @@ def _true_counts(points: DataFrame, many: int) -> DataFrame:
 
 
 def _recall(points: DataFrame, n: DataFrame) -> float:
-    """Found links by true links of the audited vectors; found ones are all true, so their numbers tell."""
-    for many in (AUDIT, AUDIT_MORE):
-        r = _true_counts(points, many).join(n.hint("merge"), "p", "left").agg(F.sum("links").alias("every"), F.sum(F.coalesce("n", F.lit(0))).alias("found")).first()
-        if (r.every or 0) >= AUDIT_LINKS:
-            break
-    return 1.0 if not r.every else r.found / r.every
+    """Found links by true links of the audited vectors; found ones are all true, so their numbers tell.
+
+    Parts of AUDIT vectors, twice as many each time, are compared until AUDIT_LINKS links are seen, or all vectors have been: then it is exact, and 1.0 if there are no links at all.
+    """
+    parts, part, many, every, found = int(1 + points.count() // AUDIT), 0, 1, 0, 0
+    while part < parts and every < AUDIT_LINKS:
+        for k in range(part, min(parts, part + many)):
+            r = _true_counts(points, k, parts).join(n.hint("merge"), "p", "left").agg(F.sum("links").alias("every"), F.sum(F.coalesce("n", F.lit(0))).alias("found")).first()
+            every, found = every + (r.every or 0), found + (r.found or 0)
+            if every >= AUDIT_LINKS:
+                break
+        part, many = part + many, 2 * many
+    return 1.0 if not every else found / every
 
 
 def op5_near_vectors(spark, sf_dir: str) -> DataFrame:

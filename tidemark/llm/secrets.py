@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -116,14 +118,13 @@ def find_spans(chunk: Chunk) -> list[tuple[int, str, int, int]]:
                 if len(m[1]) >= 6 if kind == "assign" else m.end() - m.start() >= 20:
                     found.append((k, kind, m.start(), m.end()))
     found += [(text_of(a), "hex", a, b) for a, b in _runs(chunk.data, _HEX, border, 24)]
-    covered: dict[int, list[tuple[int, int]]] = {}
-    for k, _, a, b in found:
-        covered.setdefault(k, []).append((a, b))
+    base = sorted((a, b) for _, _, a, b in found)
+    begins, reach = [a for a, _ in base], list(itertools.accumulate((b for _, b in base), max))
     for a, b in _runs(chunk.data, _CANDIDATE, border, WINDOW):
         for x, y in entropy_spans(data[a:b]):
-            k = text_of(a)
-            if not any(c <= a + x and a + y <= d for c, d in covered.get(k, ())):
-                found.append((k, "entropy", a + x, a + y))
+            before = bisect.bisect_right(begins, a + x)  # of the spans that begin no later, whether one reaches as far
+            if not before or reach[before - 1] < a + y:
+                found.append((text_of(a), "entropy", a + x, a + y))
     return found
 
 
@@ -131,9 +132,12 @@ def _spans_of_batch(column: pa.Array) -> dict[int, list[tuple[int, int, str, int
     """For each row with any: (first code point, order of kind, kind, code point after the last, ...)."""
     out: dict[int, list] = {}
     for chunk in text_chunks(column):
-        for k, kind, a, b in find_spans(chunk):
+        found = find_spans(chunk)
+        points = np.cumsum((chunk.data & 0xC0) != 0x80) if found else None  # code points up to each byte, it included
+        upto = lambda at, points=points: int(points[at - 1]) if at else 0
+        for k, kind, a, b in found:
             begin = int(chunk.offsets[k])
-            start = int(np.count_nonzero((chunk.data[begin:a] & 0xC0) != 0x80))
+            start = upto(a) - upto(begin)
             out.setdefault(chunk.first + k, []).append((start, KINDS.index(kind), kind, start + b - a, a - begin))
     for spans in out.values():
         spans.sort()

@@ -38,7 +38,9 @@ def encoding(ranks: str = RANKS, pattern: str = PATTERN):
 
 #: Blanks in a row from which they are encoded apart from the text around them.
 LONG_BLANK = 10_000
-_BLANKS = re.compile(r"\s{%d,}" % LONG_BLANK)
+#: What the splitting pattern takes as blank: Unicode's white space. Python's own class has \x1c to \x1f too.
+BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_BLANKS = re.compile(BLANK + "{%d,}" % LONG_BLANK)
 
 
 def encode(enc, value: str, pattern: str = PATTERN) -> list[int]:

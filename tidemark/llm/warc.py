@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .frames import as_row, from_row
 from .store import shared_dir, stash
 
 DATE = "2024-01-01T00:00:00Z"
@@ -25,6 +26,10 @@ FILE_BYTES = 64 << 20  # a file is closed by the first record that brings it the
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _GZIP = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_NEXT_VERSION = re.compile(rb"\nWARC/1\.[0-9]+\r\n")
+
+
+DEDUP = ("payload", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def dedup(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
@@ -32,26 +37,23 @@ def dedup(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> Data
 
     Payloads are equal if their SHA-256 is. Smallest ids are summed up per digest before anything is shuffled; only digests that
     repeat go into the join, one row each, so a payload that a third of all pages share is a large group on one side alone, which
-    adaptive execution splits. All rows of the smallest id, repeated ones too, are responses, as are rows without id.
+    adaptive execution splits. All rows of the smallest id, repeated ones too, are responses, as are rows without id. Columns that clash with these names are replaced, any other name may occur.
     """
-    rows = (
-        pages.withColumn("payload", F.coalesce(F.col(f"`{html}`"), F.lit("")))
-        .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-        .withColumn("payload_digest", F.sha2(F.col("payload").cast("binary"), 256))
-    )
+    payload = F.coalesce(F.col(f"`{html}`"), F.lit(""))
+    rows = pages.select(as_row(pages, DEDUP), F.col(f"`{id_col}`").alias("_id"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload.cast("binary"), 256).alias("payload_digest"))
     firsts = (
         rows.filter(F.col("payload_bytes") >= LEAST_REVISIT)
         .groupBy("payload_digest")
-        .agg(F.min(f"`{id_col}`").alias("_first"), F.max(f"`{id_col}`").alias("_last"))
+        .agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
         .filter(F.col("_first") < F.col("_last"))
         .select(F.col("payload_digest").alias("_digest"), "_first")
     )
-    again = F.coalesce(F.col(f"`{id_col}`") > F.col("_first"), F.lit(False))
+    again = F.coalesce(F.col("_id") > F.col("_first"), F.lit(False))
     return (
         rows.join(firsts, F.col("payload_digest") == F.col("_digest"), "left")
         .withColumn("record_type", F.when(again, "revisit").otherwise("response"))
         .withColumn("refers_to", F.when(again, F.col("_first")))
-        .drop("_digest", "_first")
+        .select(*from_row(pages, DEDUP), *DEDUP)
     )
 
 
@@ -127,7 +129,9 @@ def _parse(data: bytes, at: int) -> tuple[Record, int] | str:
     """The record at `at` and where the next begins, or which check fails."""
     if not _VERSION.match(data, at):
         return "no version line"
-    head = data.find(b"\r\n\r\n", at)
+    # A version line has no colon, so a header that holds another one is none: looking no further than that, runs of version lines take linear time.
+    other = _NEXT_VERSION.search(data, at + 1)
+    head = data.find(b"\r\n\r\n", at, other.start() + 1 if other else len(data))
     if head < 0:
         return "header without end"
     fields = {}
