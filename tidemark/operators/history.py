@@ -165,9 +165,12 @@ def add_history(df: DataFrame, features: tuple[Feature, ...] = FEATURES, leaky:
 def recompute(df: DataFrame, sample: DataFrame, features: tuple[Feature, ...]) -> DataFrame:
     """The same features of a few sampled rows by a range self-join, an independent path: (id, feature, value).
 
-    Only the history of sampled entities is joined.
+    Only the history of sampled entities is joined; a row without the entity has no value.
     """
-    out = []
+    out, sampled = [], df.join(sample.select("id"), "id", "left_semi")
+    for entity in dict.fromkeys(f.entity for f in features):
+        names = F.explode(F.array(*[F.lit(f.name) for f in features if f.entity == entity]))
+        out.append(sampled.filter(F.col(entity).isNull()).select("id", names.alias("feature"), F.lit(None).cast("double").alias("value")))
     for f in features:
         q = df.join(sample.select("id"), "id", "left_semi").filter(F.col(f.entity).isNotNull()).select("id", F.col("t").alias("qt"), F.col("amount").alias("qa"), F.col(f.entity).alias("k"), F.col(f.column).alias("qv"))
         h = df.select(F.col(f.entity).alias("k"), "t", F.col(f.column).alias("v")).join(q.select("k").distinct(), "k", "left_semi")

@@ -29,36 +29,51 @@ def _files(df: DataFrame, path: str) -> None:
 
 
 _TOPICS = """
-SELECT 'transactions' AS topic, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM txn UNION ALL SELECT 'labels', count(*), CAST(sum(id) AS BIGINT) FROM txn WHERE label = 1
-UNION ALL SELECT 'decisions', count(*), CAST(sum(id) AS BIGINT) FROM txn WHERE amount >= 80"""
+SELECT topic, id % 3 AS partition, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids, max(id // 3) AS last_offset, max(t) AS last_second FROM (
+  SELECT 'transactions' AS topic, id, t FROM txn UNION ALL SELECT 'labels', id, t FROM txn WHERE label = 1 UNION ALL SELECT 'decisions', id, t FROM txn WHERE amount >= 80)
+GROUP BY ALL"""
 
 
 def _topics(df: DataFrame, path: str) -> None:
-    """Messages of three topics, one folder each."""
-    df.select(F.to_json(F.struct("id", "t", "card", "device")).alias("value")).repartition(3).write.mode("append").text(f"{path}/transactions")
-    df.filter("label = 1").select(F.to_json(F.struct("id", "label")).alias("value")).write.mode("append").text(f"{path}/labels")
-    df.filter("amount >= 80").select(F.to_json(F.struct("id", F.lit("review").alias("action"))).alias("value")).write.mode("append").text(f"{path}/decisions")
+    """Messages of three topics of three partitions, as dumped from a broker: offsets go by id, times are the transactions'."""
+    topics = {"transactions": (F.lit(True), F.struct("id", "t", "card", "device")), "labels": (F.col("label") == 1, F.struct("id", "label")), "decisions": (F.col("amount") >= 80, F.struct("id", F.lit("review").alias("action")))}
+    for topic, (on, value) in topics.items():
+        message = F.struct(
+            F.col("id").cast("string").alias("key"), F.to_json(value).alias("value"), F.lit(topic).alias("topic"), (F.col("id") % 3).cast("int").alias("partition"), F.floor(F.col("id") / 3).alias("offset"),
+            F.timestamp_seconds(F.col("t") + lake.ANCHOR).alias("timestamp"),
+        )
+        df.filter(on).select(F.to_json(message).alias("value")).repartition(3).write.mode("append").text(f"{path}/{topic}")
+
+
+def _landed(df: DataFrame) -> DataFrame:
+    """What has come of each topic's partition."""
+    second = F.unix_seconds("timestamp") - lake.ANCHOR
+    return df.groupBy("topic", "partition").agg(F.count("*").alias("rows"), F.sum(F.col("key").cast("long")).alias("ids"), F.max("offset").alias("last_offset"), F.max(second).alias("last_second"), F.count_distinct("offset").alias("messages"))
 
 
 @query("str_1_landing", sql(_TOPICS, "txn"))
 def land(spark, sf_dir):
-    """Three topics of messages landed as they are, in one run."""
+    """Three topics of messages landed as they are, with partition, offset and time, in one run."""
     src, out, ck = _folder(spark), _folder(spark), _folder(spark)
     _topics(lake.txn(spark, sf_dir), src)
     landing.land(landing.text_source(spark, src), out, ck).awaitTermination()
-    return spark.read.parquet(out).groupBy("topic").agg(F.count("*").alias("rows"), F.sum(F.col("key").cast("long")).alias("ids"))
+    return _landed(spark.read.parquet(out)).drop("messages")
 
 
-@query("snk_2_exactly_once_sink", sql("SELECT topic, rows, rows AS messages, ids FROM (" + _TOPICS + ")", "txn"))
+@query("snk_2_exactly_once_sink", sql("SELECT *, rows AS messages FROM (" + _TOPICS + ")", "txn"))
 def exactly_once(spark, sf_dir):
-    """Three runs on one checkpoint, with half of the messages there at first, all at the second, and nothing new at the third: each message lands once."""
+    """Three runs on one checkpoint: half of the messages, run to the end; the rest, by a trigger that fires every second and is stopped when all has come; and nothing new. Each message lands once."""
     src, out, ck = _folder(spark), _folder(spark), _folder(spark)
     df = lake.txn(spark, sf_dir)
-    for part in (df.filter("id % 2 = 0"), df.filter("id % 2 <> 0"), None):
+    for part, every in ((df.filter("id % 2 = 0"), None), (df.filter("id % 2 <> 0"), "1 second"), (None, None)):
         if part is not None:
             _topics(part, src)
-        landing.land(landing.text_source(spark, src), out, ck).awaitTermination()
-    return spark.read.parquet(out).groupBy("topic").agg(F.count("*").alias("rows"), F.count_distinct("key").alias("messages"), F.sum(F.col("key").cast("long")).alias("ids"))
+        q = landing.land(landing.text_source(spark, src), out, ck, every)
+        if every:
+            q.processAllAvailable()
+            q.stop()
+        q.awaitTermination()
+    return _landed(spark.read.parquet(out))
 
 
 def _stream_of(spark, messages: DataFrame, wanted=features.CARD, state: DataFrame | None = None) -> tuple[DataFrame, str]:

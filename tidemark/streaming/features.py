@@ -240,9 +240,11 @@ class EntityFeatures(StatefulProcessor):
 class DayBudget(StatefulProcessor):
     """Per day: rows that ask for a review wait, and get one in order of time while the day's budget lasts; the next day has its own.
 
-    Other rows are keyed by (day, slot) with a slot of 1 or more, wait for nothing and pass, so they share neither a key nor state with those that ask.
+    Rows that ask have a slot of 0 or less. Other rows are keyed by (day, slot) with a slot of 1 or more, wait for nothing and pass, so they share neither a key nor state with those that ask.
     """
 
+    within = "review"
+
     def __init__(self, capacity: int, decline_at: int) -> None:
         self.capacity, self.decline_at = capacity, decline_at
 
@@ -257,7 +259,7 @@ class DayBudget(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         for pdf in rows:
             new = [(int(r.id), int(r.t), int(r.points), int(r.t) * 1000) for r in pdf.itertuples(index=False)]
-            if int(key[1]) == 0:
+            if int(key[1]) <= 0:
                 self.waiting.add(new)
             else:
                 yield self._rows(key, [(id_, t, points, "decline" if points >= self.decline_at else "approve", ms) for id_, t, points, ms in new])
@@ -269,7 +271,7 @@ class DayBudget(StatefulProcessor):
         given, out = int(self.given.get()[0]) if self.given.exists() else 0, []
         for id_, t, points, ms in sorted(due, key=lambda r: (r[1], r[0])):
             given += 1
-            out.append((id_, t, points, "review" if given <= self.capacity else "approve", ms))
+            out.append((id_, t, points, self.within if given <= self.capacity else "approve", ms))
         self.given.update((given,))
         yield self._rows(key, out)
 
@@ -277,6 +279,12 @@ class DayBudget(StatefulProcessor):
         pass
 
 
+class SlotBudget(DayBudget):
+    """One slot of a day: a review that the day can give goes to one of the first `capacity` that ask in their slot, so only those ask on, and the rest pass. State holds a slot's rows, not a day's."""
+
+    within = "ask"
+
+
 def messages(txn: DataFrame, delay: int) -> DataFrame:
     """Transactions (kind 0) and their labels, released `delay` later (kind 1), and a row of each kind behind the end of time that lets all others out."""
     nothing = F.lit(None).cast("string")
@@ -332,10 +340,12 @@ def held_state(spark, checkpoint: str, name: str) -> DataFrame:
 
 
 def day_decisions(rows: DataFrame, capacity: int, review_at: int, decline_at: int) -> DataFrame:
-    """A stream of (id, t, day, points, ts) to a stream of DECISION rows."""
+    """A stream of (id, t, day, points, ts) to a stream of DECISION rows, in two stages: slots of a day, of which each asks on for no more than the day's capacity, then the day. So no key sees all rows of a day that ask."""
+    part = F.pmod(F.xxhash64("id"), F.lit(SPREAD)).cast("int")
+    run = lambda df, stage: df.groupBy("day", "slot").transformWithStateInPandas(statefulProcessor=stage(capacity, decline_at), outputStructType=DECISION, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
     asks = (F.col("points") >= review_at) & (F.col("points") < decline_at)
-    keyed = rows.withColumn("slot", F.when(asks, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(SPREAD)).cast("int") + 1))
-    return keyed.groupBy("day", "slot").transformWithStateInPandas(statefulProcessor=DayBudget(capacity, decline_at), outputStructType=DECISION, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
+    slots = run(rows.withColumn("slot", F.when(asks, -part).otherwise(part + 1)), SlotBudget)
+    return run(slots.withColumn("slot", F.when(F.col("action") == "ask", 0).otherwise(part + 1)).drop("action"), DayBudget)
 
 
 def run_to_end(*runs: tuple[DataFrame, str, str]) -> None:

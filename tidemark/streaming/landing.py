@@ -6,20 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+#: What is known of a message, whatever it comes from.
+MESSAGE = "key string, value string, topic string, partition int, offset long, timestamp timestamp"
+COLUMNS = tuple(c.split()[0] for c in MESSAGE.split(", "))
+
 
 def file_source(spark: SparkSession, path: str, schema: str, files_a_batch: int = 4) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).json(path)
 
 
-def kafka_source(spark: SparkSession, servers: str, topics: str) -> DataFrame:
-    """The same for a broker; needs the connector's jar."""
-    return spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topics).option("startingOffsets", "earliest").load()
+def broker_options(servers: str, topics: tuple[str, ...], rows_a_batch: int | None = None) -> dict[str, str]:
+    """The reader's options for a broker: all topics from their beginning, and an error where messages are gone."""
+    out = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": "earliest", "failOnDataLoss": "true"}
+    return out | ({"maxOffsetsPerTrigger": str(rows_a_batch)} if rows_a_batch else {})
+
+
+def kafka_source(spark: SparkSession, servers: str, topics: tuple[str, ...], rows_a_batch: int | None = None) -> DataFrame:
+    """MESSAGE rows from a broker; needs the connector's jar."""
+    return as_messages(spark.readStream.format("kafka").options(**broker_options(servers, topics, rows_a_batch)).load())
+
+
+def as_messages(raw: DataFrame) -> DataFrame:
+    """MESSAGE columns of a reader's rows, whose key and value may be bytes."""
+    kinds = dict(c.split() for c in MESSAGE.split(", "))
+    return raw.select(*[F.col(c).cast(kinds[c]).alias(c) for c in COLUMNS])
 
 
 def text_source(spark: SparkSession, path: str) -> DataFrame:
-    """Messages as lines of text files, one folder per topic."""
+    """MESSAGE rows from files of JSON lines that a broker's topics were dumped to, below one folder."""
     lines = spark.readStream.format("text").option("recursiveFileLookup", True).option("maxFilesPerTrigger", 4).load(path)
-    return lines.select(F.get_json_object("value", "$.id").alias("key"), "value", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("topic"), F.col("_metadata.file_name").alias("part"))
+    return lines.select(F.from_json("value", MESSAGE).alias("m")).select("m.*")
 
 
 def land(messages: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
