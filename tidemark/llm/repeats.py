@@ -269,6 +269,22 @@ def _told(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
 HEAD = np.dtype([("key", "<u8"), ("least", "<i8"), ("most", "<i8"), ("number", "<u4"), ("size", "<u4")])
 
 
+SENT = "shard long, page long, n long, heads binary, size long, data binary"
+
+
+def _packed(head: np.ndarray) -> bytes:
+    """Heads field by field, compressed: ids that repeat and numbers that rise take little room so."""
+    return pa.compress(b"".join(np.ascontiguousarray(head[f]).tobytes() for f in HEAD.names), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    raw, head, at = pa.decompress(data, HEAD.itemsize * n, codec="zstd", asbytes=True), np.empty(n, HEAD), 0
+    for f in HEAD.names:
+        head[f] = np.frombuffer(raw, HEAD[f], n, at)
+        at += HEAD[f].itemsize * n
+    return head
+
+
 def _to_shards(shards: int, length: int):
     """Each page's different segments, packed by the shard of their anchor: heads and bytes."""
 
@@ -287,9 +303,10 @@ def _to_shards(shards: int, length: int):
                 for shard, at in runs:
                     n = head["size"][at].astype(np.int64)
                     step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                    rows.append((shard, head[at].tobytes(), page.data[np.repeat(start[at], n) + step].tobytes()))
-                number = batch.column(0)[k].as_py()
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([number] * len(rows), pa.int64()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))], names=["shard", "page", "heads", "data"])
+                    text = page.data[np.repeat(start[at], n) + step].tobytes()
+                    rows.append((shard, batch.column(0)[k].as_py(), len(n), _packed(head[at]), len(text), pa.compress(text, codec="zstd", asbytes=True)))
+                names, kinds = zip(*(c.split() for c in SENT.split(", ")), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64() if t == "long" else pa.binary()) for j, t in enumerate(kinds)], names=list(names))
 
     return run
 
@@ -302,10 +319,10 @@ def _sorted_shard(length: int, limit: int):
     """
 
     def run(table: pa.Table) -> pa.Table:
-        heads = [np.frombuffer(h, HEAD) for h in table["heads"].to_pylist()]
+        heads = [_unpacked(h, n) for h, n in zip(table["heads"].to_pylist(), table["n"].to_pylist(), strict=True)]
         place = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
         head, pages = np.concatenate(heads), table["page"].to_pylist()
-        data = np.frombuffer(b"".join(x.as_buffer() for x in table["data"]), np.uint8)
+        data = np.frombuffer(b"".join(pa.decompress(x.as_buffer(), n, codec="zstd", asbytes=True) for x, n in zip(table["data"], table["size"].to_pylist(), strict=True)), np.uint8)
         del table, heads
         size = head["size"].astype(np.int64)
         start = np.cumsum(size) - size
@@ -426,7 +443,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         told = stash(marks.groupBy("bucket").applyInArrow(_shared(hot), "page long, shared binary, hot binary, n long"), "told")
         shards = 1 + int(told.agg(F.sum("n")).first()[0] or 0) * (length * 4 // 3) // SHARD_BYTES
         each = told.groupBy("page").agg(F.collect_list("shared").alias("shared"), F.collect_list("hot").alias("hot")).hint("shuffle_hash")
-        sent = texts.join(each, "page").select("page", "ids", "texts", "shared", "hot").mapInArrow(_to_shards(shards, length), "shard long, page long, heads binary, data binary")
+        sent = texts.join(each, "page").select("page", "ids", "texts", "shared", "hot").mapInArrow(_to_shards(shards, length), SENT)
         found = stash(sent.groupBy("shard").applyInArrow(_sorted_shard(length, queue_bytes), "page long, numbers binary, owners binary, masks binary"), "gone")
         gone = found.groupBy("page").agg(*[F.collect_list(c).alias(c) for c in ("numbers", "owners", "masks")]).hint("shuffle_hash")
         out = T.StructType([T.StructField("row", row_type), *[T.StructField(c, T.LongType()) for c in NEW[:3]], T.StructField("kept_sha256", T.StringType()), *([T.StructField("kept", T.BinaryType())] if kept_bytes else [])])
