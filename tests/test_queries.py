@@ -60,6 +60,7 @@ def test_tuning_returns_the_cheapest(spark, sf):
 
 def test_calibration_choice(spark, sf):
     rows = QUERIES["met_7_choose_calibration"](spark, sf).collect()
+    assert all((r.test_brier is not None) == r.chosen for r in rows)  # the chosen one is fitted anew on all rows
     assert len(rows) == 3 and sum(r.chosen for r in rows) == 1 and min(rows, key=lambda r: r.brier).brier == next(r.brier for r in rows if r.chosen)
 
 
@@ -111,7 +112,7 @@ def test_sensitivity_takes_the_cheapest_of_sixty(spark, sf):
 
 def test_experiments_have_a_verdict(spark, sf):
     rows = {r.variant: r for r in QUERIES["ml_7_experiments"](spark, sf).collect()}
-    assert set(rows) == {"baseline", "no category", "recent days", "weighted", "block list"}
+    assert set(rows) == {"baseline", "no category", "recent days", "weighted", "readable", "trees", "block list"}
     for r in rows.values():
         assert r.low <= r.high and r.saving == pytest.approx(rows["baseline"].cost - r.cost, abs=0.05)
         assert r.adopted == (r.saving > 0 and r.low > 0)
@@ -130,3 +131,42 @@ def test_input_drift_of_empty_and_constant_fields(spark):
     assert got["c"].drifted and got["c"].missing_shift == 0.5 and got["c"].drifted_share == 0.5
     nothing = metrics.input_drift(frame([]), frame([]), ("n",), ("c",)).collect()
     assert [r.drifted for r in nothing] == []
+
+
+def test_rolling_comparison_has_a_best_setting(spark, sf):
+    rows = QUERIES["ml_6_rolling_comparison"](spark, sf).collect()
+    for library in ("linear", "boosted"):
+        own = [r for r in rows if r.library == library]
+        mean = {s: np.mean([r.pr_auc for r in own if r.setting == s]) for s in {r.setting for r in own}}
+        (best,) = {r.setting for r in own if r.best}
+        assert len(own) == 4 and mean[best] == max(mean.values())
+    for fold in {r.fold for r in rows}:
+        base, other = (next(r for r in rows if r.fold == fold and r.best and r.library == x) for x in ("linear", "boosted"))
+        assert base.pr_auc_gap == base.cost_gap == 0 and abs(other.cost_gap - (other.total_cost - base.total_cost)) < 1e-4
+        assert [r.total_cost for r in rows if r.fold == fold and r.cheapest] == [min(r.total_cost for r in rows if r.fold == fold)]
+
+
+def test_broker_options():
+    from tidemark.streaming import landing
+
+    got = landing.broker_options("host:9092", ("a", "b"), 500)
+    assert got == {"kafka.bootstrap.servers": "host:9092", "subscribe": "a,b", "startingOffsets": "earliest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "500"}
+    assert "maxOffsetsPerTrigger" not in landing.broker_options("host:9092", ("a",))
+
+
+def test_messages_of_a_broker(spark):
+    """Rows as a broker's reader has them, whose key and value are bytes, become messages."""
+    from tidemark.streaming import landing
+
+    raw = spark.createDataFrame([(bytearray(b"7"), bytearray(b"{}"), "a", 2, 5, 0)], "key binary, value binary, topic string, partition int, offset long, timestampType int").selectExpr("*", "timestamp_seconds(9) AS timestamp")
+    df = landing.as_messages(raw)
+    assert df.columns == list(landing.COLUMNS) and [(r.key, r.value, r.topic, r.partition, r.offset) for r in df.collect()] == [("7", "{}", "a", 2, 5)]
+
+
+def test_slots_of_a_day_leave_the_first_that_ask(spark, sf, monkeypatch):
+    """Any number of slots gives the day's first askers their reviews."""
+    from tidemark.streaming import features
+
+    want = {r.id: r.action for r in QUERIES["str_9_daily_budget"](spark, sf).collect()}
+    monkeypatch.setattr(features, "SPREAD", 1)
+    assert {r.id: r.action for r in QUERIES["str_9_daily_budget"](spark, sf).collect()} == want
