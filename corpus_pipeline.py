@@ -62,6 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on `documents`, each written to the shared folder and read again.
+
+    Defined cases: `documents` has the columns COLUMNS, and others are left out; null, empty and white texts are scored like any other, have no near copy, passage or secret, and size 0 in the mix, which takes none of them; of rows
+    with the same id the smallest stays, rows without id all do; texts that tie in a group of near copies go by the smallest id; labels or benchmark without rows fit a constant score and find nothing; an empty table gives an empty result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
