@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import centroids, induced, repeats, search
@@ -116,6 +117,21 @@ def test_repeats_against_plain_python(spark, monkeypatch, hot, length):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got), key=str) == plain_repeats(rows, length)
 
 
+def test_only_windows_met_again_are_sorted(monkeypatch):
+    rng, sorted_, length = np.random.default_rng(5), [], 50
+    monkeypatch.setattr(repeats, "equal_windows", lambda t, *a: sorted_.append(len(t)) or induced.equal_windows(t, *a))
+    common, other = (rng.integers(0, 256, 60, np.uint8).tobytes() for _ in range(2))
+    texts = [rng.integers(0, 256, 53, np.uint8).tobytes() + x for x in (common, other, common, b"")] + [other[:55] + b"x" * 58]
+    head = np.zeros(len(texts), repeats.HEAD)
+    head["key"], head["least"], head["most"], head["number"], head["size"] = 1, range(5), range(5), range(5), [len(x) for x in texts]
+    sent = [(0, 7, len(head), repeats._packed(head), sum(head["size"]), pa.compress(b"".join(texts), codec="zstd", asbytes=True))]
+    names, kinds = zip(*(c.split() for c in repeats.SENT.split(", ")), strict=True)
+    (got,) = repeats._sorted_shard(length, 1 << 20)(pa.table([pa.array([r[j] for r in sent], pa.int64() if k == "long" else pa.binary()) for j, k in enumerate(kinds)], names=list(names))).to_pylist()
+    masks = dict(zip(np.frombuffer(got["numbers"], np.uint32).tolist(), np.frombuffer(got["masks"], np.uint64).tolist(), strict=True))
+    assert masks == {2: sum(1 << k for k in range(53, 64)), 4: sum(1 << k for k in range(6))}
+    assert sorted_ == [2 * (60 + 1) + 2 * (55 + 1) + (58 + 1) + 1] and sum(head["size"]) == 505
+
+
 def test_no_repeats(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove_repeats(df).count() == 0

@@ -311,11 +311,27 @@ def _to_shards(shards: int, length: int):
     return run
 
 
+def _met_again(data: np.ndarray, start: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of the segments whose hash is met again: segment, first window, number of windows. Equal windows have equal hashes, so none of the others has an equal one."""
+    many = size - length + 1
+    segment = np.repeat(np.arange(len(size)), many)
+    window = np.arange(len(segment)) - np.repeat(np.cumsum(many) - many, many)
+    wide = 1 << (length.bit_length() - 1)  # two grams that overlap are a window
+    at, grams = start[segment] + window, _gram_hashes(data, wide) if len(segment) else np.zeros(0, np.uint64)
+    h = grams[at] * np.uint64(_STEP) + grams[at + length - wide]
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    again = np.zeros(len(h), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    first = again & ((window == 0) | ~np.append(False, again[:-1])[: len(again)])
+    return segment[first], window[first], np.bincount(np.cumsum(first)[again])[1:]
+
+
 def _sorted_shard(length: int, limit: int):
     """One shard: for each page's segments the smallest id that has the segment, and which of its windows start in a document with a smaller id still.
 
-    Equal segments are one. An anchor with one segment left has no window elsewhere. The others' bytes are one text, a separator behind each segment, whose
-    suffixes are sorted by induction; those with a common prefix of `length` are one window.
+    Equal segments are one. An anchor with one segment left has no window elsewhere, and neither has a window whose hash is met once. The others' bytes are one text, a separator
+    behind each run of windows, whose suffixes are sorted by induction; those with a common prefix of `length` are one window.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -331,26 +347,31 @@ def _sorted_shard(length: int, limit: int):
         _, of, many = np.unique(head["key"][first], return_inverse=True, return_counts=True)
         open_ = np.flatnonzero(many[of.reshape(-1)] > 1)
         mask = np.zeros(len(first), np.uint64)
-        if len(open_):
-            a, n = start[first[open_]], size[first[open_]]
+        n = size[first[open_]]
+        own = np.cumsum(n) - n
+        body = data[np.repeat(start[first[open_]] - own, n) + np.arange(int(n.sum()))]
+        segment, window, runs_of = _met_again(body, own, n, length)
+        if len(segment):
+            n = runs_of + length - 1
             end = np.cumsum(n + 1)
             begin = end - n - 1
             text = np.ones(int(end[-1]) + 1, np.int16)
             step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            text[np.repeat(begin, n) + step] = data[np.repeat(a, n) + step].astype(np.int16) + 2
+            text[np.repeat(begin, n) + step] = body[np.repeat(own[segment] + window, n) + step].astype(np.int16) + 2
             text[-1] = 0
             suffix, group = equal_windows(text, length, limit)
             line = np.argsort(group, kind="stable")
             suffix, group = suffix[line], group[line]
-            segment = np.searchsorted(begin, suffix, side="right") - 1
-            inside = suffix + length < end[segment]  # the others hold a separator
-            suffix, group, segment = suffix[inside], group[inside], segment[inside]
-            ids = owner[open_[segment]]
+            run_of = np.searchsorted(begin, suffix, side="right") - 1
+            inside = suffix + length < end[run_of]  # the others hold a separator
+            suffix, group, run_of = suffix[inside], group[inside], run_of[inside]
+            ids = owner[open_[segment[run_of]]]
             at = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
             if len(at):
                 least = np.repeat(np.minimum.reduceat(ids, at), np.diff(np.append(at, len(group))))
                 gone = np.flatnonzero(least < ids)
-                np.bitwise_or.at(mask, open_[segment[gone]], np.uint64(1) << (suffix[gone] - begin[segment[gone]]).astype(np.uint64))
+                of_gone = run_of[gone]
+                np.bitwise_or.at(mask, open_[segment[of_gone]], np.uint64(1) << (window[of_gone] + suffix[gone] - begin[of_gone]).astype(np.uint64))
         mask, owner = mask[number], owner[number]
         tell = np.flatnonzero((mask > 0) | (head["most"] > owner))
         order, runs = _runs(place[tell])
@@ -417,7 +438,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     2. Each window of `length` bytes has an anchor, the least hash of its grams; runs of windows with one anchor are segments. Distinct anchors of a page
        meet in buckets, which tell pages those that other documents have too. No window of another anchor can occur elsewhere.
     3. Different segments of shared anchors go to the anchor's shard, so equal windows meet in one. Anchors with more than `hot` segments are dealt out by whole windows.
-    4. A shard is suffix-sorted by induction: queues carry suffixes and common prefixes, and go to disk beyond `queue_bytes`. Suffixes that share `length` bytes are one window, and its
+    4. Windows whose hash a shard meets once are unique. The rest of the shard is suffix-sorted by induction: queues carry suffixes and common prefixes, and go to disk beyond `queue_bytes`. Suffixes that share `length` bytes are one window, and its
        smallest id decides.
     5. Pages are told which segments or windows go, and drop their bytes.
 
