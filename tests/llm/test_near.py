@@ -1,12 +1,16 @@
 """Near duplicates of texts and vectors against all pairs."""
 
 import random
+import re
+from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import graph, jaccard, neighbors
+from tidemark.llm import graph, jaccard, neighbors, store
 
 WORDS = [f"w{k}" for k in range(4000)]
 
@@ -184,3 +188,40 @@ def test_repeated_vector_ids(spark):
     rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (2, [0.0, 1.0], 0), (3, [1.0, 0.01], 0)]
     found, _ = neighbors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
     assert sorted((r.id, r.n_links, r.component_id) for r in found.collect()) == [(1, 2, 1)] * 3 + [(2, 1, 1)] * 2 + [(3, 1, 1)]
+
+
+def held():
+    return sum(map(int, re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+
+def test_memory_goes_back_at_the_end_of_a_partition():
+    def part(batches):
+        for batch in batches:
+            pieces = [np.ones(12_000) for _ in range(800)]
+            rest.append(pieces[-1])  # lies above all others
+            del pieces
+            yield batch
+        before.append(held())
+
+    rest, before = [], []
+    assert list(store.frugal(part)(iter([1, 2]))) == [1, 2]
+    assert before[0] - held() > 40
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark, monkeypatch):
+    docs = spark.range(90).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w"), F.col("id"), F.lit(" ")), 50_000).alias("text")).coalesce(1)
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    def cut(df, before=jaccard.cut):
+        if not seen:
+            seen.append(docs.select("text").mapInArrow(sizes, "n long").agg(F.max("n")).first()[0])
+        return before(df)
+
+    monkeypatch.setattr(jaccard, "cut", cut)
+    usual = spark.conf.get(key)
+    assert jaccard.near_components(docs).count() == 90
+    assert seen[0] < 6 << 20 and spark.conf.get(key) == usual

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import others
+from .store import frugal
 from .text import ALNUM, LOWER, Chunk, Words, text_chunks, words
 
 WINDOW = 10
@@ -214,7 +215,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
                     n_hit[row] = int(np.unpackbits(np.frombuffer(m, np.uint8)).sum()) if m else 0
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(masks, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(n_words), pa.array(n_hit)], names=schema.names)
 
-        rows = rows.select(*[f"`{c}`" for c in [*kept, mask, "items"]]).mapInArrow(scan, schema)
+        rows = rows.select(*[f"`{c}`" for c in [*kept, mask, "items"]]).mapInArrow(frugal(scan), schema)
     items = F.array_sort(F.array_distinct("items"))
     return rows.withColumn("items", items).select(
         *[f"`{c}`" for c in kept], "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components, extended
-from .store import cut
+from .store import cut, frugal, frugal_group, small_batches
 from .text import mix, shingle_sets, text_chunks
 
 WORDS = 5
@@ -29,6 +29,8 @@ FREQUENT = 64
 BLOCK_ENTRIES = 1_000_000
 #: N-grams of the sets on one side of a cell, about 4 MB of hashes; the longer side of a group has four times as many.
 CELL_GRAMS = 500_000
+#: Bytes of text that become sets at once, which takes some 40 times as much.
+CHUNK = 1 << 18
 #: Bits of the maps that are broadcast, whatever the input: 2 MB.
 MAP_BITS = 24
 SEGMENT_BITS = 15
@@ -40,7 +42,7 @@ def _prefix(n: np.ndarray | int):
 
 
 def _sets(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    for chunk in text_chunks(batch.column(at)):
+    for chunk in text_chunks(batch.column(at), CHUNK):
         yield chunk.first, shingle_sets(chunk, WORDS)
 
 
@@ -260,7 +262,7 @@ def _with_texts(ends: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame
     """`ends` (node, ...) with the name of each node's set and its packed text, fetched once for all the rows of a node."""
     own = nodes.join(ends.select("node").distinct().hint("merge"), "node", "left_semi").select("node", "key", "name")
     wanted = _bitmap(own.select("key").mapInArrow(_places, "segment long, bit long"))
-    texts = rows.filter("text IS NOT NULL").select("key", "text").mapInArrow(_wanted_texts(wanted), "key long, packed binary").groupBy("key").agg(F.first("packed").alias("packed"))
+    texts = rows.filter("text IS NOT NULL").select("key", "text").mapInArrow(frugal(_wanted_texts(wanted)), "key long, packed binary").groupBy("key").agg(F.first("packed").alias("packed"))
     return ends.join(own.join(texts.hint("merge"), "key").select("node", "name", "packed").hint("merge"), "node")
 
 
@@ -394,7 +396,7 @@ def _by_cells(ends: DataFrame, cell: list[str], rows: DataFrame, nodes: DataFram
     sent = _with_texts(ends, rows, nodes).select(name, *keep, "name", "packed")
     if more is not None:
         sent = sent.unionByName(more.select(name, *[c for c in more.columns if c not in cell]), allowMissingColumns=True)
-    return cut(sent.groupBy(F.pmod(F.col("cell"), F.lit(tasks)).alias("task")).applyInArrow(link, "a long, b long"))
+    return cut(sent.groupBy(F.pmod(F.col("cell"), F.lit(tasks)).alias("task")).applyInArrow(frugal_group(link), "a long, b long"))
 
 
 def _links_of_pairs(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -472,38 +474,24 @@ def _links_in_long_columns(star: DataFrame, long: DataFrame, comp: DataFrame, ro
     sides = in_cells(listed.filter("component <> top"), listed, ["grp"], "u")
     tasks = int(1 + (sides.agg(F.sum("u")).first()[0] or 0) // (2 * CELL_GRAMS))
     dealt = sides.select(F.xxhash64("grp", "l", "r").alias("cell"), "grp", "node", "component", "side", F.col("n").cast("long"), "grams")
-    possible = dealt.groupBy(F.pmod(F.col("cell"), F.lit(tasks)).alias("task")).applyInArrow(_possible, "grp long, node long, is_left boolean").groupBy("grp", "node").agg(F.max("is_left").alias("is_left"))
+    possible = dealt.groupBy(F.pmod(F.col("cell"), F.lit(tasks)).alias("task")).applyInArrow(frugal_group(_possible), "grp long, node long, is_left boolean").groupBy("grp", "node").agg(F.max("is_left").alias("is_left"))
     left = cut(open_.join(possible.hint("merge"), ["grp", "node"]).withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / PERCENT)))).select("grp", "class", "node", "n", "component", "is_left"))
     near = left.filter("is_left").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
     sides = cut(in_cells(near.drop("is_left"), left.drop("is_left"), ["grp", "class"], "n"))
     return _by_cells(sides.drop("n"), ["grp", "class", "l", "r"], rows, nodes, sides.agg(F.sum("n")), _linked_sides)
 
 
-def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id, n_shingles, component_id) of every row of `docs`.
-
-    1. Of every order of n-grams that all documents keep, linked documents share one among their first 20 %. Only those entries of the
-       matrix are made, packed, and shuffled by blocks of columns. N-grams that many documents would put first are put last by all, by a map
-       of fixed size, so columns are short unless documents consist of such n-grams.
-    2. A block multiplies its columns: light columns give overlap counts of pairs near in size, summed up over blocks, and pairs
-       below the bound of their sizes go. A long column (large groups of near copies) gives one pair per document, with the column's most typical one.
-    3. Whole sets decide the pairs that are left. Their texts, which are a fraction of the sets, meet in cells of bounded size and become sets again
-       there. Links are contracted to components.
-    4. Documents of long columns that are still apart are compared cell by cell, by their entries and then by whole sets. So no pair of different
-       texts is passed over, and no group gives all its pairs.
-
-    Defined cases: null, empty and white texts have an empty set, link with nothing and are their own component; repeated rows are one row of the matrix; rows without id
-    count as members, but never as a component's smallest id; an empty table gives an empty result.
-    """
+def _contracted(docs: DataFrame, text: str, id_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What `near_components` puts together, each written: rows with the names of their sets, the sets, and components of those that are linked."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("key", F.xxhash64("text", "id"))
-    signed = cut(rows.select("id", "key", "text").mapInArrow(_names, "id long, key long, n long, name binary"))
+    signed = cut(rows.select("id", "key", "text").mapInArrow(frugal(_names), "id long, key long, n long, name binary"))
     classes = signed.filter("n > 0").groupBy("name", "n").agg(F.min("id").alias("rep"), F.min("key").alias("key"))
     nodes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
     total = nodes.agg(F.sum(F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)).first()[0] or 0
     blocks = int(16 + total // BLOCK_ENTRIES)
-    frequent = _bitmap(rows.select("text").mapInArrow(_first_grams(blocks), "block long, grams binary, counts binary").groupBy("block").applyInArrow(_frequent, "segment long, bit long"))
-    entries = rows.select("text").mapInArrow(_entries(blocks, frequent), "block long, grams binary, names binary, sizes binary, runs binary")
-    part = cut(entries.groupBy("block").applyInArrow(_product, "kind int, a binary, b binary, gram long, c long, na long, nb long"))
+    frequent = _bitmap(rows.select("text").mapInArrow(frugal(_first_grams(blocks)), "block long, grams binary, counts binary").groupBy("block").applyInArrow(frugal_group(_frequent), "segment long, bit long"))
+    entries = rows.select("text").mapInArrow(frugal(_entries(blocks, frequent)), "block long, grams binary, names binary, sizes binary, runs binary")
+    part = cut(entries.groupBy("block").applyInArrow(frugal_group(_product), "kind int, a binary, b binary, gram long, c long, na long, nb long"))
     long = cut(part.filter("kind = 1").select(F.col("a").alias("name"), "gram", F.col("na").alias("n")).join(nodes.select("name", "node").hint("merge"), "name").select("node", "gram", "n"))
     uncounted = long.groupBy("node").agg(F.count("*").alias("u"))
     named = nodes.select("name", "node").join(uncounted.hint("merge"), "node", "left").select("name", "node", F.coalesce("u", F.lit(0)).alias("u"))
@@ -517,6 +505,27 @@ def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     pairs = cut(ordered.groupBy("a", "b").agg(F.max("c").alias("c")))
     comp = components(_links_of_pairs(pairs, rows, nodes))
     comp = extended(comp, _links_in_long_columns(star, long, comp, rows, nodes))
+    return signed, nodes, comp
+
+
+def near_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(id, n_shingles, component_id) of every row of `docs`.
+
+    1. Of every order of n-grams that all documents keep, linked documents share one among their first 20 %. Only those entries of the
+       matrix are made, packed, and shuffled by blocks of columns. N-grams that many documents would put first are put last by all, by a map
+       of fixed size, so columns are short unless documents consist of such n-grams.
+    2. A block multiplies its columns: light columns give overlap counts of pairs near in size, summed up over blocks, and pairs
+       below the bound of their sizes go. A long column (large groups of near copies) gives one pair per document, with the column's most typical one.
+    3. Whole sets decide the pairs that are left. Their texts, which are a fraction of the sets, meet in cells of bounded size and become sets again
+       there. Links are contracted to components.
+    4. Documents of long columns that are still apart are compared cell by cell, by their entries and then by whole sets. So no pair of different
+       texts is passed over, and no group gives all its pairs.
+
+    Defined cases: null, empty and white texts have an empty set, link with nothing and are their own component; repeated rows are one row of the matrix; rows without id
+    count as members, but never as a component's smallest id; an empty table gives an empty result.
+    """
+    with small_batches(docs.sparkSession):
+        signed, nodes, comp = _contracted(docs, text, id_col)
     placed = nodes.select("name", "node", "rep").join(comp.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_name = placed.join(least.hint("merge"), "component").select("name", "component_id")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import others
+from .store import frugal
 from .text import ALNUM, SPACED, Chunk, mix, text_chunks, words
 
 WORD_BITS = 16
@@ -201,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
                     "values": [f.value[x:y].tobytes() for x, y in zip(b[:-1], b[1:], strict=True)],
                 })
 
-    got = sample.mapInArrow(gather, "label int, places binary, values binary").collect()
+    got = sample.mapInArrow(frugal(gather), "label int, places binary, values binary").collect()
     got.sort(key=lambda r: (bytes(r.places), bytes(r["values"]), r.label))
     sizes = [len(r.places) // 4 for r in got]
     joined = Features(np.frombuffer(b"".join(bytes(r.places) for r in got), np.int32), np.frombuffer(b"".join(bytes(r["values"]) for r in got), np.float32), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
@@ -224,7 +225,7 @@ def score_quality(docs: DataFrame, machine: Machine, text: str = "text") -> Data
             out = [sigmoid(raw_scores(shared.value, features(chunk)).astype(np.float64)) for chunk in text_chunks(batch.column(kept.index(text)))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))], names=schema.names)
 
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(frugal(score), schema)
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .frames import others
+from .store import frugal
 from .text import Chunk, text_chunks
 
 KINDS = ("assign", "access", "hex", "entropy")
@@ -184,7 +185,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", redact: str | None = None)
                 columns[kept.index(text)] = pa.array(texts, column.type)
             yield pa.RecordBatch.from_arrays([*columns, *[pa.array(counts[k]) for k in KINDS[:3]], pa.array(digest, pa.string()), pa.array(joined, pa.string())], names=schema.names)
 
-    return rows.mapInArrow(scan, schema)
+    return rows.mapInArrow(frugal(scan), schema)
 
 
 def _replaced(text: str, spans: list[tuple[int, int]], mark: str) -> str:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,12 +40,49 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def one_row_batches(spark: SparkSession) -> Iterator[None]:
-    """While rows are blocks of some MB, a task gets them one at a time, so that what it holds doesn't grow with its partition. What runs inside has to be written there."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key)
-    spark.conf.set(key, "1")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def one_row_batches(spark: SparkSession):
+    """While rows are blocks of some MB, a task gets them one at a time, so that what it holds doesn't grow with its partition. What runs inside has to be written there."""
+    return _set(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+
+def small_batches(spark: SparkSession, size: int = 4 << 20):
+    """While rows are whole texts, a task gets about `size` bytes of them at a time, however long they are. What runs inside has to be written there."""
+    return _set(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, where its C library can; else a worker, which outlives its tasks, holds what its largest step took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def frugal(f: Callable) -> Callable:
+    """A function for mapInArrow that gives memory back when its partition ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        give_back()
+
+    return run
+
+
+def frugal_group(f: Callable) -> Callable:
+    """A function for applyInArrow that gives memory back after each group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = f(table)
+        give_back()
+        return out
+
+    return run
