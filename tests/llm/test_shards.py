@@ -7,9 +7,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tidemark.llm import centroids, induced, repeats, search
+from tidemark.llm.store import one_row_batches
 
 
 def vectors():
@@ -183,3 +185,12 @@ def test_search_of_nothing(spark):
     assert search.search(search.build_index(docs), items).count() == 0
     assert search.search(search.build_index(docs), spark.createDataFrame([(1, "a")], items.schema)).count() == 0
     assert search.search(search.build_index(spark.createDataFrame([(1, "a")], docs.schema)), items).count() == 0
+
+
+def test_blocks_of_the_index_are_row_groups_of_their_own(spark):
+    """So neither the writer nor the reader of a large partition holds many blocks at once."""
+    docs = spark.createDataFrame([(k, f"word{k} other words") for k in range(300)], "doc_id long, text string").coalesce(1)
+    with one_row_batches(spark):  # a batch of texts is a block at least
+        (file,) = search.build_index(docs).inputFiles()
+    meta = pq.read_metadata(file.removeprefix("file:"))
+    assert meta.num_rows == meta.num_row_groups == 300

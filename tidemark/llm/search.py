@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import one_row_batches, stash
+from .store import frugal, one_row_batches, small_batches, stash
 from .text import ALNUM, text_chunks, words
 
 #: Bytes of text of one block of the index.
@@ -64,7 +64,8 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The inverted index of all terms of all documents, in blocks of about 4 MB of text: sorted terms (64-bit hashes), and for each its documents and frequencies."""
-    return stash(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(_index, INDEX), "index")
+    with small_batches(docs.sparkSession):
+        return stash(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(frugal(_index), INDEX), "index", group_rows=1)
 
 
 class Queries(NamedTuple):
@@ -335,19 +336,19 @@ def _pass(index: DataFrame, rows: list[tuple], kind: T.DataType, id_col: str, to
     if not total or not len(queries.terms):
         return []
     df = np.zeros(len(queries.terms), np.int64)
-    for r in index.select("terms", "first").mapInArrow(_frequencies(queries.terms), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
+    for r in index.select("terms", "first").mapInArrow(frugal(_frequencies(queries.terms)), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
         df[r.term] = r.df
     plan = _plan(queries, df, total, length)
     shared = spark.sparkContext.broadcast(plan)
-    lists = stash(index.select("ids", "lengths", "terms", "first", "docs", "tf").mapInArrow(_lists(shared), LISTS), "lists")
-    steps = lists.mapInArrow(_best_of_units(shared), "item long, unit long, step long, n long").groupBy("item", "unit", "step").agg(F.sum("n").alias("n"))
+    lists = stash(index.select("ids", "lengths", "terms", "first", "docs", "tf").mapInArrow(frugal(_lists(shared)), LISTS), "lists", group_rows=1)
+    steps = lists.mapInArrow(frugal(_best_of_units(shared)), "item long, unit long, step long, n long").groupBy("item", "unit", "step").agg(F.sum("n").alias("n"))
     down = Window.partitionBy("item", "unit").orderBy(F.desc("step"))
     reached = steps.withColumn("upto", F.sum("n").over(down)).filter(F.col("upto") >= TOP).groupBy("item").agg(F.max("step").alias("step"))
     least = [0] * len(rows)
     for r in reached.collect():
         least[r.item] = math.floor(2 ** (r.step / STEPS) * (1 - 1e-9))
     more = spark.sparkContext.broadcast((plan, least))
-    found = lists.mapInArrow(_search(more), "item long, doc_id long, score long")
+    found = lists.mapInArrow(frugal(_search(more)), "item long, doc_id long, score long")
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     names = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(rows)], T.StructType([T.StructField("item", T.LongType()), T.StructField("name", kind)]))
     ranked = found.withColumn("rank", rank).filter(F.col("rank") <= TOP).join(F.broadcast(names), "item")

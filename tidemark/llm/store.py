@@ -32,10 +32,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """The same rows as a Parquet table in the shared folder, with sizes that the optimizer can see."""
+def stash(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder, with sizes that the optimizer can see.
+
+    Where rows are blocks of some MB, `group_rows` is how many of them a row group holds: Parquet's writer looks at its size only every hundred rows, and its reader decodes a row group
+    at once, so by default a task would hold a hundred blocks.
+    """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("parquet.block.row.count.limit", group_rows) if group_rows else df.write).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
