@@ -6,6 +6,7 @@ from dataclasses import replace
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import history, metrics, policy, tables
 from tidemark.plans import catalog
@@ -170,3 +171,14 @@ def test_slots_of_a_day_leave_the_first_that_ask(spark, sf, monkeypatch):
     want = {r.id: r.action for r in QUERIES["str_9_daily_budget"](spark, sf).collect()}
     monkeypatch.setattr(features, "SPREAD", 1)
     assert {r.id: r.action for r in QUERIES["str_9_daily_budget"](spark, sf).collect()} == want
+
+
+@pytest.mark.parametrize("heavy", [2, 40])
+def test_heavy_entities_have_the_same_features(spark, sf, monkeypatch, heavy):
+    """Entities cut into buckets of time, on top of earlier totals, or not: the same features, also of missing entities and of rows whose ids repeat."""
+    df = lake.gappy(spark, sf).limit(400).withColumn("email", F.when(F.col("id") % 5 > 0, F.col("email")))
+    key = lambda rows: sorted((tuple(plain(v) for v in r) for r in rows), key=str)
+    want = key(history.add_history(df, leaky=False).select("t", "card", "device", *[f.name for f in history.FEATURES]).collect())
+    monkeypatch.setattr(history, "HEAVY", heavy)
+    got = history.add_history(df.withColumn("id", F.lit(1))).select("t", "card", "device", *[f.name for f in history.FEATURES]).collect()
+    assert key(got) == want and len(want) == 400
