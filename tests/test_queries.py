@@ -182,3 +182,15 @@ def test_heavy_entities_have_the_same_features(spark, sf, monkeypatch, heavy):
     monkeypatch.setattr(history, "HEAVY", heavy)
     got = history.add_history(df.withColumn("id", F.lit(1))).select("t", "card", "device", *[f.name for f in history.FEATURES]).collect()
     assert key(got) == want and len(want) == 400
+
+
+def test_warm_state_of_a_key_may_come_in_pieces(spark, sf, con):
+    """A key's state from the table counts in whole, however many rows of it a task gets at a time."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = QUERIES["str_8_state_warm_up"](spark, sf).select("id", "email_txn_7d", "device_cards_7d").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = con.execute(f"SELECT id, email_txn_7d, device_cards_7d FROM ({SQL['str_8_state_warm_up']})").fetchall()
+    assert sorted(tuple(r) for r in got) == sorted(want)

@@ -1,364 +1,209 @@
-"""The streaming twin of the history features, and decisions with a daily review budget, as keyed state.
+"""The streaming twin of the history features, and decisions with a daily review budget, as tables of state that each batch takes on.
 
-Rows wait in state until the watermark has passed them and are then taken in order of time, transactions before labels of the same second, so
-the order in which files or topics were read doesn't matter. Rows of one second are all computed before any is folded in. Later
-rows than the watermark allows don't come in; `split_late` goes before the keyed stage and keeps them in a table of their own.
+A batch takes the rows that are there, and of all that have come those that the clock has passed, in order of time, transactions before labels of the same second; the others wait. So the order in
+which files or topics were read doesn't matter. The features of the rows taken are the batch plan's sweep over them and over what the state holds: rows that a window still
+reaches, totals of all rows, first seconds of values. So a key of any size is spread over tasks as in a batch. Later rows than the clock allows don't come in;
+`split_late` goes before and keeps them in a table of their own.
 """
 
 from __future__ import annotations
 
-import math
-from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
-from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.history import DAY, Feature
+from ..operators.history import DAY, LONG_AGO, Feature, add_history
 from ..operators.history import FEATURES as ALL
 
 EVENT = "id long, card string, t long, kind int, amount double, device string, email string, label int, ts timestamp"
 #: What rules and the linear score take, with the positives known.
 CARD = tuple(f for f in ALL if f.name in ("card_txn_1h", "card_txn_24h", "card_amt_24h", "card_new_device", "card_known_chargebacks"))
-STATE = "kind string, name string, value string, t long, n long, m long, cents long, mean double, spread double"
-DECISION = "id long, t long, day long, points int, action string, ts timestamp"
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-EPOCH_MS = 1704067200000
-SPREAD = 64  # keys a day for rows that don't ask for a review
-
-_TYPES = {"count": "long", "sum": "double", "distinct": "long", "since_prev": "long", "zscore": "double", "ratio": "double", "is_new": "int", "known": "long", "known_all": "long", "known_rate": "double"}
-_PANDAS = {"long": "Int64", "double": "Float64", "int": "Int32"}
-
-
-def _text(x: Any) -> str | None:
-    return x if isinstance(x, str) else None
-
-
-class Waiting:
-    """Rows of a key that wait for the watermark, with one timer a key, at the earliest of them.
-
-    When it fires, all rows that the watermark has passed are taken at once, and the timer moves to the earliest of the rest. So a key costs one reading of its
-    waiting rows for each batch in which some are due, however many seconds they are of.
-    """
-
-    def __init__(self, handle: StatefulProcessorHandle, schema: str) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("waiting", schema)
-        self.at = handle.getValueState("timer", "ms long")
-
-    def add(self, rows: list[tuple]) -> None:
-        if rows:
-            self.rows.appendList(rows)
-            self._wake(min(r[-1] for r in rows))
-
-    def _wake(self, ms: int) -> None:
-        if not self.at.exists() or ms < int(self.at.get()[0]):
-            self.at.update((ms,))
-            self.handle.registerTimer(ms + EPOCH_MS)
-
-    def due(self, upto_ms: int) -> list[tuple]:
-        rows = list(self.rows.get()) if self.rows.exists() else []
-        later = [r for r in rows if r[-1] > upto_ms]
-        self.at.clear()
-        if later:
-            if len(later) < len(rows):
-                self.rows.put(later)
-            self._wake(min(r[-1] for r in later))
-        else:
-            self.rows.clear()
-        return [r for r in rows if r[-1] <= upto_ms]
-
-
-class History:
-    """What an entity did so far, read from state when its rows are due, advanced second by second and written back.
-
-    recent: (second, cents) within the longest window, with a moving start for each window; totals: all rows, and moments of amounts by Welford's update;
-    first: when a value was first seen; seen: when a value was last seen, oldest first, within a window. So a second costs what enters and leaves in it.
-    """
-
-    def __init__(self, p: EntityFeatures) -> None:
-        self.p = p
-        self.known, self.labelled = map(int, p.known.get()) if p.known.exists() else (0, 0)
-        self.rows, self.n, self.cents, self.mean, self.spread, self.last = p.totals.get() if p.totals.exists() else (0, 0, 0, 0.0, 0.0, None)
-        self.recent = [(int(a), int(b)) for a, b in p.recent.get()] if p.recent.exists() else []
-        self.start = dict.fromkeys(p.windows, 0)
-        self.sums = dict.fromkeys(p.windows, sum(x[1] for x in self.recent))
-        self.seen = {name: OrderedDict(sorted(((k[0], int(v[0])) for k, v in s.iterator()), key=lambda x: x[1])) for name, s in p.seen.items()}
-        self.before = {name: dict(s) for name, s in self.seen.items()}
-        self.firsts: dict[tuple[str, str], int | None] = {}
-        self.added: dict[tuple[str, str], int] = {}
-
-    def move_to(self, t: int) -> None:
-        for w in self.start:
-            while self.start[w] < len(self.recent) and self.recent[self.start[w]][0] < t - w:
-                self.sums[w] -= self.recent[self.start[w]][1]
-                self.start[w] += 1
-        for f in self.p.distinct:
-            s = self.seen[f.name]
-            while s and next(iter(s.values())) < t - f.window:
-                s.popitem(last=False)
-
-    def first(self, column: str, value: str) -> int | None:
-        key = (column, value)
-        if key not in self.firsts:
-            at = self.p.first[column].getValue((value,)) if self.p.first[column].containsKey((value,)) else None
-            self.firsts[key] = None if at is None else int(at[0])
-        return self.firsts[key]
-
-    def value(self, f: Feature, t: int, amount: float | None, values: dict[str, str | None]) -> Any:
-        if f.kind == "count":
-            return self.rows if f.window is None else len(self.recent) - self.start[f.window]
-        if f.kind == "sum":
-            return (self.cents if f.window is None else self.sums[f.window]) / 100
-        if f.kind == "distinct":
-            return len(self.seen[f.name])
-        if f.kind == "since_prev":
-            return None if self.last is None else t - self.last
-        if f.kind == "zscore":
-            deviation = math.sqrt(self.spread / (self.n - 1)) if self.n >= 2 and self.spread > 0 else 0.0
-            return (amount - self.mean) / deviation if amount is not None and deviation > 1e-9 else None
-        if f.kind == "ratio":
-            return amount / (self.cents / 100 / self.n) if amount is not None and self.n and self.cents > 0 else None
-        if f.kind == "is_new":
-            v = values[f.column]
-            return None if v is None else int(self.first(f.column, v) is None)
-        return {"known": self.known, "known_all": self.labelled, "known_rate": self.known / self.labelled if self.labelled else None}[f.kind]
-
-    def take(self, t: int, amount: float | None, values: dict[str, str | None]) -> None:
-        cents = 0 if amount is None else round(amount * 100)
-        self.rows, self.cents, self.last = self.rows + 1, self.cents + cents, t
-        if amount is not None:
-            self.n += 1
-            off = amount - self.mean
-            self.mean += off / self.n
-            self.spread += off * (amount - self.mean)
-        if self.p.windows:
-            self.recent.append((t, cents))
-            for w in self.sums:
-                self.sums[w] += cents
-        for f in self.p.distinct:
-            if values[f.column] is not None:
-                self.seen[f.name][values[f.column]] = t
-                self.seen[f.name].move_to_end(values[f.column])
-        for column in self.p.first:
-            v = values[column]
-            if v is not None and self.first(column, v) is None:
-                self.firsts[column, v] = self.added[column, v] = t
-
-    def write(self) -> None:
-        p = self.p
-        p.known.update((self.known, self.labelled))
-        if self.rows:
-            p.totals.update((self.rows, self.n, self.cents, self.mean, self.spread, self.last))
-        kept = self.recent[min(self.start.values(), default=0) :]
-        if kept:
-            p.recent.put(kept)
-        else:
-            p.recent.clear()
-        for (column, v), t in self.added.items():
-            p.first[column].updateValue((v,), (t,))
-        for name, s in self.seen.items():
-            for v in self.before[name].keys() - s.keys():
-                p.seen[name].removeKey((v,))
-            for v, t in s.items():
-                if self.before[name].get(v) != t:
-                    p.seen[name].updateValue((v,), (t,))
-
-
-class EntityFeatures(StatefulProcessor):
-    """Per entity: waiting rows and its `History`. What no window reaches any more is dropped as time goes on."""
-
-    def __init__(self, features: tuple[Feature, ...]) -> None:
-        self.features = features
-        self.windows = sorted({f.window for f in features if f.kind in ("count", "sum") and f.window is not None})
-        self.distinct = [f for f in features if f.kind == "distinct"]
-        self.columns = list(dict.fromkeys(f.column for f in features if f.kind == "is_new"))
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = Waiting(handle, "id long, t long, kind int, amount double, label int, card string, device string, email string, ms long")
-        self.recent = handle.getListState("recent", "t long, cents long")
-        self.known = handle.getValueState("known", "n long, labelled long")
-        self.totals = handle.getValueState("totals", "rows long, n long, cents long, mean double, spread double, last long")
-        self.first = {c: handle.getMapState(f"first_{c}", "value string", "t long") for c in self.columns}
-        self.seen = {f.name: handle.getMapState(f"seen_{f.name}", "value string", "t long") for f in self.distinct}
-
-    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
-        """Rows of `entity_state`: what the state would be had the table's rows come through the stream."""
-        rows = list(initialState.itertuples(index=False))
-        recent = sorted((int(r.t), int(r.cents)) for r in rows if r.kind == "recent")
-        if recent:
-            self.recent.put(recent)
-        for r in rows:
-            if r.kind == "known":
-                self.known.update((int(r.n), int(r.m)))
-            elif r.kind == "totals":
-                self.totals.update((int(r.n), int(r.m), int(r.cents), float(r.mean), float(r.spread), int(r.t)))
-            elif r.kind in ("first", "seen"):
-                getattr(self, r.kind)[r.name].updateValue((r.value,), (int(r.t),))
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            self.waiting.add([
-                (int(r.id), int(r.t), int(r.kind), None if pd.isna(r.amount) else float(r.amount), 0 if pd.isna(r.label) else int(r.label), _text(r.card), _text(r.device), _text(r.email), int(r.t) * 1000)
-                for r in pdf.itertuples(index=False)
-            ])
-        return iter(())
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        due = self.waiting.due(timerValues.getCurrentWatermarkInMs() - EPOCH_MS)
-        if not due:
-            return
-        due.sort(key=lambda r: (r[1], r[2], r[0]))
-        h, out, at = History(self), [], 0
-        while at < len(due):
-            t, upto = due[at][1], at
-            while upto < len(due) and due[upto][1] == t:
-                upto += 1
-            same, at = due[at:upto], upto
-            pays = [(r, {"card": r[5], "device": r[6], "email": r[7]}) for r in same if r[2] == 0]
-            if pays:
-                h.move_to(t)
-            for r, values in pays:
-                out.append((r[0], key[0], t, r[3], r[4], *[h.value(f, t, r[3], values) for f in self.features], pd.Timestamp(r[-1] + EPOCH_MS, unit="ms")))
-            for r, values in pays:
-                h.take(t, r[3], values)
-            labels = [r[4] for r in same if r[2] == 1]
-            h.known, h.labelled = h.known + sum(labels), h.labelled + len(labels)
-        h.write()
-        if out:
-            names = ["id", "entity", "t", "amount", "label", *[f.name for f in self.features], "ts"]
-            yield pd.DataFrame(out, columns=names).astype({"amount": "Float64", **{f.name: _PANDAS[_TYPES[f.kind]] for f in self.features}})
-
-    def close(self) -> None:
-        pass
-
-
-class DayBudget(StatefulProcessor):
-    """Per day: rows that ask for a review wait, and get one in order of time while the day's budget lasts; the next day has its own.
-
-    Rows that ask have a slot of 0 or less. Other rows are keyed by (day, slot) with a slot of 1 or more, wait for nothing and pass, so they share neither a key nor state with those that ask.
-    """
-
-    within = "review"
-
-    def __init__(self, capacity: int, decline_at: int) -> None:
-        self.capacity, self.decline_at = capacity, decline_at
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = Waiting(handle, "id long, t long, points int, ms long")
-        self.given = handle.getValueState("given", "n long")
-
-    def _rows(self, key: Any, rows: list[tuple]) -> pd.DataFrame:
-        out = [(id_, t, int(key[0]), points, action, pd.Timestamp(ms + EPOCH_MS, unit="ms")) for id_, t, points, action, ms in rows]
-        return pd.DataFrame(out, columns=[c.split()[0] for c in DECISION.split(", ")]).astype({"points": "int32"})
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            new = [(int(r.id), int(r.t), int(r.points), int(r.t) * 1000) for r in pdf.itertuples(index=False)]
-            if int(key[1]) <= 0:
-                self.waiting.add(new)
-            else:
-                yield self._rows(key, [(id_, t, points, "decline" if points >= self.decline_at else "approve", ms) for id_, t, points, ms in new])
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        due = self.waiting.due(timerValues.getCurrentWatermarkInMs() - EPOCH_MS)
-        if not due:
-            return
-        given, out = int(self.given.get()[0]) if self.given.exists() else 0, []
-        for id_, t, points, ms in sorted(due, key=lambda r: (r[1], r[0])):
-            given += 1
-            out.append((id_, t, points, self.within if given <= self.capacity else "approve", ms))
-        self.given.update((given,))
-        yield self._rows(key, out)
-
-    def close(self) -> None:
-        pass
-
-
-class SlotBudget(DayBudget):
-    """One slot of a day: a review that the day can give goes to one of the first `capacity` that ask in their slot, so only those ask on, and the rest pass. State holds a slot's rows, not a day's."""
-
-    within = "ask"
+MONEY = "decimal(18,2)"
+#: What the state knows of a row, and of all rows of an entity.
+ROW = "id long, t long, amount decimal(18,2), card string, device string, email string, label int"
+TOTALS = "kind string, entity string, rows long, n long, sum decimal(38,4), square decimal(38,4), last long, positive long, labelled long"
+FIRST = "kind string, column string, entity string, value string, t long"
+WAITING = "id long, card string, t long, kind int, amount double, device string, email string, label int"
+SCHEMAS = {"rows": ROW, "totals": TOTALS, "first": FIRST, "waiting": WAITING, "due": WAITING, "new": f"topic int, {WAITING}", "clock": "topic int, newest long", "given": "day long, n long"}
+EPOCH = 1704067200
+SPREAD = 64  # parts of a day's rows that ask for a review
+
+
+def _columns(schema: str) -> dict[str, str]:
+    return dict(c.split(" ") for c in schema.split(", "))
+
+
+@dataclass(frozen=True)
+class Taken:
+    """The state as a sweep needs it: totals by kind and entity, first values, and labels that come out now."""
+
+    totals: DataFrame
+    first: DataFrame
+    labels: DataFrame
+
+    def firsts(self, f: Feature) -> DataFrame:
+        return self.first.filter((F.col("kind") == f.entity) & (F.col("column") == f.column)).select("entity", "value")
+
+    def steps(self, entity: str, places: dict[tuple[str, int], int]) -> DataFrame:
+        past = self.totals.filter(F.col("kind") == entity).select(
+            F.col("entity").alias(entity), F.lit(-1).alias("_c"), F.lit(LONG_AGO).cast("long").alias("_at"), F.lit(False).alias("_ask"),
+            *[F.col(c).alias(f"_past_{c}") for c in _columns(TOTALS) if c not in ("kind", "entity")],
+        )
+        for (why, _), n in places.items():
+            if why == "delay":
+                past = past.unionByName(self.labels.filter(F.col(entity).isNotNull()).select(entity, F.lit(n).alias("_c"), F.col("t").alias("_at"), F.lit(False).alias("_ask"), "label"), allowMissingColumns=True)
+        return past
+
+
+@dataclass(frozen=True)
+class Keeper:
+    """Tables of state in a folder, a folder of it for each batch, which takes that of the batch before. A batch that is tried again writes its own anew."""
+
+    spark: SparkSession
+    at: str
+    features: tuple[Feature, ...]
+
+    @property
+    def entities(self) -> list[str]:
+        return list(dict.fromkeys(f.entity for f in self.features))
+
+    def reach(self, entity: str) -> int:
+        """The longest window of an entity."""
+        return max((f.window for f in self.features if f.entity == entity and f.window is not None), default=0)
+
+    def read(self, name: str, batch: int) -> DataFrame:
+        """A table as of a batch, empty before the first."""
+        schema = SCHEMAS[name]
+        path, files = self._path(f"{batch}/{name}")
+        return self.spark.read.schema(schema).parquet(path.toString()) if files.exists(path) else self.spark.createDataFrame([], schema)
+
+    def write(self, df: DataFrame, name: str, batch: int) -> DataFrame:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.at}/{batch}/{name}")
+        return self.read(name, batch)
+
+    def newest(self) -> int:
+        """The last batch of which there is state."""
+        at, files = self._path("")
+        return max(int(s.getPath().getName()) for s in files.listStatus(at))
+
+    def forget(self, batch: int) -> None:
+        """What no batch reads any more."""
+        path, files = self._path(str(batch))
+        files.delete(path, True)
+
+    def _path(self, below: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{below}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def totals_of(self, pays: DataFrame, labels: DataFrame) -> DataFrame:
+        """What rows and labels add to the totals."""
+        x, some = F.col("amount").cast("decimal(18,4)"), F.col("amount").isNotNull()
+        own = {"rows": F.count("*"), "n": F.count_if(some), "sum": F.coalesce(F.sum(x), F.lit(0)), "square": F.coalesce(F.sum((x * x).cast("decimal(38,4)")), F.lit(0)), "last": F.max("t")}
+        out_ = {"positive": F.coalesce(F.sum("label"), F.lit(0)), "labelled": F.count("*")}
+        kinds = _columns(TOTALS)
+        shaped = lambda df, e, have: df.filter(F.col(e).isNotNull()).groupBy(F.col(e).alias("entity")).agg(*[c.alias(k) for k, c in have.items()]).select(
+            *[(F.lit(e) if c == "kind" else F.col(c) if c == "entity" or c in have else F.lit(None if c == "last" else 0)).cast(t).alias(c) for c, t in kinds.items()])
+        return reduce(DataFrame.unionByName, [shaped(df, e, have) for e in self.entities for df, have in ((pays, own), (labels, out_))])
+
+    def firsts_of(self, pays: DataFrame) -> DataFrame:
+        each = [f for f in self.features if f.kind == "is_new"]
+        out = self.spark.createDataFrame([], FIRST)
+        for f in each:
+            both = pays.filter(F.col(f.entity).isNotNull() & F.col(f.column).isNotNull())
+            out = out.unionByName(both.groupBy(F.col(f.entity).alias("entity"), F.col(f.column).alias("value")).agg(F.min("t").alias("t")).select(F.lit(f.entity).alias("kind"), F.lit(f.column).alias("column"), "entity", "value", "t"))
+        return out
+
+    def still_reached(self, rows: DataFrame, totals: DataFrame) -> DataFrame:
+        """Rows that a window can still reach: not further back than it is long from the last row of any of their entities."""
+        kept, out = F.lit(False), rows
+        for e in self.entities:
+            last = totals.filter(F.col("kind") == e).groupBy("entity").agg(F.max("last").alias(f"_last_{e}")).withColumnRenamed("entity", f"_key_{e}")
+            out = out.join(last, F.col(e) == F.col(f"_key_{e}"), "left")
+            kept = kept | F.coalesce(F.col("t") >= F.col(f"_last_{e}") - self.reach(e), F.lit(False))
+        return out.filter(kept).select(*rows.columns)
+
+    def start(self, txn: DataFrame, upto: int, delay: int) -> None:
+        """The state as of second `upto` from the table, for a stream that takes over from there: what it would be had the table's rows come through the stream."""
+        past = txn.filter(F.col("t") < upto).select(*[F.col(c).cast(t).alias(c) for c, t in _columns(ROW).items()])
+        totals = self.write(self.summed(self.totals_of(past, past.filter(F.col("t") + delay < upto))), "totals", -1)
+        self.write(self.firsts_of(past), "first", -1)
+        self.write(self.still_reached(past, totals), "rows", -1)
+
+    def summed(self, totals: DataFrame) -> DataFrame:
+        kinds = _columns(TOTALS)
+        return totals.groupBy("kind", "entity").agg(*[(F.max(c) if c == "last" else F.sum(c)).cast(t).alias(c) for c, t in kinds.items() if c not in ("kind", "entity")])
+
+    def take(self, new: DataFrame, clock: int | None, number: int) -> DataFrame:
+        """Features of the rows that the clock has passed, and the state after them."""
+        before = number - 1
+        passed = F.lit(False) if clock is None else F.col("t") <= clock
+        there = self.read("waiting", before).unionByName(new.select(*_columns(WAITING)))
+        self.write(there.filter(~passed), "waiting", number)
+        due = self.write(there.filter(passed), "due", number)
+        money = due.withColumn("amount", F.col("amount").cast(MONEY))
+        pays, labels = money.filter("kind = 0").select(*_columns(ROW)), money.filter("kind = 1")
+        old, totals, first = (self.read(x, before) for x in ("rows", "totals", "first"))
+        rows = old.withColumn("_ask", F.lit(False)).unionByName(pays.withColumn("_ask", F.lit(True)))
+        out = add_history(rows, self.features, state=Taken(totals, first, labels)).filter("_ask").drop("_ask")
+        after = self.write(self.summed(totals.unionByName(self.totals_of(pays, labels))), "totals", number)
+        kinds = first.unionByName(self.firsts_of(pays)).groupBy("kind", "column", "entity", "value").agg(F.min("t").alias("t"))
+        self.write(kinds, "first", number)
+        self.write(self.still_reached(old.unionByName(pays), after), "rows", number)
+        return out
 
 
 def messages(txn: DataFrame, delay: int) -> DataFrame:
-    """Transactions (kind 0) and their labels, released `delay` later (kind 1), and a row of each kind behind the end of time that lets all others out."""
+    """Transactions (kind 0) and their labels, released `delay` later (kind 1), and a row behind the end of time that lets all others out."""
     nothing = F.lit(None).cast("string")
-    pays = txn.select("id", "card", "t", F.lit(0).alias("kind"), F.col("amount").cast("double").alias("amount"), "device", "email", "label")
-    labels = txn.select("id", "card", (F.col("t") + delay).alias("t"), F.lit(1).alias("kind"), F.lit(0.0).alias("amount"), nothing.alias("device"), nothing.alias("email"), "label")
+    pay = F.struct(F.lit(0).alias("kind"), F.col("t"), F.col("amount").cast("double").alias("amount"), F.col("device"), F.col("email"))
+    label = F.struct(F.lit(1).alias("kind"), (F.col("t") + delay).alias("t"), F.lit(0.0).alias("amount"), nothing.alias("device"), nothing.alias("email"))
+    both = txn.select("id", "card", F.explode(F.array(pay, label)).alias("x"), "label").select("id", "card", "x.t", "x.kind", "x.amount", "x.device", "x.email", "label")
     last = txn.agg((F.max("t") + delay + 10 * DAY).alias("t"))
     end = last.select(F.lit(-1).cast("long").alias("id"), F.lit("").alias("card"), "t", F.lit(1).alias("kind"), F.lit(0.0).alias("amount"), F.lit("").alias("device"), F.lit("").alias("email"), F.lit(0).alias("label"))
-    return pays.unionByName(labels).unionByName(end).withColumn("ts", F.timestamp_seconds(F.col("t") + EPOCH_MS // 1000))
+    return both.unionByName(end).withColumn("ts", F.timestamp_seconds(F.col("t") + EPOCH))
 
 
-def entity_state(txn: DataFrame, features: tuple[Feature, ...], upto: int, delay: int) -> DataFrame:
-    """State of each entity as of second `upto` from the table: (entity column, STATE), for a stream of the same features that takes over from there.
+def feature_stream(stream: DataFrame, path: str, state: str, checkpoint: str, features: tuple[Feature, ...] = CARD, lateness: int = 3600, topics: int = 1, then: Callable | None = None) -> Keeper:
+    """Takes all EVENT rows that are there and writes (id, t, amount, label, ..., the features) to the table `path`, a folder a batch; the state is in the folder `state`.
 
-    Amounts within the longest window, totals and moments, when each value was first and last seen, and the labels that are out.
-    """
-    entity = features[0].entity
-    p = EntityFeatures(features)
-    past = txn.filter((F.col("t") < upto) & F.col(entity).isNotNull())
-    columns = dict(c.split() for c in STATE.split(", "))
-    rows = lambda df, kind, **have: df.select(entity, *[(F.lit(kind) if c == "kind" else have.get(c, F.lit(None))).cast(t).alias(c) for c, t in columns.items()])
-    cents = F.round(F.coalesce(F.col("amount").cast("double"), F.lit(0.0)) * 100).cast("long")
-    x = F.col("amount").cast("double")
-    totals = past.groupBy(entity).agg(F.max("t").alias("_t"), F.count("*").alias("_n"), F.count("amount").alias("_m"), F.sum(cents).alias("_c"), F.coalesce(F.avg(x), F.lit(0.0)).alias("_mean"), F.coalesce(F.var_pop(x) * F.count("amount"), F.lit(0.0)).alias("_s"))
-    known = past.filter(F.col("t") + delay < upto).groupBy(entity).agg(F.coalesce(F.sum("label"), F.lit(0)).alias("_n"), F.count("*").alias("_m"))
-    out = [
-        rows(totals, "totals", t=F.col("_t"), n=F.col("_n"), m=F.col("_m"), cents=F.col("_c"), mean=F.col("_mean"), spread=F.col("_s")),
-        rows(known, "known", n=F.col("_n"), m=F.col("_m")),
-    ]
-    if p.windows:
-        out.append(rows(past.filter(F.col("t") >= upto - p.windows[-1]), "recent", t=F.col("t"), cents=cents))
-    for kind, name, column, at in [("first", c, c, F.min("t")) for c in p.columns] + [("seen", f.name, f.column, F.max("t")) for f in p.distinct]:
-        values = past.filter(F.col(column).isNotNull()).select(entity, F.col(column).alias("_v"), "t").groupBy(entity, "_v").agg(at.alias("_t"))
-        out.append(rows(values, kind, name=F.lit(name), value=F.col("_v"), t=F.col("_t")))
-    return reduce(DataFrame.unionByName, out)
-
-
-def entity_features(stream: DataFrame, features: tuple[Feature, ...] = CARD, delay: str | None = "1 hour", state: DataFrame | None = None) -> DataFrame:
-    """A stream of EVENT rows to a stream of (id, entity, t, amount, label, the features, ts); a new stream may start with the `entity_state` of a table.
-
-    All features are of one entity; rows without it don't come out. Without a delay the stream has its watermark already.
+    The clock is the newest second that has come less `lateness`; with several topics (numbered by a column `topic`), that of the slowest, and none before each has come. Rows that it had
+    passed in an earlier batch are late and don't come in. `then` gets each batch's features, the keeper and the batch's number.
     """
-    entity = features[0].entity
-    schema = "id long, entity string, t long, amount double, label int, " + "".join(f"{f.name} {_TYPES[f.kind]}, " for f in features) + "ts timestamp"
-    marked = stream if delay is None else stream.withWatermark("ts", delay)
-    return marked.filter(F.col(entity).isNotNull()).groupBy(entity).transformWithStateInPandas(
-        statefulProcessor=EntityFeatures(features), outputStructType=schema, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts", initialState=None if state is None else state.groupBy(entity),
-    )
+    keeper = Keeper(stream.sparkSession, state, features)
+
+    def take(batch: DataFrame, number: int) -> None:
+        rows = batch if "topic" in batch.columns else batch.withColumn("topic", F.lit(0))
+        rows.select("topic", *_columns(WAITING)).write.mode("overwrite").option("compression", "zstd").parquet(f"{state}/{number}/new")
+        new = keeper.read("new", number)
+        before = keeper.read("clock", number - 1)
+        seen = keeper.write(before.unionByName(new.groupBy("topic").agg(F.max("t").alias("newest"))).groupBy("topic").agg(F.max("newest").alias("newest")), "clock", number)
+        passed = lambda at: min(r.newest for r in at) - lateness if len(at) == topics else None
+        late_before = passed(before.collect())
+        keeper.take(new if late_before is None else new.filter(F.col("t") > late_before), passed(seen.collect()), number).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch={number}")
+        if then:
+            then(keeper.spark.read.parquet(f"{path}/batch={number}"), keeper, number)
+        keeper.forget(number - 2)
 
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return keeper
 
-def held_state(spark, checkpoint: str, name: str) -> DataFrame:
-    """The keyed state of the first stateful operator as its last batch left it, a row per entry."""
-    return spark.read.format("statestore").option("operatorId", 0).option("stateVarName", name).option("flattenCollectionTypes", True).load(checkpoint)
 
+def day_decisions(rows: DataFrame, keeper: Keeper, number: int, capacity: int, review_at: int, decline_at: int) -> DataFrame:
+    """(id, points, action) of a batch's rows (id, t, day, points): the first of a day that ask, by time, get a review while its budget lasts; state has what each day gave so far.
 
-def day_decisions(rows: DataFrame, capacity: int, review_at: int, decline_at: int) -> DataFrame:
-    """A stream of (id, t, day, points, ts) to a stream of DECISION rows, in two stages: slots of a day, of which each asks on for no more than the day's capacity, then the day. So no key sees all rows of a day that ask."""
-    part = F.pmod(F.xxhash64("id"), F.lit(SPREAD)).cast("int")
-    run = lambda df, stage: df.groupBy("day", "slot").transformWithStateInPandas(statefulProcessor=stage(capacity, decline_at), outputStructType=DECISION, outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
+    In two stages: parts of a day, of which each asks on for no more than the day's capacity, then the day. So no task sees all rows of a day that ask.
+    """
     asks = (F.col("points") >= review_at) & (F.col("points") < decline_at)
-    slots = run(rows.withColumn("slot", F.when(asks, -part).otherwise(part + 1)), SlotBudget)
-    return run(slots.withColumn("slot", F.when(F.col("action") == "ask", 0).otherwise(part + 1)).drop("action"), DayBudget)
-
-
-def run_to_end(*runs: tuple[DataFrame, str, str]) -> None:
-    """Takes all that is there for each (stream, path, checkpoint), side by side, with state in RocksDB on the executors, and ends."""
-    spark = runs[0][0].sparkSession
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    try:
-        started = [s.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start() for s, path, ck in runs]
-        for q in started:
-            q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    first = lambda df, *key: df.withColumn("_at", F.row_number().over(Window.partitionBy(*key).orderBy("t", "id"))).filter(F.col("_at") <= capacity)
+    given = keeper.read("given", number - 1)
+    asking = first(rows.filter(asks).select("id", "t", "day", F.pmod(F.xxhash64("id"), F.lit(SPREAD)).alias("_part")), "day", "_part")
+    room = capacity - F.coalesce(F.col("n"), F.lit(0))
+    seated = first(asking, "day").join(F.broadcast(given), "day", "left").filter(F.col("_at") <= room).select("id", "day", F.lit(True).alias("_seat"))
+    keeper.write(given.unionByName(seated.groupBy("day").agg(F.count("*").alias("n"))).groupBy("day").agg(F.sum("n").alias("n")), "given", number)
+    return rows.join(seated, ["id", "day"], "left").select("id", "points", F.when(F.col("points") >= decline_at, "decline").when(F.col("_seat"), "review").otherwise("approve").alias("action"))
 
 
 def split_late(stream: DataFrame, lateness: int, on_time: str, late: str, clock: str, checkpoint: str) -> None:

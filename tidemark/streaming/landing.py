@@ -15,6 +15,11 @@ def file_source(spark: SparkSession, path: str, schema: str, files_a_batch: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).json(path)
 
 
+def table_source(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of Parquet files; a run to the end takes all files that are there as one batch."""
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def broker_options(servers: str, topics: tuple[str, ...], rows_a_batch: int | None = None) -> dict[str, str]:
     """The reader's options for a broker: all topics from their beginning, and an error where messages are gone."""
     out = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": "earliest", "failOnDataLoss": "true"}
