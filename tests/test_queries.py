@@ -194,3 +194,21 @@ def test_warm_state_of_a_key_may_come_in_pieces(spark, sf, con):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     want = con.execute(f"SELECT id, email_txn_7d, device_cards_7d FROM ({SQL['str_8_state_warm_up']})").fetchall()
     assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_point_in_time_check_joins_each_history_once(spark, sf):
+    """One range join for all features of an entity and column, over what is summed up by second."""
+    df = lake.gappy(spark, sf)
+    plan = plan_of(history.recompute(df, history.sample_rows(df), history.FEATURES))
+    ranged = [x for x in plan.splitlines() if "Join LeftOuter" in x and " < " in x]
+    assert len(ranged) == len({(f.entity, f.column) for f in history.FEATURES if f.kind != "is_new"}) == 7
+
+
+def test_tuning_rules_multiplies_counts_only(spark, sf):
+    lines = plan_of(QUERIES["pol_9_tune_rules"](spark, sf)).splitlines()
+    crossed = [lines[k + 1] for k, x in enumerate(lines) if x.strip(" :+-").startswith(("Join Cross", "Join Inner, rightHint=(strategy=broadcast)"))]
+    assert crossed and all("Aggregate" in x for x in crossed)
