@@ -184,12 +184,19 @@ FROM (SELECT *, sum(pos) OVER w AS tp, sum(n - pos) OVER w AS fp, sum(pos) OVER
       WINDOW w AS (PARTITION BY g_amount, g_1h, g_24h, g_spend, g_new ORDER BY s DESC))
 GROUP BY ALL""", "feat"))
 def tune_rules(spark, sf_dir):
-    """Average precision of all 432 combinations of limits, in one pass over rows times grid, and one ordered sum per combination."""
+    """Average precision of all 432 combinations of limits. A combination tells rows apart only by their amount and by how many limits of each rule they meet, so rows are counted by these first, and only the counts meet the grid."""
     df = P.featured(lake.txn(spark, sf_dir)).filter("split = 'valid'")
-    grid = spark.createDataFrame(list(itertools.product(*GRID.values())), "g_amount double, g_txn_1h int, g_txn_24h int, g_spend_24h double, g_new_device_amount double")
-    trials = df.crossJoin(F.broadcast(grid)).withColumn("s", F.round(P.rules_score(P.points({k: f"g_{k}" for k in GRID})), 9))
+    limits, met = {k: sorted(v) for k, v in GRID.items()}, {}
+    for rule, (k, values) in enumerate(limits.items()):
+        met[f"m_{k}"] = sum((F.coalesce(P.conditions(P.LIMITS | {k: v})[rule][2], F.lit(False)).cast("int") for v in values), F.lit(0))
+    counts = df.groupBy("amount", *[c.alias(k) for k, c in met.items()]).agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"), F.sum(F.when(F.col("label") == 1, F.col("amount")).otherwise(0)).alias("val"))
     g = [f"g_{k}" for k in GRID]
-    cells = metrics.by_score(trials, "s", *g)
+    places = [tuple(x for k, v in zip(limits, combination, strict=True) for x in (v, limits[k].index(v))) for combination in itertools.product(*GRID.values())]
+    kinds = dict(zip(GRID, ("double", "int", "int", "double", "double"), strict=True))
+    grid = spark.createDataFrame(places, ", ".join(f"g_{k} {kinds[k]}, i_{k} int" for k in GRID))
+    points = sum((F.when(F.col(f"m_{k}") > F.col(f"i_{k}"), worth).otherwise(0) for k, (_, worth, _) in zip(GRID, P.RULES, strict=True)), F.lit(0))
+    trials = counts.crossJoin(F.broadcast(grid)).groupBy(*g, F.round(P.rules_score(points), 9).alias("s")).agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "val")])
+    cells = metrics.running(trials, *g)
     return cells.groupBy(*g).agg(F.round(metrics.average_precision(), 4).alias("pr_auc")).select(*[F.col(f"g_{k}").alias(k) for k in GRID], "pr_auc")
 
 
