@@ -134,3 +134,11 @@ def test_nothing_to_monitor(spark):
     log = spark.createDataFrame([], "id long, t long, day long, label int, amount double, p double, action string, device string")
     assert monitoring.judged_days(log, 7).count() == 0 and monitoring.cohorts_by_day(log, 3 * 86400, 9).count() == 0
     assert monitoring.timeline(log, log, ("p",), ("device",)).count() == 0
+
+
+def test_fits_keep_no_vectors(spark, sf, monkeypatch):
+    """What is kept of the log is its columns and features; vectors and scaled inputs follow from a row."""
+    kept = []
+    monkeypatch.setattr(learning, "settled", lambda df: kept.append(df.columns) or settled(df))
+    learning.tuned(learning._ready(spark, sf), "linear")
+    assert kept and not any(c == "features" or c.startswith(("x_", "m_")) for columns in kept for c in columns)
